@@ -10,23 +10,15 @@ from truant.functions.bands import case_band
 from truant.functions.dates import date_part_columns, days_between_calendar
 from truant.operators import clean, profile
 from truant.plans.catalog import query
+from truant.plans.oracle_sql import DAYS_TILL_SQL, PREPROCESSED_SQL
 from truant.schema import COLUMNS
 
 # ------------------------------------------------------------ shared SQL text
 MISSED = "CASE WHEN NO_SHOW = 'Yes' THEN 1 ELSE 0 END"
-DAYS_TILL_SQL = ("CAST(floor((epoch_us(APPOINTMENTDAY) - epoch_us(SCHEDULEDDAY)) / 86400000000) + 1"
-                 " AS BIGINT)")
 CASE_BAND_SQL = ("CASE WHEN AGE BETWEEN 0 AND 12 THEN '0-12' WHEN AGE BETWEEN 13 AND 17 THEN '13-17'"
                  " WHEN AGE BETWEEN 18 AND 30 THEN '18-30' WHEN AGE BETWEEN 31 AND 50 THEN '31-50'"
                  " ELSE '50+' END")
 CALENDAR_DAYS_SQL = "CAST(datediff('day', SCHEDULEDDAY, APPOINTMENTDAY) AS INT)"
-PREPROCESSED_SQL = f"""
-SELECT APPOINTMENTID, GENDER, SCHEDULEDDAY, APPOINTMENTDAY, AGE, NEIGHBOURHOOD,
-       SCHOLARSHIP, HYPERTENSION, DIABETES, ALCOHOLISM, HANDICAP, SMS_RECEIVED,
-       CAST(CASE NO_SHOW WHEN 'No' THEN 0 WHEN 'Yes' THEN 1 END AS INT) AS NO_SHOW
-FROM appointments
-WHERE {DAYS_TILL_SQL} >= 0 AND AGE >= 0
-"""
 
 
 def _rate_sql(key_sql: str, key_name: str, source: str = "appointments") -> str:
