@@ -175,9 +175,10 @@ def moments(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        aggs += [F.round(F.avg(x), digits).alias(f"mean__{c}"),
-                 F.round(F.stddev_pop(x), digits).alias(f"std_pop__{c}"),
-                 F.round(F.stddev_samp(x), digits).alias(f"std_samp__{c}")]
+        # "+ 0.0" folds a rounded -0.0 into 0.0
+        aggs += [(F.round(F.avg(x), digits) + 0.0).alias(f"mean__{c}"),
+                 (F.round(F.stddev_pop(x), digits) + 0.0).alias(f"std_pop__{c}"),
+                 (F.round(F.stddev_samp(x), digits) + 0.0).alias(f"std_samp__{c}")]
     return _long_form(df.agg(*aggs), cols, ["mean", "std_pop", "std_samp"])
 
 

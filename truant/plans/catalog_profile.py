@@ -305,9 +305,9 @@ _MOMENT_COLS = ["AGE", "SCHOLARSHIP", "HYPERTENSION", "SMS_RECEIVED"]
 
 
 @query("moments", with_ctes(" UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", ROUND(AVG(CAST({c} AS DOUBLE)), 9) AS mean,"
-    f" ROUND(STDDEV_POP(CAST({c} AS DOUBLE)), 9) AS std_pop,"
-    f" ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 9) AS std_samp FROM appointments"
+    f"SELECT '{c}' AS \"column\", ROUND(AVG(CAST({c} AS DOUBLE)), 9) + 0.0 AS mean,"
+    f" ROUND(STDDEV_POP(CAST({c} AS DOUBLE)), 9) + 0.0 AS std_pop,"
+    f" ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 9) + 0.0 AS std_samp FROM appointments"
     for c in _MOMENT_COLS)))
 def q_moments(spark, sf):
     return profile.moments(appointments(spark, sf), _MOMENT_COLS)
