@@ -54,14 +54,16 @@ def q_json_get(spark, sf):
     return ev.select("event_id", requests.json_get("props", "$.k").cast("int").alias("k"))
 
 
-_BATCH = F.floor(F.col(KEY) / 100)
+def _batch():
+    """At most 100 rows per request body."""
+    return F.floor(F.col(KEY) / 100).cast("long")
 
 
 @query("encode_requests", with_ctes(
     "SELECT CAST(floor(APPOINTMENTID / 100) AS BIGINT) AS request_id, CAST(COUNT(*) AS BIGINT) AS n_rows"
     " FROM appointments GROUP BY 1"))
 def q_encode_requests(spark, sf):
-    req = requests.encode_requests(appointments(spark, sf), _BATCH.cast("long"))
+    req = requests.encode_requests(appointments(spark, sf), _batch())
     n = F.size(F.split(F.get_json_object("body", "$.data"), "\n")) - 1
     return req.select("request_id", n.cast("long").alias("n_rows"))
 
@@ -69,7 +71,7 @@ def q_encode_requests(spark, sf):
 @query("decode_requests", _ALL)
 def q_decode_requests(spark, sf):
     """Round trip: rows -> request bodies -> rows, nothing lost or changed."""
-    req = requests.encode_requests(appointments(spark, sf), _BATCH.cast("long"))
+    req = requests.encode_requests(appointments(spark, sf), _batch())
     return requests.decode_requests(req)
 
 
@@ -132,7 +134,7 @@ def q_score_requests_stream(spark, sf):
     """Request envelopes (JSON lines) scored by a stream; bad lines to a side sink."""
     t = _trained(spark, sf)
     src, out, ck, err = (_scratch(spark, n) for n in ("req", "rout", "rck", "rerr"))
-    req = requests.encode_requests(_unlabelled(spark, sf), _BATCH.cast("long"))
+    req = requests.encode_requests(_unlabelled(spark, sf), _batch())
     req.write.json(src)
     stream.score_requests_stream(spark, src, t.prepared.state, t.model, out, ck, err)
     return spark.read.parquet(out)
