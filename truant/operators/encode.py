@@ -87,13 +87,21 @@ def fit_target_encoding(df: DataFrame, col: str, target: str = TARGET,
     ``value = lam * mean + (1 - lam) * prior``; a category seen once gets the
     prior.  One grouped aggregate; the prior comes from the same table.
     """
-    stats, prior, k = _fit_stats(df, col, target)
+    stats, prior, _ = _fit_stats(df, col, target)
+    return target_encoding_from_stats(stats, col, prior, min_samples_leaf, smoothing, single_to_prior)
+
+
+def target_encoding_from_stats(stats: DataFrame, col: str, prior: float, min_samples_leaf: float = 20.0,
+                               smoothing: float = 10.0, single_to_prior: bool = True) -> TargetEncoding:
+    """Encoding table from per-category (n, s = sum of target).  The table
+    stays a (persisted) DataFrame; only its row count reaches the driver."""
     lam = 1.0 / (1.0 + F.exp(-(F.col("n") - F.lit(min_samples_leaf)) / F.lit(smoothing)))
     mean = F.col("s") / F.col("n")
     value = lam * mean + (1.0 - lam) * F.lit(prior)
     if single_to_prior:
         value = F.when(F.col("n") == 1, F.lit(prior)).otherwise(value)
-    table = stats.select(col, "n", mean.alias("mean"), value.alias("value"))
+    table = stats.select(col, F.col("n").cast("long").alias("n"), mean.alias("mean"), value.alias("value")).persist()
+    k = table.count()
     return TargetEncoding(col, prior, table, k, {"min_samples_leaf": min_samples_leaf,
                                                  "smoothing": smoothing, "kind": "sigmoid"})
 

@@ -83,19 +83,33 @@ def _quota_col(quotas: dict[str, int]):
     return (expr if expr is not None else F.lit(0)).otherwise(F.lit(0)).cast("long")
 
 
-def select_by_quota(df: DataFrame, quotas: dict[str, int], target: str = TARGET, key: str = KEY,
+def bucket_table(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 42,
+                 hex_digits: int = HEX_DIGITS) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(hashed rows, persisted bucket table, rows per stratum).  The stratum
+    counts are summed from the bucket table: one scan of the input."""
+    h = _prepare(df, target, key, seed, hex_digits)
+    bt = _bucket_table(h).persist()
+    rows = bt.groupBy("__s").agg(F.sum("__nb").alias("n")).limit(MAX_STRATA + 1).collect()
+    if len(rows) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} strata in {target}")
+    return h, bt, {r["__s"]: int(r["n"]) for r in rows}
+
+
+def select_by_quota(df: DataFrame, quotas, target: str = TARGET, key: str = KEY,
                     seed: int = 42, flag: str = "__in", hex_digits: int = HEX_DIGITS) -> DataFrame:
     """Add boolean ``flag``: row is among the first ``quota`` of its stratum in
-    hash order (hash, then key).  Shuffles only the boundary buckets."""
-    h = _prepare(df, target, key, seed, hex_digits)
-    buckets = _bucket_table(h).withColumn("__q", _quota_col(quotas))
+    hash order (hash, then key).  ``quotas`` is a dict or a function of the
+    stratum counts.  Only the boundary buckets are shuffled."""
+    h, bt, counts = bucket_table(df, target, key, seed, hex_digits)
+    quotas = quotas(counts) if callable(quotas) else quotas
+    buckets = bt.withColumn("__q", _quota_col(quotas))
     buckets = buckets.withColumn(
         "__state",
         F.when(F.col("__start") + F.col("__nb") <= F.col("__q"), F.lit(1))
          .when(F.col("__start") >= F.col("__q"), F.lit(0))
          .otherwise(F.lit(2)))
     bt = broadcast_if_small(buckets.select("__s", "__b", "__start", "__q", "__state"),
-                            _bucket_bound(len(quotas) + 1, hex_digits))
+                            _bucket_bound(len(counts), hex_digits))
     tagged = h.join(bt, ["__s", "__b"], "left")
     decided = tagged.where(F.col("__state") != 2).withColumn(flag, F.col("__state") == 1)
     w = Window.partitionBy("__s", "__b").orderBy("__h", key)
@@ -112,10 +126,8 @@ def class_rank(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int =
     One shuffle on (stratum, bucket): a stratum holding a third of all rows
     still spreads over 16^hex_digits sort groups.
     """
-    h = _prepare(df, target, key, seed, hex_digits)
-    # the bucket table is small and reused: persist it, count it, then decide
-    buckets = _bucket_table(h).select("__s", "__b", "__start").persist()
-    bt = broadcast_if_small(buckets)
+    h, buckets, counts = bucket_table(df, target, key, seed, hex_digits)
+    bt = broadcast_if_small(buckets.select("__s", "__b", "__start"), _bucket_bound(len(counts), hex_digits))
     w = Window.partitionBy("__s", "__b").orderBy("__h", key)
     j = h.join(bt, ["__s", "__b"], "left")
     return (j.withColumn(out, F.col("__start") + F.row_number().over(w))
@@ -126,8 +138,7 @@ def class_rank(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int =
 def stratified_split(df: DataFrame, target: str = TARGET, test_size: float = 0.2, seed: int = 42,
                      key: str = KEY, out: str = "split") -> DataFrame:
     """Add ``split`` = 'test' / 'train'; per-stratum test quotas are exact."""
-    quotas = allocate(stratum_counts(df, target), test_size)
-    tagged = select_by_quota(df, quotas, target, key, seed, "__in")
+    tagged = select_by_quota(df, lambda counts: allocate(counts, test_size), target, key, seed, "__in")
     return tagged.withColumn(out, F.when(F.col("__in"), "test").otherwise("train")).drop("__in")
 
 
@@ -165,12 +176,12 @@ def downsample(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int =
                majority=0, n: int | None = None) -> DataFrame:
     """Majority class drawn without replacement down to ``n`` rows (default:
     the size of the rest); other classes kept whole."""
-    counts = stratum_counts(df, target)
     maj = str(majority)
-    rest = sum(v for s, v in counts.items() if s != maj)
-    n = rest if n is None else n
-    resample_guard(counts.get(maj, 0), n, False)
-    quotas = {s: (n if s == maj else v) for s, v in counts.items()}
+
+    def quotas(counts):
+        want = sum(v for s, v in counts.items() if s != maj) if n is None else n
+        resample_guard(counts.get(maj, 0), want, False)
+        return {s: (want if s == maj else v) for s, v in counts.items()}
     return select_by_quota(df, quotas, target, key, seed, "__in").where("__in").drop("__in")
 
 

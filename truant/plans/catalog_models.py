@@ -236,3 +236,54 @@ def q_feature_state_roundtrip(spark, sf):
     p.state.save(path)
     st = featurize.FeatureState.load(spark, path)
     return st.te.table.select("NEIGHBOURHOOD", "n", "value")
+
+
+@query("gbt_refit")
+def q_gbt_refit(spark, sf):
+    """Second selection: keep boosted-model importances >= 0.01, refit on
+    those features, evaluate on the same test split."""
+    t = _trained(spark, sf)
+    kept = models.threshold_features(models.importances(t.model, t.features), 0.01, absolute=False)
+    p = t.prepared
+    w = models.pos_weights(p.train)
+    m = models.fit_gbt(models.model_frame(p.train, kept, TARGET, w), training.DEFAULT_GBT)
+    pred = models.predict(m, models.model_frame(p.test, kept, TARGET)).withColumn("label", F.col("label").cast("int"))
+    a = evaluate.areas(pred, "label", "SCORE").first()
+    return _rows(spark, [(len(kept), float(a["roc_auc"]), float(a["pr_auc"]))],
+                 "n_features int, roc_auc double, pr_auc double")
+
+
+@query("union_features")
+def q_union_features(spark, sf):
+    """Set union of the two threshold lists, as a distributed union+distinct."""
+    p = _prepared(spark, sf)
+    sel = training.select_features(p)
+    a = _rows(spark, [(f,) for f in models.threshold_features(sel.logistic, 0.01)], "Feature string")
+    b = _rows(spark, [(f,) for f in models.threshold_features(sel.tree, 0.01, absolute=False)], "Feature string")
+    return a.union(b).distinct()
+
+
+@query("align_schema")
+def q_align_schema(spark, sf):
+    """Train and test model tables: same columns, same order, all numeric."""
+    p = _prepared(spark, sf)
+    from truant.operators import clean
+    r = clean.align_schema(p.train, p.test)
+    return _rows(spark, [(int(r["same_columns"]), int(r["same_column_set"]), int(r["left"]["all_numeric"]),
+                          int(r["right"]["all_numeric"]), int(r["left"]["any_string"]), len(p.train.columns))],
+                 "same_columns int, same_column_set int, train_numeric int, test_numeric int,"
+                 " any_string int, n_columns int")
+
+
+@query("write_predictions")
+def q_write_predictions(spark, sf):
+    """Scored unlabelled rows written partitioned by run stamp, read back."""
+    import uuid
+    from truant.session import checkpoint_dir
+    t = _trained(spark, sf)
+    from truant.operators import clean
+    sim = sampling.stratified_split(appointments(spark, sf))
+    sim = clean.blank_target(sim.where(F.col("split") == "test").drop("split"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
+    scoring.write_predictions(scoring.score_frame(sim, t.prepared.state, t.model), path)
+    return spark.read.parquet(path)

@@ -64,14 +64,35 @@ def base_features(df: DataFrame) -> DataFrame:
 
 
 def fit_feature_state(train: DataFrame, target: str = TARGET, min_samples_leaf: float = 20.0,
-                      smoothing: float = 10.0) -> FeatureState:
-    """``train`` is the preprocessed training frame (target encoded 0/1)."""
-    b = base_features(train).withColumns({c: e for c, e in
-                                          features.date_part_columns().items()
-                                          if c in features.YEAR_PARTS})
-    drop_years = profile.constant_column_names(b, features.YEAR_PARTS)
-    categories = encode.fit_categories(b, "GENDER_AGE")
-    te = encode.fit_target_encoding(train, "NEIGHBOURHOOD", target, min_samples_leaf, smoothing)
+                      smoothing: float = 10.0, max_categories: int = encode.MAX_CATEGORIES) -> FeatureState:
+    """``train`` is the preprocessed training frame (target encoded 0/1).
+
+    All data-dependent decisions come from ONE scan: a grouping-sets
+    aggregate with the sets (GENDER_AGE), (NEIGHBOURHOOD) and () gives the
+    dummy categories, the per-neighbourhood target statistics and the
+    global year ranges and prior at once.
+    """
+    b = base_features(train)
+    years = {c: e for c, e in features.date_part_columns().items() if c in features.YEAR_PARTS}
+    b = b.withColumns(years).select("GENDER_AGE", "NEIGHBOURHOOD", target, *years)
+    y = F.col(target).cast("double")
+    g = (b.groupingSets([["GENDER_AGE"], ["NEIGHBOURHOOD"], []], "GENDER_AGE", "NEIGHBOURHOOD")
+          .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("rows"),
+               F.count(y).alias("n"), F.sum(y).alias("s"),
+               *[F.min(c).alias(f"mn_{c}") for c in years], *[F.max(c).alias(f"mx_{c}") for c in years])
+          ).persist()
+    # gid bits: GENDER_AGE (2), NEIGHBOURHOOD (1); set 1 = (GENDER_AGE), 2 = (NEIGHBOURHOOD), 3 = ()
+    tot = g.where(F.col("gid") == 3).first()
+    drop_years = [c for c in years if tot[f"mn_{c}"] is not None and tot[f"mn_{c}"] == tot[f"mx_{c}"]]
+    cats = (g.where((F.col("gid") == 1) & F.col("GENDER_AGE").isNotNull()).select("GENDER_AGE")
+             .limit(max_categories + 1).collect())
+    if len(cats) > max_categories:
+        raise ValueError(f"GENDER_AGE has more than {max_categories} categories")
+    categories = sorted(str(r[0]) for r in cats)
+    prior = (tot["s"] / tot["n"]) if tot["n"] else 0.0
+    stats = (g.where((F.col("gid") == 2) & F.col("NEIGHBOURHOOD").isNotNull() & (F.col("n") > 0))
+              .select("NEIGHBOURHOOD", "n", "s"))
+    te = encode.target_encoding_from_stats(stats, "NEIGHBOURHOOD", prior, min_samples_leaf, smoothing)
     return FeatureState(categories, drop_years, te)
 
 
