@@ -159,12 +159,14 @@ def q_cross_validate(spark, sf):
 
 @query("compare_resamplings")
 def q_compare_resamplings(spark, sf):
-    """Boosted trees trained on the original, up-sampled and down-sampled
-    training split (and the positive-weighted original), same test split."""
+    """Boosted trees trained on the original, up-sampled, down-sampled and
+    SMOTE-balanced training split; all evaluated on the same test split."""
     p = _prepared(spark, sf)
+    from truant.operators.smote import smote
     frames = {"original": p.train,
               "upsampled": sampling.upsample(p.train, TARGET, KEY, 123, 1),
-              "downsampled": sampling.downsample(p.train, TARGET, KEY, 123, 0)}
+              "downsampled": sampling.downsample(p.train, TARGET, KEY, 123, 0),
+              "smote": smote(p.train, p.features, TARGET, KEY, 1, 5, 42)}
     test_mf = models.model_frame(p.test, p.features, TARGET)
     out = []
     for name, fr in frames.items():
@@ -287,3 +289,11 @@ def q_write_predictions(spark, sf):
     path = f"{checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
     scoring.write_predictions(scoring.score_frame(sim, t.prepared.state, t.model), path)
     return spark.read.parquet(path)
+
+
+@query("smote")
+def q_smote(spark, sf):
+    """Training split balanced with synthetic minority rows (exact 5-NN)."""
+    from truant.operators.smote import smote
+    p = _prepared(spark, sf)
+    return smote(p.train, p.features, TARGET, KEY, 1, 5, 42)

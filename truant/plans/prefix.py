@@ -26,6 +26,8 @@ def range_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS, out: s
     qs = df.approxQuantile(col, probs, 1.0 / (4 * buckets)) if buckets > 1 else []
     bounds = sorted({float(q) for q in qs if q is not None})
     splits = [float("-inf")] + bounds + [float("inf")]
+    if len(splits) < 3:  # one bucket: nothing to look up
+        return df.withColumn(out, F.lit(0))
     tmp = df.withColumn("__rbx", F.col(col).cast("double"))
     b = Bucketizer(splits=splits, inputCol="__rbx", outputCol="__rbd", handleInvalid="keep").transform(tmp)
     n = len(splits) - 1
