@@ -3,6 +3,7 @@ expressible in SQL, the DuckDB oracle text over the same driver tables."""
 
 from __future__ import annotations
 
+import functools
 import importlib
 from collections.abc import Callable
 
@@ -29,7 +30,13 @@ def query(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # day counts and date parts are defined in UTC, whatever session we get
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

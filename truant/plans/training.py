@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +37,11 @@ class Prepared:
 
 def prepare(raw: DataFrame, test_size: float = 0.2, seed: int = 42, checkpoint: bool = True) -> Prepared:
     pre = clean.preprocess(raw)
-    split = sampling.stratified_split(pre, TARGET, test_size, seed)
-    if checkpoint:
-        split = cut_lineage(split)
+    # the hash split is deterministic: recomputing lost cache blocks gives
+    # the same rows, so it is persisted (shared by the fit and both feature
+    # tables) and only the feature tables the learners iterate over are
+    # written as reliable checkpoints
+    split = sampling.stratified_split(pre, TARGET, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     train = split.where(F.col("split") == "train").drop("split")
     test = split.where(F.col("split") == "test").drop("split")
     state = featurize.fit_feature_state(train)
