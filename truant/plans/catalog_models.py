@@ -231,10 +231,10 @@ def q_leak_check(spark, sf):
 @query("feature_state_roundtrip")
 def q_feature_state_roundtrip(spark, sf):
     """Save and reload the frozen state; the reloaded state gives the same table."""
-    import tempfile
+    import uuid
     from truant.session import checkpoint_dir
     p = _prepared(spark, sf)
-    path = f"{checkpoint_dir(spark)}/state-{abs(hash(sf))}-{tempfile.mktemp(dir='').strip('/')}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/state-{uuid.uuid4().hex}"
     p.state.save(path)
     st = featurize.FeatureState.load(spark, path)
     return st.te.table.select("NEIGHBOURHOOD", "n", "value")

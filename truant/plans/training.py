@@ -49,6 +49,7 @@ def prepare(raw: DataFrame, test_size: float = 0.2, seed: int = 42, checkpoint:
     ftest = featurize.apply_features(test, state)
     if checkpoint:
         ftrain, ftest = cut_lineage(ftrain), cut_lineage(ftest)
+        split.unpersist()  # both tables are materialised; the cache is no longer read
     return Prepared(ftrain, ftest, state, featurize.feature_columns(ftrain))
 
 
