@@ -11,7 +11,7 @@ from truant.fixtures import appointments, with_ctes
 from truant.operators import evaluate, models, sampling
 from truant.plans import featurize, scoring, training
 from truant.plans.catalog import query
-from truant.plans.oracle_sql import PREPROCESSED_SQL, split_ctes
+from truant.plans.oracle_sql import PREPROCESSED_SQL, split_ctes, target_encoding_ctes
 from truant.schema import KEY, TARGET
 
 _MEMO: dict = {}
@@ -228,7 +228,10 @@ def q_leak_check(spark, sf):
     return scoring.leak_check(sim, clean.preprocess(a)).select(KEY)
 
 
-@query("feature_state_roundtrip")
+@query("feature_state_roundtrip", with_ctes(
+    "SELECT NEIGHBOURHOOD, CAST(n AS BIGINT) AS n, ROUND(value, 9) AS value FROM te",
+    p=PREPROCESSED_SQL, **split_ctes("p", "sp"), train="SELECT * EXCLUDE (split) FROM sp WHERE split = 'train'",
+    **target_encoding_ctes("train", "te")))
 def q_feature_state_roundtrip(spark, sf):
     """Save and reload the frozen state; the reloaded state gives the same table."""
     import uuid
@@ -237,7 +240,7 @@ def q_feature_state_roundtrip(spark, sf):
     path = f"{checkpoint_dir(spark).rstrip('/')}/state-{uuid.uuid4().hex}"
     p.state.save(path)
     st = featurize.FeatureState.load(spark, path)
-    return st.te.table.select("NEIGHBOURHOOD", "n", "value")
+    return st.te.table.select("NEIGHBOURHOOD", "n", F.round("value", 9).alias("value"))
 
 
 @query("gbt_refit")
