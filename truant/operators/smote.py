@@ -37,6 +37,7 @@ from truant.plans.prefix import range_bucket
 from truant.schema import KEY, TARGET
 
 CAND_SCHEMA = "q string, nb string, dist double, w long"
+_DIAG: dict | None = None  # set to a dict to record the slab replication (diagnostics only)
 
 
 def _weighted_topk(qv, qid, qself, pv, pid, pw, k):
@@ -109,6 +110,11 @@ def knn_distinct(vectors: DataFrame, k: int = 5, rows_per_bucket: int = 512) ->
                      & (F.col("tb") != F.col("b")), "inner")
                .select("vid", "v", "c", F.col("tb").alias("b")))
 
+    if _DIAG is not None:
+        _DIAG["distinct"] = n
+        _DIAG["buckets"] = nb
+        _DIAG["copies"] = copies.count()
+
     def remote(qdf: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
         if len(qdf) == 0 or len(pdf) == 0:
             return _frame([], [], [], [])

@@ -300,3 +300,17 @@ def q_smote(spark, sf):
     from truant.operators.smote import smote
     p = _prepared(spark, sf)
     return smote(p.train, p.features, TARGET, KEY, 1, 5, 42)
+
+
+@query("model_areas")
+def q_model_areas(spark, sf):
+    """Exact ROC and PR areas of the trained model on the test split."""
+    t = _trained(spark, sf)
+    return evaluate.areas(t.predictions, "label", "SCORE")
+
+
+@query("model_threshold_sweep")
+def q_model_threshold_sweep(spark, sf):
+    """Precision / recall / F1 of the trained model at every threshold."""
+    t = _trained(spark, sf)
+    return evaluate.threshold_sweep(t.predictions, "label", "SCORE")
