@@ -119,6 +119,16 @@ def select_by_quota(df: DataFrame, quotas, target: str = TARGET, key: str = KEY,
     return out.drop("__s", "__h", "__b", "__start", "__q", "__state")
 
 
+def _rank_with(h: DataFrame, buckets: DataFrame, n_strata: int, key: str, out: str,
+               hex_digits: int = HEX_DIGITS) -> DataFrame:
+    """Rank rows of the hashed frame ``h`` using the bucket offsets."""
+    bt = broadcast_if_small(buckets.select("__s", "__b", "__start"), _bucket_bound(n_strata, hex_digits))
+    w = Window.partitionBy("__s", "__b").orderBy("__h", key)
+    j = h.join(bt, ["__s", "__b"], "left")
+    return (j.withColumn(out, F.col("__start") + F.row_number().over(w))
+             .drop("__s", "__h", "__b", "__start"))
+
+
 def class_rank(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 42,
                out: str = "class_rank", hex_digits: int = HEX_DIGITS) -> DataFrame:
     """1-based rank of each row inside its stratum in hash order.
@@ -127,11 +137,7 @@ def class_rank(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int =
     still spreads over 16^hex_digits sort groups.
     """
     h, buckets, counts = bucket_table(df, target, key, seed, hex_digits)
-    bt = broadcast_if_small(buckets.select("__s", "__b", "__start"), _bucket_bound(len(counts), hex_digits))
-    w = Window.partitionBy("__s", "__b").orderBy("__h", key)
-    j = h.join(bt, ["__s", "__b"], "left")
-    return (j.withColumn(out, F.col("__start") + F.row_number().over(w))
-             .drop("__s", "__h", "__b", "__start"))
+    return _rank_with(h, buckets, len(counts), key, out, hex_digits)
 
 
 # ------------------------------------------------------------------ splits
@@ -194,8 +200,9 @@ def upsample(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 12
     draws are generated by ``spark.range`` (distributed), pre-aggregated to
     (row number, copies) before the join, and copies are expanded after it.
     """
-    counts = stratum_counts(df, target)
     mino = str(minority)
+    # one scan: the bucket table gives both the class sizes and the rank offsets
+    h, buckets, counts = bucket_table(df, target, key, seed)
     m = counts.get(mino, 0)
     n = sum(v for s, v in counts.items() if s != mino) if n is None else n
     if m == 0:
@@ -205,8 +212,8 @@ def upsample(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 12
     draws = (spark.range(0, n, 1, parts)
                   .select(F.pmod(hash32(seed, F.col("id")), F.lit(m)).alias("__idx"))
                   .groupBy("__idx").agg(F.count(F.lit(1)).alias("__copies")))
-    minority_rows = df.where(_stratum(target) == mino)
-    ranked = class_rank(minority_rows, target, key, seed, "__r").withColumn("__idx", F.col("__r") - 1)
+    ranked = (_rank_with(h.where(F.col("__s") == mino), buckets, len(counts), key, "__r")
+              .withColumn("__idx", F.col("__r") - 1))
     picked = (ranked.join(draws, "__idx")
                     .withColumn("__rep", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int"))))
                     .drop("__idx", "__r", "__copies", "__rep"))
