@@ -42,3 +42,11 @@ def test_gender_age_null_propagates(spark):
 def test_run_stamp(spark):
     df = spark.createDataFrame([(ts("2024-01-01 12:00:00"),)], "ts timestamp")
     assert df.select(run_stamp("ts")).first()[0] == "20240101_040000"
+
+
+def test_sized_conf_scales_with_input():
+    from truant.session import sized_conf
+    small, big = sized_conf(10 ** 9), sized_conf(100 * 10 ** 12)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)

@@ -43,6 +43,27 @@ def get_session(master: str | None = None, app: str = "truant",
     return spark
 
 
+def sized_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict:
+    """Shuffle and scan sizing for a given input volume (cluster submits).
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each so a
+    task's working set fits executor memory; AQE starts from that many
+    partitions, coalesces small ones and splits skewed ones (a key holding a
+    large share of the rows is cut into several tasks instead of one).
+    For 100 TB at 256 MB this gives the 100,000-partition ceiling.
+    """
+    n = max(200, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder and register it with the context.
 
