@@ -36,20 +36,23 @@ class Prepared:
 
 
 def prepare(raw: DataFrame, test_size: float = 0.2, seed: int = 42, checkpoint: bool = True) -> Prepared:
+    """Split, fit the frozen state, build both model tables.
+
+    The split is written once as a reliable checkpoint: it cuts the lineage
+    (later plans start from the materialised split, so they are short to
+    analyse and a lost executor recomputes from the checkpoint, not from the
+    raw scan), and the fit and both feature tables read it.  The feature
+    tables are cheap projections of it plus a broadcast lookup, so they are
+    only persisted, not written again.
+    """
     pre = clean.preprocess(raw)
-    # the hash split is deterministic: recomputing lost cache blocks gives
-    # the same rows, so it is persisted (shared by the fit and both feature
-    # tables) and only the feature tables the learners iterate over are
-    # written as reliable checkpoints
-    split = sampling.stratified_split(pre, TARGET, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    split = sampling.stratified_split(pre, TARGET, test_size, seed)
+    split = cut_lineage(split) if checkpoint else split.persist(StorageLevel.MEMORY_AND_DISK)
     train = split.where(F.col("split") == "train").drop("split")
     test = split.where(F.col("split") == "test").drop("split")
     state = featurize.fit_feature_state(train)
-    ftrain = featurize.apply_features(train, state)
-    ftest = featurize.apply_features(test, state)
-    if checkpoint:
-        ftrain, ftest = cut_lineage(ftrain), cut_lineage(ftest)
-        split.unpersist()  # both tables are materialised; the cache is no longer read
+    ftrain = featurize.apply_features(train, state).persist(StorageLevel.MEMORY_AND_DISK)
+    ftest = featurize.apply_features(test, state).persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(ftrain, ftest, state, featurize.feature_columns(ftrain))
 
 
