@@ -10,13 +10,12 @@ decisions (e.g. a distinct count) are not even allowed.
 from __future__ import annotations
 
 import json
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truant.operators import clean, encode, features, profile
+from truant.operators import clean, encode, features
 from truant.schema import TARGET
 
 
@@ -111,13 +110,3 @@ def apply_features(df: DataFrame, state: FeatureState, target: str = TARGET) ->
 
 def feature_columns(df: DataFrame, key: str = "APPOINTMENTID", target: str = TARGET) -> list[str]:
     return [c for c in df.columns if c not in (key, target, "split", "fold", "weight")]
-
-
-def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(
-        df.select(*[F.col(c) for c in df.columns]))
-
-
-def state_path(base: str, name: str = "feature_state") -> str:
-    return os.path.join(base, name)
