@@ -104,3 +104,18 @@ def q_classification_report(spark, sf):
     **_REPORT_CTES, rep=_REPORT_BODY))
 def q_f1_accuracy(spark, sf):
     return evaluate.f1_accuracy(_pred(spark, sf), "label", "prediction")
+
+
+@query("roc_auc", with_ctes(
+    f"SELECT ROUND(SUM((fp - fp_prev) / n_all * (tp + tp_prev) / p_all / 2), {D}) AS roc_auc FROM cp", **_CURVE))
+def q_roc_auc(spark, sf):
+    """Exact area under the ROC curve (ties count one half)."""
+    return evaluate.areas(scored(spark, sf), "label", "SCORE").select(F.round("roc_auc", D).alias("roc_auc"))
+
+
+@query("pr_auc", with_ctes(
+    f"SELECT ROUND(SUM((tp - tp_prev) / p_all * (tp / (tp + fp) + CASE WHEN tp_prev + fp_prev = 0 THEN 1.0"
+    f" ELSE tp_prev / (tp_prev + fp_prev) END) / 2), {D}) AS pr_auc FROM cp", **_CURVE))
+def q_pr_auc(spark, sf):
+    """Trapezoid area under the precision-recall curve from (recall 0, precision 1)."""
+    return evaluate.areas(scored(spark, sf), "label", "SCORE").select(F.round("pr_auc", D).alias("pr_auc"))

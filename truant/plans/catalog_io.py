@@ -138,3 +138,14 @@ def q_score_requests_stream(spark, sf):
     req.write.json(src)
     stream.score_requests_stream(spark, src, t.prepared.state, t.model, out, ck, err)
     return spark.read.parquet(out)
+
+
+@query("parse_timestamp", with_ctes(
+    "SELECT APPOINTMENTID, SCHEDULEDDAY AS parsed, CAST(NULL AS TIMESTAMP) AS bad FROM appointments"))
+def q_parse_timestamp(spark, sf):
+    """Timestamp text parsed back (microseconds kept); unparseable text -> null."""
+    from truant.functions.dates import parse_timestamp
+    a = appointments(spark, sf)
+    txt = F.date_format("SCHEDULEDDAY", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return a.select(KEY, parse_timestamp(txt, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("parsed"),
+                    parse_timestamp(F.concat(F.lit("x"), txt), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("bad"))

@@ -98,3 +98,24 @@ def q_concat_frames(spark, sf):
     " FROM p GROUP BY 1", p=PREPROCESSED_SQL))
 def q_balanced_weights(spark, sf):
     return encode.class_weight_table(_pre(spark, sf), "NO_SHOW")
+
+
+@query("resample_guard", with_ctes(
+    "SELECT NO_SHOW, CAST(n AS BIGINT) AS available, CAST(total - n AS BIGINT) AS wanted,"
+    " CAST(n >= total - n AS INT) AS without_replacement_ok FROM (SELECT NO_SHOW, COUNT(*) AS n,"
+    " SUM(COUNT(*)) OVER () AS total FROM p GROUP BY 1)", p=PREPROCESSED_SQL))
+def q_resample_guard(spark, sf):
+    """Per class: rows available, rows wanted to match the other class, and
+    whether that draw is possible without replacement (the guard's test)."""
+    counts = sampling.stratum_counts(_pre(spark, sf), "NO_SHOW")
+    total = sum(counts.values())
+    rows = []
+    for s_, n in counts.items():
+        wanted = total - n
+        try:
+            sampling.resample_guard(n, wanted, False)
+            ok = 1
+        except ValueError:
+            ok = 0
+        rows.append((int(s_), n, wanted, ok))
+    return spark.createDataFrame(rows, "NO_SHOW int, available long, wanted long, without_replacement_ok int")
