@@ -40,27 +40,38 @@ CAND_SCHEMA = "q string, nb string, dist double, w long"
 _DIAG: dict | None = None  # set to a dict to record the slab replication (diagnostics only)
 
 
-def _weighted_topk(qv, qid, qself, pv, pid, pw, k):
+def _weighted_topk(qv, qid, qself, pv, pid, pw, k, chunk: int = 1024):
     """For each query row: nearest points until the multiplicity sum reaches
-    k.  ``qself`` is the query's own extra copies (counted at distance 0)."""
+    k.  ``qself`` is the query's own extra copies (counted at distance 0).
+
+    Vectorised per chunk of queries: one lexsort of the distance block by
+    (distance, point id), cumulative multiplicities along each row, keep the
+    prefix that is still needed.  Memory is chunk x points doubles.
+    """
     out_q, out_nb, out_d, out_w = [], [], [], []
     if len(pv) == 0 or len(qv) == 0:
         return out_q, out_nb, out_d, out_w
-    d2 = ((qv[:, None, :] - pv[None, :, :]) ** 2).sum(axis=2)
-    for i in range(len(qv)):
-        dist = np.sqrt(d2[i])
-        mask = pid != qid[i]
-        idx = np.nonzero(mask)[0]
-        order = idx[np.lexsort((pid[idx], dist[idx]))]
-        need = k - int(qself[i])
-        if qself[i] > 0:
-            out_q.append(qid[i]); out_nb.append(qid[i]); out_d.append(0.0); out_w.append(int(min(qself[i], k)))
-        for j in order:
-            if need <= 0:
-                break
-            w = int(pw[j])
-            out_q.append(qid[i]); out_nb.append(pid[j]); out_d.append(float(dist[j])); out_w.append(min(w, need))
-            need -= w
+    qid, pid = np.asarray(qid).astype(str), np.asarray(pid).astype(str)
+    qself, pw = np.asarray(qself, dtype=np.int64), np.asarray(pw, dtype=np.int64)
+    prank = np.argsort(np.argsort(pid, kind="stable"), kind="stable")  # tie-break by point id
+    for lo in range(0, len(qv), chunk):
+        q = qv[lo:lo + chunk]
+        ids = qid[lo:lo + chunk]
+        own = qself[lo:lo + chunk]
+        d = np.sqrt(((q[:, None, :] - pv[None, :, :]) ** 2).sum(axis=2))
+        d[ids[:, None] == pid[None, :]] = np.inf               # the vector itself is not its neighbour
+        order = np.lexsort((np.broadcast_to(prank, d.shape), d), axis=1)
+        ds = np.take_along_axis(d, order, axis=1)
+        ws = pw[order]
+        need = np.maximum(k - own, 0)[:, None]
+        before = np.cumsum(ws, axis=1) - ws
+        keep = (before < need) & np.isfinite(ds)
+        used = np.minimum(ws, need - before)
+        rows, cols = np.nonzero(keep)
+        for i in np.nonzero(own > 0)[0]:
+            out_q.append(ids[i]); out_nb.append(ids[i]); out_d.append(0.0); out_w.append(int(min(own[i], k)))
+        out_q.extend(ids[rows]); out_nb.extend(pid[order[rows, cols]])
+        out_d.extend(ds[rows, cols].tolist()); out_w.extend(used[rows, cols].tolist())
     return out_q, out_nb, out_d, out_w
 
 
