@@ -43,3 +43,24 @@ def test_features_do_not_depend_on_frame(spark):
     a = featurize.apply_features(train, state)
     b = featurize.apply_features(test.limit(3), state)
     assert a.columns == b.columns
+
+
+def test_request_stream_scores_good_lines_and_diverts_bad_ones(spark):
+    import json
+    raw = appointments(spark, SF_SMALL)
+    t = training.train(raw, params={"n_estimators": 3, "max_depth": 2}, select=False, seed=7)
+    d = tempfile.mkdtemp(prefix="truant-req-")
+    sim = clean.blank_target(raw.limit(40))
+    from truant.sources import requests
+    req = requests.encode_requests(sim, F.floor(F.col("APPOINTMENTID") / 10).cast("long"))
+    bad = spark.createDataFrame([(999999, json.dumps({"data": "HEADER\nnot,a,valid,row"}))],
+                                "request_id long, body string")
+    req.unionByName(bad).write.json(f"{d}/in")
+    out, ck, err = f"{d}/out", f"{d}/ck", f"{d}/err"
+    stream.score_requests_stream(spark, f"{d}/in", t.prepared.state, t.model, out, ck, err)
+    scored = spark.read.parquet(out)
+    batch = scoring.score_frame(sim, t.prepared.state, t.model, stamp_col=None)
+    assert scored.select("APPOINTMENTID").exceptAll(batch.select("APPOINTMENTID")).count() == 0
+    assert scored.count() == batch.count()
+    errors = spark.read.parquet(err).collect()
+    assert [(r.request_id, r.line_no) for r in errors] == [(999999, 1)]
