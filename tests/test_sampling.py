@@ -69,3 +69,14 @@ def test_class_rank_is_a_permutation_with_hot_class(spark):
                                    F.countDistinct("rk").alias("d")).collect()
     for a in agg:
         assert a.lo == 1 and a.hi == a.n == a.d
+
+
+def test_bucket_granularity_refines_for_big_buckets(spark):
+    # with a tiny row bound per bucket the table is recounted finer; ranks stay the same
+    df = spark.range(3000).selectExpr("id AS APPOINTMENTID", "CAST(id % 3 = 0 AS INT) AS NO_SHOW")
+    _, bt, counts, digits = sampling.bucket_table(df, "NO_SHOW", "APPOINTMENTID", 5, 1, max_bucket_rows=50)
+    assert digits > 1 and sum(counts.values()) == 3000
+    assert bt.agg(F.max("__nb")).first()[0] <= 50
+    a = {r.APPOINTMENTID: r.rk for r in sampling.class_rank(df, "NO_SHOW", "APPOINTMENTID", 5, "rk", 1).collect()}
+    b = {r.APPOINTMENTID: r.rk for r in sampling.class_rank(df, "NO_SHOW", "APPOINTMENTID", 5, "rk", 4).collect()}
+    assert a == b

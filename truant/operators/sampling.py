@@ -23,7 +23,8 @@ from truant.functions.hashing import hash32
 from truant.plans.joins import broadcast_if_small
 from truant.schema import KEY, TARGET
 
-HEX_DIGITS = 4            # 65,536 range buckets per stratum
+HEX_DIGITS = 4            # at least 65,536 range buckets per stratum
+MAX_BUCKET_ROWS = 1_000_000  # finer buckets beyond this many rows in one
 MAX_STRATA = 10_000
 _NULL = "\u0000null"
 
@@ -84,15 +85,28 @@ def _quota_col(quotas: dict[str, int]):
 
 
 def bucket_table(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 42,
-                 hex_digits: int = HEX_DIGITS) -> tuple[DataFrame, DataFrame, dict[str, int]]:
-    """(hashed rows, persisted bucket table, rows per stratum).  The stratum
-    counts are summed from the bucket table: one scan of the input."""
-    h = _prepare(df, target, key, seed, hex_digits)
-    bt = _bucket_table(h).persist()
-    rows = bt.groupBy("__s").agg(F.sum("__nb").alias("n")).limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata in {target}")
-    return h, bt, {r["__s"]: int(r["n"]) for r in rows}
+                 hex_digits: int = HEX_DIGITS, max_bucket_rows: int = MAX_BUCKET_ROWS
+                 ) -> tuple[DataFrame, DataFrame, dict[str, int], int]:
+    """(hashed rows, persisted bucket table, rows per stratum, hex digits).
+
+    The stratum counts are summed from the bucket table (one scan).  If the
+    largest bucket exceeds ``max_bucket_rows`` the table is recounted one hex
+    digit finer (16x more buckets), so a sort group stays bounded however
+    large the input; the rank order, and so the result, does not change.
+    """
+    digits = hex_digits
+    while True:
+        h = _prepare(df, target, key, seed, digits)
+        bt = _bucket_table(h).persist()
+        rows = (bt.groupBy("__s").agg(F.sum("__nb").alias("n"), F.max("__nb").alias("mx"))
+                  .limit(MAX_STRATA + 1).collect())
+        if len(rows) > MAX_STRATA:
+            raise ValueError(f"more than {MAX_STRATA} strata in {target}")
+        biggest = max((r["mx"] for r in rows), default=0)
+        if biggest <= max_bucket_rows or digits >= 7:
+            return h, bt, {r["__s"]: int(r["n"]) for r in rows}, digits
+        bt.unpersist()
+        digits += 1
 
 
 def select_by_quota(df: DataFrame, quotas, target: str = TARGET, key: str = KEY,
@@ -100,7 +114,7 @@ def select_by_quota(df: DataFrame, quotas, target: str = TARGET, key: str = KEY,
     """Add boolean ``flag``: row is among the first ``quota`` of its stratum in
     hash order (hash, then key).  ``quotas`` is a dict or a function of the
     stratum counts.  Only the boundary buckets are shuffled."""
-    h, bt, counts = bucket_table(df, target, key, seed, hex_digits)
+    h, bt, counts, hex_digits = bucket_table(df, target, key, seed, hex_digits)
     quotas = quotas(counts) if callable(quotas) else quotas
     buckets = bt.withColumn("__q", _quota_col(quotas))
     buckets = buckets.withColumn(
@@ -136,8 +150,8 @@ def class_rank(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int =
     One shuffle on (stratum, bucket): a stratum holding a third of all rows
     still spreads over 16^hex_digits sort groups.
     """
-    h, buckets, counts = bucket_table(df, target, key, seed, hex_digits)
-    return _rank_with(h, buckets, len(counts), key, out, hex_digits)
+    h, buckets, counts, digits = bucket_table(df, target, key, seed, hex_digits)
+    return _rank_with(h, buckets, len(counts), key, out, digits)
 
 
 # ------------------------------------------------------------------ splits
@@ -202,7 +216,7 @@ def upsample(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 12
     """
     mino = str(minority)
     # one scan: the bucket table gives both the class sizes and the rank offsets
-    h, buckets, counts = bucket_table(df, target, key, seed)
+    h, buckets, counts, digits = bucket_table(df, target, key, seed)
     m = counts.get(mino, 0)
     n = sum(v for s, v in counts.items() if s != mino) if n is None else n
     if m == 0:
@@ -212,7 +226,7 @@ def upsample(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 12
     draws = (spark.range(0, n, 1, parts)
                   .select(F.pmod(hash32(seed, F.col("id")), F.lit(m)).alias("__idx"))
                   .groupBy("__idx").agg(F.count(F.lit(1)).alias("__copies")))
-    ranked = (_rank_with(h.where(F.col("__s") == mino), buckets, len(counts), key, "__r")
+    ranked = (_rank_with(h.where(F.col("__s") == mino), buckets, len(counts), key, "__r", digits)
               .withColumn("__idx", F.col("__r") - 1))
     picked = (ranked.join(draws, "__idx")
                     .withColumn("__rep", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int"))))
