@@ -28,17 +28,17 @@ def score_groups(df: DataFrame, label: str = "label", score: str = "SCORE") -> D
                    F.sum((1 - F.col(label)).cast("long")).alias("neg")))
 
 
-def _totals(groups: DataFrame) -> tuple[int, int]:
-    r = groups.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-    return int(r["p"] or 0), int(r["n"] or 0)
+def _totals(groups: DataFrame) -> tuple[int, int, int]:
+    r = groups.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    return int(r["p"] or 0), int(r["n"] or 0), int(r["k"] or 0)
 
 
 def curve_points(df: DataFrame, label: str = "label", score: str = "SCORE",
                  buckets: int = 1024) -> tuple[DataFrame, int, int]:
     """Per distinct score (descending): tp, fp at that threshold and before it."""
     g = score_groups(df, label, score).persist()
-    p, n = _totals(g)
-    c = running_totals(g, "threshold", ["pos", "neg"], descending=True, buckets=buckets)
+    p, n, k = _totals(g)
+    c = running_totals(g, "threshold", ["pos", "neg"], descending=True, buckets=buckets, n_rows=k)
     c = c.select("threshold", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                  (F.col("cum_pos") - F.col("pos")).alias("tp_prev"),
                  (F.col("cum_neg") - F.col("neg")).alias("fp_prev"))

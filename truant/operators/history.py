@@ -20,7 +20,8 @@ def prior_appointments(df: DataFrame, patient: str = PATIENT, key: str = KEY,
     """Number of the patient's appointments scheduled before this one (ties
     on the scheduling time broken by key)."""
     base = df.withColumn("__t", F.unix_micros(F.col(SCHEDULED).cast("timestamp"))).withColumn("__one", F.lit(1))
-    r = running_totals(base, "__t", ["__one"], keys=[patient], tiebreak=[key], buckets=buckets)
+    r = running_totals(base, "__t", ["__one"], keys=[patient], tiebreak=[key], buckets=buckets,
+                       n_rows=df.select(key).count())
     return r.withColumn(out, F.col("cum___one") - 1).drop("__t", "__one", "cum___one")
 
 
@@ -44,7 +45,7 @@ def prior_misses(df: DataFrame, patient: str = PATIENT, key: str = KEY, target:
                         F.lit(0).cast("long").alias("__miss"), F.lit(0).cast("long").alias("__known"))
     ev = outcomes.unionByName(queries)
     r = running_totals(ev, "__t", ["__miss", "__known"], keys=[patient], tiebreak=["__kind", key],
-                       buckets=buckets)
+                       buckets=buckets, n_rows=2 * df.select(key).count())
     q = r.where(F.col("__kind") == 0).select(key, F.col("cum___miss").alias("__m"), F.col("cum___known").alias("__k"))
     # the appointment itself counts only if its own day precedes its own
     # scheduling time (a negative wait); take it back out

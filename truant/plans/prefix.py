@@ -17,6 +17,17 @@ from pyspark.sql import functions as F
 from truant.plans.joins import broadcast_if_small
 
 DEFAULT_BUCKETS = 1024
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 100_000
+
+
+def bucket_count(n_rows: int | None, buckets: int = DEFAULT_BUCKETS,
+                 rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> int:
+    """Enough range buckets that one holds about ``rows_per_bucket`` rows
+    (a sort group per task stays bounded as the data grows)."""
+    if not n_rows:
+        return buckets
+    return int(min(max_buckets, max(buckets, -(-int(n_rows) // rows_per_bucket))))
 
 
 def range_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS, out: str = "__rb",
@@ -37,15 +48,16 @@ def range_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS, out: s
 
 def running_totals(df: DataFrame, order_col: str, values: list[str], keys: list[str] | None = None,
                    descending: bool = False, tiebreak: list[str] | None = None,
-                   buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_") -> DataFrame:
+                   buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_", n_rows: int | None = None) -> DataFrame:
     """Inclusive running sums of ``values`` in ``order_col`` order (within
     ``keys``), as ``cum_<value>`` columns.
 
     ``tiebreak`` orders rows with equal ``order_col``; without it, tied rows
-    get the running sum through all of the tie (a RANGE frame).
+    get the running sum through all of the tie (a RANGE frame).  With
+    ``n_rows`` the bucket count grows with the data (``bucket_count``).
     """
     keys = keys or []
-    b = range_bucket(df, order_col, buckets, "__rb", descending)
+    b = range_bucket(df, order_col, bucket_count(n_rows, buckets), "__rb", descending)
     totals = b.groupBy(*keys, "__rb").agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
     wb = Window.partitionBy(*keys).orderBy("__rb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "__rb", *[F.coalesce(F.sum(f"__t_{v}").over(wb), F.lit(0))
