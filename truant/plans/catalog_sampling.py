@@ -119,3 +119,58 @@ def q_resample_guard(spark, sf):
             ok = 0
         rows.append((int(s_), n, wanted, ok))
     return spark.createDataFrame(rows, "NO_SHOW int, available long, wanted long, without_replacement_ok int")
+
+
+# ------------------------------------------------------------------ SMOTE, exact oracle
+# Raw features of the train split: integer-valued, so the vector id
+# md5(to_json(v)) has the same text in Spark and DuckDB ('[23.0,1.0,...]').
+_RAW = ["AGE", "DAYS_TILL_APPOINTMENT", "SCHOLARSHIP", "HYPERTENSION", "DIABETES", "ALCOHOLISM", "HANDICAP",
+        "SMS_RECEIVED"]
+
+
+def _smote_raw_sql(k: int = 5, seed: int = 42) -> str:
+    """Brute-force DuckDB text of ``smote`` (all minority pairs; fine at test scale)."""
+    from truant.functions.hashing import sql_hash_unit
+    from truant.plans.oracle_sql import DAYS_TILL_SQL
+    raw = [f"CAST({DAYS_TILL_SQL if c == 'DAYS_TILL_APPOINTMENT' else c} AS DOUBLE) AS {c}" for c in _RAW]
+    vid = "md5('[' || concat_ws(',', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in _RAW) + ") || ']')"
+    dist = "sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _RAW) + ")"
+    ctes = dict(
+        p=PREPROCESSED_SQL, **split_ctes("p", "sp"),
+        train="SELECT * EXCLUDE (split) FROM sp WHERE split = 'train'",
+        r=f"SELECT APPOINTMENTID, {', '.join(raw)}, NO_SHOW FROM train",
+        mr=f"SELECT *, {vid} AS vid FROM r WHERE NO_SHOW = 1",
+        dv="SELECT vid, " + ", ".join(f"any_value({c}) AS {c}" for c in _RAW) + ", COUNT(*) AS c FROM mr GROUP BY vid",
+        pairs=(f"SELECT a.vid AS q, b.vid AS nb, {dist} AS dist, b.c AS w FROM dv a JOIN dv b ON a.vid <> b.vid"
+               " UNION ALL SELECT vid, vid, 0.0, c - 1 FROM dv WHERE c > 1"),
+        rk=("SELECT *, CAST(SUM(w) OVER (PARTITION BY q ORDER BY dist, nb ROWS BETWEEN UNBOUNDED PRECEDING"
+            " AND CURRENT ROW) AS BIGINT) AS cw FROM pairs"),
+        slots=f"SELECT q, nb, UNNEST(range(cw - w, LEAST(cw, {k}))) AS slot FROM rk WHERE cw - w < {k}",
+        cls="SELECT NO_SHOW AS s, COUNT(*) AS n FROM r GROUP BY 1",
+        cnt=("SELECT (SELECT n FROM cls WHERE s = 1) AS m,"
+             " (SELECT MAX(n) FROM cls) - (SELECT n FROM cls WHERE s = 1) AS n"),
+        dr=(f"SELECT {sql_hash32(seed, 'j')} % m + 1 AS idx, {sql_hash32(seed + 1, 'j')} % {k} AS slot,"
+            f" {sql_hash_unit(seed + 2, 'j')} AS gap FROM (SELECT m, UNNEST(range(0, n)) AS j FROM cnt)"),
+        rnk=f"SELECT vid, {', '.join(_RAW)}, row_number() OVER (ORDER BY {sql_hash32(seed, 'APPOINTMENTID')},"
+            " APPOINTMENTID) AS idx FROM mr",
+    )
+    syn = ("SELECT CAST(NULL AS BIGINT) AS APPOINTMENTID, "
+           + ", ".join(f"ROUND(x.{c} + d.gap * (v.{c} - x.{c}), 9) AS {c}" for c in _RAW)
+           + ", 1 AS NO_SHOW, 1 AS synthetic FROM dr d JOIN rnk x ON d.idx = x.idx"
+           " JOIN slots s ON s.q = x.vid AND s.slot = d.slot JOIN dv v ON v.vid = s.nb")
+    base = f"SELECT APPOINTMENTID, {', '.join(f'ROUND({c}, 9) AS {c}' for c in _RAW)}, NO_SHOW, 0 AS synthetic FROM r"
+    return with_ctes(f"{base} UNION ALL {syn}", **ctes)
+
+
+@query("smote_raw", _smote_raw_sql())
+def q_smote_raw(spark, sf):
+    """SMOTE (exact 5-NN, seed 42) on the raw integer features of the train split."""
+    from truant.functions.dates import days_till_appointment
+    from truant.operators.smote import smote
+    from truant.session import cut_lineage
+    s = cut_lineage(sampling.stratified_split(_pre(spark, sf)))
+    train = s.where(F.col("split") == "train").select(
+        "APPOINTMENTID", *[days_till_appointment().alias(c) if c == "DAYS_TILL_APPOINTMENT" else F.col(c)
+                           for c in _RAW], "NO_SHOW")
+    out = smote(train, _RAW, "NO_SHOW", "APPOINTMENTID", 1, 5, 42)
+    return out.select("APPOINTMENTID", *[F.round(c, 9).alias(c) for c in _RAW], "NO_SHOW", "synthetic")
