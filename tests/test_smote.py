@@ -46,3 +46,24 @@ def test_smote_balances_and_interpolates(spark):
         s = np.array([r.a, r.b])
         # inside the bounding box of the minority class, and on some segment between two minority rows
         assert (s >= mino.min(0) - 1e-9).all() and (s <= mino.max(0) + 1e-9).all()
+
+
+def test_hot_vector_salting_keeps_the_result(spark, monkeypatch):
+    """A vector holding a third of the minority rows: spreading its draws over
+    many salts gives the same synthetic rows as no salting."""
+    import truant.operators.smote as sm
+    rows = [(i, 1.0, 2.0, 1) for i in range(60)]                      # hot duplicate vector
+    rows += [(100 + i, float(i % 7), float(i % 5), 1) for i in range(120)]
+    rows += [(1000 + i, float(i % 11), float(i % 13), 0) for i in range(600)]
+    df = spark.createDataFrame(rows, "APPOINTMENTID long, a double, b double, NO_SHOW int")
+
+    def run():
+        out = smote(df, ["a", "b"], k=5, seed=11, rows_per_bucket=16).where("synthetic = 1")
+        return sorted((round(r.a, 9), round(r.b, 9)) for r in out.collect())
+
+    monkeypatch.setattr(sm, "HOT_SHARE", 0)       # nothing is hot: one salt everywhere
+    plain = run()
+    monkeypatch.setattr(sm, "HOT_SHARE", 10)
+    monkeypatch.setattr(sm, "SALT_ROWS", 7)       # the hot vector's ~140 draws over ~20 salts
+    salted = run()
+    assert len(plain) == 420 and salted == plain

@@ -19,6 +19,9 @@ Exact k-nearest neighbours without a cross join:
 Synthetic rows are drawn by hash: draw j takes minority row ``hash(seed, j)
 mod m``, neighbour slot ``hash(seed + 1, j) mod k`` and gap
 ``hash_unit(seed + 2, j)``, so the result does not depend on partitioning.
+A vector holding a large share of the minority rows gets a matching share
+of the draws; those draws are spread over salted copies of its k slot rows
+(one broadcast of at most ``HOT_SHARE`` hot vectors), never one task.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ from truant.plans.prefix import range_bucket
 from truant.schema import KEY, TARGET
 
 CAND_SCHEMA = "q string, nb string, dist double, w long"
+HOT_SHARE = 1000      # a vector above 1/HOT_SHARE of the minority rows is salted
+SALT_ROWS = 1_000_000  # expected draws per salt of a hot vector
 _DIAG: dict | None = None  # set to a dict to record the slab replication (diagnostics only)
 
 
@@ -179,11 +184,26 @@ def smote(df: DataFrame, features: list[str], target: str = TARGET, key: str = K
     draws = spark.range(0, n, 1, parts).select(
         (F.pmod(hash32(seed, F.col("id")), F.lit(m)) + 1).alias("__idx"),
         F.pmod(hash32(seed + 1, F.col("id")), F.lit(kk)).alias("slot"),
-        hash_unit(seed + 2, F.col("id")).alias("gap"))
-    picked = (draws.join(ranked, "__idx")
-                   .join(slots, (F.col("vid") == F.col("__q")) & (F.col("slot") == F.col("__slot"))))
+        hash_unit(seed + 2, F.col("id")).alias("gap"),
+        hash32(seed + 3, F.col("id")).alias("__h"))
+    # neighbour vector per (vector, slot): both sides hold at most k rows per key
     nbv = distinct.select(F.col("vid").alias("nb"), F.col("v").alias("nv"))
-    syn = picked.join(nbv, "nb").select(
+    slot_vec = slots.join(nbv, "nb").select("__q", "__slot", "nv")
+    # A vector repeated c times receives about n*c/m draws.  Vectors above
+    # m/HOT_SHARE rows (at most HOT_SHARE of them, so a bounded broadcast)
+    # spread their draws over salts, and only their k slot rows are copied.
+    hot = distinct.where(F.col("c") * HOT_SHARE > m).select(
+        F.col("vid").alias("__q"),
+        F.greatest(F.lit(1), F.ceil(F.col("c") * F.lit(n / m) / F.lit(SALT_ROWS))).cast("long").alias("__ns"))
+    hot = F.broadcast(spark.createDataFrame(hot.limit(HOT_SHARE + 1).collect(), hot.schema))
+    ns = F.coalesce(F.col("__ns"), F.lit(1).cast("long"))
+    slot_vec = (slot_vec.join(hot, "__q", "left")
+                        .withColumn("__vsalt", F.explode(F.sequence(F.lit(0).cast("long"), ns - 1))).drop("__ns"))
+    picked = (draws.join(ranked, "__idx")
+                   .join(hot.withColumnRenamed("__q", "vid"), "vid", "left")
+                   .withColumn("__salt", F.pmod(F.col("__h"), ns)))
+    syn = picked.join(slot_vec, (F.col("vid") == F.col("__q")) & (F.col("slot") == F.col("__slot"))
+                      & (F.col("__salt") == F.col("__vsalt"))).select(
         F.zip_with("v", "nv", lambda a, b: a + F.col("gap") * (b - a)).alias("x"))
     syn = syn.select(F.lit(None).cast(df.schema[key].dataType).alias(key),
                      *[F.col("x")[i].alias(c) for i, c in enumerate(features)],
