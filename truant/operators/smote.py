@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from truant.functions.hashing import hash32, hash_unit
 from truant.operators.sampling import class_rank, stratum_counts
 from truant.plans.joins import broadcast_if_small
-from truant.plans.prefix import range_bucket
+from truant.plans.prefix import bucketize, range_splits
 from truant.schema import KEY, TARGET
 
 CAND_SCHEMA = "q string, nb string, dist double, w long"
@@ -102,7 +102,8 @@ def knn_distinct(vectors: DataFrame, k: int = 5, rows_per_bucket: int = 512) ->
                        F.lit(0.0), lambda acc, x: acc + x)
     pts = vectors.withColumn("p", proj)
     nb = max(1, n // rows_per_bucket)
-    pts = range_bucket(pts, "p", nb, "b").persist()
+    splits = range_splits(pts, "p", nb)
+    pts = bucketize(pts, "p", splits, "b").persist()
     bounds = pts.groupBy("b").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).persist()
 
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -119,12 +120,17 @@ def knn_distinct(vectors: DataFrame, k: int = 5, rows_per_bucket: int = 512) ->
             .withColumn("dk", F.when(F.col("got") >= k, F.col("dk")).otherwise(F.lit(float("inf")))))
     q = pts.join(dk, pts.vid == dk.q, "left").select(
         "vid", "v", "c", "p", "b", F.coalesce("dk", F.lit(float("inf"))).alias("dk"))
+    # Buckets whose projection range meets the slab, other than the own
+    # bucket.  Buckets are split ranges, so the candidates are the ids from
+    # bucket(p - dk) to bucket(p + dk): an equi-join on the bucket id, then
+    # the exact test on the bucket's data range.
+    q = bucketize(bucketize(q, F.col("p") - F.col("dk"), splits, "__blo"), F.col("p") + F.col("dk"), splits, "__bhi")
+    cand_b = q.select("vid", "v", "c", "p", "b", "dk",
+                      F.explode(F.sequence("__blo", "__bhi")).alias("tb")).where(F.col("tb") != F.col("b"))
     bt = broadcast_if_small(bounds, nb + 1)
-    # buckets whose projection range meets the slab, other than the own bucket
-    copies = (q.join(bt.withColumnRenamed("b", "tb"),
-                     (F.col("lo") <= F.col("p") + F.col("dk")) & (F.col("hi") >= F.col("p") - F.col("dk"))
-                     & (F.col("tb") != F.col("b")), "inner")
-               .select("vid", "v", "c", F.col("tb").alias("b")))
+    copies = (cand_b.join(bt.withColumnRenamed("b", "tb"), "tb")
+                    .where((F.col("lo") <= F.col("p") + F.col("dk")) & (F.col("hi") >= F.col("p") - F.col("dk")))
+                    .select("vid", "v", "c", F.col("tb").alias("b")))
 
     if _DIAG is not None:
         _DIAG["distinct"] = n

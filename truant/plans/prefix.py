@@ -30,22 +30,31 @@ def bucket_count(n_rows: int | None, buckets: int = DEFAULT_BUCKETS,
     return int(min(max_buckets, max(buckets, -(-int(n_rows) // rows_per_bucket))))
 
 
-def range_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS, out: str = "__rb",
-                 descending: bool = False) -> DataFrame:
-    """Add an integer bucket id, monotone in ``col`` (reversed if descending)."""
+def range_splits(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS) -> list[float]:
+    """Bucketizer splits at approximate quantiles of ``col`` (open ends)."""
     probs = [i / buckets for i in range(1, buckets)]
     qs = df.approxQuantile(col, probs, 1.0 / (4 * buckets)) if buckets > 1 else []
     bounds = sorted({float(q) for q in qs if q is not None})
-    splits = [float("-inf")] + bounds + [float("inf")]
+    return [float("-inf")] + bounds + [float("inf")]
+
+
+def bucketize(df: DataFrame, col, splits: list[float], out: str, descending: bool = False) -> DataFrame:
+    """Bucket id of ``col`` (a name or a column) for the given splits."""
     if len(splits) < 3:  # one bucket: nothing to look up
         return df.withColumn(out, F.lit(0))
-    tmp = df.withColumn("__rbx", F.col(col).cast("double"))
+    tmp = df.withColumn("__rbx", (F.col(col) if isinstance(col, str) else col).cast("double"))
     b = Bucketizer(splits=splits, inputCol="__rbx", outputCol="__rbd", handleInvalid="keep").transform(tmp)
     n = len(splits) - 1
     bid = (F.lit(n - 1) - F.col("__rbd")) if descending else F.col("__rbd")
     return b.withColumn(out, bid.cast("int")).drop("__rbx", "__rbd")
 
 
+def range_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS, out: str = "__rb",
+                 descending: bool = False) -> DataFrame:
+    """Add an integer bucket id, monotone in ``col`` (reversed if descending)."""
+    return bucketize(df, col, range_splits(df, col, buckets), out, descending)
+
+
 def running_totals(df: DataFrame, order_col: str, values: list[str], keys: list[str] | None = None,
                    descending: bool = False, tiebreak: list[str] | None = None,
                    buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_", n_rows: int | None = None) -> DataFrame:
