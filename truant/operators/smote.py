@@ -103,7 +103,10 @@ def knn_distinct(vectors: DataFrame, k: int = 5, rows_per_bucket: int = 512) ->
     pts = vectors.withColumn("p", proj)
     nb = max(1, n // rows_per_bucket)
     splits = range_splits(pts, "p", nb)
-    pts = bucketize(pts, "p", splits, "b").persist()
+    # The k-NN stages are heavy in compute and light in bytes: an explicit
+    # partition count by bucket (not coalesced by AQE) keeps them parallel.
+    parts = max(1, min(nb, 4 * spark.sparkContext.defaultParallelism))
+    pts = bucketize(pts, "p", splits, "b").repartition(parts, "b").persist()
     bounds = pts.groupBy("b").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).persist()
 
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +149,7 @@ def knn_distinct(vectors: DataFrame, k: int = 5, rows_per_bucket: int = 512) ->
 
     points = pts.select(F.col("vid").alias("pid"), F.col("v").alias("pv"), F.col("c").alias("pc"),
                         F.col("b").alias("pb"))
-    c2 = copies.groupBy("b").cogroup(points.groupBy("pb")).applyInPandas(remote, CAND_SCHEMA)
+    c2 = copies.repartition(parts, "b").groupBy("b").cogroup(points.groupBy("pb")).applyInPandas(remote, CAND_SCHEMA)
     cand = c1.unionByName(c2)
     w2 = Window.partitionBy("q").orderBy("dist", "nb")
     ranked = cand.withColumn("cw", F.sum("w").over(w2.rowsBetween(Window.unboundedPreceding, 0)))
