@@ -67,3 +67,23 @@ def test_hot_vector_salting_keeps_the_result(spark, monkeypatch):
     monkeypatch.setattr(sm, "SALT_ROWS", 7)       # the hot vector's ~140 draws over ~20 salts
     salted = run()
     assert len(plain) == 420 and salted == plain
+
+
+def test_knn_exact_when_buckets_are_shorter_than_k(spark):
+    """Buckets of ~3 distinct vectors and k=5: every bound D_k is infinite, so
+    the candidate bucket range (p -/+ inf) must span all buckets."""
+    k = 5
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=2).round(3).tolist()) for i in range(60)]
+    distinct = (spark.createDataFrame(rows, "id long, v array<double>").withColumn("vid", F.md5(F.to_json("v")))
+                .groupBy("vid").agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("c")))
+    got = {}
+    for r in knn_distinct(distinct, k, rows_per_bucket=3).collect():
+        got.setdefault(r.q, []).extend([round(r.dist, 9)] * r.w)
+    pts = {r.vid: (np.array(r.v), r.c) for r in distinct.collect()}
+    for q, (qv, qc) in pts.items():
+        dists = [0.0] * (qc - 1)
+        for o, (ov, oc) in pts.items():
+            if o != q:
+                dists += [float(np.sqrt(((ov - qv) ** 2).sum()))] * oc
+        assert np.allclose(sorted(got[q]), sorted(dists)[:k]), q
