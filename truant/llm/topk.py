@@ -156,6 +156,7 @@ def search(rows: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id",
     queries = vectors.filter(is_query)
     n, width = queries.count(), groups.agg(F.max(F.size("v"))).first()[0] or 0
     blocks = -(-n // block)
+    slices = max(1, min(slices, width))
     cuts = [width * i // slices for i in range(slices + 1)]
     parts = F.array(*[F.struct(F.lit(s).alias("slice"), F.slice("v", cuts[s] + 1, max(1, cuts[s + 1] - cuts[s])).alias("part")) for s in range(slices)])
     lists = written(groups.select("grp", F.inline(parts)), "topk-slices")
