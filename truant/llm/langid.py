@@ -71,8 +71,9 @@ def gram_hashes(c: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _positions(h: np.ndarray, size: int) -> Iterator[np.ndarray]:
-    for i in range(K):
-        x = (h ^ np.uint64(i + 1)) * np.uint64(0xFF51AFD7ED558CCD)
+    for i in range(K):  # another odd factor each time, so that the positions are independent
+        x = h * np.uint64((0xFF51AFD7ED558CCD + 0x2545F4914F6CDD1E * i) % (1 << 64))
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xC4CEB9FE1A85EC53)
         yield (x >> np.uint64(20)) & np.uint64(size - 1)
 
 
