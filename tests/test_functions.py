@@ -48,5 +48,5 @@ def test_sized_conf_scales_with_input():
     from truant.session import sized_conf
     small, big = sized_conf(10 ** 9), sized_conf(100 * 10 ** 12)
     assert int(small["spark.sql.shuffle.partitions"]) == 200
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10 ** 12 // (256 << 20))
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)

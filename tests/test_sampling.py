@@ -71,12 +71,46 @@ def test_class_rank_is_a_permutation_with_hot_class(spark):
         assert a.lo == 1 and a.hi == a.n == a.d
 
 
-def test_bucket_granularity_refines_for_big_buckets(spark):
-    # with a tiny row bound per bucket the table is recounted finer; ranks stay the same
+def test_finer_ranges_do_not_change_ranks(spark):
     df = spark.range(3000).selectExpr("id AS APPOINTMENTID", "CAST(id % 3 = 0 AS INT) AS NO_SHOW")
-    _, bt, counts, digits = sampling.bucket_table(df, "NO_SHOW", "APPOINTMENTID", 5, 1, max_bucket_rows=50)
-    assert digits > 1 and sum(counts.values()) == 3000
-    assert bt.agg(F.max("__nb")).first()[0] <= 50
-    a = {r.APPOINTMENTID: r.rk for r in sampling.class_rank(df, "NO_SHOW", "APPOINTMENTID", 5, "rk", 1).collect()}
-    b = {r.APPOINTMENTID: r.rk for r in sampling.class_rank(df, "NO_SHOW", "APPOINTMENTID", 5, "rk", 4).collect()}
+    _, counts, bits = sampling._counted(df, "NO_SHOW", "APPOINTMENTID", 5, rows_per_range=2)
+    assert bits > sampling.MIN_RANGE_BITS and sum(counts.values()) == 3000
+    a = {r.APPOINTMENTID: r.rk for r in sampling.class_rank(df, "NO_SHOW", "APPOINTMENTID", 5, "rk", 2).collect()}
+    b = {r.APPOINTMENTID: r.rk for r in sampling.class_rank(df, "NO_SHOW", "APPOINTMENTID", 5, "rk").collect()}
     assert a == b
+
+
+@pytest.mark.parametrize("rows_per_range", [3, 250_000])
+def test_null_keys_are_drawn_like_others(spark, rows_per_range):
+    df = spark.range(1000).selectExpr("CASE WHEN id % 10 <> 0 THEN id END AS APPOINTMENTID", "CAST(id % 4 = 0 AS INT) AS NO_SHOW", "id AS other")
+    s = sampling.select_by_quota(df, {"0": 150, "1": 50}, "NO_SHOW", rows_per_range=rows_per_range)
+    got = {(r[0], r[1]): r[2] for r in s.groupBy("NO_SHOW", "__in").count().collect()}
+    assert got == {(0, True): 150, (0, False): 600, (1, True): 50, (1, False): 200}
+    assert 0 < s.where("APPOINTMENTID IS NULL AND __in").count() < 100
+    assert sampling.downsample(df, "NO_SHOW", n=300).where("NO_SHOW = 0").count() == 300
+    folds = sampling.stratified_kfold(df, 5).groupBy("fold").count().collect()
+    assert sorted(r["count"] for r in folds) == [200] * 5
+
+
+def test_repeated_keys_stay_on_one_side(spark):
+    df = spark.range(400).selectExpr("id % 40 AS APPOINTMENTID", "0 AS NO_SHOW")
+    s = sampling.stratified_split(df, "NO_SHOW", 0.25)
+    assert s.count() == 400 and s.groupBy("APPOINTMENTID").agg(F.countDistinct("split").alias("k")).where("k > 1").count() == 0
+
+
+def test_many_strata(spark):
+    df = spark.range(24_000).selectExpr("id AS APPOINTMENTID", "id % 12000 AS NO_SHOW")
+    s = sampling.stratified_split(df, "NO_SHOW", 0.5)
+    assert s.where("split = 'test'").count() == 12_000 == s.where("split = 'test'").select("NO_SHOW").distinct().count()
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "APPOINTMENTID long, NO_SHOW int")
+    assert sampling.stratified_split(df).count() == sampling.stratified_kfold(df).count() == 0
+
+
+def test_draws_reach_rows_beyond_32_bits(spark):
+    from truant.functions.hashing import hash60
+    m = 10 << 32
+    top = spark.range(2000).select(F.max(F.pmod(hash60(1, F.col("id")), F.lit(m)))).first()[0]
+    assert m * 0.99 < top < m

@@ -1,14 +1,21 @@
 """Exact, reproducible sampling: stratified split, k folds, up/down-sampling.
 
 Randomness is a hash of (seed, key) so results do not depend on partitioning
-and are reproducible in SQL.  Ranking inside a class never funnels a class
-into one task: rows are bucketed by the leading hex digits of the same hash
-(a range partition of the sort key), the per-bucket counts (tiny) give each
-bucket's starting offset, and only a bucket's own rows are sorted together.
-
-For a plain split even that shuffle is avoided: buckets entirely below or
-above a class quota are decided by the broadcast bucket table alone; only
-the one boundary bucket per class is ranked.
+and are reproducible in SQL.
+
+A draw without replacement (split, down-sampling) takes the first ``quota``
+rows of each stratum in hash order.  It only needs one border per stratum, the
+pair (hash, key) of the last row taken: counts per range of hash values say in
+which range the border lies, that range alone is sorted, and the draw itself
+is then a projection ``(hash, key) <= border`` of one scan, without a shuffle
+of the rows.
+
+Full ranks (folds, up-sampling) shuffle once: rows are grouped by ranges of
+hash values, the counts per range give each range's offset, and only a range's
+own rows are sorted together.
+
+A null key is replaced by a hash of the whole row, so such rows are drawn like
+others; rows that repeat a key share their place and stay on one side.
 """
 
 from __future__ import annotations
@@ -19,13 +26,14 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from truant.functions.hashing import hash32
+from truant.functions.hashing import HASH_BITS, hash60
 from truant.plans.joins import broadcast_if_small
 from truant.schema import KEY, TARGET
 
-HEX_DIGITS = 4            # at least 65,536 range buckets per stratum
-MAX_BUCKET_ROWS = 1_000_000  # finer buckets beyond this many rows in one
-MAX_STRATA = 10_000
+ROWS_PER_RANGE = 250_000  # rows sorted together, on average
+MIN_RANGE_BITS = 8
+#: One count per stratum is held on the driver (some 100 bytes each).
+MAX_STRATA = 1_000_000
 _NULL = "\u0000null"
 
 
@@ -33,24 +41,36 @@ def _stratum(target: str):
     return F.coalesce(F.col(target).cast("string"), F.lit(_NULL))
 
 
-def _prepare(df: DataFrame, target: str, key: str, seed: int, hex_digits: int) -> DataFrame:
-    return (df.withColumn("__s", _stratum(target))
-              .withColumn("__h", hash32(seed, key))
-              .withColumn("__b", F.shiftright(F.col("__h"), 32 - 4 * hex_digits)))
-
+def _counted(df: DataFrame, target: str, key: str, seed: int,
+             rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, dict[str, int], int]:
+    """(rows with stratum, key text and hash, rows per stratum, bits of a range).
 
-def _bucket_table(h: DataFrame) -> DataFrame:
-    """(stratum, bucket) -> rows, start offset.  At most strata x 16^hex rows;
-    the running sum is over one stratum's buckets, never over data rows."""
+    One count decides how fine the ranges are, so a range holds about
+    ``rows_per_range`` rows at any size of the input.
+    """
+    rows = (df.groupBy(_stratum(target).alias("s")).agg(F.count(F.lit(1)).alias("n"),
+                                                        F.count_if(F.col(key).isNull()).alias("nulls"))
+              .limit(MAX_STRATA + 1).collect())
+    if len(rows) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} strata in {target}")
+    text = F.col(key).cast("string")
+    if any(r["nulls"] for r in rows):  # only then are all columns read
+        text = F.coalesce(text, F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string")))
+    counts = {r["s"]: r["n"] for r in rows}
+    bits = math.ceil(math.log2(max(1, sum(counts.values()) / rows_per_range)))
+    bits = min(HASH_BITS, max(MIN_RANGE_BITS, bits))
+    hashed = df.withColumns({"__s": _stratum(target), "__k": text}).withColumn("__h", hash60(seed, "__k"))
+    return hashed.withColumn("__b", F.shiftright(F.col("__h"), HASH_BITS - bits)), counts, bits
+
+
+def _ranges(h: DataFrame) -> DataFrame:
+    """(stratum, range) -> rows, start offset.  The running sum is over one
+    stratum's ranges, never over data rows."""
     stats = h.groupBy("__s", "__b").agg(F.count(F.lit(1)).alias("__nb"))
     w = Window.partitionBy("__s").orderBy("__b")
     return stats.withColumn("__start", F.sum("__nb").over(w) - F.col("__nb"))
 
 
-def _bucket_bound(n_strata: int, hex_digits: int) -> int:
-    return n_strata * 16 ** hex_digits
-
-
 def stratum_counts(df: DataFrame, target: str = TARGET) -> dict[str, int]:
     rows = (df.groupBy(_stratum(target).alias("s")).agg(F.count(F.lit(1)).alias("n"))
               .limit(MAX_STRATA + 1).collect())
@@ -77,81 +97,46 @@ def allocate(counts: dict[str, int], size: float) -> dict[str, int]:
     return base
 
 
-def _quota_col(quotas: dict[str, int]):
-    expr = None
-    for s, q in quotas.items():
-        expr = F.when(F.col("__s") == s, F.lit(q)) if expr is None else expr.when(F.col("__s") == s, F.lit(q))
-    return (expr if expr is not None else F.lit(0)).otherwise(F.lit(0)).cast("long")
-
-
-def bucket_table(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 42,
-                 hex_digits: int = HEX_DIGITS, max_bucket_rows: int = MAX_BUCKET_ROWS
-                 ) -> tuple[DataFrame, DataFrame, dict[str, int], int]:
-    """(hashed rows, persisted bucket table, rows per stratum, hex digits).
-
-    The stratum counts are summed from the bucket table (one scan).  If the
-    largest bucket exceeds ``max_bucket_rows`` the table is recounted one hex
-    digit finer (16x more buckets), so a sort group stays bounded however
-    large the input; the rank order, and so the result, does not change.
-    """
-    digits = hex_digits
-    while True:
-        h = _prepare(df, target, key, seed, digits)
-        bt = _bucket_table(h).persist()
-        rows = (bt.groupBy("__s").agg(F.sum("__nb").alias("n"), F.max("__nb").alias("mx"))
-                  .limit(MAX_STRATA + 1).collect())
-        if len(rows) > MAX_STRATA:
-            raise ValueError(f"more than {MAX_STRATA} strata in {target}")
-        biggest = max((r["mx"] for r in rows), default=0)
-        if biggest <= max_bucket_rows or digits >= 7:
-            return h, bt, {r["__s"]: int(r["n"]) for r in rows}, digits
-        bt.unpersist()
-        digits += 1
+def _borders(h: DataFrame, quotas: dict[str, int]) -> list[tuple[str, int, str]]:
+    """(stratum, hash, key text) of the last row taken in each stratum that is drawn from."""
+    spark = h.sparkSession
+    wanted = [(s, int(q)) for s, q in quotas.items() if q > 0]
+    if not wanted:
+        return []
+    q = broadcast_if_small(spark.createDataFrame(wanted, "__s string, __q long"), len(wanted))
+    at = _ranges(h).join(q, "__s").where("__start < __q and __q <= __start + __nb")
+    at = at.select("__s", "__b", (F.col("__q") - F.col("__start")).alias("__nth")).collect()  # one a stratum
+    at = broadcast_if_small(spark.createDataFrame(at, "__s string, __b long, __nth long"), len(at))
+    w = Window.partitionBy("__s").orderBy("__h", "__k")
+    last = h.select("__s", "__b", "__h", "__k").join(at, ["__s", "__b"]).withColumn("__r", F.row_number().over(w))
+    return [(r["__s"], r["__h"], r["__k"]) for r in last.where("__r = __nth").collect()]
 
 
 def select_by_quota(df: DataFrame, quotas, target: str = TARGET, key: str = KEY,
-                    seed: int = 42, flag: str = "__in", hex_digits: int = HEX_DIGITS) -> DataFrame:
+                    seed: int = 42, flag: str = "__in", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add boolean ``flag``: row is among the first ``quota`` of its stratum in
     hash order (hash, then key).  ``quotas`` is a dict or a function of the
-    stratum counts.  Only the boundary buckets are shuffled."""
-    h, bt, counts, hex_digits = bucket_table(df, target, key, seed, hex_digits)
+    stratum counts.  Rows that repeat the key of the last row taken are taken too."""
+    h, counts, _ = _counted(df, target, key, seed, rows_per_range)
     quotas = quotas(counts) if callable(quotas) else quotas
-    buckets = bt.withColumn("__q", _quota_col(quotas))
-    buckets = buckets.withColumn(
-        "__state",
-        F.when(F.col("__start") + F.col("__nb") <= F.col("__q"), F.lit(1))
-         .when(F.col("__start") >= F.col("__q"), F.lit(0))
-         .otherwise(F.lit(2)))
-    bt = broadcast_if_small(buckets.select("__s", "__b", "__start", "__q", "__state"),
-                            _bucket_bound(len(counts), hex_digits))
-    tagged = h.join(bt, ["__s", "__b"], "left")
-    decided = tagged.where(F.col("__state") != 2).withColumn(flag, F.col("__state") == 1)
-    w = Window.partitionBy("__s", "__b").orderBy("__h", key)
-    edge = (tagged.where(F.col("__state") == 2)
-                  .withColumn(flag, (F.col("__start") + F.row_number().over(w)) <= F.col("__q")))
-    out = decided.unionByName(edge)
-    return out.drop("__s", "__h", "__b", "__start", "__q", "__state")
-
-
-def _rank_with(h: DataFrame, buckets: DataFrame, n_strata: int, key: str, out: str,
-               hex_digits: int = HEX_DIGITS) -> DataFrame:
-    """Rank rows of the hashed frame ``h`` using the bucket offsets."""
-    bt = broadcast_if_small(buckets.select("__s", "__b", "__start"), _bucket_bound(n_strata, hex_digits))
-    w = Window.partitionBy("__s", "__b").orderBy("__h", key)
-    j = h.join(bt, ["__s", "__b"], "left")
-    return (j.withColumn(out, F.col("__start") + F.row_number().over(w))
-             .drop("__s", "__h", "__b", "__start"))
+    borders = _borders(h, {s: q for s, q in quotas.items() if s in counts})
+    lut = broadcast_if_small(df.sparkSession.createDataFrame(borders, "__s string, __bh long, __bk string"), len(borders))
+    taken = (F.col("__h") < F.col("__bh")) | ((F.col("__h") == F.col("__bh")) & (F.col("__k") <= F.col("__bk")))
+    return h.join(lut, "__s", "left").select(*df.columns, F.coalesce(taken, F.lit(False)).alias(flag))
 
 
 def class_rank(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 42,
-               out: str = "class_rank", hex_digits: int = HEX_DIGITS) -> DataFrame:
+               out: str = "class_rank", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """1-based rank of each row inside its stratum in hash order.
 
-    One shuffle on (stratum, bucket): a stratum holding a third of all rows
-    still spreads over 16^hex_digits sort groups.
+    One shuffle of the rows on (stratum, range), which the join to the offsets
+    and the window share; a stratum holding a third of all rows is spread over
+    its ranges.
     """
-    h, buckets, counts, digits = bucket_table(df, target, key, seed, hex_digits)
-    return _rank_with(h, buckets, len(counts), key, out, digits)
+    h, _, _ = _counted(df, target, key, seed, rows_per_range)
+    w = Window.partitionBy("__s", "__b").orderBy("__h", "__k")
+    ranked = h.join(_ranges(h).drop("__nb"), ["__s", "__b"])
+    return ranked.select(*df.columns, (F.col("__start") + F.row_number().over(w)).alias(out))
 
 
 # ------------------------------------------------------------------ splits
@@ -178,12 +163,11 @@ def stratified_kfold(df: DataFrame, k: int = 5, target: str = TARGET, seed: int
 
 
 def split_check(df: DataFrame, split: str = "split", target: str = TARGET) -> DataFrame:
-    """Rows and class share per split (the before/after check)."""
+    """Rows and class share per split (the before/after check); the totals
+    are sums over the grouped rows."""
     c = df.groupBy(split, target).agg(F.count(F.lit(1)).alias("count"))
-    tot = df.groupBy(split).agg(F.count(F.lit(1)).alias("__t"))
-    return (c.join(tot, split)
-             .withColumn("percentage", F.round(F.col("count") / F.col("__t") * 100, 2))
-             .drop("__t"))
+    total = F.sum("count").over(Window.partitionBy(split))
+    return c.withColumn("percentage", F.round(F.col("count") / total * 100, 2))
 
 
 # -------------------------------------------------------------- resampling
@@ -205,28 +189,30 @@ def downsample(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int =
     return select_by_quota(df, quotas, target, key, seed, "__in").where("__in").drop("__in")
 
 
+def draw_partitions(n: int, rows: int = 4_000_000) -> int:
+    """Tasks that generate ``n`` draws."""
+    return max(1, -(-n // rows))
+
+
 def upsample(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 123,
              minority=1, n: int | None = None) -> DataFrame:
     """Minority class replaced by ``n`` draws with replacement (default: the
     size of the rest); other classes kept whole.
 
-    Draw j (0..n-1) takes minority row number ``hash32(seed, j) mod m``.  The
+    Draw j (0..n-1) takes minority row number ``hash60(seed, j) mod m``.  The
     draws are generated by ``spark.range`` (distributed), pre-aggregated to
     (row number, copies) before the join, and copies are expanded after it.
     """
     mino = str(minority)
-    # one scan: the bucket table gives both the class sizes and the rank offsets
-    h, buckets, counts, digits = bucket_table(df, target, key, seed)
+    counts = stratum_counts(df, target)
     m = counts.get(mino, 0)
     n = sum(v for s, v in counts.items() if s != mino) if n is None else n
     if m == 0:
         raise ValueError("minority class is empty")
-    spark = df.sparkSession
-    parts = max(1, min(100_000, n // 1_000_000 + 1))
-    draws = (spark.range(0, n, 1, parts)
-                  .select(F.pmod(hash32(seed, F.col("id")), F.lit(m)).alias("__idx"))
-                  .groupBy("__idx").agg(F.count(F.lit(1)).alias("__copies")))
-    ranked = (_rank_with(h.where(F.col("__s") == mino), buckets, len(counts), key, "__r", digits)
+    draws = (df.sparkSession.range(0, n, 1, draw_partitions(n))
+               .select(F.pmod(hash60(seed, F.col("id")), F.lit(m)).alias("__idx"))
+               .groupBy("__idx").agg(F.count(F.lit(1)).alias("__copies")))
+    ranked = (class_rank(df.where(_stratum(target) == mino), target, key, seed, "__r")
               .withColumn("__idx", F.col("__r") - 1))
     picked = (ranked.join(draws, "__idx")
                     .withColumn("__rep", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int"))))

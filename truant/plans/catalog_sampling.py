@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from truant.fixtures import appointments, with_ctes
-from truant.functions.hashing import sql_hash32
+from truant.fixtures import appointments, table, with_ctes
+from truant.functions.hashing import hash60, sql_hash60
 from truant.operators import clean, encode, sampling
 from truant.plans.catalog import query
 from truant.plans.oracle_sql import PREPROCESSED_SQL, rank_cte, split_ctes
@@ -38,6 +38,44 @@ def q_simulated_set(spark, sf):
     return clean.blank_target(s.where(F.col("split") == "test").drop("split"))
 
 
+_NULL_KEYS = dict(
+    src=PREPROCESSED_SQL,
+    nk="SELECT CASE WHEN APPOINTMENTID % 10 = 3 THEN NULL ELSE APPOINTMENTID END AS APPOINTMENTID, NO_SHOW FROM src")
+
+
+@query("split_null_keys", with_ctes(
+    "SELECT NO_SHOW, split, CAST(COUNT(*) AS BIGINT) AS n, (SELECT CAST(COUNT(*) AS BIGINT) FROM nk) AS rows_in"
+    " FROM sp GROUP BY 1, 2", **_NULL_KEYS, **split_ctes("nk", "sp")))
+def q_split_null_keys(spark, sf):
+    """A tenth of the keys is null: quotas stay exact, and all rows come out."""
+    a = _pre(spark, sf)
+    key = F.when(F.col("APPOINTMENTID") % 10 != 3, F.col("APPOINTMENTID")).alias("APPOINTMENTID")
+    nk = a.select(key, *[c for c in a.columns if c != "APPOINTMENTID"])
+    out = sampling.stratified_split(nk).groupBy("NO_SHOW", "split").agg(F.count(F.lit(1)).alias("n"))
+    return out.withColumn("rows_in", nk.agg(F.count(F.lit(1))).scalar())
+
+
+@query("kfold_null_keys", with_ctes(
+    "SELECT NO_SHOW, CAST((r - 1) % 5 AS INT) AS fold, CAST(COUNT(*) AS BIGINT) AS n FROM"
+    " (SELECT NO_SHOW, row_number() OVER (PARTITION BY NO_SHOW) AS r FROM nk) GROUP BY 1, 2", **_NULL_KEYS))
+def q_kfold_null_keys(spark, sf):
+    """A tenth of the keys is null: every row has a fold, sizes differ by one at most."""
+    a = _pre(spark, sf)
+    key = F.when(F.col("APPOINTMENTID") % 10 != 3, F.col("APPOINTMENTID")).alias("APPOINTMENTID")
+    nk = a.select(key, *[c for c in a.columns if c != "APPOINTMENTID"])
+    return sampling.stratified_kfold(nk, 5).groupBy("NO_SHOW", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+_WIDE = 10 << 32
+
+
+@query("upsample_wide_index",
+       f"SELECT event_id, {sql_hash60(123, 'event_id')} % {_WIDE} AS idx FROM events")
+def q_upsample_wide_index(spark, sf):
+    """The draw arithmetic of up-sampling for a class of 10 * 2^32 rows: every row can be drawn."""
+    return table(spark, sf, "events").select("event_id", F.pmod(hash60(123, "event_id"), F.lit(_WIDE)).alias("idx"))
+
+
 @query("stratified_kfold", with_ctes(
     "SELECT APPOINTMENTID, NO_SHOW, CAST((__r - 1) % 5 AS INT) AS fold FROM r",
     p=PREPROCESSED_SQL, r=rank_cte("p", "NO_SHOW", 42)))
@@ -60,8 +98,8 @@ def q_downsample(spark, sf):
     return sampling.downsample(_pre(spark, sf), seed=123, majority=0).select("APPOINTMENTID", "NO_SHOW")
 
 
-_H123_KEY = sql_hash32(123, "x.APPOINTMENTID")
-_H123_J = sql_hash32(123, "j")
+_H123_KEY = sql_hash60(123, "x.APPOINTMENTID")
+_H123_J = sql_hash60(123, "j")
 
 
 @query("upsample", with_ctes(
@@ -149,9 +187,9 @@ def _smote_raw_sql(k: int = 5, seed: int = 42) -> str:
         cls="SELECT NO_SHOW AS s, COUNT(*) AS n FROM r GROUP BY 1",
         cnt=("SELECT (SELECT n FROM cls WHERE s = 1) AS m,"
              " (SELECT MAX(n) FROM cls) - (SELECT n FROM cls WHERE s = 1) AS n"),
-        dr=(f"SELECT {sql_hash32(seed, 'j')} % m + 1 AS idx, {sql_hash32(seed + 1, 'j')} % {k} AS slot,"
+        dr=(f"SELECT {sql_hash60(seed, 'j')} % m + 1 AS idx, {sql_hash60(seed + 1, 'j')} % {k} AS slot,"
             f" {sql_hash_unit(seed + 2, 'j')} AS gap FROM (SELECT m, UNNEST(range(0, n)) AS j FROM cnt)"),
-        rnk=f"SELECT vid, {', '.join(_RAW)}, row_number() OVER (ORDER BY {sql_hash32(seed, 'APPOINTMENTID')},"
+        rnk=f"SELECT vid, {', '.join(_RAW)}, row_number() OVER (ORDER BY {sql_hash60(seed, 'APPOINTMENTID')},"
             " APPOINTMENTID) AS idx FROM mr",
     )
     syn = ("SELECT CAST(NULL AS BIGINT) AS APPOINTMENTID, "
@@ -167,8 +205,7 @@ def q_smote_raw(spark, sf):
     """SMOTE (exact 5-NN, seed 42) on the raw integer features of the train split."""
     from truant.functions.dates import days_till_appointment
     from truant.operators.smote import smote
-    from truant.session import cut_lineage
-    s = cut_lineage(sampling.stratified_split(_pre(spark, sf)))
+    s = sampling.stratified_split(_pre(spark, sf))
     train = s.where(F.col("split") == "train").select(
         "APPOINTMENTID", *[days_till_appointment().alias(c) if c == "DAYS_TILL_APPOINTMENT" else F.col(c)
                            for c in _RAW], "NO_SHOW")

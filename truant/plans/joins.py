@@ -23,8 +23,3 @@ def broadcast_if_small(small: DataFrame, n_rows: int | None = None,
     """
     n = small.count() if n_rows is None else n_rows
     return F.broadcast(small) if n <= max_rows else small
-
-
-def lookup(big: DataFrame, small: DataFrame, on, how: str = "left",
-           n_rows: int | None = None) -> DataFrame:
-    return big.join(broadcast_if_small(small, n_rows), on, how)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from truant.functions.hashing import sql_hash32
+from truant.functions.hashing import sql_hash60
 
 DAYS_TILL_SQL = ("CAST(floor((epoch_us(APPOINTMENTDAY) - epoch_us(SCHEDULEDDAY)) / 86400000000) + 1"
                  " AS BIGINT)")
@@ -22,7 +22,7 @@ FLAGS = ["SCHOLARSHIP", "HYPERTENSION", "DIABETES", "ALCOHOLISM", "HANDICAP", "S
 
 
 def rank_cte(src: str, target: str, seed: int, key: str = "APPOINTMENTID") -> str:
-    h = sql_hash32(seed, key)
+    h = sql_hash60(seed, key)
     return (f"SELECT x.*, row_number() OVER (PARTITION BY CAST(x.{target} AS VARCHAR)"
             f" ORDER BY {h}, x.{key}) AS __r FROM {src} x")
 

@@ -1,11 +1,11 @@
 """Running totals over a global order without a single-partition window.
 
 A window with ``orderBy`` and no ``partitionBy`` (or a hot partition key)
-sends every row of a segment to one task.  Here the order column is cut into
-range buckets (bounds from approximate quantiles, looked up JVM-side by
-``Bucketizer``); per-bucket totals -- a table of at most keys x buckets rows
--- give each bucket's starting offset, and rows are only sorted together
-inside their own bucket.  Ties of the order column always share a bucket.
+sends every row of a segment to one task.  Here the rows are range-partitioned
+on the order (bounds from Spark's own sample), written once with the number of
+their range, and only sorted together inside it; the totals per range, a small
+table, give each range's starting offset.  Ties of the order column always
+share a range.  Up to ``ROWS_PER_RANGE`` rows are one range and skip that step.
 """
 
 from __future__ import annotations
@@ -14,23 +14,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from truant.plans.joins import broadcast_if_small
+from truant.session import materialize
 
-DEFAULT_BUCKETS = 1024
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 100_000
+ROWS_PER_RANGE = 1_000_000
 
 
-def bucket_count(n_rows: int | None, buckets: int = DEFAULT_BUCKETS,
-                 rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> int:
-    """Enough range buckets that one holds about ``rows_per_bucket`` rows
-    (a sort group per task stays bounded as the data grows)."""
-    if not n_rows:
-        return buckets
-    return int(min(max_buckets, max(buckets, -(-int(n_rows) // rows_per_bucket))))
-
-
-def range_splits(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS) -> list[float]:
+def range_splits(df: DataFrame, col: str, buckets: int) -> list[float]:
     """Bucketizer splits at approximate quantiles of ``col`` (open ends)."""
     probs = [i / buckets for i in range(1, buckets)]
     qs = df.approxQuantile(col, probs, 1.0 / (4 * buckets)) if buckets > 1 else []
@@ -38,44 +27,40 @@ def range_splits(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS) -> lis
     return [float("-inf")] + bounds + [float("inf")]
 
 
-def bucketize(df: DataFrame, col, splits: list[float], out: str, descending: bool = False) -> DataFrame:
+def bucketize(df: DataFrame, col, splits: list[float], out: str) -> DataFrame:
     """Bucket id of ``col`` (a name or a column) for the given splits."""
     if len(splits) < 3:  # one bucket: nothing to look up
         return df.withColumn(out, F.lit(0))
     tmp = df.withColumn("__rbx", (F.col(col) if isinstance(col, str) else col).cast("double"))
     b = Bucketizer(splits=splits, inputCol="__rbx", outputCol="__rbd", handleInvalid="keep").transform(tmp)
-    n = len(splits) - 1
-    bid = (F.lit(n - 1) - F.col("__rbd")) if descending else F.col("__rbd")
-    return b.withColumn(out, bid.cast("int")).drop("__rbx", "__rbd")
-
-
-def range_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS, out: str = "__rb",
-                 descending: bool = False) -> DataFrame:
-    """Add an integer bucket id, monotone in ``col`` (reversed if descending)."""
-    return bucketize(df, col, range_splits(df, col, buckets), out, descending)
+    return b.withColumn(out, F.col("__rbd").cast("int")).drop("__rbx", "__rbd")
 
 
-def running_totals(df: DataFrame, order_col: str, values: list[str], keys: list[str] | None = None,
+def running_totals(df: DataFrame, order_col: str, values: list[str], n_rows: int, keys: list[str] | None = None,
                    descending: bool = False, tiebreak: list[str] | None = None,
-                   buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_", n_rows: int | None = None) -> DataFrame:
+                   rows_per_range: int = ROWS_PER_RANGE, prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``values`` in ``order_col`` order (within
     ``keys``), as ``cum_<value>`` columns.
 
     ``tiebreak`` orders rows with equal ``order_col``; without it, tied rows
-    get the running sum through all of the tie (a RANGE frame).  With
-    ``n_rows`` the bucket count grows with the data (``bucket_count``).
+    get the running sum through all of the tie (a RANGE frame).  ``n_rows`` is
+    the number of rows, from which the number of ranges follows.
     """
     keys = keys or []
-    b = range_bucket(df, order_col, bucket_count(n_rows, buckets), "__rb", descending)
-    totals = b.groupBy(*keys, "__rb").agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
-    wb = Window.partitionBy(*keys).orderBy("__rb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "__rb", *[F.coalesce(F.sum(f"__t_{v}").over(wb), F.lit(0))
-                                             .alias(f"__o_{v}") for v in values])
-    j = b.join(broadcast_if_small(offsets.persist()), [*keys, "__rb"], "left")
     o = F.desc(order_col) if descending else F.asc(order_col)
+    n = max(1, -(-n_rows // rows_per_range))
+    if n == 1:
+        j = df.withColumn("__rb", F.lit(0))
+        offset = {v: F.lit(0) for v in values}
+    else:
+        b = materialize(df.repartitionByRange(n, *keys, o).withColumn("__rb", F.spark_partition_id()), "ranges")
+        totals = b.groupBy(*keys, "__rb").agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
+        wb = Window.partitionBy(*keys).orderBy("__rb").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(*keys, "__rb", *[F.coalesce(F.sum(f"__t_{v}").over(wb), F.lit(0))
+                                                 .alias(f"__o_{v}") for v in values])
+        j = b.join(offsets, [*keys, "__rb"])  # on what the window below is partitioned by
+        offset = {v: F.col(f"__o_{v}") for v in values}
     w = Window.partitionBy(*keys, "__rb").orderBy(o, *(tiebreak or []))
     w = (w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if tiebreak
          else w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    out = j.select(*df.columns, *[(F.col(f"__o_{v}") + F.sum(v).over(w)).alias(f"{prefix}{v}")
-                                  for v in values])
-    return out
+    return j.select(*df.columns, *[(offset[v] + F.sum(v).over(w)).alias(f"{prefix}{v}") for v in values])

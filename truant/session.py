@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock (date parts and day counts are
 # defined in UTC), adaptive execution for runtime re-planning and skew joins.
@@ -43,16 +46,15 @@ def get_session(master: str | None = None, app: str = "truant",
     return spark
 
 
-def sized_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict:
-    """Shuffle and scan sizing for a given input volume (cluster submits).
+def sized_conf(input_bytes: int, partition_bytes: int = 256 << 20, min_partitions: int = 200) -> dict:
+    """Shuffle and scan sizing for a given input volume.
 
     Scan splits and shuffle partitions target ``partition_bytes`` each so a
     task's working set fits executor memory; AQE starts from that many
     partitions, coalesces small ones and splits skewed ones (a key holding a
     large share of the rows is cut into several tasks instead of one).
-    For 100 TB at 256 MB this gives the 100,000-partition ceiling.
     """
-    n = max(200, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    n = max(min_partitions, -(-int(input_bytes) // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(n),
@@ -64,22 +66,60 @@ def sized_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partition
     }
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Bytes that Spark estimates ``df`` to read."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder and register it with the context.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a private temporary folder is created.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master,
+    where driver and executors are one process, may go without: then a private
+    temporary folder is created.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="truant-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="truant-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
-    return d
+    return d.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path under the shared folder that no other run uses."""
+    return f"{checkpoint_dir(spark)}/truant/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet in the shared folder and read it
+    back.  Later plans read only the columns they need, and a lost executor
+    re-reads the files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
 
 
-def cut_lineage(df):
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, unless they find it in PYTHONPATH."""
+    package = Path(__file__).resolve().parent
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="truant-package-")) / "truant.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in package.rglob("*.py"):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))  # served by the driver
+    _SHIPPED.add(app)
