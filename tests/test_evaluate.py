@@ -50,3 +50,22 @@ def test_confusion_includes_zero_cells(spark):
     df = spark.createDataFrame([(0, 0), (0, 0), (1, 0)], "label int, prediction int")
     got = {(r.label, r.prediction): r["count"] for r in evaluate.confusion_matrix(df).collect()}
     assert got == {(0, 0): 2, (0, 1): 0, (1, 0): 1, (1, 1): 0}
+
+
+def test_rows_without_a_score_are_left_out(spark):
+    df = _scored(spark, [.9, .4, None, .1, float("nan")], [1, 1, 0, 0, 0])
+    a = evaluate.areas(df).first()
+    assert (a.roc_auc, a.positives, a.negatives) == (1.0, 2, 1)
+    assert evaluate.roc_curve(df).where("threshold IS NULL").count() == 0
+
+
+def test_curve_over_several_ranges(spark):
+    df = spark.range(500).selectExpr("CAST(id % 3 = 0 AS INT) AS label", "CAST(id * 7919 % 211 AS DOUBLE) / 211 AS SCORE")
+    one, p, n = evaluate.curve_points(df)
+    many, _, _ = evaluate.curve_points(df, rows_per_range=20)
+    assert sorted(one.collect()) == sorted(many.collect()) and (p, n) == (167, 333)
+
+
+def test_whole_evaluation(spark):
+    got = {r.metric: r.value for r in evaluate.evaluate(_scored(spark, [.9, .6, .4, .1], [1, 0, 1, 0])).collect()}
+    assert got["roc_auc"] == 0.75 and got["accuracy"] == 0.5 and (got["c00"], got["c11"], got["c01"], got["c10"]) == (1, 1, 1, 1)

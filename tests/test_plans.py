@@ -49,12 +49,29 @@ def test_flagship_prunes_columns_and_broadcasts_dimension(spark):
     assert text.count("HashAggregate") >= 2
 
 
-def test_split_and_ranks_are_partitioned(spark):
-    for name in ("stratified_split", "stratified_kfold", "class_rank"):
+def test_split_is_a_projection_of_one_scan(spark):
+    """The rows of a split are read once and never shuffled: the borders come as a broadcast list."""
+    text = _executed(entry.queries()["stratified_split"](spark, SF_SMALL))
+    assert text.count("events.parquet") == 1
+    assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text and "Window" not in text
+
+
+def test_history_shuffles_once(spark):
+    for name in ("prior_appointments", "prior_misses"):
+        text = _executed(entry.queries()[name](spark, SF_SMALL))
+        assert text.count("Exchange hashpartitioning") == 1, name
+
+
+def test_ranks_are_partitioned(spark):
+    for name in ("stratified_kfold", "class_rank"):
         for parts in _unpartitioned_windows_only_over_buckets(entry.queries()[name](spark, SF_SMALL)):
             assert len(parts) == 3, (name, parts)
 
 
 def test_curves_and_history_avoid_single_task_windows(spark):
-    for name in ("roc_pr_auc", "roc_curve", "prior_appointments", "prior_misses"):
+    from truant.fixtures import scored
+    from truant.operators import evaluate
+    points, _, _ = evaluate.curve_points(scored(spark, SF_SMALL), rows_per_range=50)  # as if there were millions of scores
+    _unpartitioned_windows_only_over_buckets(points)
+    for name in ("prior_appointments", "prior_misses"):
         _unpartitioned_windows_only_over_buckets(entry.queries()[name](spark, SF_SMALL))

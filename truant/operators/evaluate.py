@@ -1,9 +1,12 @@
 """Classifier evaluation on a (label, score[, prediction]) frame.
 
+Rows without a score (null or NaN) or without a label are not ranked: they are
+left out of the curves, the areas and their totals alike.
+
 Curves and areas are exact: scores are first aggregated to one row per
 distinct score (map-side partial aggregation), then running sums over the
-descending score order come from :mod:`truant.plans.prefix` (range buckets,
-no single-task window).  Areas are trapezoids over consecutive curve points;
+descending score order come from :mod:`truant.plans.prefix` (ranges of
+scores, no single-task window).  Areas are trapezoids over consecutive curve points;
 each point's predecessor is its own running sum minus its own counts, so no
 lag over a global order is needed.
 """
@@ -13,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from truant.plans.prefix import running_totals
+from truant.plans.prefix import ROWS_PER_RANGE, running_totals
 
 
 def predict_label(score="SCORE", threshold: float = 0.5):
@@ -23,7 +26,8 @@ def predict_label(score="SCORE", threshold: float = 0.5):
 
 
 def score_groups(df: DataFrame, label: str = "label", score: str = "SCORE") -> DataFrame:
-    return (df.groupBy(F.col(score).alias("threshold"))
+    ranked = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
+    return (ranked.groupBy(F.col(score).alias("threshold"))
               .agg(F.sum(F.col(label).cast("long")).alias("pos"),
                    F.sum((1 - F.col(label)).cast("long")).alias("neg")))
 
@@ -34,11 +38,11 @@ def _totals(groups: DataFrame) -> tuple[int, int, int]:
 
 
 def curve_points(df: DataFrame, label: str = "label", score: str = "SCORE",
-                 buckets: int = 1024) -> tuple[DataFrame, int, int]:
+                 rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, int, int]:
     """Per distinct score (descending): tp, fp at that threshold and before it."""
-    g = score_groups(df, label, score).persist()
+    g = score_groups(df, label, score)
     p, n, k = _totals(g)
-    c = running_totals(g, "threshold", ["pos", "neg"], descending=True, buckets=buckets, n_rows=k)
+    c = running_totals(g, "threshold", ["pos", "neg"], k, descending=True, rows_per_range=rows_per_range)
     c = c.select("threshold", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                  (F.col("cum_pos") - F.col("pos")).alias("tp_prev"),
                  (F.col("cum_neg") - F.col("neg")).alias("fp_prev"))
@@ -132,6 +136,25 @@ def f1_accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -
               .agg(F.first("f1")).toDF("f1", "accuracy")
 
 
+def evaluate(df: DataFrame, label: str = "label", score: str = "SCORE", pred: str | None = None,
+             threshold: float = 0.5, digits: int = 9) -> DataFrame:
+    """(metric, value) of a scored frame, the whole evaluation at once: areas,
+    report per class, accuracy and the confusion cells.  Without a column
+    ``pred`` class 1 is a score above ``threshold``."""
+    rows = df if pred else df.withColumn("__pred", predict_label(score, threshold))
+    cells = confusion_counts(rows, label, pred or "__pred")
+    names = ["c00", "c01", "c10", "c11"]
+    cell_rows = cells.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in names])).alias("r"))
+    report = report_from_counts(cells, digits)
+    per_class = report.where(F.col("class").isin("0", "1")).select(F.explode(F.array(*[
+        F.struct(F.concat(F.lit(f"{m}_"), F.col("class")).alias("metric"), F.col(m).cast("double").alias("value"))
+        for m in ("precision", "recall", "f1", "support")])).alias("r"))
+    accuracy = report.where(F.col("class") == "accuracy").select(F.struct(F.lit("accuracy").alias("metric"), F.col("f1").alias("value")).alias("r"))
+    area = areas(df, label, score).select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.round(m, digits).alias("value")) for m in ("roc_auc", "pr_auc")])).alias("r"))
+    return area.union(per_class).union(accuracy).union(cell_rows).select("r.*")
+
+
 def threshold_sweep(df: DataFrame, label: str = "label", score: str = "SCORE", digits: int = 9) -> DataFrame:
     """Precision, recall and F1 of class 1 at every distinct score threshold
     (predict 1 when score >= threshold)."""

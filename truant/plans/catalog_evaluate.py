@@ -119,3 +119,35 @@ def q_roc_auc(spark, sf):
 def q_pr_auc(spark, sf):
     """Trapezoid area under the precision-recall curve from (recall 0, precision 1)."""
     return evaluate.areas(scored(spark, sf), "label", "SCORE").select(F.round("pr_auc", D).alias("pr_auc"))
+
+
+_NULL_SCORES = dict(_CURVE, scored=f"SELECT * FROM ({SCORED_SQL}) t WHERE APPOINTMENTID % 7 <> 0")
+
+
+@query("curve_null_scores", with_ctes(
+    f"SELECT threshold, ROUND(fp / n_all, {D}) AS fpr, ROUND(tp / p_all, {D}) AS tpr FROM cp", **_NULL_SCORES))
+def q_curve_null_scores(spark, sf):
+    """A seventh of the scores is null: such rows are in no point and in no total."""
+    s = scored(spark, sf).withColumn("SCORE", F.when(F.col("APPOINTMENTID") % 7 != 0, F.col("SCORE")))
+    return evaluate.roc_curve(s, "label", "SCORE")
+
+
+_AREAS_BODY = f"""
+SELECT ROUND(SUM((fp - fp_prev) / n_all * (tp + tp_prev) / p_all / 2), {D}) AS roc_auc,
+       ROUND(SUM((tp - tp_prev) / p_all * (tp / (tp + fp) + CASE WHEN tp_prev + fp_prev = 0 THEN 1.0
+             ELSE tp_prev / (tp_prev + fp_prev) END) / 2), {D}) AS pr_auc FROM cp"""
+
+
+@query("evaluate_model", with_ctes("""
+SELECT 'roc_auc' AS metric, roc_auc AS value FROM areas UNION ALL SELECT 'pr_auc', pr_auc FROM areas
+UNION ALL SELECT 'precision_' || class, precision FROM rep WHERE class IN ('0', '1')
+UNION ALL SELECT 'recall_' || class, recall FROM rep WHERE class IN ('0', '1')
+UNION ALL SELECT 'f1_' || class, f1 FROM rep WHERE class IN ('0', '1')
+UNION ALL SELECT 'support_' || class, CAST(support AS DOUBLE) FROM rep WHERE class IN ('0', '1')
+UNION ALL SELECT 'accuracy', f1 FROM rep WHERE class = 'accuracy'
+UNION ALL SELECT 'c00', c00 FROM k UNION ALL SELECT 'c01', c01 FROM k UNION ALL SELECT 'c10', c10 FROM k
+UNION ALL SELECT 'c11', c11 FROM k""", **_CURVE, **{k: v for k, v in _REPORT_CTES.items() if k != "scored"},
+                                   rep=_REPORT_BODY, areas=_AREAS_BODY))
+def q_evaluate_model(spark, sf):
+    """The whole evaluation of a score column in one frame."""
+    return evaluate.evaluate(scored(spark, sf), "label", "SCORE", digits=D)
