@@ -63,4 +63,7 @@ def test_request_stream_scores_good_lines_and_diverts_bad_ones(spark):
     assert scored.select("APPOINTMENTID").exceptAll(batch.select("APPOINTMENTID")).count() == 0
     assert scored.count() == batch.count()
     errors = spark.read.parquet(err).collect()
-    assert [(r.request_id, r.line_no) for r in errors] == [(999999, 1)]
+    assert [(r.request_id, r.line_no, r.error) for r in errors if r.request_id == 999999] == [(999999, 1, "the header has no APPOINTMENTID")]
+    # every row is scored, with its request, or explained
+    assert scored.where("request_id IS NULL").count() == 0
+    assert scored.count() + len(errors) - 1 == sim.count()

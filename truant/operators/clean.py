@@ -97,6 +97,11 @@ def preprocess(df: DataFrame, is_simulated: bool = False) -> DataFrame:
     return out.filter(valid_dates()).filter(F.col("AGE") >= 0)
 
 
+def usable() -> Column:
+    """Whether :func:`preprocess` keeps a row; never null."""
+    return F.coalesce(valid_dates() & (F.col("AGE") >= 0), F.lit(False))
+
+
 def filter_class(df: DataFrame, value, target: str = TARGET) -> DataFrame:
     return df.filter(F.col(target) == value)
 

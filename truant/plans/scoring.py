@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truant.functions.dates import run_stamp
-from truant.operators import clean, models
+from truant.operators import clean, evaluate, models, sampling
 from truant.plans import featurize
 from truant.schema import KEY, TARGET
+from truant.sources import tables
 
 
 def load(spark: SparkSession, model_dir: str):
@@ -23,16 +24,18 @@ def load(spark: SparkSession, model_dir: str):
 
 
 def score_frame(raw: DataFrame, state: featurize.FeatureState, model, threshold: float = 0.5,
-                stamp_col: str | None = "run_stamp") -> DataFrame:
-    """Unlabelled appointment rows -> key, selected features, prediction.
+                stamp_col: str | None = "run_stamp", keep: list[str] | None = None) -> DataFrame:
+    """Unlabelled appointment rows -> key, selected features, prediction,
+    after the columns ``keep`` of the input.
 
     Works on a batch or a streaming frame (only stateless steps and a
     broadcast lookup of the frozen encoding table)."""
+    keep = keep or []
     pre = clean.preprocess(raw, is_simulated=True)
     f = featurize.apply_features(pre, state)
-    feats = state.selected or featurize.feature_columns(f)
-    mf = models.model_frame(f, feats, target="__no_target__", keep=[KEY])
-    out = models.predict(model, mf, threshold).select(KEY, *feats, "SCORE", "PREDICTED_NO_SHOW")
+    feats = state.selected or [c for c in featurize.feature_columns(f) if c not in keep]
+    mf = models.model_frame(f, feats, target="__no_target__", keep=[*keep, KEY])
+    out = models.predict(model, mf, threshold).select(*keep, KEY, *feats, "SCORE", "PREDICTED_NO_SHOW")
     if stamp_col:
         out = out.withColumn(stamp_col, run_stamp(F.current_timestamp()))
     return out
@@ -55,6 +58,14 @@ def score_batch(spark: SparkSession, raw: DataFrame, model_dir: str, out_path: s
     return pred
 
 
+def evaluate_saved(spark: SparkSession, raw: DataFrame, model_dir: str) -> DataFrame:
+    """(metric, value): a saved state and model evaluated on labelled rows."""
+    state, model = load(spark, model_dir)
+    labelled = clean.preprocess(raw).select(KEY, F.col(TARGET).alias("label"))
+    scored = score_frame(raw, state, model, stamp_col=None).join(labelled, KEY)
+    return evaluate.evaluate(scored, "label", "SCORE", "PREDICTED_NO_SHOW")
+
+
 def leak_check(unlabelled: DataFrame, training: DataFrame, key: str = KEY) -> DataFrame:
     """Scoring rows whose key also appears in the training rows (semi join;
     the join shuffles both sides on the key, no side is assumed small)."""
@@ -62,8 +73,29 @@ def leak_check(unlabelled: DataFrame, training: DataFrame, key: str = KEY) -> Da
 
 
 def disjoint_from(unlabelled: DataFrame, training: DataFrame, key: str = KEY) -> DataFrame:
+    """Training rows that are not in the unlabelled set, so that no row is
+    both learned from and scored."""
     return training.join(unlabelled.select(key), key, "left_anti")
 
 
-def label_free(df: DataFrame) -> DataFrame:
-    return clean.blank_target(df, TARGET)
+def three_way(raw: DataFrame, unlabelled_size: float = 0.2, test_size: float = 0.2, seed: int = 42) -> DataFrame:
+    """``raw`` with ``part``: 'unlabelled', 'test' or 'train', disjoint by key.
+
+    The unlabelled sample is drawn first, by its own seed; the rest is
+    preprocessed and split.  Rows that preprocessing rejects are in no part.
+    """
+    tagged = sampling.stratified_split(raw, TARGET, unlabelled_size, seed + 1, out="part")
+    unlabelled = clean.blank_target(tagged.where("part = 'test'").drop("part"))
+    rest = clean.preprocess(tagged.where("part = 'train'").drop("part"))
+    parts = sampling.stratified_split(rest, TARGET, test_size, seed, out="part")
+    scored = unlabelled.drop("PATIENTID").withColumn(TARGET, F.lit(None).cast("int")).withColumn("part", F.lit("unlabelled"))
+    return parts.unionByName(scored)
+
+
+def write_unlabelled(raw: DataFrame, path: str, size: float = 0.2, seed: int = 42) -> DataFrame:
+    """The unlabelled set: a stratified sample of ``raw`` with the target blanked,
+    written as CSV; returns the rows left for training."""
+    tagged = sampling.stratified_split(raw, TARGET, size, seed)
+    sample = clean.blank_target(tagged.where("split = 'test'").drop("split"))
+    tables.write_csv(sample, path)
+    return disjoint_from(sample, raw)

@@ -1,10 +1,15 @@
 """Structured Streaming scorers: files (or request bodies) arriving over time
 are scored with the frozen feature state and model.
 
-Only stateless steps run on the stream: cleaning filters, projections, a
+Only stateless steps run on the stream: typing, cleaning, projections, a
 broadcast lookup of the static encoding table and ``model.transform``.
 Everything data-dependent was fixed at training time (a distinct count or a
 category list cannot be computed on an unbounded stream).
+
+A stream is one query.  Each micro-batch is decoded once, and written by its
+number, so a batch that is run again after a failure replaces its own output:
+scored rows to the output folder, and whatever couldn't be scored, with its
+reason, to the errors folder.
 """
 
 from __future__ import annotations
@@ -13,58 +18,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from truant.operators import clean
 from truant.plans.scoring import score_frame
-from truant.schema import APPOINTMENT_SCHEMA
-from truant.sources.requests import decode_requests
-from truant.sources.tables import CSV_TIMESTAMP_FORMAT
+from truant.schema import KEY
+from truant.sources.requests import parse_requests
+from truant.sources.tables import read_csv_stream
 
 REQUEST_SCHEMA = T.StructType([T.StructField("request_id", T.LongType()),
                                T.StructField("body", T.StringType())])
 
 
-def read_csv_stream(spark: SparkSession, input_dir: str, schema=APPOINTMENT_SCHEMA,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    r = (spark.readStream.schema(schema).option("header", True)
-              .option("timestampFormat", CSV_TIMESTAMP_FORMAT))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.csv(input_dir)
-
+def _run(stream: DataFrame, parse, state, model, output_dir: str, errors_dir: str, checkpoint_dir: str,
+         keep: list[str], available_now: bool, processing_time: str | None):
+    def batch(df: DataFrame, number: int) -> None:
+        rows = parse(df).persist()
+        try:
+            reject = F.when(~clean.usable(), F.lit("rejected by the cleaning rules"))
+            rows = rows.withColumn("error", F.coalesce("error", reject))
+            good = rows.where("error is null")
+            scored = score_frame(good.drop("line", "error"), state, model, stamp_col=None, keep=keep)
+            scored.write.mode("overwrite").parquet(f"{output_dir}/batch={number}")
+            rows.where("error is not null").select(*keep, KEY, "line", "error").write.mode("overwrite").parquet(f"{errors_dir}/batch={number}")
+        finally:
+            rows.unpersist()
 
-def start_sink(df: DataFrame, output_dir: str, checkpoint_dir: str, available_now: bool = True,
-               fmt: str = "parquet", processing_time: str | None = None):
-    """File sink with a checkpoint: exactly-once output, restartable after a
-    failure from the last committed batch."""
-    w = (df.writeStream.format(fmt).option("path", output_dir)
-           .option("checkpointLocation", checkpoint_dir).outputMode("append"))
+    w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
-    return w.start()
-
-
-def score_stream(spark: SparkSession, input_dir: str, state, model, output_dir: str, checkpoint_dir: str,
-                 available_now: bool = True):
-    """CSV files of unlabelled appointments -> scored rows (file sink)."""
-    stream = read_csv_stream(spark, input_dir)
-    scored = score_frame(stream, state, model, stamp_col=None)
-    q = start_sink(scored, output_dir, checkpoint_dir, available_now)
+    q = w.start()
     if available_now:
         q.awaitTermination()
     return q
 
 
+def score_stream(spark: SparkSession, input_dir: str, state, model, output_dir: str, checkpoint_dir: str,
+                 errors_dir: str | None = None, available_now: bool = True, columns: list[str] | None = None,
+                 processing_time: str | None = None):
+    """CSV files of unlabelled appointments -> scored rows; lines that can't
+    be read or used go to ``errors_dir`` (default: ``<output>_errors``)."""
+    return _run(read_csv_stream(spark, input_dir, columns=columns), lambda df: df, state, model, output_dir,
+                errors_dir or f"{output_dir}_errors", checkpoint_dir, [], available_now, processing_time)
+
+
 def score_requests_stream(spark: SparkSession, input_dir: str, state, model, output_dir: str,
-                          checkpoint_dir: str, errors_dir: str | None = None, available_now: bool = True):
-    """JSON-lines files of ``{"request_id", "body"}`` -> scored rows; lines
-    that do not parse go to ``errors_dir`` instead of failing the batch."""
+                          checkpoint_dir: str, errors_dir: str | None = None, available_now: bool = True,
+                          processing_time: str | None = None):
+    """JSON-lines files of ``{"request_id", "body"}`` -> scored rows with their
+    request id and line number (``requests.encode_responses(..., "request_id")``
+    answers them); lines and bodies that can't be used go to ``errors_dir``."""
     req = spark.readStream.schema(REQUEST_SCHEMA).json(input_dir)
-    rows = decode_requests(req, keep_id=True)
-    good = rows.where(F.col("APPOINTMENTID").isNotNull()).drop("line_no")
-    scored = score_frame(good.drop("request_id"), state, model, stamp_col=None)
-    queries = [start_sink(scored, output_dir, checkpoint_dir, available_now)]
-    if errors_dir:
-        bad = rows.where(F.col("APPOINTMENTID").isNull()).select("request_id", "line_no")
-        queries.append(start_sink(bad, errors_dir, checkpoint_dir + "-errors", available_now))
-    if available_now:
-        for q in queries:
-            q.awaitTermination()
-    return queries
+    return _run(req, parse_requests, state, model, output_dir, errors_dir or f"{output_dir}_errors", checkpoint_dir,
+                ["request_id", "line_no"], available_now, processing_time)
