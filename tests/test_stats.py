@@ -62,3 +62,17 @@ def test_correlation_constant_column_is_null(spark):
     for method in ("gram", "pairwise"):
         got = {(r.a, r.b): r.r for r in stats.correlation_matrix(df, ["a", "b", "c"], method=method).collect()}
         assert got[("a", "c")] is None and got[("a", "b")] > 0.99
+
+
+def test_one_row_or_column_is_no_dependence(spark):
+    r = stats.chi_square(_table(spark, {("x", 0): 5, ("x", 1): 3}), "a", "NO_SHOW")
+    assert (r["dof"], r["p_value"], r["reject"], r["decision"]) == (0, 1.0, False, "cannot reject independence")
+
+
+def test_expected_counts_have_all_cells(spark):
+    got = {(r.a, r.NO_SHOW): (r.observed, r.expected) for r in stats.expected_counts(_table(spark, {("x", 0): 6, ("y", 0): 2, ("y", 1): 4}), "a").collect()}
+    assert got == {("x", 0): (6, 4.0), ("x", 1): (0, 2.0), ("y", 0): (2, 4.0), ("y", 1): (4, 2.0)}
+
+
+def test_decision():
+    assert stats.decide(0.01) == "reject independence" and stats.decide(0.2) == "cannot reject independence"

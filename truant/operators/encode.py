@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from truant.plans.joins import broadcast_if_small
 from truant.schema import TARGET
+from truant.session import materialize
 
 MAX_CATEGORIES = 10_000
 
@@ -70,9 +71,9 @@ class TargetEncoding:
 
 
 def _fit_stats(df: DataFrame, col: str, target: str) -> tuple[DataFrame, float, int]:
-    stats = (df.where(F.col(target).isNotNull())
-               .groupBy(col).agg(F.count(F.lit(1)).alias("n"),
-                                 F.sum(F.col(target).cast("double")).alias("s"))).persist()
+    stats = materialize(df.where(F.col(target).isNotNull())
+                          .groupBy(col).agg(F.count(F.lit(1)).alias("n"),
+                                            F.sum(F.col(target).cast("double")).alias("s")), "category-stats")
     tot = stats.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("k")).first()
     prior = (tot["s"] / tot["n"]) if tot["n"] else 0.0
     return stats, prior, int(tot["k"] or 0)
@@ -94,13 +95,13 @@ def fit_target_encoding(df: DataFrame, col: str, target: str = TARGET,
 def target_encoding_from_stats(stats: DataFrame, col: str, prior: float, min_samples_leaf: float = 20.0,
                                smoothing: float = 10.0, single_to_prior: bool = True) -> TargetEncoding:
     """Encoding table from per-category (n, s = sum of target).  The table
-    stays a (persisted) DataFrame; only its row count reaches the driver."""
+    stays a DataFrame, written once; only its row count reaches the driver."""
     lam = 1.0 / (1.0 + F.exp(-(F.col("n") - F.lit(min_samples_leaf)) / F.lit(smoothing)))
     mean = F.col("s") / F.col("n")
     value = lam * mean + (1.0 - lam) * F.lit(prior)
     if single_to_prior:
         value = F.when(F.col("n") == 1, F.lit(prior)).otherwise(value)
-    table = stats.select(col, F.col("n").cast("long").alias("n"), mean.alias("mean"), value.alias("value")).persist()
+    table = materialize(stats.select(col, F.col("n").cast("long").alias("n"), mean.alias("mean"), value.alias("value")), "encoding")
     k = table.count()
     return TargetEncoding(col, prior, table, k, {"min_samples_leaf": min_samples_leaf,
                                                  "smoothing": smoothing, "kind": "sigmoid"})
@@ -164,7 +165,9 @@ def standard_scale(train: DataFrame, *others: DataFrame, exclude=(TARGET,), key:
 # ----------------------------------------------------------------- weights
 def balanced_weights(df: DataFrame, target: str = TARGET) -> dict:
     """``class_weight='balanced'`` = n / (k * n_c) and ``n_neg / n_pos``."""
-    rows = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"{target} has more than {MAX_CATEGORIES} classes")
     counts = {r[target]: r["n"] for r in rows if r[target] is not None}
     n, k = sum(counts.values()), len(counts)
     weights = {c: n / (k * m) for c, m in counts.items()}
@@ -183,7 +186,6 @@ def with_weights(df: DataFrame, weights: dict, target: str = TARGET, out: str =
 
 def class_weight_table(df: DataFrame, target: str = TARGET, digits: int = 9) -> DataFrame:
     """Per class: rows and the balanced weight n / (k * n_c), as a frame."""
-    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).persist()
-    tot = counts.agg(F.sum("n").alias("t"), F.count(F.lit(1)).alias("k")).first()
-    return counts.withColumn(
-        "class_weight", F.round(F.lit(float(tot["t"] or 0)) / (F.lit(int(tot["k"] or 1)) * F.col("n")), digits))
+    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
+    total, classes = counts.agg(F.sum("n")).scalar(), counts.agg(F.count(F.lit(1))).scalar()
+    return counts.withColumn("class_weight", F.round(total / (classes * F.col("n")), digits))

@@ -6,12 +6,21 @@ Mapping of the original learners:
   ``LogisticRegression(weightCol, regParam = 1 / sum(w), elasticNetParam=0,
   standardization=False)``; balanced weights sum to n, so 1/sum(w) = 1/n.
 * balanced decision tree (unlimited depth) -> ``DecisionTreeClassifier``
-  with ``maxDepth`` 30 (MLlib's limit) and more bins than the default 32.
+  with ``maxDepth`` 30 (MLlib's limit) and more bins than the default 32.  A
+  tree whose leaves hold single rows grows with the data and lives on the
+  driver, so ``select_important`` fits it on at most MAX_TREE_ROWS rows of a
+  stratified sample, and ``min_rows`` per leaf is a parameter.
+* random forest (100 trees, unlimited depth) -> ``RandomForestClassifier``,
+  ``maxDepth`` 30.
 * gradient boosting with ``scale_pos_weight`` -> ``GBTClassifier`` with a
   weight column (positives weighted n_neg / n_pos); trees / depth / rate /
   row share map directly, column share per tree maps to the per-node
-  ``featureSubsetStrategy``, ``gamma`` to ``minInfoGain`` (different units),
-  ``min_child_weight`` to ``minWeightFractionPerNode`` (approximate).
+  ``featureSubsetStrategy``.  Two have no equivalent and are mapped by
+  convention: ``min_child_weight`` (a sum of second derivatives) becomes the
+  least number of rows of a node, and ``gamma`` (a loss reduction summed over a
+  node) GAMMA_TO_INFO_GAIN times itself as the least information gain a row.
+
+Defaults are the original's settings; a caller that wants a cheaper fit says so.
 """
 
 from __future__ import annotations
@@ -25,22 +34,33 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from truant.operators import encode
-from truant.schema import TARGET
+from truant.operators import encode, evaluate, sampling
+from truant.operators.smote import smote
+from truant.plans.prefix import running_totals
+from truant.schema import KEY, TARGET
+from truant.session import materialize
 
 LABEL, FEATURES, WEIGHT = "label", "features", "weight"
 
-# The tuned boosting parameters reported for the original model
-# and the search space of the original tuner.
+# The defaults of the original's boosting library, the tuned
+# parameters reported for its model, and the search space and number of
+# evaluations of its tuner.
+DEFAULT_GBT_PARAMS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3, "gamma": 0.0,
+                      "colsample_bytree": 1.0, "subsample": 1.0, "min_child_weight": 1}
 REPORTED_GBT_PARAMS = {"n_estimators": 344, "max_depth": 11, "learning_rate": 0.01024, "gamma": 0.4565,
                        "colsample_bytree": 0.5547, "subsample": 0.8528, "min_child_weight": 5}
 SEARCH_SPACE = {"n_estimators": (50, 1000, "int"), "max_depth": (3, 14, "int"),
                 "learning_rate": (0.01, 0.2, "float"), "gamma": (0.0, 0.5, "float"),
                 "colsample_bytree": (0.3, 1.0, "float"), "subsample": (0.6, 1.0, "float"),
                 "min_child_weight": (1, 10, "int")}
+MAX_EVALS = 100
+FOLDS = 5
+
+GAMMA_TO_INFO_GAIN = 0.01
+MAX_TREE_ROWS = 1_000_000
 
 
 def model_frame(df: DataFrame, features: list[str], target: str = TARGET,
@@ -67,41 +87,43 @@ def pos_weights(df: DataFrame, target: str = TARGET, override: float | None = No
     return {0.0: 1.0, 1.0: float(spw)}
 
 
-def fit_logistic(mf: DataFrame, weighted: bool = True, n: int | None = None):
-    n = n or mf.count()
+def logistic_estimator(n: int, weighted: bool = True) -> LogisticRegression:
     lr = LogisticRegression(featuresCol=FEATURES, labelCol=LABEL, maxIter=200, regParam=1.0 / max(n, 1),
                             elasticNetParam=0.0, standardization=False, tol=1e-8)
-    if weighted:
-        lr.setWeightCol(WEIGHT)
-    return lr.fit(mf)
+    return lr.setWeightCol(WEIGHT) if weighted else lr
+
+
+def fit_logistic(mf: DataFrame, weighted: bool = True, n: int | None = None):
+    return logistic_estimator(n or mf.count(), weighted).fit(mf)
 
 
-def fit_tree(mf: DataFrame, weighted: bool = True, max_depth: int = 30, max_bins: int = 128, seed: int = 42):
+def tree_estimator(weighted: bool = True, max_depth: int = 30, max_bins: int = 128, min_rows: int = 1, seed: int = 42):
     dt = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=LABEL, maxDepth=max_depth, maxBins=max_bins,
-                                seed=seed, checkpointInterval=10)
-    if weighted:
-        dt.setWeightCol(WEIGHT)
-    return dt.fit(mf)
+                                minInstancesPerNode=min_rows, seed=seed, checkpointInterval=10)
+    return dt.setWeightCol(WEIGHT) if weighted else dt
+
+
+def fit_tree(mf: DataFrame, weighted: bool = True, max_depth: int = 30, max_bins: int = 128, min_rows: int = 1, seed: int = 42):
+    return tree_estimator(weighted, max_depth, max_bins, min_rows, seed).fit(mf)
 
 
-def fit_forest(mf: DataFrame, weighted: bool = True, num_trees: int = 100, max_depth: int = 12,
-               seed: int = 42):
+def forest_estimator(weighted: bool = True, num_trees: int = 100, max_depth: int = 30, min_rows: int = 1, seed: int = 42):
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, numTrees=num_trees, maxDepth=max_depth,
-                                seed=seed, maxBins=64)
-    if weighted:
-        rf.setWeightCol(WEIGHT)
-    return rf.fit(mf)
+                                minInstancesPerNode=min_rows, seed=seed, maxBins=64)
+    return rf.setWeightCol(WEIGHT) if weighted else rf
+
+
+def fit_forest(mf: DataFrame, weighted: bool = True, num_trees: int = 100, max_depth: int = 30, min_rows: int = 1, seed: int = 42):
+    return forest_estimator(weighted, num_trees, max_depth, min_rows, seed).fit(mf)
 
 
 def gbt_estimator(params: dict | None = None, weighted: bool = True, seed: int = 42) -> GBTClassifier:
     """GBTClassifier from boosting parameters named as in the original tuner."""
-    p = dict(n_estimators=50, max_depth=5, learning_rate=0.1, gamma=0.0, colsample_bytree=1.0,
-             subsample=1.0, min_child_weight=1)
-    p.update(params or {})
+    p = {**DEFAULT_GBT_PARAMS, **(params or {})}
     subset = "all" if p["colsample_bytree"] >= 1.0 else str(round(float(p["colsample_bytree"]), 4))
     gbt = GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, maxIter=int(p["n_estimators"]),
                         maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]),
-                        minInfoGain=float(p["gamma"]) / 100.0, subsamplingRate=float(p["subsample"]),
+                        minInfoGain=float(p["gamma"]) * GAMMA_TO_INFO_GAIN, subsamplingRate=float(p["subsample"]),
                         featureSubsetStrategy=subset, minInstancesPerNode=max(1, int(p["min_child_weight"])),
                         seed=seed, maxBins=64, checkpointInterval=10, cacheNodeIds=True)
     if weighted:
@@ -114,25 +136,44 @@ def fit_gbt(mf: DataFrame, params: dict | None = None, weighted: bool = True, se
 
 
 def coefficients(model, features: list[str]) -> list[tuple[str, float]]:
-    return list(zip(features, [float(x) for x in model.coefficients.toArray()]))
+    return list(zip(features, [float(x) for x in model.coefficients.toArray()], strict=True))
 
 
 def importances(model, features: list[str]) -> list[tuple[str, float]]:
     imp = model.featureImportances.toArray()
-    return sorted(zip(features, [float(x) for x in imp]), key=lambda t: -t[1])
+    return sorted(zip(features, [float(x) for x in imp], strict=True), key=lambda t: -t[1])
 
 
-def threshold_features(pairs: list[tuple[str, float]], threshold: float = 0.01, absolute: bool = True) -> list[str]:
-    return [f for f, v in pairs if (abs(v) if absolute else v) >= threshold]
+# Frames of (name, value), one row a feature.
+def importance_frame(spark, pairs: list[tuple[str, float]], value: str = "Importance") -> DataFrame:
+    return spark.createDataFrame(pairs, f"Feature string, {value} double")
 
 
-def union_features(*lists: list[str]) -> list[str]:
-    seen: list[str] = []
-    for lst in lists:
-        for f in lst:
-            if f not in seen:
-                seen.append(f)
-    return sorted(seen)
+def sort_importance(imp: DataFrame, value: str = "Importance", name: str = "Feature") -> DataFrame:
+    """Rows with their rank by descending value (ties by name).
+
+    The rank is the number of rows that sort before, from counts of equal
+    values, so the frame may be of any size."""
+    n = imp.count()
+    by_value = imp.groupBy(F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    above = running_totals(by_value, "__v", ["__n"], n, descending=True).select("__v", (F.col("cum___n") - F.col("__n")).alias("__above"))
+    nth = F.row_number().over(Window.partitionBy(value).orderBy(name))
+    ranked = imp.withColumn("__nth", nth).join(above, imp[value].eqNullSafe(F.col("__v")))
+    return ranked.select(*imp.columns, (F.col("__above") + F.col("__nth")).alias("rank"))
+
+
+def threshold_features(imp: DataFrame, threshold: float = 0.01, value: str = "Importance", absolute: bool = True) -> DataFrame:
+    """Rows whose value (or its absolute value) reaches the threshold."""
+    v = F.abs(F.col(value)) if absolute else F.col(value)
+    return imp.where(v >= threshold)
+
+
+def union_features(*frames: DataFrame, name: str = "Feature") -> DataFrame:
+    """The names in any of the frames, once each."""
+    out = frames[0].select(name)
+    for f in frames[1:]:
+        out = out.union(f.select(name))
+    return out.distinct()
 
 
 @dataclass
@@ -142,23 +183,34 @@ class Selection:
     tree: list[tuple[str, float]]
 
 
+def bounded_rows(df: DataFrame, rows: int, target: str = TARGET, key: str = KEY, seed: int = 42) -> DataFrame:
+    """``df``, or of a larger one a stratified sample of ``rows`` rows."""
+    def quotas(counts):
+        return counts if sum(counts.values()) <= rows else sampling.allocate(counts, rows)
+    return sampling.select_by_quota(df, quotas, target, key, seed, "__in").where("__in").drop("__in")
+
+
 def select_important(train_scaled: DataFrame, train_raw: DataFrame, features: list[str],
-                     target: str = TARGET, threshold: float = 0.01) -> Selection:
+                     target: str = TARGET, threshold: float = 0.01, tree_rows: int = MAX_TREE_ROWS,
+                     tree_depth: int = 30, tree_min_rows: int = 1) -> Selection:
     """Union of |logistic coefficient| >= t (scaled frame) and tree
-    importance >= t (unscaled frame), both with balanced class weights."""
+    importance >= t (unscaled frame), both with balanced class weights.
+    The tree learns from ``tree_rows`` rows at most."""
+    spark = train_raw.sparkSession
     w = class_weights(train_raw, target)["class_weight"]
     w = {float(k): v for k, v in w.items()}
     mf_s = model_frame(train_scaled, features, target, w).persist()
-    mf_r = model_frame(train_raw, features, target, w).persist()
-    n = mf_s.count()
-    lr = fit_logistic(mf_s, True, n)
-    dt = fit_tree(mf_r, True)
-    coef = coefficients(lr, features)
-    imp = importances(dt, features)
-    sel = union_features(threshold_features(coef, threshold), threshold_features(imp, threshold, False))
-    mf_s.unpersist()
-    mf_r.unpersist()
-    return Selection(sel, coef, imp)
+    mf_r = model_frame(bounded_rows(train_raw, tree_rows, target), features, target, w).persist()
+    try:
+        lr = fit_logistic(mf_s, True, mf_s.count())
+        dt = fit_tree(mf_r, True, tree_depth, min_rows=tree_min_rows)
+    finally:
+        mf_s.unpersist()
+        mf_r.unpersist()
+    coef, imp = coefficients(lr, features), importances(dt, features)
+    kept = union_features(threshold_features(importance_frame(spark, coef), threshold),
+                          threshold_features(importance_frame(spark, imp), threshold, absolute=False))
+    return Selection(sorted(r[0] for r in kept.collect()), coef, imp)
 
 
 def probability_of_one(col: str = "probability"):
@@ -179,7 +231,7 @@ def auc_evaluator() -> BinaryClassificationEvaluator:
 
 
 def cross_validate(estimator, mf_with_fold: DataFrame, param_maps=None, fold_col: str = "fold",
-                   k: int = 5, parallelism: int = 4, seed: int = 42):
+                   k: int = FOLDS, parallelism: int = 4, seed: int = 42):
     """k-fold CV on an exact stratified fold column; returns the CV model."""
     from pyspark.ml.tuning import ParamGridBuilder
     maps = param_maps if param_maps is not None else ParamGridBuilder().build()
@@ -188,6 +240,84 @@ def cross_validate(estimator, mf_with_fold: DataFrame, param_maps=None, fold_col
     return cv.fit(mf_with_fold)
 
 
+def compare_learners(train: DataFrame, features: list[str], target: str = TARGET, k: int = FOLDS, tree_depth: int = 30,
+                     forest_trees: int = 100, forest_depth: int = 30, min_rows: int = 1, gbt_params: dict | None = None) -> DataFrame:
+    """(model, mean_roc_auc): four learners on the same exact folds, balanced
+    weights; logistic regression sees scaled features."""
+    folded = materialize(sampling.stratified_kfold(train, k, target), "folds")
+    w = {float(c): v for c, v in class_weights(train, target)["class_weight"].items()}
+    scaled = encode.fit_scaling(train, features).transform(folded)
+    learners = [("logistic", logistic_estimator(folded.count()), scaled),
+                ("decision_tree", tree_estimator(max_depth=tree_depth, min_rows=min_rows), folded),
+                ("random_forest", forest_estimator(num_trees=forest_trees, max_depth=forest_depth, min_rows=min_rows), folded),
+                ("gbt", gbt_estimator(gbt_params), folded)]
+    out = []
+    for name, est, frame in learners:
+        mf = model_frame(frame, features, target, w, keep=["fold"]).persist()
+        try:
+            out.append((name, float(cross_validate(est, mf, k=k).avgMetrics[0])))
+        finally:
+            mf.unpersist()
+    return train.sparkSession.createDataFrame(out, "model string, mean_roc_auc double")
+
+
+def compare_resamplings(train: DataFrame, test: DataFrame, features: list[str], target: str = TARGET, key: str = KEY,
+                        gbt_params: dict | None = None, seed: int = 123) -> DataFrame:
+    """(method, roc_auc, f1): boosted trees trained on the original rows (with
+    the positive-class weight) and on up-sampled, down-sampled and synthetic
+    balanced rows (without it), all evaluated on the same test rows."""
+    even = {0.0: 1.0, 1.0: 1.0}
+    arms = {"original": (train, pos_weights(train, target)),
+            "upsampled": (sampling.upsample(train, target, key, seed, 1), even),
+            "downsampled": (sampling.downsample(train, target, key, seed, 0), even),
+            "smote": (smote(train, features, target, key, 1, 5, 42), even)}
+    test_mf = model_frame(test, features, target)
+    out = []
+    for name, (rows, w) in arms.items():
+        mf = model_frame(rows, features, target, w).persist()
+        try:
+            m = evaluate.evaluate(predict(fit_gbt(mf, gbt_params), test_mf), LABEL, "SCORE", "PREDICTED_NO_SHOW")
+            got = {r["metric"]: r["value"] for r in m.collect()}
+        finally:
+            mf.unpersist()
+        out.append((name, got["roc_auc"], got["f1_1"]))
+    return train.sparkSession.createDataFrame(out, "method string, roc_auc double, f1 double")
+
+
+@dataclass
+class Tuning:
+    """``draws``: one row a draw with its parameters and mean ROC AUC; ``best``: the parameters of the best."""
+    draws: DataFrame
+    best: dict
+    best_auc: float
+
+
+def tune(train: DataFrame, features: list[str], target: str = TARGET, max_evals: int = MAX_EVALS, k: int = FOLDS,
+         space: dict | None = None, seed: int = 42) -> Tuning:
+    """``max_evals`` seeded draws from the search space, each scored by k-fold CV."""
+    draws = random_draws(max_evals, seed, space)
+    est = gbt_estimator()
+    mf = model_frame(sampling.stratified_kfold(train, k, target), features, target, pos_weights(train, target), keep=["fold"]).persist()
+    try:
+        scores = cross_validate(est, mf, gbt_param_maps(draws, est), k=k).avgMetrics
+    finally:
+        mf.unpersist()
+    rows = [(i, *[float(d[p]) for p in SEARCH_SPACE], float(a)) for i, (d, a) in enumerate(zip(draws, scores, strict=True))]
+    schema = "draw int, " + ", ".join(f"{p} double" for p in SEARCH_SPACE) + ", mean_roc_auc double"
+    best = max(range(len(draws)), key=lambda i: (scores[i], -i))
+    return Tuning(train.sparkSession.createDataFrame(rows, schema), draws[best], float(scores[best]))
+
+
+def gbt_importance(model, features: list[str], train: DataFrame, target: str = TARGET, threshold: float = 0.01,
+                   params: dict | None = None):
+    """(importances with ``kept``, features kept, model refitted on them): the second selection."""
+    spark = train.sparkSession
+    imp = importance_frame(spark, importances(model, features))
+    kept = sorted(r["Feature"] for r in threshold_features(imp, threshold, absolute=False).collect())
+    refit = fit_gbt(model_frame(train, kept, target, pos_weights(train, target)), params)
+    return imp.withColumn("kept", (F.col("Importance") >= threshold).cast("int")), kept, refit
+
+
 def random_draws(n: int, seed: int = 42, space: dict | None = None) -> list[dict]:
     """Seeded uniform draws from the original search space (integers as
     whole numbers).  Replaces the adaptive sampler; each draw is a grid point."""

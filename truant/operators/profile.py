@@ -98,12 +98,10 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 def with_share(counts: DataFrame, count_col: str = "count", out: str = "percentage",
                digits: int = 1) -> DataFrame:
-    """Attach ``count / total * 100``.  The total is summed from the grouped
-    frame (one row per category) in a tiny job, then used as a literal."""
-    counts = counts.persist()
-    total = counts.agg(F.sum(count_col)).first()[0] or 0
-    return counts.withColumn(out, F.round(F.col(count_col) / F.lit(float(total)) * 100, digits)
-                             if total else F.lit(None).cast("double"))
+    """Attach ``count / total * 100``, the total a scalar subquery over the
+    grouped rows (their exchange is reused)."""
+    total = counts.agg(F.sum(count_col)).scalar()
+    return counts.withColumn(out, F.round(F.col(count_col) / total * 100, digits))
 
 
 def value_shares(df: DataFrame, col: str, digits: int = 1) -> DataFrame:
@@ -125,11 +123,19 @@ def join_distribution(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 
 def distinct_count(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """``n_distinct_<col>`` per column in one aggregate.  ``exact=False`` uses
-    HyperLogLog++ (no Expand of the input, constant memory per column)."""
+    """``n_distinct_<col>`` per column.
+
+    Exact: each column is grouped on its own, so its values collapse in the
+    scanning tasks and only one row per value and task is shuffled.
+    ``exact=False`` counts all columns in one scan by HyperLogLog++ (relative
+    error 5 %, constant memory per column).
+    """
     cols = cols or df.columns
-    fn = F.countDistinct if exact else F.approx_count_distinct
-    return df.agg(*[fn(F.col(c)).cast("long").alias(f"n_distinct_{c}") for c in cols])
+    if not exact:
+        return df.agg(*[F.approx_count_distinct(F.col(c)).cast("long").alias(f"n_distinct_{c}") for c in cols])
+    parts = [df.groupBy(c).agg(F.lit(1).alias("__one")).agg(F.lit(c).alias("__c"), F.count(c).alias("__n")) for c in cols]
+    long = reduce(DataFrame.union, parts)
+    return long.agg(*[F.max(F.when(F.col("__c") == c, F.col("__n"))).alias(f"n_distinct_{c}") for c in cols])
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -188,6 +194,3 @@ def check_scaling(df: DataFrame, cols: list[str], tol: float = 0.2) -> DataFrame
     ok = (F.abs(F.col("mean")) <= tol) & (F.abs(F.col("std_pop") - 1) <= tol)
     return m.select("column", "mean", "std_pop", ok.cast("int").alias("ok"))
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from truant.schema import TARGET
+from truant.session import materialize
 
 
 # ------------------------------------------------------------ distributions
 def chi2_sf(x: float, dof: int) -> float:
     """Survival function of chi-square with integer ``dof``."""
-    if x is None or dof <= 0:
+    if dof <= 0:  # one row or one column: nothing can depend
+        return 1.0
+    if x is None:
         return float("nan")
     if x <= 0:
         return 1.0
@@ -96,7 +99,7 @@ def chi_square_stat(df: DataFrame, a: str, b: str = TARGET, correction: bool = T
     all four cells, so the statistic is (d - min(0.5, d))^2 * n * sum(1/R) * sum(1/C).
     """
     base = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    cells = contingency(base, a, b).persist()
+    cells = materialize(contingency(base, a, b), "contingency")
     rows = cells.groupBy(a).agg(F.sum("observed").alias("R"))
     cols = cells.groupBy(b).agg(F.sum("observed").alias("C"))
     # margins summarised to scalars (one row each) and used as literals
@@ -118,15 +121,30 @@ def chi_square_stat(df: DataFrame, a: str, b: str = TARGET, correction: bool = T
                       F.lit(int(n)).cast("long").alias("n"))
 
 
+MAX_CELLS = 10_000_000
+
+
 def expected_counts(df: DataFrame, a: str, b: str = TARGET) -> DataFrame:
-    """Observed and expected count per observed cell."""
+    """Observed and expected count of every cell, cells without a row included.
+
+    Each row margin is exploded over the column margins (the classes, a short
+    list from a small aggregate); MAX_CELLS bounds the table.
+    """
     base = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    cells = contingency(base, a, b)
+    cells = materialize(contingency(base, a, b), "contingency")
     rows = cells.groupBy(a).agg(F.sum("observed").alias("R"))
-    cols = cells.groupBy(b).agg(F.sum("observed").alias("C"))
-    n = float(cells.agg(F.sum("observed")).first()[0] or 0)
-    return (cells.join(rows, a).join(cols, b)
-                 .select(a, b, "observed", (F.col("R") * F.col("C") / F.lit(n or 1.0)).alias("expected")))
+    cols = cells.groupBy(b).agg(F.sum("observed").alias("C")).limit(MAX_CELLS + 1).collect()
+    n_rows = rows.count()
+    if n_rows * len(cols) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} cells")
+    if not cols:
+        return cells.select(a, b, "observed", F.lit(0.0).alias("expected"))
+    n = float(sum(m["C"] for m in cols))
+    kind = dict(cells.dtypes)[b]
+    margins = F.array(*[F.struct(F.lit(m[b]).cast(kind).alias(b), F.lit(m["C"]).alias("C")) for m in cols])
+    grid = rows.withColumn("m", F.explode(margins))
+    grid = grid.select(a, F.col(f"m.{b}").alias(b), (F.col("R") * F.col("m.C") / F.lit(n)).alias("expected"))
+    return grid.join(cells, [a, b], "left").select(a, b, F.coalesce("observed", F.lit(0)).alias("observed"), "expected")
 
 
 def chi_square(df: DataFrame, a: str, b: str = TARGET, correction: bool = True,
@@ -136,7 +154,7 @@ def chi_square(df: DataFrame, a: str, b: str = TARGET, correction: bool = True,
     r = chi_square_stat(df, a, b, correction).first()
     p = chi2_sf(r["statistic"], int(r["dof"]))
     return {"variable": a, "statistic": r["statistic"], "dof": int(r["dof"]), "n": int(r["n"]),
-            "p_value": p, "reject": bool(p < alpha)}
+            "p_value": p, "reject": bool(p < alpha), "decision": decide(p, alpha)}
 
 
 def decide(p_value: float, alpha: float = 0.05) -> str:

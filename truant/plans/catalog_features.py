@@ -10,7 +10,6 @@ from truant.functions.dates import date_part_columns, days_till_appointment, run
 from truant.operators import clean, encode, profile, sampling
 from truant.plans import featurize
 from truant.plans.catalog import query
-from truant.session import cut_lineage
 from truant.plans.oracle_sql import (AGE_BUCKET_SQL, DAYS_TILL_SQL, FLAGS, GENDER_AGE_CATEGORIES,
                                      GENDER_AGE_SQL, PREPROCESSED_SQL, features_select, split_ctes,
                                      target_encoding_ctes)
@@ -23,9 +22,8 @@ def _pre(spark, sf):
 
 
 def _split(spark, sf):
-    """Train and test rows from one checkpointed split (short lineage for
-    the fits and feature tables built on it)."""
-    s = cut_lineage(sampling.stratified_split(_pre(spark, sf)))
+    """Train and test rows: projections of one scan by the split's borders."""
+    s = sampling.stratified_split(_pre(spark, sf))
     return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
 
 

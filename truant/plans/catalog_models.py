@@ -1,42 +1,47 @@
 """Registered queries: MLlib fits, selection, cross-validation, tuning,
-training and scoring.  Model outputs are checked by rows and invariants
-(different learners than the original, so no exact oracle); the key-level
-leakage check is plain SQL and has one."""
+training and scoring.  Fitted numbers are checked by rows and invariants
+(different learners than the original, so no exact oracle); keys, flags and
+everything that doesn't depend on a fit have one.
+
+The operators default to the original's settings.  The queries name cheaper
+ones, since a hundred deep trees over five folds and a hundred draws take
+hours on one machine; nothing is kept between queries.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from truant.fixtures import appointments, with_ctes
-from truant.operators import evaluate, models, sampling
+from truant.operators import clean, evaluate, models, sampling
+from truant.operators.smote import smote
 from truant.plans import featurize, scoring, training
 from truant.plans.catalog import query
-from truant.plans.oracle_sql import PREPROCESSED_SQL, split_ctes, target_encoding_ctes
+from truant.plans.oracle_sql import DAYS_TILL_SQL, PREPROCESSED_SQL, split_ctes, target_encoding_ctes
 from truant.schema import KEY, TARGET
+from truant.session import scratch_path
 
-_MEMO: dict = {}
+QUICK_GBT = {"n_estimators": 5, "max_depth": 4, "learning_rate": 0.3}
+QUICK_TRAIN = {"n_estimators": 30, "max_depth": 5, "learning_rate": 0.1}
+QUICK_SPACE = {"n_estimators": (3, 8, "int"), "max_depth": (3, 5, "int"),
+               "learning_rate": (0.05, 0.2, "float"), "gamma": (0.0, 0.5, "float"),
+               "colsample_bytree": (0.5, 1.0, "float"), "subsample": (0.6, 1.0, "float"),
+               "min_child_weight": (1, 10, "int")}
+QUICK_TREE = {"tree_depth": 12, "tree_min_rows": 5}
 
-# Fixture-sized learners for the cross-validated comparison.
-CV_FOREST = {"num_trees": 20, "max_depth": 8}
-CV_GBT = {"n_estimators": 20, "max_depth": 4, "learning_rate": 0.1}
+_SPLIT = dict(p=PREPROCESSED_SQL, **split_ctes("p", "sp"))
 
 
 def _prepared(spark, sf) -> training.Prepared:
-    k = (spark.sparkContext.applicationId, sf, "prep")
-    if k not in _MEMO:
-        _MEMO[k] = training.prepare(appointments(spark, sf))
-    return _MEMO[k]
+    return training.prepare(appointments(spark, sf))
 
 
-def _trained(spark, sf) -> training.Trained:
-    k = (spark.sparkContext.applicationId, sf, "trained")
-    if k not in _MEMO:
-        _MEMO[k] = training.train(appointments(spark, sf))
-    return _MEMO[k]
+def _quick(spark, sf) -> training.Trained:
+    return training.train(appointments(spark, sf), params=QUICK_GBT, select=False)
 
 
-def _rows(spark, rows, schema):
-    return spark.createDataFrame(rows, schema)
+def _weights(p: training.Prepared) -> dict:
+    return {float(k): v for k, v in models.class_weights(p.train)["class_weight"].items()}
 
 
 @query("fit_logistic")
@@ -44,177 +49,182 @@ def q_fit_logistic(spark, sf):
     """Balanced L2 logistic regression on scaled features: coefficients."""
     p = _prepared(spark, sf)
     _, strain, _ = training.scaled(p)
-    w = {float(k): v for k, v in models.class_weights(p.train)["class_weight"].items()}
-    m = models.fit_logistic(models.model_frame(strain, p.features, TARGET, w))
-    return _rows(spark, models.coefficients(m, p.features), "Feature string, Coefficient double")
+    m = models.fit_logistic(models.model_frame(strain, p.features, TARGET, _weights(p)))
+    return models.importance_frame(spark, models.coefficients(m, p.features), "Coefficient")
 
 
 @query("fit_tree")
 def q_fit_tree(spark, sf):
     p = _prepared(spark, sf)
-    w = {float(k): v for k, v in models.class_weights(p.train)["class_weight"].items()}
-    m = models.fit_tree(models.model_frame(p.train, p.features, TARGET, w))
-    return _rows(spark, models.importances(m, p.features), "Feature string, Importance double")
-
-
-@query("sort_importance")
-def q_sort_importance(spark, sf):
-    """Tree importances in descending order, with their rank."""
-    imp = q_fit_tree(spark, sf)
-    return imp.orderBy(F.desc("Importance"), "Feature")
+    m = models.fit_tree(models.model_frame(p.train, p.features, TARGET, _weights(p)), max_depth=12, min_rows=5)
+    return models.importance_frame(spark, models.importances(m, p.features))
 
 
 @query("fit_forest")
 def q_fit_forest(spark, sf):
     p = _prepared(spark, sf)
-    w = {float(k): v for k, v in models.class_weights(p.train)["class_weight"].items()}
-    m = models.fit_forest(models.model_frame(p.train, p.features, TARGET, w), **CV_FOREST)
-    return _rows(spark, models.importances(m, p.features), "Feature string, Importance double")
+    m = models.fit_forest(models.model_frame(p.train, p.features, TARGET, _weights(p)), num_trees=20, max_depth=8)
+    return models.importance_frame(spark, models.importances(m, p.features))
 
 
 @query("select_important")
 def q_select_important(spark, sf):
     """Union of |coef| >= 0.01 (logistic) and importance >= 0.01 (tree)."""
-    p = _prepared(spark, sf)
-    sel = training.select_features(p)
+    sel = training.select_features(_prepared(spark, sf), **QUICK_TREE)
     coef, imp = dict(sel.logistic), dict(sel.tree)
-    return _rows(spark, [(f, coef.get(f), imp.get(f)) for f in sel.features],
-                 "Feature string, Coefficient double, Importance double")
+    return spark.createDataFrame([(f, coef.get(f), imp.get(f)) for f in sel.features],
+                                 "Feature string, Coefficient double, Importance double")
+
+
+# Importance tables that SQL can build as well: how far each neighbourhood's
+# miss rate lies from the whole's, and each one's share of the rows.
+_IMPORTANCE = dict(
+    p=PREPROCESSED_SQL,
+    imp="SELECT NEIGHBOURHOOD AS Feature, ROUND(AVG(NO_SHOW) - (SELECT AVG(NO_SHOW) FROM p), 9) AS Importance FROM p GROUP BY 1",
+    shr="SELECT NEIGHBOURHOOD AS Feature, ROUND(COUNT(*) / (SELECT COUNT(*) FROM p), 9) AS Importance FROM p GROUP BY 1")
+
+
+def _importance(spark, sf):
+    p = clean.preprocess(appointments(spark, sf))
+    whole = p.agg(F.avg("NO_SHOW")).scalar()
+    return p.groupBy(F.col("NEIGHBOURHOOD").alias("Feature")).agg(F.avg("NO_SHOW").alias("m")).select(
+        "Feature", F.round(F.col("m") - whole, 9).alias("Importance"))
+
 
+def _share(spark, sf):
+    p = clean.preprocess(appointments(spark, sf))
+    whole = p.agg(F.count(F.lit(1))).scalar()
+    return p.groupBy(F.col("NEIGHBOURHOOD").alias("Feature")).agg(F.count(F.lit(1)).alias("n")).select(
+        "Feature", F.round(F.col("n") / whole, 9).alias("Importance"))
 
-@query("threshold_features")
+
+@query("sort_importance", with_ctes(
+    "SELECT Feature, Importance, CAST(row_number() OVER (ORDER BY Importance DESC, Feature) AS BIGINT) AS rank FROM imp", **_IMPORTANCE))
+def q_sort_importance(spark, sf):
+    """Importances in descending order, with their rank."""
+    return models.sort_importance(_importance(spark, sf))
+
+
+@query("threshold_features", with_ctes("SELECT Feature, Importance FROM imp WHERE abs(Importance) >= 0.01", **_IMPORTANCE))
 def q_threshold_features(spark, sf):
-    p = _prepared(spark, sf)
-    sel = training.select_features(p)
-    return _rows(spark, [(f, v) for f, v in sel.tree if v >= 0.01], "Feature string, Importance double")
+    return models.threshold_features(_importance(spark, sf), 0.01)
 
 
-@query("fit_gbt")
-def q_fit_gbt(spark, sf):
-    """Boosted trees with the positive-class weight, evaluated on the test split."""
-    t = _trained(spark, sf)
-    m = t.metrics
-    return _rows(spark, [(float(m["roc_auc"]), float(m["pr_auc"]), float(m["f1"]), float(m["accuracy"]),
-                          int(m["n_features"]))],
-                 "roc_auc double, pr_auc double, f1 double, accuracy double, n_features int")
+@query("union_features", with_ctes(
+    "SELECT Feature FROM imp WHERE abs(Importance) >= 0.02 UNION SELECT Feature FROM shr WHERE Importance >= 0.042", **_IMPORTANCE))
+def q_union_features(spark, sf):
+    """Set union of two threshold lists."""
+    return models.union_features(models.threshold_features(_importance(spark, sf), 0.02),
+                                 models.threshold_features(_share(spark, sf), 0.042, absolute=False))
 
 
 @query("train_model")
 def q_train_model(spark, sf):
-    return q_fit_gbt(spark, sf)
+    """Preprocess, split, features, selection, boosted trees with the positive-class weight, evaluation."""
+    m = training.train(appointments(spark, sf), params=QUICK_TRAIN, **QUICK_TREE).metrics
+    return spark.createDataFrame([(float(m["roc_auc"]), float(m["pr_auc"]), float(m["f1"]), float(m["accuracy"]), int(m["n_features"]))],
+                                 "roc_auc double, pr_auc double, f1 double, accuracy double, n_features int")
+
+
+@query("fit_gbt")
+def q_fit_gbt(spark, sf):
+    """Boosted trees with the positive-class weight on all features: areas on the test split."""
+    return evaluate.areas(_quick(spark, sf).predictions, "label", "SCORE")
 
 
 @query("gbt_importance")
 def q_gbt_importance(spark, sf):
     """Importances of the boosted model; features >= 0.01 kept for a refit."""
-    t = _trained(spark, sf)
-    imp = models.importances(t.model, t.features)
-    return _rows(spark, [(f, v, int(v >= 0.01)) for f, v in imp], "Feature string, Importance double, kept int")
+    t = _quick(spark, sf)
+    return models.gbt_importance(t.model, t.features, t.prepared.train, params=QUICK_GBT)[0]
+
+
+@query("gbt_refit")
+def q_gbt_refit(spark, sf):
+    """Second selection: refit on the kept features, evaluate on the same test split."""
+    t = _quick(spark, sf)
+    _, kept, m = models.gbt_importance(t.model, t.features, t.prepared.train, params=QUICK_GBT)
+    pred = models.predict(m, models.model_frame(t.prepared.test, kept, TARGET)).withColumn("label", F.col("label").cast("int"))
+    return evaluate.areas(pred, "label", "SCORE").withColumn("n_features", F.lit(len(kept)))
+
+
+def _checked(scored, *keep):
+    """Keys of scored rows, and whether score and label hold together."""
+    s = F.col("SCORE")
+    return scored.select(*keep, KEY, ((s >= 0) & (s <= 1)).cast("int").alias("score_ok"),
+                         ((s > 0.5).cast("int") == F.col("PREDICTED_NO_SHOW")).cast("int").alias("label_ok"))
 
 
-@query("predict_proba")
+@query("predict_proba", with_ctes("SELECT APPOINTMENTID, NO_SHOW AS label, 1 AS score_ok, 1 AS label_ok FROM sp WHERE split = 'test'", **_SPLIT))
 def q_predict_proba(spark, sf):
-    t = _trained(spark, sf)
-    return t.predictions
+    """Every test row is scored, with a probability and the label it implies."""
+    return _checked(_quick(spark, sf).predictions, "label").select(KEY, "label", "score_ok", "label_ok")
 
 
-@query("evaluate_model")
-def q_evaluate_model(spark, sf):
-    """Classification report of the trained model on the test split."""
-    t = _trained(spark, sf)
-    return evaluate.classification_report(t.predictions, "label", "PREDICTED_NO_SHOW")
+@query("model_areas")
+def q_model_areas(spark, sf):
+    """Exact ROC and PR areas of the trained model on the test split."""
+    return evaluate.areas(_quick(spark, sf).predictions, "label", "SCORE")
 
 
 @query("model_confusion_matrix")
 def q_model_confusion(spark, sf):
-    t = _trained(spark, sf)
-    return evaluate.confusion_matrix(t.predictions, "label", "PREDICTED_NO_SHOW")
+    return evaluate.confusion_matrix(_quick(spark, sf).predictions, "label", "PREDICTED_NO_SHOW")
+
+
+@query("model_threshold_sweep")
+def q_model_threshold_sweep(spark, sf):
+    """Precision / recall / F1 of the trained model at every threshold."""
+    return evaluate.threshold_sweep(_quick(spark, sf).predictions, "label", "SCORE")
 
 
 @query("cross_validate")
 def q_cross_validate(spark, sf):
     """Mean ROC AUC over 5 exact stratified folds for four learners."""
     p = _prepared(spark, sf)
-    # one ranking shuffle: the scaled copy carries the same fold column
-    folded = sampling.stratified_kfold(p.train, 5, TARGET).persist()
-    cw = {float(k): v for k, v in models.class_weights(p.train)["class_weight"].items()}
-    sc, _, _ = training.scaled(p)
-    sfolded = sc.transform(folded)
-    out = []
-    lr = models.LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                                   regParam=1.0 / max(p.train.count(), 1), standardization=False, maxIter=100)
-    cands = [("logistic", lr, sfolded),
-             ("decision_tree", models.DecisionTreeClassifier(featuresCol="features", labelCol="label",
-                                                             weightCol="weight", maxDepth=10, maxBins=64), folded),
-             ("random_forest", models.RandomForestClassifier(featuresCol="features", labelCol="label",
-                                                             weightCol="weight", numTrees=CV_FOREST["num_trees"],
-                                                             maxDepth=CV_FOREST["max_depth"], seed=42), folded),
-             ("gbt", models.gbt_estimator(CV_GBT), folded)]
-    for name, est, frame in cands:
-        mf = models.model_frame(frame, p.features, TARGET, cw, keep=["fold"]).persist()
-        cvm = models.cross_validate(est, mf, fold_col="fold")
-        out.append((name, float(cvm.avgMetrics[0])))
-        mf.unpersist()
-    return _rows(spark, out, "model string, mean_roc_auc double")
+    return models.compare_learners(p.train, p.features, tree_depth=8, min_rows=5, forest_trees=10, forest_depth=6, gbt_params=QUICK_GBT)
 
 
 @query("compare_resamplings")
 def q_compare_resamplings(spark, sf):
-    """Boosted trees trained on the original, up-sampled, down-sampled and
+    """Boosted trees trained on the original (weighted), up-sampled, down-sampled and
     SMOTE-balanced training split; all evaluated on the same test split."""
     p = _prepared(spark, sf)
-    from truant.operators.smote import smote
-    frames = {"original": p.train,
-              "upsampled": sampling.upsample(p.train, TARGET, KEY, 123, 1),
-              "downsampled": sampling.downsample(p.train, TARGET, KEY, 123, 0),
-              "smote": smote(p.train, p.features, TARGET, KEY, 1, 5, 42)}
-    test_mf = models.model_frame(p.test, p.features, TARGET)
-    out = []
-    for name, fr in frames.items():
-        mf = models.model_frame(fr, p.features, TARGET, {0.0: 1.0, 1.0: 1.0}).persist()
-        m = models.fit_gbt(mf, CV_GBT)
-        pred = models.predict(m, test_mf).withColumn("label", F.col("label").cast("int"))
-        a = evaluate.areas(pred, "label", "SCORE").first()
-        rep = {r["class"]: r for r in evaluate.classification_report(pred, "label", "PREDICTED_NO_SHOW").collect()}
-        out.append((name, float(a["roc_auc"]), float(rep["1"]["f1"])))
-        mf.unpersist()
-    return _rows(spark, out, "method string, roc_auc double, f1 double")
-
-
-# Reduced ranges for the fixture run (hundreds of deep trees x 5 folds x many
-# draws do not fit a check run); the full space is models.SEARCH_SPACE.
-FIXTURE_SPACE = {"n_estimators": (10, 30, "int"), "max_depth": (3, 6, "int"),
-                 "learning_rate": (0.05, 0.2, "float"), "gamma": (0.0, 0.5, "float"),
-                 "colsample_bytree": (0.5, 1.0, "float"), "subsample": (0.6, 1.0, "float"),
-                 "min_child_weight": (1, 10, "int")}
+    return models.compare_resamplings(p.train, p.test, p.features, gbt_params=QUICK_GBT)
 
 
 @query("tune")
 def q_tune(spark, sf):
-    """Seeded random draws from the search space, each scored by 5-fold CV."""
+    """Seeded random draws from a search space, each scored by CV."""
     p = _prepared(spark, sf)
-    draws = models.random_draws(3, 42, FIXTURE_SPACE)
-    est = models.gbt_estimator()
-    maps = models.gbt_param_maps(draws, est)
-    w = models.pos_weights(p.train)
-    mf = models.model_frame(sampling.stratified_kfold(p.train, 5, TARGET), p.features, TARGET, w,
-                            keep=["fold"]).persist()
-    cvm = models.cross_validate(est, mf, maps, fold_col="fold")
-    rows = [(i, int(d["n_estimators"]), int(d["max_depth"]), float(d["learning_rate"]), float(m))
-            for i, (d, m) in enumerate(zip(draws, cvm.avgMetrics))]
-    mf.unpersist()
-    return _rows(spark, rows, "draw int, n_estimators int, max_depth int, learning_rate double, mean_roc_auc double")
-
-
-@query("score_batch")
+    return models.tune(p.train, p.features, max_evals=3, k=3, space=QUICK_SPACE).draws
+
+
+def _unlabelled(spark, sf):
+    s = sampling.stratified_split(appointments(spark, sf))
+    return clean.blank_target(s.where(F.col("split") == "test").drop("split"))
+
+
+SCORED_SQL = with_ctes(
+    f"SELECT APPOINTMENTID, 1 AS score_ok, 1 AS label_ok FROM raw_split WHERE split = 'test' AND {DAYS_TILL_SQL} >= 0 AND AGE >= 0",
+    **split_ctes("appointments", "raw_split"))
+
+
+@query("score_batch", SCORED_SQL)
 def q_score_batch(spark, sf):
-    """Score the unlabelled (target-blanked) stratified sample with the
-    trained state and model."""
-    t = _trained(spark, sf)
-    from truant.operators import clean
-    sim = sampling.stratified_split(appointments(spark, sf))
-    sim = clean.blank_target(sim.where(F.col("split") == "test").drop("split"))
-    return scoring.score_frame(sim, t.prepared.state, t.model).drop("run_stamp")
+    """The unlabelled (target-blanked) stratified sample scored with the
+    trained state and model: every row that cleaning keeps."""
+    t = _quick(spark, sf)
+    return _checked(scoring.score_frame(_unlabelled(spark, sf), t.prepared.state, t.model))
+
+
+@query("write_predictions", SCORED_SQL)
+def q_write_predictions(spark, sf):
+    """Scored unlabelled rows written partitioned by run stamp, read back."""
+    t = _quick(spark, sf)
+    path = scratch_path(spark, "predictions")
+    scoring.write_predictions(scoring.score_frame(_unlabelled(spark, sf), t.prepared.state, t.model), path)
+    return _checked(spark.read.parquet(path))
 
 
 @query("leak_check", with_ctes(
@@ -225,93 +235,53 @@ def q_leak_check(spark, sf):
     """Keys of the unlabelled sample that are also training rows."""
     a = appointments(spark, sf)
     sim = sampling.stratified_split(a).where(F.col("split") == "test")
-    from truant.operators import clean
     return scoring.leak_check(sim, clean.preprocess(a)).select(KEY)
 
 
+_THREE_WAY = dict(
+    **split_ctes("appointments", "un", seed=43), rest=PREPROCESSED_SQL.replace("FROM appointments", "FROM un").replace(
+        "WHERE ", "WHERE un.split = 'train' AND "), **split_ctes("rest", "sp"))
+
+
+@query("three_way_split", with_ctes(
+    "SELECT APPOINTMENTID, split AS part FROM sp UNION ALL SELECT APPOINTMENTID, 'unlabelled' FROM un WHERE split = 'test'", **_THREE_WAY))
+def q_three_way_split(spark, sf):
+    """Unlabelled sample, test and training rows, disjoint by key."""
+    return scoring.three_way(appointments(spark, sf)).select(KEY, "part")
+
+
+@query("disjoint_from", with_ctes(
+    "SELECT a.APPOINTMENTID FROM appointments a WHERE a.APPOINTMENTID NOT IN (SELECT APPOINTMENTID FROM sp WHERE split = 'test')",
+    **split_ctes("appointments", "sp")))
+def q_disjoint_from(spark, sf):
+    """What is left for training beside the unlabelled sample."""
+    return scoring.disjoint_from(_unlabelled(spark, sf), appointments(spark, sf)).select(KEY)
+
+
 @query("feature_state_roundtrip", with_ctes(
     "SELECT NEIGHBOURHOOD, CAST(n AS BIGINT) AS n, ROUND(value, 9) AS value FROM te",
-    p=PREPROCESSED_SQL, **split_ctes("p", "sp"), train="SELECT * EXCLUDE (split) FROM sp WHERE split = 'train'",
-    **target_encoding_ctes("train", "te")))
+    **_SPLIT, train="SELECT * EXCLUDE (split) FROM sp WHERE split = 'train'", **target_encoding_ctes("train", "te")))
 def q_feature_state_roundtrip(spark, sf):
     """Save and reload the frozen state; the reloaded state gives the same table."""
-    import uuid
-    from truant.session import checkpoint_dir
-    p = _prepared(spark, sf)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/state-{uuid.uuid4().hex}"
-    p.state.save(path)
+    path = scratch_path(spark, "state")
+    _prepared(spark, sf).state.save(path)
     st = featurize.FeatureState.load(spark, path)
     return st.te.table.select("NEIGHBOURHOOD", "n", F.round("value", 9).alias("value"))
 
 
-@query("gbt_refit")
-def q_gbt_refit(spark, sf):
-    """Second selection: keep boosted-model importances >= 0.01, refit on
-    those features, evaluate on the same test split."""
-    t = _trained(spark, sf)
-    kept = models.threshold_features(models.importances(t.model, t.features), 0.01, absolute=False)
-    p = t.prepared
-    w = models.pos_weights(p.train)
-    m = models.fit_gbt(models.model_frame(p.train, kept, TARGET, w), training.DEFAULT_GBT)
-    pred = models.predict(m, models.model_frame(p.test, kept, TARGET)).withColumn("label", F.col("label").cast("int"))
-    a = evaluate.areas(pred, "label", "SCORE").first()
-    return _rows(spark, [(len(kept), float(a["roc_auc"]), float(a["pr_auc"]))],
-                 "n_features int, roc_auc double, pr_auc double")
-
-
-@query("union_features")
-def q_union_features(spark, sf):
-    """Set union of the two threshold lists, as a distributed union+distinct."""
-    p = _prepared(spark, sf)
-    sel = training.select_features(p)
-    a = _rows(spark, [(f,) for f in models.threshold_features(sel.logistic, 0.01)], "Feature string")
-    b = _rows(spark, [(f,) for f in models.threshold_features(sel.tree, 0.01, absolute=False)], "Feature string")
-    return a.union(b).distinct()
-
-
 @query("align_schema")
 def q_align_schema(spark, sf):
     """Train and test model tables: same columns, same order, all numeric."""
     p = _prepared(spark, sf)
-    from truant.operators import clean
     r = clean.align_schema(p.train, p.test)
-    return _rows(spark, [(int(r["same_columns"]), int(r["same_column_set"]), int(r["left"]["all_numeric"]),
-                          int(r["right"]["all_numeric"]), int(r["left"]["any_string"]), len(p.train.columns))],
-                 "same_columns int, same_column_set int, train_numeric int, test_numeric int,"
-                 " any_string int, n_columns int")
-
-
-@query("write_predictions")
-def q_write_predictions(spark, sf):
-    """Scored unlabelled rows written partitioned by run stamp, read back."""
-    import uuid
-    from truant.session import checkpoint_dir
-    t = _trained(spark, sf)
-    from truant.operators import clean
-    sim = sampling.stratified_split(appointments(spark, sf))
-    sim = clean.blank_target(sim.where(F.col("split") == "test").drop("split"))
-    path = f"{checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
-    scoring.write_predictions(scoring.score_frame(sim, t.prepared.state, t.model), path)
-    return spark.read.parquet(path)
+    return spark.createDataFrame([(int(r["same_columns"]), int(r["same_column_set"]), int(r["left"]["all_numeric"]),
+                                   int(r["right"]["all_numeric"]), int(r["left"]["any_string"]), len(p.train.columns))],
+                                 "same_columns int, same_column_set int, train_numeric int, test_numeric int,"
+                                 " any_string int, n_columns int")
 
 
 @query("smote")
 def q_smote(spark, sf):
     """Training split balanced with synthetic minority rows (exact 5-NN)."""
-    from truant.operators.smote import smote
     p = _prepared(spark, sf)
     return smote(p.train, p.features, TARGET, KEY, 1, 5, 42)
-
-
-@query("model_areas")
-def q_model_areas(spark, sf):
-    """Exact ROC and PR areas of the trained model on the test split."""
-    t = _trained(spark, sf)
-    return evaluate.areas(t.predictions, "label", "SCORE")
-
-
-@query("model_threshold_sweep")
-def q_model_threshold_sweep(spark, sf):
-    """Precision / recall / F1 of the trained model at every threshold."""
-    t = _trained(spark, sf)
-    return evaluate.threshold_sweep(t.predictions, "label", "SCORE")

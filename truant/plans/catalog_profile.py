@@ -213,9 +213,13 @@ def q_limit_n(spark, sf):
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
-@query("order_by", _rate_sql(CASE_BAND_SQL, "AgeGroup"))
+@query("order_by", "SELECT *, CAST(row_number() OVER (ORDER BY Percentage_Missed DESC, AgeGroup) AS INT) AS rank"
+                   f" FROM ({_rate_sql(CASE_BAND_SQL, 'AgeGroup')}) t")
 def q_order_by(spark, sf):
-    return profile.rate_by_age_group(appointments(spark, sf)).orderBy("AgeGroup")
+    """Age groups by falling miss rate; the rank makes the order part of the result (five rows)."""
+    order = [F.desc("Percentage_Missed"), F.asc("AgeGroup")]
+    rates = profile.rate_by_age_group(appointments(spark, sf))
+    return rates.withColumn("rank", F.row_number().over(Window.orderBy(*order))).orderBy("rank")
 
 
 @query("value_counts", with_ctes(
@@ -311,3 +315,16 @@ _MOMENT_COLS = ["AGE", "SCHOLARSHIP", "HYPERTENSION", "SMS_RECEIVED"]
     for c in _MOMENT_COLS)))
 def q_moments(spark, sf):
     return profile.moments(appointments(spark, sf), _MOMENT_COLS)
+
+
+_APPROX_COLS = ["PATIENTID", "APPOINTMENTID", "GENDER", "AGE", "NEIGHBOURHOOD"]
+
+
+@query("distinct_count_approx", "SELECT " + ", ".join(f"1 AS within_{c}" for c in _APPROX_COLS))
+def q_distinct_count_approx(spark, sf):
+    """Whether the approximate counts lie within 15 % (three times the stated error) of the exact ones."""
+    a = appointments(spark, sf)
+    exact = profile.distinct_count(a, _APPROX_COLS)
+    near = profile.distinct_count(a, _APPROX_COLS, exact=False).toDF(*[f"near_{c}" for c in _APPROX_COLS])
+    return near.select(*[(F.abs(F.col(f"near_{c}") / exact.select(f"n_distinct_{c}").scalar() - 1) <= 0.15).cast("int").alias(f"within_{c}")
+                         for c in _APPROX_COLS])

@@ -6,20 +6,24 @@ from pyspark.sql import functions as F
 
 from truant.fixtures import appointments, with_ctes
 from truant.functions.bands import gender_age
-from truant.operators import clean, stats
+from truant.operators import clean, sampling, stats
 from truant.plans.catalog import query
 from truant.plans.catalog_features import _FEATURE_COLS, _TE, _state
-from truant.plans.oracle_sql import GENDER_AGE_SQL, PREPROCESSED_SQL, features_select
+from truant.plans.oracle_sql import GENDER_AGE_SQL, PREPROCESSED_SQL, features_select, split_ctes
 from truant.plans import featurize
 
 D = 9
 
 
-def _pre_ga(spark, sf):
-    return clean.preprocess(appointments(spark, sf)).withColumn("GENDER_AGE", gender_age())
+_TRAIN = dict(q=PREPROCESSED_SQL, **split_ctes("q", "sp"), p="SELECT * EXCLUDE (split) FROM sp WHERE split = 'train'")
 
 
-def _chi_sql(a_sql: str, correction: bool) -> str:
+def _train_ga(spark, sf):
+    """The training split with the gender-age key."""
+    return sampling.split_frames(clean.preprocess(appointments(spark, sf)))[0].withColumn("GENDER_AGE", gender_age())
+
+
+def _chi_sql(a_sql: str, correction: bool, **rows: str) -> str:
     # Yates' correction applies to 2 x 2 tables only
     cell = ("CASE WHEN (SELECT COUNT(*) FROM r) = 2 AND (SELECT COUNT(*) FROM c) = 2"
             " THEN power(abs(o - E) - least(0.5, abs(o - E)), 2) / E ELSE power(o - E, 2) / E END"
@@ -28,7 +32,7 @@ def _chi_sql(a_sql: str, correction: bool) -> str:
 SELECT ROUND(SUM({cell}), {D}) AS statistic,
        CAST((SELECT COUNT(*) FROM r) - 1 AS BIGINT) * CAST((SELECT COUNT(*) FROM c) - 1 AS BIGINT) AS dof,
        CAST((SELECT n FROM n) AS BIGINT) AS n
-FROM grid""", p=PREPROCESSED_SQL,
+FROM grid""", **(rows or dict(p=PREPROCESSED_SQL)),
         cells=f"SELECT {a_sql} AS a, NO_SHOW AS b, COUNT(*) AS o FROM p WHERE {a_sql} IS NOT NULL GROUP BY 1, 2",
         r="SELECT a, SUM(o) AS rt FROM cells GROUP BY 1",
         c="SELECT b, SUM(o) AS ct FROM cells GROUP BY 1",
@@ -38,7 +42,7 @@ FROM grid""", p=PREPROCESSED_SQL,
 
 
 def _chi(spark, sf, col, correction):
-    st = stats.chi_square_stat(_pre_ga(spark, sf), col, "NO_SHOW", correction)
+    st = stats.chi_square_stat(clean.preprocess(appointments(spark, sf)), col, "NO_SHOW", correction)
     return st.select(F.round("statistic", D).alias("statistic"), "dof", "n")
 
 
@@ -62,31 +66,61 @@ def q_chi_sms_plain(spark, sf):
     return _chi(spark, sf, "SMS_RECEIVED", False)
 
 
-@query("chi_square_gender_age", _chi_sql(GENDER_AGE_SQL, True))
+@query("chi_square_gender_age", _chi_sql(GENDER_AGE_SQL, True, **_TRAIN))
 def q_chi_gender_age(spark, sf):
-    """10 x 2 table: no continuity correction applies (dof > 1)."""
-    return _chi(spark, sf, "GENDER_AGE", True)
+    """10 x 2 table of the training split: no continuity correction applies (dof > 1)."""
+    st = stats.chi_square_stat(_train_ga(spark, sf), "GENDER_AGE", "NO_SHOW")
+    return st.select(F.round("statistic", D).alias("statistic"), "dof", "n")
 
 
-@query("chi_square_expected", with_ctes(
-    f"SELECT {GENDER_AGE_SQL} AS GENDER_AGE, NO_SHOW, CAST(COUNT(*) AS BIGINT) AS observed,"
-    f" ROUND(SUM(COUNT(*)) OVER (PARTITION BY {GENDER_AGE_SQL}) * SUM(COUNT(*)) OVER (PARTITION BY NO_SHOW)"
-    f" / SUM(COUNT(*)) OVER (), {D}) AS expected FROM p GROUP BY 1, 2", p=PREPROCESSED_SQL))
+def _expected_sql(a_sql: str, name: str, **rows: str) -> str:
+    return with_ctes(f"""
+SELECT r.a AS {name}, c.b AS NO_SHOW, CAST(COALESCE(o, 0) AS BIGINT) AS observed, ROUND(rt * ct / (SELECT SUM(o) FROM cells), {D}) AS expected
+FROM r CROSS JOIN c LEFT JOIN cells ON cells.a = r.a AND cells.b = c.b""", **rows,
+                     cells=f"SELECT {a_sql} AS a, NO_SHOW AS b, COUNT(*) AS o FROM p WHERE {a_sql} IS NOT NULL GROUP BY 1, 2",
+                     r="SELECT a, SUM(o) AS rt FROM cells GROUP BY 1", c="SELECT b, SUM(o) AS ct FROM cells GROUP BY 1")
+
+
+@query("chi_square_expected", _expected_sql(GENDER_AGE_SQL, "GENDER_AGE", **_TRAIN))
 def q_chi_expected(spark, sf):
-    e = stats.expected_counts(_pre_ga(spark, sf), "GENDER_AGE", "NO_SHOW")
+    e = stats.expected_counts(_train_ga(spark, sf), "GENDER_AGE", "NO_SHOW")
     return e.withColumn("expected", F.round("expected", D))
 
 
-@query("chi_square_test")
+_EMPTY_CELL = "CASE WHEN NO_SHOW = 0 THEN GENDER ELSE 'F' END"
+
+
+@query("chi_square_expected_empty_cell", _expected_sql(_EMPTY_CELL, "G", p=PREPROCESSED_SQL))
+def q_chi_expected_empty(spark, sf):
+    """A 2 x 2 table with an empty cell: the cell is in the result, observed 0."""
+    df = clean.preprocess(appointments(spark, sf)).select(F.expr(_EMPTY_CELL).alias("G"), "NO_SHOW")
+    return stats.expected_counts(df, "G", "NO_SHOW").withColumn("expected", F.round("expected", D))
+
+
+# The 95 % points of chi-square by degrees of freedom, and of Student's t for large samples.
+CRITICAL_CHI2 = {1: 3.841458820694124, 9: 16.918977604620448}
+CRITICAL_T = 1.959963984540054
+
+
+def _decision_sql() -> str:
+    tests = [("GENDER", "GENDER", {}), ("ALCOHOLISM", "ALCOHOLISM", {}), ("SMS_RECEIVED", "SMS_RECEIVED", {}),
+             ("GENDER_AGE", GENDER_AGE_SQL, _TRAIN)]
+    parts = []
+    for name, sql, rows in tests:
+        parts.append(f"SELECT '{name}' AS variable, dof, n, CASE WHEN statistic > CASE dof WHEN 1 THEN {CRITICAL_CHI2[1]} ELSE {CRITICAL_CHI2[9]} END"
+                     f" THEN 'reject independence' ELSE 'cannot reject independence' END AS decision FROM ({_chi_sql(sql, True, **rows)}) t")
+    return " UNION ALL ".join(parts)
+
+
+@query("chi_square_test", _decision_sql())
 def q_chi_test(spark, sf):
-    """Statistic, p-value and decision per tested variable (p on the driver
-    from each one-row aggregate)."""
-    df = _pre_ga(spark, sf).persist()
+    """The decision per tested variable, from the p-value of each one-row aggregate."""
     rows = []
     for col in ("GENDER", "ALCOHOLISM", "SMS_RECEIVED", "GENDER_AGE"):
+        df = _train_ga(spark, sf) if col == "GENDER_AGE" else clean.preprocess(appointments(spark, sf))
         r = stats.chi_square(df, col, "NO_SHOW")
-        rows.append((col, float(r["statistic"]), r["dof"], float(r["p_value"]), int(r["reject"])))
-    return spark.createDataFrame(rows, "variable string, statistic double, dof long, p_value double, reject int")
+        rows.append((col, r["dof"], r["n"], r["decision"]))
+    return spark.createDataFrame(rows, "variable string, dof long, n long, decision string")
 
 
 _PB_SQL = with_ctes(f"""
@@ -106,13 +140,13 @@ def q_point_biserial(spark, sf):
     return st.select(F.round("r", D).alias("r"), "n", F.round("t", 6).alias("t"))
 
 
-@query("point_biserial_test")
+@query("point_biserial_test", f"SELECT r, n, CASE WHEN abs(t) > {CRITICAL_T} THEN 'reject independence'"
+                              f" ELSE 'cannot reject independence' END AS decision FROM ({_PB_SQL}) t")
 def q_point_biserial_test(spark, sf):
     train, _, state = _state(spark, sf)
     f = featurize.apply_features(train, state)
     r = stats.point_biserial(f, "DAYS_TILL_APPOINTMENT", "NO_SHOW")
-    return spark.createDataFrame([(float(r["r"]), int(r["n"]), float(r["t"]), float(r["p_value"]),
-                                   int(r["reject"]))], "r double, n long, t double, p_value double, reject int")
+    return spark.createDataFrame([(round(float(r["r"]), D), int(r["n"]), stats.decide(r["p_value"]))], "r double, n long, decision string")
 
 
 def _pairs():
@@ -136,8 +170,9 @@ def q_correlation_matrix(spark, sf):
     return stats.correlation_matrix(f, _FEATURE_COLS)
 
 
-@query("multicollinear_pairs", _corr_sql("WHERE abs(r) > 0.8"))
+@query("multicollinear_pairs", _corr_sql("WHERE abs(r) > 0.1"))
 def q_multicollinear_pairs(spark, sf):
+    """Pairs with |r| above 0.1: the original's 0.8 leaves no row on these tables."""
     train, _, state = _state(spark, sf)
     f = featurize.apply_features(train, state)
-    return stats.multicollinear_pairs(stats.correlation_matrix(f, _FEATURE_COLS), 0.8)
+    return stats.multicollinear_pairs(stats.correlation_matrix(f, _FEATURE_COLS), 0.1)

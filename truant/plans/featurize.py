@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from truant.operators import clean, encode, features
 from truant.schema import TARGET
+from truant.session import materialize
 
 
 @dataclass
@@ -75,11 +76,10 @@ def fit_feature_state(train: DataFrame, target: str = TARGET, min_samples_leaf:
     years = {c: e for c, e in features.date_part_columns().items() if c in features.YEAR_PARTS}
     b = b.withColumns(years).select("GENDER_AGE", "NEIGHBOURHOOD", target, *years)
     y = F.col(target).cast("double")
-    g = (b.groupingSets([["GENDER_AGE"], ["NEIGHBOURHOOD"], []], "GENDER_AGE", "NEIGHBOURHOOD")
+    g = materialize(b.groupingSets([["GENDER_AGE"], ["NEIGHBOURHOOD"], []], "GENDER_AGE", "NEIGHBOURHOOD")
           .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("rows"),
                F.count(y).alias("n"), F.sum(y).alias("s"),
-               *[F.min(c).alias(f"mn_{c}") for c in years], *[F.max(c).alias(f"mx_{c}") for c in years])
-          ).persist()
+               *[F.min(c).alias(f"mn_{c}") for c in years], *[F.max(c).alias(f"mx_{c}") for c in years]), "feature-sets")
     # gid bits: GENDER_AGE (2), NEIGHBOURHOOD (1); set 1 = (GENDER_AGE), 2 = (NEIGHBOURHOOD), 3 = ()
     tot = g.where(F.col("gid") == 3).first()
     drop_years = [c for c in years if tot[f"mn_{c}"] is not None and tot[f"mn_{c}"] == tot[f"mx_{c}"]]

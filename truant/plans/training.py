@@ -1,29 +1,23 @@
 """Training job: preprocess -> exact split -> frozen features -> selection ->
 boosted trees -> evaluation -> saved state and model.
 
-Lineage is cut with a reliable checkpoint (``spark.checkpoint.dir``) once the
-feature tables exist, so the learners' many passes re-read materialised
-features instead of recomputing the split, and a lost executor recomputes
-from the checkpoint, not from the raw scan.
+The split is written once as Parquet in the shared folder, so the learners'
+many passes read only their columns of it, and a lost executor re-reads the
+files, not the raw scan.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from truant.operators import clean, encode, evaluate, models, sampling
 from truant.plans import featurize
 from truant.schema import KEY, TARGET
-from truant.session import cut_lineage
-
-# Fixture-sized boosting parameters (the reported tuned values are in
-# ``models.REPORTED_GBT_PARAMS`` and can be passed instead).
-DEFAULT_GBT = {"n_estimators": 30, "max_depth": 5, "learning_rate": 0.1, "subsample": 1.0,
-               "colsample_bytree": 1.0, "gamma": 0.0, "min_child_weight": 1}
+from truant.session import materialize
 
 
 @dataclass
@@ -35,24 +29,15 @@ class Prepared:
     extra: dict = field(default_factory=dict)
 
 
-def prepare(raw: DataFrame, test_size: float = 0.2, seed: int = 42, checkpoint: bool = True) -> Prepared:
-    """Split, fit the frozen state, build both model tables.
-
-    The split is written once as a reliable checkpoint: it cuts the lineage
-    (later plans start from the materialised split, so they are short to
-    analyse and a lost executor recomputes from the checkpoint, not from the
-    raw scan), and the fit and both feature tables read it.  The feature
-    tables are cheap projections of it plus a broadcast lookup, so they are
-    only persisted, not written again.
-    """
+def prepare(raw: DataFrame, test_size: float = 0.2, seed: int = 42) -> Prepared:
+    """Split, fit the frozen state, build and write both model tables."""
     pre = clean.preprocess(raw)
-    split = sampling.stratified_split(pre, TARGET, test_size, seed)
-    split = cut_lineage(split) if checkpoint else split.persist(StorageLevel.MEMORY_AND_DISK)
+    split = materialize(sampling.stratified_split(pre, TARGET, test_size, seed), "split")
     train = split.where(F.col("split") == "train").drop("split")
     test = split.where(F.col("split") == "test").drop("split")
     state = featurize.fit_feature_state(train)
-    ftrain = featurize.apply_features(train, state).persist(StorageLevel.MEMORY_AND_DISK)
-    ftest = featurize.apply_features(test, state).persist(StorageLevel.MEMORY_AND_DISK)
+    ftrain = materialize(featurize.apply_features(train, state), "train")
+    ftest = materialize(featurize.apply_features(test, state), "test")
     return Prepared(ftrain, ftest, state, featurize.feature_columns(ftrain))
 
 
@@ -61,9 +46,10 @@ def scaled(p: Prepared) -> tuple[encode.Scaling, DataFrame, DataFrame]:
     return sc, sc.transform(p.train), sc.transform(p.test)
 
 
-def select_features(p: Prepared, threshold: float = 0.01) -> models.Selection:
+def select_features(p: Prepared, threshold: float = 0.01, **tree) -> models.Selection:
+    """``tree``: tree_rows, tree_depth, tree_min_rows of models.select_important."""
     _, strain, _ = scaled(p)
-    sel = models.select_important(strain, p.train, p.features, TARGET, threshold)
+    sel = models.select_important(strain, p.train, p.features, TARGET, threshold, **tree)
     p.state.selected = sel.features
     return sel
 
@@ -78,23 +64,35 @@ class Trained:
 
 
 def train(raw: DataFrame, params: dict | None = None, select: bool = True, test_size: float = 0.2,
-          seed: int = 42, out_dir: str | None = None, scale_pos_weight: float | None = None) -> Trained:
+          seed: int = 42, out_dir: str | None = None, scale_pos_weight: float | None = None, **tree) -> Trained:
+    """``params`` override models.DEFAULT_GBT_PARAMS (the original's defaults)."""
+    params = {**models.DEFAULT_GBT_PARAMS, **(params or {})}
     p = prepare(raw, test_size, seed)
-    feats = select_features(p).features if select else p.features
+    feats = select_features(p, **tree).features if select else p.features
     p.state.selected = feats
     w = models.pos_weights(p.train, TARGET, scale_pos_weight)
     mf = models.model_frame(p.train, feats, TARGET, w).persist()
-    model = models.fit_gbt(mf, {**DEFAULT_GBT, **(params or {})})
+    try:
+        model = models.fit_gbt(mf, params)
+    finally:
+        mf.unpersist()
     test_mf = models.model_frame(p.test, feats, TARGET, keep=[KEY])
-    pred = models.predict(model, test_mf).select(KEY, F.col("label").cast("int").alias("label"),
-                                                 "SCORE", "PREDICTED_NO_SHOW").persist()
-    a = evaluate.areas(pred, "label", "SCORE").first()
-    rep = {r["class"]: r for r in evaluate.classification_report(pred, "label", "PREDICTED_NO_SHOW").collect()}
-    metrics = {"roc_auc": a["roc_auc"], "pr_auc": a["pr_auc"], "f1": rep["1"]["f1"],
-               "accuracy": rep["accuracy"]["f1"], "n_features": len(feats)}
+    pred = materialize(models.predict(model, test_mf).select(KEY, F.col("label").cast("int").alias("label"),
+                                                             "SCORE", "PREDICTED_NO_SHOW"), "predictions")
+    got = {r["metric"]: r["value"] for r in evaluate.evaluate(pred, pred="PREDICTED_NO_SHOW").collect()}
+    metrics = {"roc_auc": got["roc_auc"], "pr_auc": got["pr_auc"], "f1": got["f1_1"],
+               "accuracy": got["accuracy"], "n_features": len(feats)}
     if out_dir:
-        p.state.extra["params"] = {**DEFAULT_GBT, **(params or {})}
+        p.state.extra["params"] = params
         p.state.save(f"{out_dir}/feature_state")
         model.write().overwrite().save(f"{out_dir}/model")
-    mf.unpersist()
     return Trained(p, model, feats, pred, metrics)
+
+
+def save_params(spark, params: dict, path: str) -> None:
+    """The best parameters of a tuning run, as one line of JSON in the shared store."""
+    spark.createDataFrame([(json.dumps(params),)], "params string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_params(spark, path: str) -> dict:
+    return json.loads(spark.read.text(path).first()[0])
