@@ -30,6 +30,7 @@ def test_quality_on_held_out_rows(llm_spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
     good, bad = [r for r in rows if r.quality == 1], [r for r in rows if r.quality == 0]
     assert sum(r.predicted for r in good) / len(good) > 0.97
+    assert sum(1 - r.predicted for r in bad) / len(bad) > 0.8
     better = sum((g.score > b.score) + (g.score == b.score) / 2 for g in good for b in bad) / (len(good) * len(bad))
     assert better > 0.97
 

@@ -43,7 +43,7 @@ def test_each_stage_against_brute_force(llm_spark, folder, tmp_path):
     learn = F.coalesce(id_crc_mod(F.col("doc_id"), 5) != 0, F.lit(True))
     model = quality.fit(docs.filter(learn), llm_spark.read.parquet(f"{folder}/labels.parquet").filter(learn))
     good, bad = quality._compressor(model.good), quality._compressor(model.bad)
-    x = {i: model.intercept + model.slope * quality.size_difference(t, good, bad) for i, t in rows.items()}
+    x = {i: model.logit(quality.size_difference(t, good, bad), len((t or "").encode())) for i, t in rows.items()}
     for (name, stage), k in zip(corpus_pipeline.STAGES, range(5), strict=True):
         out = stage(llm_spark, docs, folder)
         out.write.parquet(f"{tmp_path}/{k}")
