@@ -34,6 +34,12 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).cast("long").alias("n_cols"))
 
 
+# The output names of the warehouse queries
+# (Total_Appointments, No_Show_Appointments, No_Show_Percentage,
+# Show_Appointments, Show_Percentage, Missed_Appointments, Percentage_Missed,
+# DaysDifference, AgeGroup, Missing_<column>) are used below as they are there.
+
+
 def noshow_overview(df: DataFrame, target: str = TARGET) -> DataFrame:
     """Totals and both percentages in one ungrouped aggregate."""
     n = F.count(F.lit(1))

@@ -15,6 +15,7 @@ from truant.schema import COLUMNS
 
 # ------------------------------------------------------------ shared SQL text
 MISSED = "CASE WHEN NO_SHOW = 'Yes' THEN 1 ELSE 0 END"
+# The age bands of the warehouse question, as SQL.
 CASE_BAND_SQL = ("CASE WHEN AGE BETWEEN 0 AND 12 THEN '0-12' WHEN AGE BETWEEN 13 AND 17 THEN '13-17'"
                  " WHEN AGE BETWEEN 18 AND 30 THEN '18-30' WHEN AGE BETWEEN 31 AND 50 THEN '31-50'"
                  " ELSE '50+' END")
