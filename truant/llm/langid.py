@@ -165,14 +165,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(8), "doc_id"), "doc_id"))
-    picked = written(rows.select("doc_id", "lang").withColumn("nth", nth).filter(F.col("nth") <= rows_a_language).select("doc_id").distinct(), "lang-rows")
     sizes = rows.groupBy("lang").count().orderBy("lang").limit(65).collect()
     languages = [r.lang for r in sizes]
     if len(languages) > 64:
         raise ValueError("more than 64 languages")
     if not languages:
         return LanguageModel([UNDETERMINED], np.zeros(1024, np.uint8))
+    # hashes below a language's limit hold about twice the rows wanted, so that few rows are ranked of any number
+    limits = F.broadcast(spark.createDataFrame([(r.lang, min(1.0, 2 * rows_a_language / r["count"])) for r in sizes], "lang string, below double"))
+    ids = rows.select("lang", "doc_id", F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(1 << 40)).alias("h"))
+    few = ids.join(limits, "lang").filter(F.col("h") < F.col("below") * (1 << 40))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    picked = written(few.withColumn("nth", nth).filter(F.col("nth") <= rows_a_language).select("doc_id").distinct(), "lang-rows")
     number = {x: i for i, x in enumerate(languages)}
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
