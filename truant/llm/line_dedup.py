@@ -37,6 +37,9 @@ from truant.llm._common import keyed_join, written
 from truant.llm.cuckoo import CuckooFilter
 
 MIN_CHARS = 10
+#: What a task holds of a shard: its digests in one batch and its filter.
+REFS_A_SHARD = 200_000
+MIN_SHARDS = 8
 STRIP = " \t\n\x0b\x0c\r"
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -103,7 +106,7 @@ class LineIndex:
 
     @classmethod
     def empty(cls, spark: SparkSession, shards: int = 64, min_chars: int = MIN_CHARS) -> LineIndex:
-        """``shards``: choose so that a shard's digests fit a task, about one shard for a million digests."""
+        """``shards``: choose so that a shard's digests fit a task, see REFS_A_SHARD."""
         return cls(*(spark.createDataFrame([], s) for s in (REFS, COUNTS, FILTERS)), shards, min_chars)
 
     def _shard(self) -> F.Column:
@@ -183,9 +186,13 @@ class LineIndex:
         return rows.withColumn("kept", kept(F.coalesce(F.col(text_col), F.lit("")), F.col("__digests"))).drop("__doc", "__digests")
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, shards: int = 64) -> LineIndex:
-    """The index of all ``docs``, inserted in two batches so that the second meets the filters of the first."""
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, shards: int | None = None) -> LineIndex:
+    """The index of all ``docs``, inserted in two batches so that the second meets the filters of the first.
+
+    Without ``shards`` there is one for every REFS_A_SHARD references, and MIN_SHARDS at least.
+    """
     refs = written(references(docs, id_col, text_col, min_chars), "line-refs")
+    shards = shards or max(MIN_SHARDS, refs.count() // REFS_A_SHARD)
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
     index = LineIndex.empty(docs.sparkSession, shards, min_chars)
     return index.insert_refs(refs.filter(half == 0)).insert_refs(refs.filter(half == 1))
