@@ -226,3 +226,21 @@ def test_without_training_rows(docs_of):
     got = suffix_tree.score_documents(docs_of([(1, "a b"), (2, None)]), F.lit(True)).collect()
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got) == [(1, 0, 0, 0.0, 0.0), (3, 0, 0, 0.0, 0.0)]
     assert suffix_tree.score_documents(docs_of([]), F.lit(False)).count() == 0
+
+
+def test_a_context_counts_as_much_in_a_large_corpus(docs_of, monkeypatch):
+    """Limits are counts: other texts, however many, don't take a context's state away; nor does a context dealt to all buckets change."""
+    own = [(i, "some rare pair of words") for i in range(40)]
+    asked = [(1000, "some rare pair of words")]
+    held = F.col("doc_id") == 1000
+    small = [(2000 + i, f"filler number {i % 7}") for i in range(50)]
+    large = [(2000 + i, "filler number " * 1_000 + str(i)) for i in range(2_000)]
+
+    def gain(rows):
+        r = suffix_tree.score_documents(docs_of(rows), held).filter("doc_id = 1000").first()
+        return r.score - r.base_score, r.score
+
+    few, many = gain(own + asked + small), gain(own + asked + large)
+    assert many[0] > few[0] > 3  # 40 of 4,000,000 tokens are 1e-5
+    monkeypatch.setattr(suffix_tree, "HOT", 20)
+    assert gain(own + asked + large) == pytest.approx(many, rel=1e-9)

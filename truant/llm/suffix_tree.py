@@ -1,13 +1,13 @@
 """Language model scoring with a probabilistic suffix tree over words.
 
 A state of the tree is a context, the last words before the next symbol.
-Contexts of length d that make up P_CONTEXT of the training tokens are counted
-over the whole corpus, d = 1 .. DEPTH.  A context is retained if its next-symbol
-distribution diverges from that of its longest proper suffix by more than the
-number of its entries justifies (likelihood gain over half the logarithm of the
-tokens an entry).  A retained state keeps the next symbols that occur with it in
-P_ENTRY of the tokens; what they leave, and MU tokens more, goes to the suffix's
-distribution:
+Contexts of length d that occur MIN_CONTEXT times in the training texts are
+counted over the whole corpus, d = 1 .. DEPTH.  A context is retained if its
+next-symbol distribution diverges from that of its longest proper suffix by more
+than the number of its entries justifies (likelihood gain over half the
+logarithm of the tokens an entry).  A retained state keeps the next symbols that
+occur with it MIN_ENTRY times; what they leave, and MU tokens more, goes to the
+suffix's distribution:
 
     P(x | s) = (n(s, x) + (n(s) - kept(s) + MU) * P(x | suffix(s))) / (n(s) + MU)
 
@@ -15,18 +15,30 @@ with n(s, x) = 0 for symbols that aren't kept.  At the root stands the smoothed
 unigram distribution of all words.  A token is scored in the longest retained
 suffix of its history.
 
-Words are counted, and looked up, by shuffles.  Only what has a bound goes to
-all tasks: at most 1 / P_WORD frequent words and, a level, 1 / P_CONTEXT states
-and 1 / P_ENTRY entries.
+The limits are counts, not shares, so the tree grows with the corpus and is
+never in one place.  Texts lie in chunks of about CHUNK tokens; the counts of a
+level in buckets by context, each for about BUCKET tokens.  Per level, a chunk
+asks each bucket for its distinct pairs (context, next symbol) with the number
+of times they occur in its training texts and P(next symbol | suffix).  The
+bucket adds them up, judges its contexts and answers with the pair's count and
+the context's sums, from which the chunk has P(next symbol | context) and knows
+which of its contexts are long enough for the next level.  Pairs of contexts
+that occur more than HOT times are dealt to the buckets in SPREAD parts, which
+the buckets add up; these contexts, n / HOT at most, are judged by the sums.
+
+Words and contexts go by 64-bit hashes: among 1e9 pairs two share one with a
+probability of 3 %.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import hashlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -35,19 +47,23 @@ from pyspark.sql import functions as F
 from truant.llm._common import written
 
 DEPTH = 3
-P_WORD = 1e-6
-P_CONTEXT = 1e-5
-P_ENTRY = 1e-6
+MIN_CONTEXT = 16
+MIN_ENTRY = 2
 MU = 5.0
 ADD = 0.1
-#: The symbol after a text's last word; no word holds a line feed.
-END = "\n"
-#: Bits of a symbol in a key (state << BITS | symbol).
+#: Bits of a symbol in a key (state << BITS | symbol) of a SuffixTree.
 BITS = 24
 ANY = (1 << BITS) - 1
-#: Distinct words, and tokens, that a task holds at a time.
-MAX_COUNTER = 400_000
+#: Tokens of a chunk, and those that a bucket is for.
 CHUNK = 1_000_000
+BUCKET = 2_000_000
+MIN_BUCKETS = 8
+#: Contexts that occur more often are dealt to many buckets,
+HOT = 200_000
+#: in so many parts.
+SPREAD = np.uint64(1024)
+#: The symbol after a text's last word; no word's hash is 0.
+END = np.uint64(0)
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -55,28 +71,6 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c) of all texts (text: binary), END once a row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-
-        def out() -> pa.RecordBatch:
-            words = pa.array(held.keys(), pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([words, pa.array(held.values(), pa.int64())], ["word", "c"])
-
-        for b in batches:
-            held[END.encode()] += b.num_rows
-            for t in b.column(0):
-                held.update(tokens(t.as_py() or b""))
-                if len(held) > MAX_COUNTER:
-                    yield out()
-                    held.clear()
-        yield out()
-
-    return docs.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
-
-
 def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Index of each key, -1 where it is missing."""
     if not len(sorted_keys):
@@ -90,6 +84,19 @@ def _keys(state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return np.where((state >= 0) & (symbol >= 0), state << BITS | symbol, -1)
 
 
+def _judge(own: np.ndarray, kept: np.ndarray, left: np.ndarray, gain: np.ndarray, entries: np.ndarray, n: int) -> np.ndarray:
+    """Which contexts are retained.
+
+    ``own``: times the context occurs; ``kept``, ``left``, ``gain`` and
+    ``entries``: sums of c, low, c * log(c / low) and 1 over its entries.
+    """
+    rest = own - kept
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = gain - np.where(kept > 0, kept * np.log(own), 0)
+        gain = gain + np.where(rest > 0, rest * np.log(rest / own / np.maximum(1 - left, 1e-12)), 0)
+    return gain > 0.5 * np.log(max(n, 2)) * entries
+
+
 @dataclass
 class Level:
     """Contexts of one length, in the order of their keys (state of all but the last word, last word)."""
@@ -104,22 +111,12 @@ class Level:
 
 @dataclass
 class SuffixTree:
-    """``root``: probability of each frequent symbol; ``levels``: the states by length."""
+    """A tree in memory, to check the rule by. ``root``: probability of each symbol; ``levels``: the states by length."""
 
     root: np.ndarray
     end: int
     levels: list[Level] = field(default_factory=list)
 
-    def states(self, x: np.ndarray) -> list[np.ndarray]:
-        """Per level the state that ends at each position; texts end with END, over which no context goes."""
-        out, before = [], np.zeros(len(x), np.int64)
-        for level in self.levels:
-            last = np.where(x == self.end, -1, x)
-            now = _find(level.contexts, _keys(before, last))
-            out.append(now)
-            before = np.concatenate(([-1], now[:-1]))
-        return out
-
     def probability(self, depth: int, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """P(symbol | state) of states of one length."""
         if not depth or not len(state):
@@ -131,22 +128,6 @@ class SuffixTree:
         high = np.where(at >= 0, kept, level.backoff[state] * low)
         return np.where(level.retained[state], high, low)
 
-    def log10_scores(self, x: np.ndarray) -> np.ndarray:
-        """log10 P of each position in its longest retained state; for a symbol of -1 (not frequent) without the root's factor."""
-        score, open_ = np.zeros(len(x)), np.ones(len(x), bool)
-        states = [np.concatenate(([-1], s[:-1])) for s in self.states(x)]
-        for level, state in zip(reversed(self.levels), reversed(states), strict=True):
-            at = np.flatnonzero(open_ & (state >= 0))
-            at = at[level.retained[state[at]]]
-            entry = _find(level.entries, _keys(state[at], x[at]))
-            hit = entry >= 0
-            score[at[hit]] += np.log10(level.p[entry[hit]])
-            open_[at[hit]] = False
-            score[at[~hit]] += np.log10(level.backoff[state[at[~hit]]])
-        rest = open_ & (x >= 0)
-        score[rest] += np.log10(self.root[x[rest]])
-        return score
-
     def add_level(self, counts: dict[str, np.ndarray], n: int) -> None:
         """Retain the states of the last level whose distribution diverges; counts: key and n, ANY for a state's own count."""
         level, depth = self.levels[-1], len(self.levels)
@@ -160,10 +141,7 @@ class SuffixTree:
         low = self.probability(depth - 1, level.suffix[state], symbol)
         kept, left = np.bincount(state, c, size), np.bincount(state, low, size)
         rest = own - kept
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = np.bincount(state, c * np.log(c / own[state] / low), size)
-            gain += np.where(rest > 0, rest * np.log(rest / own / np.maximum(1 - left, 1e-12)), 0)
-        level.retained = gain > 0.5 * np.log(max(n, 2)) * np.bincount(state, minlength=size)
+        level.retained = _judge(own, kept, left, np.bincount(state, c * np.log(c / low), size), np.bincount(state, minlength=size), n)
         level.backoff = np.where(own > 0, (rest + MU) / (own + MU), 1.0)
         stay = level.retained[state]
         level.entries = key[stay]
@@ -182,145 +160,320 @@ class SuffixTree:
         self.levels.append(Level(key, suffix))
 
 
-@dataclass
-class Corpus:
-    """Texts as symbols: ``encoded`` (uid, doc_id, held_out, n_tokens, ids, rare, rare_n) and the words' counts."""
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def _longer(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Hash of a context with a symbol after it; different symbols of one context never share one."""
+    return _mix(_mix(context) * np.uint64(0x9E3779B97F4A7C15) + symbol)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, a place of each, and which of them each key is; faster than np.unique."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    begins = np.ones(len(keys), bool)
+    begins[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(begins) - 1
+    return ordered[begins], order[begins], which
+
+
+def _pack(**arrays: np.ndarray) -> bytes:
+    """Arrays, compressed; integers by their bytes' places, as most are small."""
+    def raw(a: np.ndarray) -> bytes:
+        return (a.view(np.uint8).reshape(len(a), -1).T if a.dtype.kind == "i" else a).tobytes()
+
+    data = pickle.dumps({k: (a.dtype.str, raw(a)) for k, a in arrays.items()}, 5)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpack(blob: bytes) -> dict[str, np.ndarray]:
+    data = pickle.loads(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True))
+    out = {}
+    for k, (kind, raw) in data.items():
+        kind = np.dtype(kind)
+        if kind.kind == "i":
+            raw = np.frombuffer(raw, np.uint8).reshape(kind.itemsize, -1).T.tobytes()
+        out[k] = np.frombuffer(raw, kind)
+    return out
+
+
+@dataclass(frozen=True)
+class Limits:
+    """Training tokens ``n``, ``buckets``, and the counts a frequent word, a context and an entry need."""
 
-    encoded: DataFrame
-    vocabulary: DataFrame
     n: int
-    v: int
-    frequent: list[tuple[str, int]]
+    buckets: int
+    word: float
+    context: float
+    entry: float
+    hot: int
 
 
-def encode(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", p_word: float = P_WORD) -> Corpus:
-    """Count the words of the rows that aren't held out, and write all rows as symbols."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.coalesce(held_out, F.lit(True)).alias("held_out"))
-    vocabulary = written(word_counts(rows.filter("not held_out")), "lm-words").filter("c > 0")
-    n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    often = vocabulary.filter((F.col("c") >= p_word * n) | (F.col("word") == END))
-    frequent = sorted(((r.word, r.c) for r in often.collect()), key=lambda r: (-r[1], r[0]))  # 1 / p_word and END at most
-    if END not in dict(frequent):
-        frequent.append((END, 0))
-    number = spark.sparkContext.broadcast({w.encode(): i for i, (w, _) in enumerate(frequent)})
+def encode(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(chunk, tokens, state) of all rows, ``tokens`` the number of those to learn from.
+
+    A state holds the documents (doc_id, null, held, size), the distinct words
+    and the place x among them of each token.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
+                       F.coalesce(held_out, F.lit(True)).alias("held_out"))
+    limit = CHUNK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, uid = number.value, TaskContext.get().partitionId() << 40
-        end = find[END.encode()]
+        chunk = TaskContext.get().partitionId() << 32
+        ids, held, texts, size, places = [], [], [], 0, {b"\n": 0}
+
+        def out() -> pa.RecordBatch:
+            sizes = np.array([len(t) for t in texts], np.int64)
+            learned = int(sizes[~np.array(held, bool)].sum())
+            words = [int(END), *(int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little") or 1 for w in list(places)[1:])]
+            state = _pack(doc_id=np.array([i or 0 for i in ids], np.int64), null=np.array([i is None for i in ids], bool),
+                          held=np.array(held, bool), size=sizes, words=np.array(words, np.uint64), x=np.concatenate(texts))
+            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([learned], pa.int64()), pa.array([state], pa.binary())],
+                                              ["chunk", "tokens", "state"])
+
         for b in batches:
-            ids, rare, rare_n, sizes = [], [], [], []
-            for t in b.column(1):
-                words = tokens(t.as_py() or b"")
-                x = [find.get(w, -1) for w in words]
-                few = Counter(w for w, i in zip(words, x, strict=True) if i < 0)
-                ids.append(np.array([*x, end], "<i4").tobytes())
-                rare.append([w.decode() for w in few])
-                rare_n.append(list(few.values()))
-                sizes.append(len(x) + 1)
-            uids = pa.array(np.arange(uid, uid + b.num_rows, dtype=np.int64))
-            uid += b.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [uids, b.column(0), b.column(2), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
-                 pa.array(rare, pa.list_(pa.string())), pa.array(rare_n, pa.list_(pa.int64()))],
-                ["uid", "doc_id", "held_out", "n_tokens", "ids", "rare", "rare_n"])
-
-    schema = "uid long, doc_id long, held_out boolean, n_tokens long, ids binary, rare array<string>, rare_n array<long>"
-    return Corpus(written(rows.mapInArrow(run, schema), "lm-encoded"), vocabulary, n, v, frequent)
-
-
-def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """(uids, symbols, sizes) of texts, about CHUNK symbols at a time."""
-    uids, held, size = [], [], 0
-    for b in batches:
-        for u, ids in zip(b.column(0).to_pylist(), b.column(column), strict=True):
-            uids.append(u)
-            held.append(np.frombuffer(ids.as_py(), "<i4"))
-            size += len(held[-1])
-            if size >= CHUNK:
-                yield uids, np.concatenate(held).astype(np.int64), np.array([len(x) for x in held])
-                uids, held, size = [], [], 0
-    if held:
-        yield uids, np.concatenate(held).astype(np.int64), np.array([len(x) for x in held])
-
-
-def count_level(corpus: Corpus, tree: SuffixTree, p_entry: float) -> dict[str, np.ndarray]:
-    """Counts of (state of the last level, next symbol) over all training texts, entries of P_ENTRY and more."""
-    shared = corpus.encoded.sparkSession.sparkContext.broadcast(tree)
+            for i, text, h in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+                x = [places.setdefault(w, len(places)) for w in tokens(text.as_py() or b"")]
+                x.append(0)
+                ids.append(i)
+                held.append(h)
+                texts.append(np.array(x, np.int32))
+                size += len(x)
+                if size >= limit:
+                    yield out()
+                    chunk, ids, held, texts, size, places = chunk + 1, [], [], [], 0, {b"\n": 0}
+        if texts:
+            yield out()
+
+    return rows.mapInArrow(run, "chunk long, tokens long, state binary")
+
+
+@dataclass
+class _Asked:
+    """What a chunk asks on a level, in the buckets' order: of each pair its first position, bucket and context.
+
+    ``which``: the pair at each position ``at``; ``cuts``, ``runs``: where a
+    bucket, and a context in a bucket, begins.
+    """
+
+    at: np.ndarray
+    x: np.ndarray
+    contexts: np.ndarray
+    first: np.ndarray
+    bucket: np.ndarray
+    which: np.ndarray
+    pair: np.ndarray
+
+    @classmethod
+    def of(cls, s: dict[str, np.ndarray], depth: int, limits: Limits) -> _Asked:
+        if depth == 0:
+            at, x, pair, first, which = np.arange(len(s["x"])), s["x"], s["words"], np.arange(len(s["words"])), s["x"]
+            by, contexts = pair, pair
+        else:
+            at, x, h = np.flatnonzero(s["live"]), s["words"][s["x"]], None
+            for _ in range(depth):
+                h = np.concatenate(([END], (_mix(x) if h is None else _longer(h, x))[:-1]))
+            contexts = h[at]
+            pair, first, which = _distinct(_longer(contexts, x[at]))
+            by = np.where(s["hot"][first], _longer(contexts[first], pair % SPREAD), contexts[first])
+            contexts = contexts[first]
+        by = _mix(by)
+        order = np.argsort(by)
+        bucket = ((by >> np.uint64(32)) * np.uint64(limits.buckets) >> np.uint64(32)).astype(np.int64)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return cls(at, x, contexts[order], first[order], bucket[order], place[which], pair[order])
+
+    @property
+    def cuts(self) -> np.ndarray:
+        return np.flatnonzero(np.diff(self.bucket, prepend=-1))
+
+    @property
+    def runs(self) -> np.ndarray:
+        """True where a context begins."""
+        out = np.diff(self.bucket, prepend=-1) != 0
+        out[1:] |= self.contexts[1:] != self.contexts[:-1]
+        return out
+
+
+def _often(s: dict[str, np.ndarray], limits: Limits) -> np.ndarray:
+    """Which of a chunk's words can be entries."""
+    return (s["c"] >= limits.word) | (s["words"] == END)
+
+
+def _questions(depth: int, limits: Limits):
+    """States to (bucket, chunk, question)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, x, _sizes in _chunks(batches, 1):
-            state = shared.value.states(x)[-1]
-            state, symbol = state[:-1], x[1:]
-            at = state >= 0
-            state, symbol = state[at], symbol[at]
-            keys = np.concatenate([_keys(state, symbol)[symbol >= 0], state << BITS | ANY])
-            k, n = np.unique(keys, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], ["key", "n"])
-
-    rows = corpus.encoded.filter("not held_out").select("uid", "ids").mapInArrow(run, "key long, n long")
-    counts = rows.groupBy("key").agg(F.sum("n").alias("n"))
-    own = F.col("key").bitwiseAND(F.lit(ANY)) == ANY
-    table = counts.filter(own | (F.col("n") >= p_entry * corpus.n)).toPandas()
-    return {"key": table["key"].to_numpy(np.int64), "n": table["n"].to_numpy(np.int64)}
-
-
-def fit(corpus: Corpus, depth: int = DEPTH, p_context: float = P_CONTEXT, p_entry: float = P_ENTRY) -> SuffixTree:
-    """The tree of a corpus; without training tokens just its root."""
-    c = np.array([c for _, c in corpus.frequent], float)
-    end = next(i for i, (w, _) in enumerate(corpus.frequent) if w == END)
-    tree = SuffixTree((c + ADD) / (corpus.n + ADD * (corpus.v + 1)), end)
-    keys = np.flatnonzero((c >= p_context * corpus.n) & (np.arange(len(c)) != end) & (c > 0)).astype(np.int64)
-    for d in range(1, depth + 1):
-        if not len(keys):
-            break
-        tree.grow(keys)
-        counts = count_level(corpus, tree, p_entry)
-        tree.add_level(counts, corpus.n)
-        symbol = counts["key"] & ANY
-        keys = np.sort(counts["key"][(symbol != ANY) & (symbol != end) & (counts["n"] >= p_context * corpus.n)])
-    return tree
-
-
-def score(corpus: Corpus, tree: SuffixTree) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of all encoded rows."""
-    spark = corpus.encoded.sparkSession
-    shared = spark.sparkContext.broadcast(tree)
-    known_ids = spark.sparkContext.broadcast(np.array([c > 0 for _, c in corpus.frequent]))
+        for b in batches:
+            for chunk, state in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                s = _unpack(state.as_py())
+                q = _Asked.of(s, depth, limits)
+                learned = np.repeat(~s["held"], s["size"])[q.at]
+                rows = {"n": np.bincount(q.which[learned], minlength=len(q.first)).astype(np.int32), "pair": q.pair}
+                if depth:
+                    rows |= {"often": _often(s, limits)[s["x"][q.at[q.first]]], "low": s["p"][q.first]}
+                    begins, hot = q.runs, s["hot"][q.first]
+                cuts, blobs = q.cuts, []
+                for i, j in zip(cuts, np.append(cuts, len(q.bucket))[1:], strict=True):
+                    part = {k: v[i:j] for k, v in rows.items()}
+                    if depth:
+                        r = np.flatnonzero(begins[i:j])
+                        part |= {"context": q.contexts[i:j][r], "hot": hot[i:j][r], "run": np.diff(r, append=j - i).astype(np.int32)}
+                    blobs.append(_pack(**part))
+                yield pa.RecordBatch.from_arrays([pa.array(q.bucket[cuts].astype(np.int32)), pa.array([chunk] * len(cuts), pa.int64()), pa.array(blobs, pa.binary())],
+                                                 ["bucket", "chunk", "question"])
+
+    return run
+
+
+ANSWER = "chunk long, bucket int, answer binary, context long, own double, kept double, left double, gain double, entries double"
+
+
+def _answers(depth: int, limits: Limits):
+    """All questions to a bucket, to its answers and, with a null chunk, the sums of hot contexts (on level 0 ``own``: words met)."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        asked = [_unpack(q) for q in rows["question"]]
+        cuts = np.cumsum([len(q["n"]) for q in asked])[:-1]
+        q = {k: np.concatenate([a[k] for a in asked]) for k in asked[0]}
+        context_cuts = np.cumsum([len(a["run"]) for a in asked])[:-1] if depth else None
+        asked.clear()
+        _, first, which = _distinct(q["pair"])
+        c = np.bincount(which, q["n"], len(first))
+        answer = {"c": (c.astype(np.int64)[which], cuts)}
+        sums = pd.DataFrame({"context": [0], "own": [float((c > 0).sum())]})
+        if depth:
+            contexts, _, of = _distinct(q["context"])
+            state, low, size = np.repeat(of, q["run"])[first], q["low"][first], len(contexts)
+            entry = q["often"][first] & (c >= limits.entry)
+            own, entries = np.bincount(state, c, size), np.bincount(state, entry, size)
+            kept, left = np.bincount(state, c * entry, size), np.bincount(state, low * entry, size)
+            gain = np.bincount(state, np.where(entry, c * np.log(np.where(entry, c / low, 1.0)), 0.0), size)
+            retained = _judge(own, kept, left, gain, entries, limits.n)
+            answer |= {"own": (own.astype(np.int64)[of], context_cuts), "kept": (kept.astype(np.int64)[of], context_cuts), "retained": (retained[of], context_cuts)}
+            shared = np.bincount(of, q["hot"], size) > 0
+            sums = pd.DataFrame({"context": contexts.view(np.int64), "own": own, "kept": kept, "left": left, "gain": gain, "entries": entries})[shared]
+        parts = {k: np.split(v, at) for k, (v, at) in answer.items()}
+        blobs = [_pack(**{k: v[i] for k, v in parts.items()}) for i in range(len(rows))]
+        out = pd.DataFrame({"chunk": rows["chunk"], "bucket": key[0], "answer": blobs})
+        names = [x.split()[0] for x in ANSWER.split(", ")]
+        return pd.concat([out.reindex(columns=names).astype(object), sums.reindex(columns=names).astype(object)], ignore_index=True)
+
+    return run
+
+
+def _told(depth: int, last: bool, limits: Limits, v: int, hot):
+    """A state and its answers, to the state of the next level.
+
+    It has the documents' sums of log10 P over the positions that are done, and
+    p of those whose longer context is ``live``.
+    """
+
+    def run(key: tuple, states: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        s = _unpack(states["state"].iloc[0])
+        q = _Asked.of(s, depth, limits)
+        told = [_unpack(a) for a in answers.sort_values("bucket")["answer"]]
+        told = {k: np.concatenate([a[k] for a in told]) for k in told[0]} if told else {k: np.zeros(0, np.int64) for k in ("c", "own", "kept", "retained")}
+        at, starts, size = q.at, np.cumsum(s["size"]) - s["size"], len(s["x"])
+        c = told["c"][q.which]
+        if depth == 0:
+            s["c"] = np.empty(len(s["words"]), np.int64)
+            s["c"][q.first] = told["c"]
+            root = (s["c"] + ADD) / (limits.n + ADD * (v + 1))
+            p = root[s["x"]]
+            s["base"], s["known"] = np.add.reduceat(np.log10(p), starts), np.add.reduceat((c > 0).astype(np.int64), starts)
+            s["total"], many = np.zeros(len(starts)), c >= limits.context
+        else:
+            of, low = (np.cumsum(q.runs) - 1)[q.which], s["p"]
+            own, kept, retained = (told[k][of] for k in ("own", "kept", "retained"))
+            if s["hot"].any():
+                contexts, *whole = hot.value
+                h = _find(contexts, q.contexts[q.which][s["hot"]].view(np.int64))
+                own[s["hot"]], kept[s["hot"]], retained[s["hot"]] = (a[h] for a in whole)
+            entry = _often(s, limits)[s["x"][at]] & (c >= limits.entry)
+            p = np.where(retained, (np.where(entry, c, 0) + (own - kept + MU) * low) / (own + MU), low)
+            many = c >= max(limits.context, limits.entry)
+        goes_on = many & (s["x"][at] != 0) & _often(s, limits)[s["x"][at]] & (not last)
+        live, whole, counts = np.zeros(size, bool), np.ones(size), np.zeros(size, np.int64)
+        live[at[goes_on] + 1] = True
+        counts[at[goes_on] + 1] = c[goes_on]
+        whole[at] = p
+        s["total"] = s["total"] + np.add.reduceat(np.where(live, 0.0, np.log10(whole)), starts)
+        if last:
+            s = {k: s[k] for k in ("doc_id", "null", "held", "size", "base", "known", "total")}
+        else:
+            s |= {"live": live, "p": whole[live], "hot": counts[live] > limits.hot}
+        return pd.DataFrame({"chunk": [key[0]], "state": [_pack(**s)]})
+
+    return run
+
+
+def _discard(df: DataFrame) -> None:
+    """Delete the files of a written table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def levels(docs: DataFrame, held_out, id_col: str, text_col: str, depth: int, p_word: float, p_context: float, p_entry: float) -> tuple[DataFrame, int]:
+    """(chunk, state) after the last level, and the training tokens."""
+    spark = docs.sparkSession
+    states = written(encode(docs, held_out, id_col, text_col), "lm-encoded")
+    n = states.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    limits = Limits(n, max(MIN_BUCKETS, -(-n // BUCKET)), p_word * n, max(MIN_CONTEXT, p_context * n), max(MIN_ENTRY, p_entry * n), HOT)
+    v, hot = 0, None
+    for d in range(depth + 1):
+        questions = states.select("chunk", "state").mapInArrow(_questions(d, limits), "bucket int, chunk long, question binary")
+        answers = written(questions.groupBy("bucket").applyInPandas(_answers(d, limits), ANSWER), f"lm-answers-{d}")
+        sums = answers.filter("chunk is null").groupBy("context").agg(*[F.sum(c).alias(c) for c in ("own", "kept", "left", "gain", "entries")])
+        sums = sums.orderBy("context").toPandas()  # n / HOT at most
+        if d == 0:
+            v = int(sums["own"].sum())
+        else:
+            a = {k: sums[k].to_numpy() for k in sums}
+            retained = _judge(a["own"], a["kept"], a["left"], a["gain"], a["entries"], n)
+            hot = spark.sparkContext.broadcast((a["context"], a["own"].astype(np.int64), a["kept"].astype(np.int64), retained))
+        own = answers.filter("chunk is not null").select("chunk", "bucket", "answer")
+        told = states.select("chunk", "state").groupBy("chunk").cogroup(own.groupBy("chunk")).applyInPandas(
+            _told(d, d == depth, limits, v, hot), "chunk long, state binary")
+        before, states = states, written(told, f"lm-states-{d}")
+        _discard(before)
+        _discard(answers)
+    return states, n
+
+
+def score(states: DataFrame, n: int) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, known = shared.value, known_ids.value
-        root = np.log10(tree.root)
-        for uids, x, sizes in _chunks(batches, 1):
-            starts = np.cumsum(sizes) - sizes
-            seen = x >= 0
-            parts = [np.where(seen, root[x], 0.0), tree.log10_scores(x), (seen & known[x]).astype(np.int64)]
-            sums = [np.add.reduceat(p, starts) for p in parts]
-            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), *map(pa.array, sums)], ["uid", "base", "tree", "known"])
-
-    total = corpus.n + ADD * (corpus.v + 1)
-    words = corpus.encoded.filter("size(rare) > 0").select("uid", F.explode(F.arrays_zip("rare", "rare_n")).alias("w")).select(
-        "uid", F.col("w.rare").alias("word"), F.col("w.rare_n").alias("times"))
-    c = F.coalesce("c", F.lit(0))
-    rare = words.join(corpus.vocabulary, "word", "left").groupBy("uid").agg(
-        F.sum(F.col("times") * F.log10((c + F.lit(ADD)) / F.lit(total))).alias("rare_score"),
-        F.sum(F.when(c > 0, F.col("times")).otherwise(F.lit(0))).alias("rare_known"))
-    often = corpus.encoded.select("uid", "ids").mapInArrow(run, "uid long, base double, tree double, known long")
-    rows = corpus.encoded.select("uid", "doc_id", "held_out", "n_tokens").join(often, "uid").join(rare, "uid", "left")
-    rare_score = F.coalesce("rare_score", F.lit(0.0))
-    return rows.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(corpus.n).cast("long").alias("train_tokens"), (F.col("base") + rare_score).alias("base_score"), (F.col("tree") + rare_score).alias("score"))
+        for b in batches:
+            for state in b.column(0):
+                s = _unpack(state.as_py())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(s["doc_id"], mask=s["null"]), pa.array(s["held"]), pa.array(s["size"]), pa.array(s["known"]),
+                     pa.array(np.full(len(s["size"]), n, np.int64)), pa.array(s["base"]), pa.array(s["total"])],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return states.select("state").mapInArrow(run, schema)
 
 
 def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-                    p_word: float = P_WORD, p_context: float = P_CONTEXT, p_entry: float = P_ENTRY) -> DataFrame:
+                    p_word: float = 0.0, p_context: float = 0.0, p_entry: float = 0.0) -> DataFrame:
     """Score every row of ``docs`` with a tree of the rows for which the column ``held_out`` is false.
 
-    A null text is an empty one, whose only token is END; a row for which
-    ``held_out`` is null (a null id) isn't learned from and counts as held out;
-    repeated rows are learned and scored as often as they come.  An empty table
-    gives an empty result.  Other columns are not read.
+    ``p_word``, ``p_context`` and ``p_entry`` ask further for these shares of the
+    training tokens.  A null text is an empty one, whose only token is END; a row
+    for which ``held_out`` is null (a null id) isn't learned from and counts as
+    held out; repeated rows are learned and scored as often as they come.  An
+    empty table gives an empty result.  Other columns are not read.
     """
-    corpus = encode(docs, held_out, id_col, text_col, p_word)
-    return score(corpus, fit(corpus, depth, p_context, p_entry))
+    return score(*levels(docs, held_out, id_col, text_col, depth, p_word, p_context, p_entry))
