@@ -73,6 +73,31 @@ def test_inserts_and_deletes_are_reversible(llm_spark, docs_of):
     assert got(some.insert(docs_of([r for r in rows if r[0] in gone])), docs_of(rows)) == want(rows)
 
 
+def colliding_lines():
+    """Two lines with one tag and one bucket in a filter of the least size."""
+    seen = {}
+    table = CuckooFilter(2).tables[0]
+    for i in range(200_000):
+        line = f"line number {i}"
+        key = np.frombuffer(line_dedup.line_digest(line)[:8], "<u8")
+        tag, bucket = table._place(key)
+        pair = int(tag[0]), min(int(bucket[0]), int(table._other(tag, bucket)[0]))
+        if pair in seen:
+            return seen[pair], line
+        seen[pair] = line
+
+
+def test_insert_delete_insert_with_equal_tags(llm_spark, docs_of):
+    a, b = colliding_lines()
+    one = line_dedup.LineIndex.empty(llm_spark, shards=1).insert(docs_of([(1, a)]))
+    two = one.insert(docs_of([(2, b)]))  # b is a false positive
+    left = two.delete(docs_of([(1, a)]).select("doc_id"))
+    back = left.insert(docs_of([(3, b), (4, a)]))
+    assert [(r.refs, r.owner) for r in back.repeated().collect()] == [(2, 2)]
+    rows = [(2, b), (3, b), (4, a)]
+    assert got(back, docs_of(rows)) == want(rows)
+
+
 def test_filter_knows_what_it_holds():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 1 << 63, 60_000).astype(np.uint64)

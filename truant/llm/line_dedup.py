@@ -13,9 +13,11 @@ index keeps, in tables of the shared folder:
 
 ``insert`` asks the filters first: a digest that its shard's filter does not
 know has no old references, so only known ones are looked up in the exact
-tables.  ``delete`` takes documents out of ``refs``, recounts just the digests
-that they held, and takes those without references out of the filters.  Filters
-only spare lookups; every decision comes from the exact tables.
+tables; those without old references, the false positives, get a tag of their
+own too.  ``delete`` takes documents out of ``refs``, recounts just the digests
+that they held, and builds the filters of the shards in which some have no
+references left anew from the counts.  Filters only spare lookups; every
+decision comes from the exact tables.
 
 All state is immutable Parquet: a method returns a new index, and the old one
 stays valid.
@@ -87,9 +89,15 @@ def _insert_shard(key: tuple, batch: pd.DataFrame, filters: pd.DataFrame) -> pd.
     return pd.concat([out, pd.DataFrame([{"shard": key[0], "known": False, "filter": f.dumps()}])], ignore_index=True)
 
 
-def _delete_shard(key: tuple, dead: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
-    f = _load(filters, 1)
-    f.delete(_keys(dead["digest"]))
+def _add_shard(key: tuple, fresh: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
+    f = _load(filters, 2 * len(fresh))
+    f.insert(_keys(fresh["digest"]))
+    return pd.DataFrame([{"shard": key[0], "filter": f.dumps()}])
+
+
+def _rebuild_shard(key: tuple, dead: pd.DataFrame, live: pd.DataFrame) -> pd.DataFrame:
+    f = CuckooFilter(2 * len(live))
+    f.insert(_keys(live["digest"]))
     return pd.DataFrame([{"shard": key[0], "filter": f.dumps()}])
 
 
@@ -135,7 +143,10 @@ class LineIndex:
         old = self._last(self.counts, "digest").join(met.select("digest"), "digest", "left_semi").select("digest", "refs", "owner")
         both = met.union(old).groupBy("digest").agg(F.sum("refs").alias("refs"), F.min("owner").alias("owner"))
         counts = written(new.union(both).withColumn("gen", F.lit(gen)), "line-counts")
-        filters = asked.filter("filter is not null").select("shard", F.lit(gen).alias("gen"), "filter")
+        held = old.filter("refs > 0").select("digest")
+        fresh = written(rows.filter("known").join(held, "digest", "left_anti").select("shard", "digest"), "line-fresh")
+        filters = written(fresh.groupBy("shard").cogroup(asked.filter("filter is not null").select("shard", "filter").groupBy("shard")).applyInPandas(
+            _add_shard, "shard int, filter binary").select("shard", F.lit(gen).alias("gen"), "filter"), "line-filters")
         return LineIndex(self.refs.union(refs), self.counts.union(counts), self.filters.union(filters), self.shards, self.min_chars, gen)
 
     def delete(self, ids: DataFrame) -> LineIndex:
@@ -147,9 +158,10 @@ class LineIndex:
         left = (refs.groupBy("digest").agg(F.count_distinct("doc_id").alias("refs"), F.min("doc_id").alias("owner")))
         counts = written(touched.join(left, "digest", "left").select(
             "digest", F.coalesce("refs", F.lit(0).cast("long")).alias("refs"), "owner", F.lit(gen).alias("gen")), "line-counts")
-        dead = counts.filter("refs = 0").select(self._shard(), "digest")
-        filters = written(dead.groupBy("shard").cogroup(self._last(self.filters, "shard").groupBy("shard")).applyInPandas(
-            _delete_shard, "shard int, filter binary").select("shard", F.lit(gen).alias("gen"), "filter"), "line-filters")
+        dead = counts.filter("refs = 0").select(self._shard()).distinct()
+        live = self._last(self.counts.union(counts), "digest").filter("refs > 0").select(self._shard(), "digest").join(dead, "shard", "left_semi")
+        filters = written(dead.groupBy("shard").cogroup(live.groupBy("shard")).applyInPandas(
+            _rebuild_shard, "shard int, filter binary").select("shard", F.lit(gen).alias("gen"), "filter"), "line-filters")
         return LineIndex(refs, self.counts.union(counts), self.filters.union(filters), self.shards, self.min_chars, gen)
 
     def repeated(self) -> DataFrame:
