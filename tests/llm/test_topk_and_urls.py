@@ -85,6 +85,14 @@ def test_templates_generalise_and_reject(llm_spark):
     assert url_filter.verdicts(pages(llm_spark, []), RULES).count() == 0
 
 
+def test_sections_of_a_large_host_stay_apart(llm_spark):
+    urls = [f"http://h.com/section{i % 100}/{i}" for i in range(3_000)]  # 1 % of the host each
+    labelled = pages(llm_spark, urls).drop("bad").selectExpr("*", "case when page_id < 1500 then int(url like '%/section7/%') end as bad")
+    rows = url_filter.verdicts(labelled, [], bad_col="bad").collect()
+    assert {r.verdict for r in rows if "/section7/" in r.path} == {"block"}
+    assert {r.verdict for r in rows if "/section7/" not in r.path} == {"allow"}
+
+
 @pytest.mark.parametrize("name", ["op2_url_filter", "op5_warc_archive", "op9_exact_top_k", "op1_benchmark_decontamination", "op7_line_dedup"])
 def test_query_equals_its_sql(llm_spark, name):
     con = duckdb.connect()

@@ -1,9 +1,8 @@
 """URL verdicts: rules first, then a tree of path templates per host. DataFrame operations only.
 
 The tree grows level by level.  Below a node, a path segment stays literal if
-it has at least MIN_ROWS rows and the share MIN_SHARE of the node's; all others
-become the wildcard ``*`` (with a usual file ending kept).  So a node has at
-most 1 / MIN_SHARE literal children.  Sibling templates whose labelled purities
+it has at least MIN_ROWS rows, however many the node has; all others become the
+wildcard ``*`` (with a usual file ending kept).  Sibling templates whose labelled purities
 don't differ significantly are merged.  The share of bad labels of a merged
 template is smoothed towards that of the same templates on all hosts, and that
 towards the share in all labels; templates above the threshold are rejected.
@@ -17,7 +16,8 @@ from pyspark.sql import functions as F
 from truant.llm._common import HOT_SHARE, ascii_lower, written
 
 MIN_ROWS = 20
-MIN_SHARE = 0.02
+#: The share of its node's rows that a literal segment needs: none (the SQL names it).
+MIN_SHARE = 0.0
 MAX_DEPTH = 6
 MIN_LABELS = 5
 #: 95 % point of chi-square with one degree of freedom.
@@ -55,9 +55,7 @@ def _grow(rows: DataFrame, depth: int) -> DataFrame:
     """The column ``template`` one segment longer, where the path goes on."""
     rows = rows.withColumn("segment", F.when(F.size("segments") > depth, F.get("segments", F.lit(depth))))
     counts = written(rows.filter("segment is not null").groupBy("host", "template", "segment").agg(F.count("*").alias("n")), "url-children")
-    totals = counts.groupBy("host", "template").agg(F.sum("n").alias("total"))
-    kept = written(counts.filter(F.col("n") >= MIN_ROWS).join(totals, ["host", "template"]).filter(
-        F.col("n") >= MIN_SHARE * F.col("total")).select("host", "template", "segment", "n").withColumn("literal", F.lit(True)), "url-literals")
+    kept = written(counts.filter(F.col("n") >= MIN_ROWS).select("host", "template", "segment", "n").withColumn("literal", F.lit(True)), "url-literals")
     ending = F.regexp_extract("segment", f"\\.({ENDINGS})$", 0)
     child = F.when(F.col("literal"), F.col("segment")).otherwise(F.concat(F.lit("*"), ending))
     longer = F.when(F.col("segment").isNotNull(), F.concat("template", F.lit("/"), child)).otherwise(F.col("template"))
