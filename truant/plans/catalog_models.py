@@ -21,13 +21,12 @@ from truant.plans.oracle_sql import DAYS_TILL_SQL, PREPROCESSED_SQL, split_ctes,
 from truant.schema import KEY, TARGET
 from truant.session import scratch_path
 
-QUICK_GBT = {"n_estimators": 5, "max_depth": 4, "learning_rate": 0.3}
 QUICK_TRAIN = {"n_estimators": 30, "max_depth": 5, "learning_rate": 0.1}
-QUICK_SPACE = {"n_estimators": (3, 8, "int"), "max_depth": (3, 5, "int"),
+CV_GBT = {"n_estimators": 20, "max_depth": 4, "learning_rate": 0.1}
+QUICK_SPACE = {"n_estimators": (10, 30, "int"), "max_depth": (3, 6, "int"),
                "learning_rate": (0.05, 0.2, "float"), "gamma": (0.0, 0.5, "float"),
                "colsample_bytree": (0.5, 1.0, "float"), "subsample": (0.6, 1.0, "float"),
                "min_child_weight": (1, 10, "int")}
-QUICK_TREE = {"tree_depth": 12, "tree_min_rows": 5}
 
 _SPLIT = dict(p=PREPROCESSED_SQL, **split_ctes("p", "sp"))
 
@@ -37,7 +36,7 @@ def _prepared(spark, sf) -> training.Prepared:
 
 
 def _quick(spark, sf) -> training.Trained:
-    return training.train(appointments(spark, sf), params=QUICK_GBT, select=False)
+    return training.train(appointments(spark, sf), params=QUICK_TRAIN)
 
 
 def _weights(p: training.Prepared) -> dict:
@@ -56,7 +55,7 @@ def q_fit_logistic(spark, sf):
 @query("fit_tree")
 def q_fit_tree(spark, sf):
     p = _prepared(spark, sf)
-    m = models.fit_tree(models.model_frame(p.train, p.features, TARGET, _weights(p)), max_depth=12, min_rows=5)
+    m = models.fit_tree(models.model_frame(p.train, p.features, TARGET, _weights(p)))
     return models.importance_frame(spark, models.importances(m, p.features))
 
 
@@ -70,7 +69,7 @@ def q_fit_forest(spark, sf):
 @query("select_important")
 def q_select_important(spark, sf):
     """Union of |coef| >= 0.01 (logistic) and importance >= 0.01 (tree)."""
-    sel = training.select_features(_prepared(spark, sf), **QUICK_TREE)
+    sel = training.select_features(_prepared(spark, sf))
     coef, imp = dict(sel.logistic), dict(sel.tree)
     return spark.createDataFrame([(f, coef.get(f), imp.get(f)) for f in sel.features],
                                  "Feature string, Coefficient double, Importance double")
@@ -121,14 +120,14 @@ def q_union_features(spark, sf):
 @query("train_model")
 def q_train_model(spark, sf):
     """Preprocess, split, features, selection, boosted trees with the positive-class weight, evaluation."""
-    m = training.train(appointments(spark, sf), params=QUICK_TRAIN, **QUICK_TREE).metrics
+    m = training.train(appointments(spark, sf), params=QUICK_TRAIN).metrics
     return spark.createDataFrame([(float(m["roc_auc"]), float(m["pr_auc"]), float(m["f1"]), float(m["accuracy"]), int(m["n_features"]))],
                                  "roc_auc double, pr_auc double, f1 double, accuracy double, n_features int")
 
 
 @query("fit_gbt")
 def q_fit_gbt(spark, sf):
-    """Boosted trees with the positive-class weight on all features: areas on the test split."""
+    """Boosted trees with the positive-class weight on the selected features: areas on the test split."""
     return evaluate.areas(_quick(spark, sf).predictions, "label", "SCORE")
 
 
@@ -136,14 +135,14 @@ def q_fit_gbt(spark, sf):
 def q_gbt_importance(spark, sf):
     """Importances of the boosted model; features >= 0.01 kept for a refit."""
     t = _quick(spark, sf)
-    return models.gbt_importance(t.model, t.features, t.prepared.train, params=QUICK_GBT)[0]
+    return models.gbt_importance(t.model, t.features, t.prepared.train, params=QUICK_TRAIN)[0]
 
 
 @query("gbt_refit")
 def q_gbt_refit(spark, sf):
     """Second selection: refit on the kept features, evaluate on the same test split."""
     t = _quick(spark, sf)
-    _, kept, m = models.gbt_importance(t.model, t.features, t.prepared.train, params=QUICK_GBT)
+    _, kept, m = models.gbt_importance(t.model, t.features, t.prepared.train, params=QUICK_TRAIN)
     pred = models.predict(m, models.model_frame(t.prepared.test, kept, TARGET)).withColumn("label", F.col("label").cast("int"))
     return evaluate.areas(pred, "label", "SCORE").withColumn("n_features", F.lit(len(kept)))
 
@@ -182,7 +181,7 @@ def q_model_threshold_sweep(spark, sf):
 def q_cross_validate(spark, sf):
     """Mean ROC AUC over 5 exact stratified folds for four learners."""
     p = _prepared(spark, sf)
-    return models.compare_learners(p.train, p.features, tree_depth=8, min_rows=5, forest_trees=10, forest_depth=6, gbt_params=QUICK_GBT)
+    return models.compare_learners(p.train, p.features, tree_depth=10, forest_trees=20, forest_depth=8, gbt_params=CV_GBT)
 
 
 @query("compare_resamplings")
@@ -190,14 +189,14 @@ def q_compare_resamplings(spark, sf):
     """Boosted trees trained on the original (weighted), up-sampled, down-sampled and
     SMOTE-balanced training split; all evaluated on the same test split."""
     p = _prepared(spark, sf)
-    return models.compare_resamplings(p.train, p.test, p.features, gbt_params=QUICK_GBT)
+    return models.compare_resamplings(p.train, p.test, p.features, gbt_params=CV_GBT)
 
 
 @query("tune")
 def q_tune(spark, sf):
     """Seeded random draws from a search space, each scored by CV."""
     p = _prepared(spark, sf)
-    return models.tune(p.train, p.features, max_evals=3, k=3, space=QUICK_SPACE).draws
+    return models.tune(p.train, p.features, max_evals=3, space=QUICK_SPACE).draws
 
 
 def _unlabelled(spark, sf):
