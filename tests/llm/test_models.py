@@ -111,6 +111,14 @@ def test_long_texts_are_counted_like_short_ones(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, parts, strict=True)) and whole[0][0] > 10_000 and whole[0][1] == 0
 
 
+def test_the_filter_holds_all_grams(docs_of, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_GRAMS", 5, raising=False)  # a former cut
+    long, short = "abcdefghij " * 200, "klmnopqrst " * 5
+    model = langid.fit(docs_of([(1, long, "a"), (2, short, "b")], "doc_id long, text string, lang string"))
+    langs, scores = model.predict(["klmnopqrst", "abcdefghij"])
+    assert list(langs) == ["b", "a"] and min(scores) > 0
+
+
 # suffix tree
 
 

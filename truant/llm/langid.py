@@ -32,7 +32,6 @@ BITS_A_GRAM = 10
 SHARE = 0.25
 MIN_COUNT = 3
 ROWS_A_LANGUAGE = 3_000
-MAX_GRAMS = 1_000_000
 UNDETERMINED = "und"
 #: Code points handled at once.
 CHUNK = 500_000
@@ -198,7 +197,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     inside = F.filter("fs", lambda x: x.f >= F.lit(SHARE) * F.col("most"))
     bits = F.aggregate(inside, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.lang)))
     chosen = by_gram.filter(F.col("n") >= MIN_COUNT).select("gram", "n", F.size(inside).alias("k"), bits.alias("mask")).filter(
-        (F.col("k") < len(languages)) | F.lit(len(languages) == 1)).orderBy(F.desc("n"), "gram").limit(MAX_GRAMS).select("gram", "mask")
+        (F.col("k") < len(languages)) | F.lit(len(languages) == 1)).orderBy("gram").select("gram", "mask")  # the sampled rows bound them
     table = chosen.toPandas()
     common = max(range(len(sizes)), key=lambda i: (sizes[i]["count"], -i))
     return LanguageModel.build(languages, table["gram"].to_numpy(np.int64).view(np.uint64), table["mask"].to_numpy(np.int64).view(np.uint64), common)
