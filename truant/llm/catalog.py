@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truant.llm import decontaminate, langid, line_dedup, packing, quality, simhash, suffix_tree, topk, url_filter, warc
+from truant.llm import blockrank, collocations, decontaminate, langid, line_dedup, packing, quality, simhash, suffix_tree, topk, url_filter, warc
 from truant.llm._common import id_crc_mod, new_folder, table
-from truant.llm.oracles import OP1, OP5, OP7, OP9, url_sql
+from truant.llm.oracles import OP1, OP5, OP7, OP9, OP11, OP13, url_sql
 
 TOKENIZER = "byte_bpe_50k"
 #: The rules that the query applies.
@@ -80,6 +80,16 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(docs, id_crc_mod(F.col("doc_id"), 10) == 0)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each benchmark item."""
+    return blockrank.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of 2 to 5 words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), min_count=100, max_words=5, top=2000)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_url_filter": op2_url_filter,
@@ -91,6 +101,8 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_ranked_search": op11_ranked_search,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLE = {
@@ -99,4 +111,6 @@ ORACLE = {
     "op5_warc_archive": OP5,
     "op7_line_dedup": OP7,
     "op9_exact_top_k": OP9,
+    "op11_ranked_search": OP11,
+    "op13_phrase_collocations": OP13,
 }

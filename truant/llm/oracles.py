@@ -124,3 +124,54 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+_TERMS = r"list_filter(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+OP11 = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_no, doc_id, {_TERMS.format('text')} AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+held AS (SELECT * FROM docs WHERE len(w) > 0),
+whole AS (SELECT count(*) AS total_docs, sum(len(w))::BIGINT AS total_terms FROM held),
+query_terms AS (
+  SELECT item_id, item_text, t, count(*) AS repeats FROM (
+    SELECT item_id, text AS item_text, unnest({_TERMS.format('text')}) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL))
+  GROUP BY ALL),
+postings AS (
+  SELECT row_no, doc_id, n, t, count(*) AS tf FROM (SELECT row_no, doc_id, len(w) AS n, unnest(w) AS t FROM held)
+  WHERE t IN (SELECT t FROM query_terms) GROUP BY ALL),
+weights AS (
+  SELECT t, floor(1000 * ln((2 * total_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT t, count(*) AS df FROM postings GROUP BY t), whole),
+impacts AS (
+  SELECT row_no, doc_id, t, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * total_docs) // total_terms)) AS impact FROM postings, whole),
+scored AS (
+  SELECT item_id, item_text, row_no, doc_id, sum(w * repeats * impact)::BIGINT AS score
+  FROM query_terms JOIN weights USING (t) JOIN impacts USING (t) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY item_id, item_text ORDER BY score DESC, doc_id))::INT AS rank FROM scored WHERE score > 0)
+WHERE rank <= 20
+"""
+
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+grams AS (SELECT lang, size, w, unnest(range(1, len(w) - size + 2)) AS i FROM split, (SELECT unnest(range(1, 6)) AS size) WHERE len(w) >= size),
+phrases AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM phrases WHERE size >= 2),
+kept AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates l WHERE l.lang = c.lang AND l.size > c.size AND 100 * l.a >= 100 * c.a AND contains(' ' || l.phrase || ' ', ' ' || c.phrase || ' '))),
+cuts AS (SELECT lang, size, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest FROM kept, (SELECT unnest(range(1, 5)) AS k) WHERE k < size),
+scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, c.k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN phrases x ON x.lang = c.lang AND x.phrase = c.head JOIN phrases y ON y.lang = c.lang AND y.phrase = c.rest JOIN totals t ON t.lang = c.lang),
+least AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored) WHERE nth = 1)
+SELECT lang, rank, phrase, size::INT AS words, a, l, r, n, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase))::INT AS rank FROM least)
+WHERE rank <= 2000
+"""
