@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truant.llm import blockrank, collocations, decontaminate, langid, line_dedup, packing, quality, simhash, suffix_tree, topk, url_filter, warc
+from truant.llm import blockrank, collocations, decontaminate, iblt, langid, line_dedup, packing, quality, simhash, suffix_tree, topk, url_filter, warc
 from truant.llm._common import id_crc_mod, new_folder, table
-from truant.llm.oracles import OP1, OP5, OP7, OP9, OP11, OP13, url_sql
+from truant.llm.oracles import OP1, OP5, OP7, OP9, OP11, OP12, OP13, url_sql
 
 TOKENIZER = "byte_bpe_50k"
 #: The rules that the query applies.
@@ -85,6 +85,11 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blockrank.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of all documents and of their edited texts, compared."""
+    return iblt.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 phrases of 2 to 5 words of each language."""
     return collocations.collocations(table(spark, sf_dir, "documents"), min_count=100, max_words=5, top=2000)
@@ -102,6 +107,7 @@ QUERIES = {
     "op9_exact_top_k": op9_exact_top_k,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_ranked_search": op11_ranked_search,
+    "op12_document_fingerprints": op12_document_fingerprints,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 
@@ -112,5 +118,6 @@ ORACLE = {
     "op7_line_dedup": OP7,
     "op9_exact_top_k": OP9,
     "op11_ranked_search": OP11,
+    "op12_document_fingerprints": OP12,
     "op13_phrase_collocations": OP13,
 }

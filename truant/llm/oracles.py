@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from truant.llm import decontaminate, url_filter
+from truant.llm import decontaminate, iblt, url_filter
 
 _WORDS = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
 
@@ -128,6 +128,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 
 _TERMS = r"list_filter(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
+_DIGESTS = rf"list_distinct(list_transform(list_filter(regexp_split_to_array({{}}, '{iblt.PARAGRAPH_END}'), lambda x: x <> ''), lambda x: ('0x' || substr(md5(x), 1, {iblt.BITS // 4}))::BIGINT))"
+
 OP11 = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS row_no, doc_id, {_TERMS.format('text')} AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
@@ -153,6 +155,31 @@ SELECT item_id, rank, doc_id, score FROM (
 WHERE rank <= 20
 """
 
+OP12 = f"""
+WITH docs AS (
+  SELECT row_number() OVER (ORDER BY doc_id DESC, coalesce(text, '')) AS nth, doc_id, coalesce(text, '') AS text FROM documents WHERE doc_id IS NOT NULL),
+ring AS (
+  SELECT d.nth, d.doc_id, d.text, n.text AS next_text, len(d.text) AS n_chars, len(d.text) // 2 AS half
+  FROM docs d JOIN docs n ON n.nth = d.nth % (SELECT count(*) FROM docs) + 1),
+versions AS (
+  SELECT nth, doc_id, n_chars, text, next_text, substr(text, 1, n_chars - half) || substr(next_text, 1, half) AS edited FROM ring),
+digested AS (
+  SELECT *, {_DIGESTS.format('text')} AS own, {_DIGESTS.format('edited')} AS edited_own, {_DIGESTS.format('next_text')} AS next_own FROM versions),
+placed AS (
+  SELECT nth, side, k, (k % {iblt.CHECK_PRIME})::BIGINT AS c, r * {iblt.WIDTH} + ((k >> (10 * r)) & {iblt.WIDTH - 1}) AS cell
+  FROM (SELECT nth, 0 AS side, unnest(own) AS k FROM digested UNION ALL SELECT nth, 1, unnest(edited_own) FROM digested), (SELECT unnest(range(3)) AS r)),
+cells AS (SELECT nth, side, cell, count(*) AS n, bit_xor(k) AS k, bit_xor(c) AS c FROM placed GROUP BY ALL),
+grid AS (
+  SELECT nth, side, cell, coalesce(n, 0) AS n, coalesce(k, 0) AS k, coalesce(c, 0) AS c
+  FROM (SELECT nth, side, cell FROM docs, (SELECT unnest(range(2)) AS side), (SELECT unnest(range({3 * iblt.WIDTH})) AS cell)) LEFT JOIN cells USING (nth, side, cell)),
+sketches AS (SELECT nth, side, string_agg(n || ':' || printf('%X', k) || ':' || printf('%X', c), ' ' ORDER BY cell) AS fingerprint FROM grid GROUP BY ALL)
+SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, a.fingerprint, b.fingerprint AS edited_fingerprint,
+       CASE WHEN len(own) + len(edited_own) = 0 THEN 1.0 ELSE 2 * len(list_intersect(own, edited_own))::DOUBLE / (len(own) + len(edited_own)) END AS near_edited,
+       CASE WHEN len(own) + len(next_own) = 0 THEN 1.0 ELSE 2 * len(list_intersect(own, next_own))::DOUBLE / (len(own) + len(next_own)) END AS near_next,
+       len(own)::INT AS paragraphs
+FROM digested JOIN sketches a ON a.nth = digested.nth AND a.side = 0 JOIN sketches b ON b.nth = digested.nth AND b.side = 1
+"""
+
 OP13 = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
