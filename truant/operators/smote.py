@@ -18,7 +18,8 @@ Exact k-nearest neighbours without a cross join:
 
 In many independent dimensions no box is far from any vector, and the exact
 search visits most leaves: its work is quadratic there (README has figures).
-:func:`knn_lsh` is the approximate form for that case.
+:func:`truant.operators.knn_graph.knn_graph` is the approximate form for that
+case (``method="graph"``); :func:`knn_lsh` is another, for one fixed radius.
 
 Synthetic rows are drawn by hash: draw j takes minority row ``hash(seed, j)
 mod m``, neighbour slot ``hash(seed + 1, j) mod k`` and gap
@@ -42,6 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from truant.functions.hashing import hash60, hash_unit
+from truant.operators.knn_graph import knn_graph
 from truant.operators.sampling import class_rank, draw_partitions, stratum_counts
 from truant.schema import KEY, TARGET
 from truant.session import materialize, ship_package
@@ -290,11 +292,27 @@ def _slots(knn: DataFrame) -> DataFrame:
              .select("q", "slot", "nb"))
 
 
+def _all_slots(slots: DataFrame, distinct: DataFrame, k: int) -> DataFrame:
+    """``slots`` with k of them for each vector: one that knows fewer neighbours
+    uses them in turn, and one that knows none is its own."""
+    own = slots.groupBy("q").agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", "nb"))), lambda s: s["nb"]).alias("nbs"))
+    rows = distinct.select(F.col("vid").alias("q")).join(own, "q", "left").withColumn("nbs", F.coalesce("nbs", F.array("q")))
+    return rows.select("q", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get("nbs", i % F.size("nbs")))).alias("slot", "nb"))
+
+
 def smote(df: DataFrame, features: list[str], target: str = TARGET, key: str = KEY, minority=1,
-          k: int = 5, seed: int = 42, n: int | None = None, rows_per_leaf: int = ROWS_PER_LEAF) -> DataFrame:
+          k: int = 5, seed: int = 42, n: int | None = None, rows_per_leaf: int = ROWS_PER_LEAF, method: str = "exact",
+          **graph) -> DataFrame:
     """Original rows plus ``n`` synthetic minority rows (default: the class
     gap).  Synthetic rows have a null key and ``synthetic = 1``; integer
-    features become fractional, so all features are returned as double."""
+    features become fractional, so all features are returned as double.
+
+    ``method``: "exact" neighbours, or "graph" for those of a refined neighbour
+    graph (``graph``: degree, rounds, least_change of
+    :func:`truant.operators.knn_graph.knn_graph`), whose work per vector doesn't
+    grow with their number in many dimensions."""
+    if method not in ("exact", "graph"):
+        raise ValueError(f"method is exact or graph, not {method}")
     counts = stratum_counts(df, target)
     mino = str(minority)
     m = counts.get(mino, 0)
@@ -309,7 +327,8 @@ def smote(df: DataFrame, features: list[str], target: str = TARGET, key: str = K
     mrows = df.where(F.col(target).cast("string") == mino).select(key, vec.alias("v"))
     mrows = materialize(mrows.withColumn("vid", F.md5(F.to_json("v"))), "minority")
     distinct = materialize(mrows.groupBy("vid").agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("c")), "minority-distinct")
-    slots = _slots(knn_distinct(distinct, kk, rows_per_leaf)).select(F.col("q").alias("__q"), F.col("slot").alias("__slot"), "nb")
+    slots = _all_slots(_slots(knn_graph(distinct, kk, seed=seed, **graph)), distinct, kk) if method == "graph" else _slots(knn_distinct(distinct, kk, rows_per_leaf))
+    slots = slots.select(F.col("q").alias("__q"), F.col("slot").alias("__slot"), "nb")
     ranked = class_rank(mrows.withColumn("__t", F.lit(mino)), "__t", key, seed, "__r") \
         .select(F.col("__r").alias("__idx"), "vid", "v")
     draws = spark.range(0, n, 1, draw_partitions(n)).select(

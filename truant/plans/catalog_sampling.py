@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from truant.fixtures import appointments, table, with_ctes
+from truant.functions.dates import days_till_appointment
 from truant.functions.hashing import hash60, sql_hash60
 from truant.operators import clean, encode, sampling
+from truant.operators.knn_graph import knn_graph
+from truant.operators.smote import knn_distinct, smote
 from truant.plans.catalog import query
-from truant.plans.oracle_sql import PREPROCESSED_SQL, rank_cte, split_ctes
+from truant.plans.oracle_sql import DAYS_TILL_SQL, PREPROCESSED_SQL, rank_cte, split_ctes
+from truant.session import materialize
 
 
 def _pre(spark, sf):
@@ -169,7 +173,6 @@ _RAW = ["AGE", "DAYS_TILL_APPOINTMENT", "SCHOLARSHIP", "HYPERTENSION", "DIABETES
 def _smote_raw_sql(k: int = 5, seed: int = 42) -> str:
     """Brute-force DuckDB text of ``smote`` (all minority pairs; fine at test scale)."""
     from truant.functions.hashing import sql_hash_unit
-    from truant.plans.oracle_sql import DAYS_TILL_SQL
     raw = [f"CAST({DAYS_TILL_SQL if c == 'DAYS_TILL_APPOINTMENT' else c} AS DOUBLE) AS {c}" for c in _RAW]
     vid = "md5('[' || concat_ws(',', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in _RAW) + ") || ']')"
     dist = "sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _RAW) + ")"
@@ -200,14 +203,45 @@ def _smote_raw_sql(k: int = 5, seed: int = 42) -> str:
     return with_ctes(f"{base} UNION ALL {syn}", **ctes)
 
 
+def _raw_train(spark, sf):
+    s = sampling.stratified_split(_pre(spark, sf))
+    return s.where(F.col("split") == "train").select(
+        "APPOINTMENTID", *[days_till_appointment().alias(c) if c == "DAYS_TILL_APPOINTMENT" else F.col(c) for c in _RAW], "NO_SHOW")
+
+
 @query("smote_raw", _smote_raw_sql())
 def q_smote_raw(spark, sf):
     """SMOTE (exact 5-NN, seed 42) on the raw integer features of the train split."""
-    from truant.functions.dates import days_till_appointment
-    from truant.operators.smote import smote
-    s = sampling.stratified_split(_pre(spark, sf))
-    train = s.where(F.col("split") == "train").select(
-        "APPOINTMENTID", *[days_till_appointment().alias(c) if c == "DAYS_TILL_APPOINTMENT" else F.col(c)
-                           for c in _RAW], "NO_SHOW")
-    out = smote(train, _RAW, "NO_SHOW", "APPOINTMENTID", 1, 5, 42)
+    out = smote(_raw_train(spark, sf), _RAW, "NO_SHOW", "APPOINTMENTID", 1, 5, 42)
     return out.select("APPOINTMENTID", *[F.round(c, 9).alias(c) for c in _RAW], "NO_SHOW", "synthetic")
+
+
+_TRAIN_CTES = dict(p=PREPROCESSED_SQL, **split_ctes("p", "sp"), cls="SELECT NO_SHOW, COUNT(*) AS n FROM sp WHERE split = 'train' GROUP BY 1")
+
+
+@query("smote_graph", with_ctes(
+    "SELECT NO_SHOW, 0 AS synthetic, CAST(n AS BIGINT) AS n_rows, CAST(n AS BIGINT) AS inside FROM cls"
+    " UNION ALL SELECT 1, 1, (SELECT MAX(n) FROM cls) - n, (SELECT MAX(n) FROM cls) - n FROM cls WHERE NO_SHOW = 1", **_TRAIN_CTES))
+def q_smote_graph(spark, sf):
+    """SMOTE on the neighbour graph: classes are equal, and every row lies inside the box of its class."""
+    train = _raw_train(spark, sf)
+    out = smote(train, _RAW, "NO_SHOW", "APPOINTMENTID", 1, 5, 42, method="graph")
+    box = train.groupBy("NO_SHOW").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in _RAW for f in (F.min, F.max)])
+    within = F.lit(True)
+    for c in _RAW:
+        within &= F.col(c).between(F.col(f"min_{c}") - 1e-9, F.col(f"max_{c}") + 1e-9)
+    return out.join(F.broadcast(box), "NO_SHOW").groupBy("NO_SHOW", "synthetic").agg(  # two classes
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(within).alias("inside"))
+
+
+@query("knn_graph_recall", with_ctes(
+    "SELECT COUNT(DISTINCT (" + ", ".join(f"{'x.days' if c == 'DAYS_TILL_APPOINTMENT' else 'x.' + c}" for c in _RAW) + ")) * 5 AS slots, 1 AS recall_ok"
+    f" FROM (SELECT *, {DAYS_TILL_SQL} AS days FROM sp WHERE split = 'train' AND NO_SHOW = 1) x", **_TRAIN_CTES))
+def q_knn_graph_recall(spark, sf):
+    """Five neighbours of every distinct minority vector by the graph, held against the exact search: those no
+    farther than the exact fifth one are at least nine of ten."""
+    rows = _raw_train(spark, sf).where("NO_SHOW = 1").select(F.array(*[F.col(c).cast("double") for c in _RAW]).alias("v"))
+    vectors = materialize(rows.groupBy(F.md5(F.to_json("v")).alias("vid")).agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("c")), "minority-vectors")
+    fifth = knn_distinct(vectors, 5).groupBy("q").agg(F.max("dist").alias("fifth"))
+    found = knn_graph(vectors, 5).join(fifth, "q").where(F.col("dist") <= F.col("fifth") + 1e-9).agg(F.coalesce(F.sum("w"), F.lit(0)).alias("hits"))
+    return fifth.agg((F.count(F.lit(1)) * 5).alias("slots")).select("slots", (found.scalar() >= 0.9 * F.col("slots")).cast("int").alias("recall_ok"))
