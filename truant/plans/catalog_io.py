@@ -15,6 +15,7 @@ from truant.plans.oracle_sql import PREPROCESSED_SQL
 from truant.schema import COLUMNS, KEY
 from truant.session import scratch_path as _scratch
 from truant.sources import requests, tables
+from truant.streaming import history as stream_history
 from truant.streaming import score as stream
 
 _ALL = with_ctes("SELECT * FROM appointments")
@@ -222,3 +223,23 @@ def q_parse_timestamp(spark, sf):
     txt = F.date_format("SCHEDULEDDAY", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return a.select(KEY, parse_timestamp(txt, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("parsed"),
                     parse_timestamp(F.concat(F.lit("x"), txt), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("bad"))
+
+
+@query("history_stream", with_ctes(
+    "SELECT a.APPOINTMENTID, a.PATIENTID, CAST((SELECT COUNT(*) FROM t b WHERE b.PATIENTID = a.PATIENTID"
+    " AND (b.SCHEDULEDDAY, b.APPOINTMENTID) < (a.SCHEDULEDDAY, a.APPOINTMENTID)) AS BIGINT) AS prior_appointments,"
+    " CAST(COUNT(b.APPOINTMENTID) AS BIGINT) AS prior_known, CAST(COALESCE(SUM(b.NO_SHOW), 0) AS BIGINT) AS prior_misses"
+    " FROM t a LEFT JOIN t b ON b.PATIENTID = a.PATIENTID AND b.APPOINTMENTID <> a.APPOINTMENTID AND b.APPOINTMENTDAY < a.SCHEDULEDDAY"
+    " GROUP BY ALL", t="SELECT * REPLACE (CAST(CASE NO_SHOW WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS INT) AS NO_SHOW) FROM appointments"))
+def q_history_stream(spark, sf):
+    """Histories on a stream: the earlier and the later half of the appointments arrive one after the other, then the end."""
+    a = clean.encode_target(appointments(spark, sf)).select(KEY, "PATIENTID", "SCHEDULEDDAY", "APPOINTMENTDAY", "NO_SHOW")
+    src, out, ck = (_scratch(spark, n) for n in ("arrivals", "histories", "histories-ck"))
+    middle = a.agg(F.percentile_approx(F.unix_micros("SCHEDULEDDAY"), 0.5)).scalar()
+    early = F.unix_micros("SCHEDULEDDAY") < middle
+    for number, part in enumerate((a.where(early), a.where(~early), stream_history.end_row(spark, a))):
+        part.write.parquet(f"{src}/part={number}")
+    for number in range(3):  # what has arrived so far, each time
+        arrived = spark.readStream.schema(a.schema).parquet(f"{src}/part=[0-{number}]")
+        stream_history.history_stream(arrived, out, ck)
+    return spark.read.parquet(out).select(KEY, "PATIENTID", "prior_appointments", "prior_known", "prior_misses")
