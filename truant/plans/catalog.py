@@ -22,6 +22,7 @@ _MODULES = [
     "truant.plans.catalog_evaluate",
     "truant.plans.catalog_models",
     "truant.plans.catalog_io",
+    "truant.plans.catalog_state",
 ]
 
 

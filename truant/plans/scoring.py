@@ -6,21 +6,23 @@ so the three cannot drift apart.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truant.functions.dates import run_stamp
 from truant.operators import clean, evaluate, models, sampling
-from truant.plans import featurize
+from truant.plans import featurize, versions
 from truant.schema import KEY, TARGET
 from truant.sources import tables
 
 
-def load(spark: SparkSession, model_dir: str):
-    state = featurize.FeatureState.load(spark, f"{model_dir}/feature_state")
-    model = GBTClassificationModel.load(f"{model_dir}/model")
-    return state, model
+def load(spark: SparkSession, model_dir: str, version: str | None = None):
+    """Feature state and model of one committed version, the newest complete one unless it is named."""
+    at = versions.paths(spark, model_dir, ("feature_state", "model"), version)
+    return featurize.FeatureState.load(spark, at["feature_state"]), GBTClassificationModel.load(at["model"])
 
 
 def score_frame(raw: DataFrame, state: featurize.FeatureState, model, threshold: float = 0.5,
@@ -41,20 +43,24 @@ def score_frame(raw: DataFrame, state: featurize.FeatureState, model, threshold:
     return out
 
 
-def write_predictions(pred: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Partitioned by run stamp so later reads prune by run."""
-    w = pred.write.mode("append").partitionBy("run_stamp")
+def write_predictions(pred: DataFrame, path: str, fmt: str = "parquet", run_id: str | None = None) -> str:
+    """Partitioned by ``run_id``, so that later reads prune by run and a run
+    that is written again replaces its own rows and no others.  Without a
+    ``run_id`` the call is a run of its own.  Returns the run's id."""
+    run_id = run_id or uuid.uuid4().hex
+    w = pred.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
         w.parquet(path)
+    return run_id
 
 
-def score_batch(spark: SparkSession, raw: DataFrame, model_dir: str, out_path: str | None = None) -> DataFrame:
+def score_batch(spark: SparkSession, raw: DataFrame, model_dir: str, out_path: str | None = None, run_id: str | None = None) -> DataFrame:
     state, model = load(spark, model_dir)
     pred = score_frame(raw, state, model)
     if out_path:
-        write_predictions(pred, out_path)
+        write_predictions(pred, out_path, run_id=run_id)
     return pred
 
 

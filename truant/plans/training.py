@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from truant.operators import clean, encode, evaluate, models, sampling
-from truant.plans import featurize
+from truant.plans import featurize, versions
 from truant.schema import KEY, TARGET
 from truant.session import materialize
 
@@ -84,8 +84,7 @@ def train(raw: DataFrame, params: dict | None = None, select: bool = True, test_
                "accuracy": got["accuracy"], "n_features": len(feats)}
     if out_dir:
         p.state.extra["params"] = params
-        p.state.save(f"{out_dir}/feature_state")
-        model.write().overwrite().save(f"{out_dir}/model")
+        versions.save(raw.sparkSession, out_dir, {"feature_state": p.state.save, "model": lambda path: model.write().save(path)})
     return Trained(p, model, feats, pred, metrics)
 
 

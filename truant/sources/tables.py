@@ -36,6 +36,22 @@ def create_table(spark: SparkSession, name: str = "APPOINTMENT_DATA", database:
     return f"{database}.{name}"
 
 
+def create_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, database: str = "appointment_schema",
+                    location: str | None = None, sort_by: list[str] | None = None) -> str:
+    """Write ``df`` as a table of ``buckets`` buckets by ``keys``, each sorted by
+    ``sort_by`` (default: the keys); returns the qualified name.
+
+    Tables bucketed alike are joined, and one of them is grouped or windowed by
+    its keys, without an exchange (keys of type double or float are only good for
+    joins: Spark normalises them before it groups).  Rows go to their buckets by one shuffle here,
+    so that each bucket is one file."""
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    w = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*(sort_by or keys))
+    (w.option("path", location) if location else w).format("parquet").saveAsTable(f"{database}.{name}")
+    return f"{database}.{name}"
+
+
 def scan_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     """Full scan of a catalog table or a Parquet path; names normalised.
     Projection and filters applied later are pushed into the scan."""
