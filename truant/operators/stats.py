@@ -7,9 +7,10 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from truant.functions.special import chi_square_p, student_t_p
 from truant.schema import TARGET
 from truant.session import materialize
 
@@ -177,6 +178,40 @@ def point_biserial(df: DataFrame, x: str, y: str = TARGET, alpha: float = 0.05)
     return {"r": r["r"], "n": r["n"], "t": r["t"], "p_value": p, "reject": bool(p < alpha)}
 
 
+# ------------------------------------------------- one test for each group
+def chi_square_by(df: DataFrame, group: str, a: str, b: str = TARGET, correction: bool = True, alpha: float = 0.05) -> DataFrame:
+    """(group, statistic, dof, n, p_value, decision): the test of ``a`` against ``b`` within every group.
+
+    One shuffle by (group, a, b) and windows over the counted cells; p-values
+    are column expressions, so the groups may be any number."""
+    cells = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(group, a, b).agg(F.count(F.lit(1)).alias("o"))
+    total = lambda *keys: F.sum("o").over(Window.partitionBy(*keys))
+    cells = cells.select(group, a, b, "o", total(group, a).alias("r"), total(group, b).alias("c"), total(group).alias("n"))
+    e = F.col("r") * F.col("c") / F.col("n")
+    # an inverse margin is split among its cells, so that each margin counts once
+    per_row, per_col = (F.sum(1.0 / F.col(x) * F.col("o") / F.col(x)) for x in ("r", "c"))
+    s = cells.groupBy(group).agg(F.sum(F.col("o") * F.col("o") / e).alias("o2e"), F.max(F.abs(F.col("o") - e)).alias("d"), F.max("n").alias("n"),
+                                 per_row.alias("inv_r"), per_col.alias("inv_c"), F.count_distinct(a).alias("ra"), F.count_distinct(b).alias("cb"))
+    dof = ((F.col("ra") - 1) * (F.col("cb") - 1)).cast("long")
+    yates = F.pow(F.col("d") - F.least(F.lit(0.5), F.col("d")), 2) * F.col("n") * F.col("inv_r") * F.col("inv_c")
+    plain = F.greatest(F.lit(0.0), F.col("o2e") - F.col("n"))
+    out = s.select(group, (F.when(dof == 1, yates).otherwise(plain) if correction else plain).alias("statistic"), dof.alias("dof"), F.col("n").cast("long").alias("n"))
+    out = out.withColumn("p_value", F.when(F.col("dof") > 0, chi_square_p("statistic", "dof")).otherwise(F.lit(1.0)))
+    return out.withColumn("decision", decide_col("p_value", alpha))
+
+
+def point_biserial_by(df: DataFrame, group: str, x: str, y: str = TARGET, alpha: float = 0.05) -> DataFrame:
+    """(group, r, n, t, p_value, decision) of a number ``x`` against a 0/1 ``y`` within every group; null where nothing varies."""
+    base = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    out = base.groupBy(group).agg(pearson(x, y).alias("r"), F.count(F.lit(1)).cast("long").alias("n"))
+    out = out.withColumn("t", F.when(F.col("n") > 2, F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("r") * F.col("r")))))
+    return out.withColumn("p_value", student_t_p("t", F.col("n") - 2)).withColumn("decision", decide_col("p_value", alpha))
+
+
+def decide_col(p_value: str, alpha: float = 0.05):
+    return F.when(F.col(p_value) < alpha, "reject independence").when(F.col(p_value).isNotNull(), "cannot reject independence")
+
+
 # ------------------------------------------------------------ correlation
 def pearson(a: str, b: str):
     """Pearson r over rows where both are non-null; null (not an error under

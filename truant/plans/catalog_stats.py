@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from truant.fixtures import appointments, with_ctes
 from truant.functions.bands import gender_age
-from truant.operators import clean, sampling, stats
+from truant.functions.dates import days_till_appointment
+from truant.operators import clean, encode, models, newton, sampling, stats
 from truant.plans.catalog import query
 from truant.plans.catalog_features import _FEATURE_COLS, _TE, _state
-from truant.plans.oracle_sql import GENDER_AGE_SQL, PREPROCESSED_SQL, features_select, split_ctes
+from truant.plans.oracle_sql import DAYS_TILL_SQL, GENDER_AGE_SQL, PREPROCESSED_SQL, features_select, split_ctes
 from truant.plans import featurize
+from truant.session import materialize
 
 D = 9
 
@@ -176,3 +178,79 @@ def q_multicollinear_pairs(spark, sf):
     train, _, state = _state(spark, sf)
     f = featurize.apply_features(train, state)
     return stats.multicollinear_pairs(stats.correlation_matrix(f, _FEATURE_COLS), 0.1)
+
+
+# ------------------------------------------- a test for each group, p-values in the plan
+def _gamma_q_sql(a: str, x: str) -> str:
+    """Q(a, x) as one minus the finite sum of the lower function's series."""
+    return (f"CASE WHEN {x} <= 0 THEN 1.0 ELSE 1 - exp({a} * ln({x}) - {x} - lgamma({a} + 1)) * list_sum(list_transform(range(400),"
+            f" lambda i: exp(i * ln({x}) + lgamma({a} + 1) - lgamma({a} + i + 1)))) END")
+
+
+def _chi_by_sql(g: str, a: str) -> str:
+    return with_ctes(f"""
+SELECT g AS {g}, ROUND(statistic, {D}) AS statistic, dof, n, ROUND(p, {D}) AS p_value,
+       CASE WHEN p < 0.05 THEN 'reject independence' ELSE 'cannot reject independence' END AS decision
+FROM (SELECT *, {_gamma_q_sql('(dof / 2.0)', '(statistic / 2)')} AS p FROM tested)""", p=PREPROCESSED_SQL,
+        cells=f"SELECT {g} AS g, {a} AS a, NO_SHOW AS b, COUNT(*) AS o FROM p GROUP BY ALL",
+        r="SELECT g, a, SUM(o) AS rt FROM cells GROUP BY ALL", c="SELECT g, b, SUM(o) AS ct FROM cells GROUP BY ALL",
+        t="SELECT g, SUM(o) AS n, (COUNT(DISTINCT a) - 1) * (COUNT(DISTINCT b) - 1) AS dof FROM cells GROUP BY g",
+        grid="SELECT r.g, rt * ct / n AS E, COALESCE(o, 0) AS o, n, dof FROM r JOIN c USING (g) JOIN t USING (g) LEFT JOIN cells USING (g, a, b)",
+        tested="SELECT g, SUM(CASE WHEN dof = 1 THEN power(abs(o - E) - least(0.5, abs(o - E)), 2) / E ELSE power(o - E, 2) / E END) AS statistic,"
+               " CAST(MAX(dof) AS BIGINT) AS dof, CAST(MAX(n) AS BIGINT) AS n FROM grid GROUP BY g")
+
+
+def _chi_by(spark, sf, g, a):
+    t = stats.chi_square_by(clean.preprocess(appointments(spark, sf)), g, a)
+    return t.withColumns({c: F.round(c, D) for c in ("statistic", "p_value")})
+
+
+@query("chi_square_by_neighbourhood", _chi_by_sql("NEIGHBOURHOOD", "GENDER"))
+def q_chi_by_neighbourhood(spark, sf):
+    """Gender against missing an appointment, one corrected 2 x 2 test for each neighbourhood, p-values included."""
+    return _chi_by(spark, sf, "NEIGHBOURHOOD", "GENDER")
+
+
+@query("chi_square_by_gender", _chi_by_sql("GENDER", "NEIGHBOURHOOD"))
+def q_chi_by_gender(spark, sf):
+    """Neighbourhood against missing an appointment, for each gender: many degrees of freedom."""
+    return _chi_by(spark, sf, "GENDER", "NEIGHBOURHOOD")
+
+
+@query("point_biserial_by_neighbourhood", with_ctes(f"""
+SELECT NEIGHBOURHOOD, ROUND(r, {D}) AS r, n, ROUND(t, 6) AS t, ROUND(p, 8) AS p_value,
+       CASE WHEN p < 0.05 THEN 'reject independence' ELSE 'cannot reject independence' END AS decision
+FROM (SELECT *, CASE WHEN y = 0 THEN 1.0 ELSE 1 - exp(0.5 * ln(y) + h * ln(1 - y) + lgamma(h + 0.5) - lgamma(h) - lgamma(1.5))
+      * list_sum(list_transform(range(400), lambda i: exp(i * ln(y) + lgamma(h + 0.5 + i) - lgamma(h + 0.5) + lgamma(1.5) - lgamma(1.5 + i)))) END AS p
+      FROM (SELECT *, t * t / (n - 2 + t * t) AS y, (n - 2) / 2.0 AS h FROM
+            (SELECT *, r * sqrt((n - 2) / (1 - r * r)) AS t FROM
+             (SELECT NEIGHBOURHOOD, corr(CAST(DAYS AS DOUBLE), CAST(NO_SHOW AS DOUBLE)) AS r, COUNT(*) AS n FROM x GROUP BY 1))))""",
+    p=PREPROCESSED_SQL, x=f"SELECT *, {DAYS_TILL_SQL} AS DAYS FROM p"))
+def q_point_biserial_by(spark, sf):
+    """Waiting days against missing an appointment, one test for each neighbourhood."""
+    p = clean.preprocess(appointments(spark, sf)).withColumn("DAYS", days_till_appointment())
+    t = stats.point_biserial_by(p, "NEIGHBOURHOOD", "DAYS")
+    return t.withColumns({"r": F.round("r", D), "t": F.round("t", 6), "p_value": F.round("p_value", 8)})
+
+
+_CERTIFIED = ["AGE", "SCHOLARSHIP", "HYPERTENSION", "DIABETES", "ALCOHOLISM", "HANDICAP", "SMS_RECEIVED", "DAYS"]
+
+
+@query("logistic_certificate", "SELECT unnest(" + str([*_CERTIFIED, "(intercept)"]) + ") AS Feature, 1 AS gradient_ok, 1 AS agrees,"
+       " 1 AS other_ok, (SELECT CAST(COUNT(*) AS BIGINT) FROM (" + with_ctes(
+           "SELECT * FROM sp WHERE split = 'train'", p=PREPROCESSED_SQL, **split_ctes("p", "sp")) + ")) AS n_rows")
+def q_logistic_certificate(spark, sf):
+    """Balanced logistic regression by Newton steps, with the proof of its optimum: per feature, that the penalised
+    gradient at the fit is below 1e-6, that the fit agrees with MLlib's to 1e-4, and MLlib's own gradient (below 1e-4)."""
+    train = sampling.split_frames(clean.preprocess(appointments(spark, sf)))[0].withColumn("DAYS", days_till_appointment())
+    train = materialize(encode.fit_scaling(train, ["AGE", "DAYS"]).transform(train).select("NO_SHOW", *_CERTIFIED), "certified")
+    weights = {float(k): v for k, v in models.class_weights(train)["class_weight"].items()}
+    weight = F.when(F.col("NO_SHOW") == 1, weights[1.0]).otherwise(weights[0.0])
+    n = train.count()
+    own = newton.fit(train, _CERTIFIED, "NO_SHOW", weight, 1.0 / n)
+    other = models.fit_logistic(models.model_frame(train, _CERTIFIED, "NO_SHOW", weights), n=n)
+    theirs = [*map(float, other.coefficients.toArray()), float(other.intercept)]
+    gradient = newton.certificate(newton.design(train, _CERTIFIED, "NO_SHOW", weight), other.coefficients.toArray(), other.intercept, 1.0 / n)
+    rows = [(f, int(abs(g) < 1e-6), int(abs(a - b) < 1e-4), int(abs(h) < 1e-4), n) for f, a, g, b, h in zip(
+        [*_CERTIFIED, "(intercept)"], [*own.coefficients, own.intercept], own.gradient, theirs, gradient, strict=True)]
+    return spark.createDataFrame(rows, "Feature string, gradient_ok int, agrees int, other_ok int, n_rows long")
