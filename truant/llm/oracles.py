@@ -128,7 +128,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 
 _TERMS = r"list_filter(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
-_DIGESTS = rf"list_distinct(list_transform(list_filter(regexp_split_to_array({{}}, '{iblt.PARAGRAPH_END}'), lambda x: x <> ''), lambda x: ('0x' || substr(md5(x), 1, {iblt.BITS // 4}))::BIGINT))"
+_PARAGRAPHS = iblt.PARAGRAPHS.replace("{", "{{").replace("}", "}}")
+_DIGESTS = rf"list_distinct(list_transform(regexp_extract_all({{}}, '{_PARAGRAPHS}'), lambda x: ('0x' || substr(md5(x), 1, {iblt.BITS // 4}))::BIGINT))"
 
 OP11 = f"""
 WITH docs AS (
