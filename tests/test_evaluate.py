@@ -69,3 +69,38 @@ def test_curve_over_several_ranges(spark):
 def test_whole_evaluation(spark):
     got = {r.metric: r.value for r in evaluate.evaluate(_scored(spark, [.9, .6, .4, .1], [1, 0, 1, 0])).collect()}
     assert got["roc_auc"] == 0.75 and got["accuracy"] == 0.5 and (got["c00"], got["c11"], got["c01"], got["c10"]) == (1, 1, 1, 1)
+
+
+@pytest.mark.parametrize("rows_per_range", [1_000_000, 7])
+def test_thinned_curve_is_the_same_line(spark, rows_per_range):
+    """Points on the line between their neighbours go, also at the border of two ranges; the area stays, to the last digit."""
+    import random
+
+    from truant.operators.evaluate import curve_points, roc_curve
+    pick = random.Random(4)
+    rows = [(pick.randint(0, 1), s / 10) for s in range(60) for _ in range(pick.choice([1, 1, 2, 4]))] + [(1, -1.0), (0, -1.0), (1, -2.0), (1, -3.0), (1, -4.0), (1, None)]
+    df = spark.createDataFrame(rows, "label int, SCORE double")
+    whole = sorted(((-r.threshold, r.fp, r.tp) for r in curve_points(df, rows_per_range=rows_per_range)[0].collect()))
+    want, last = [], (0, 0)
+    for i, (t, fp, tp) in enumerate(whole):
+        after = whole[i + 1][1:] if i + 1 < len(whole) else None
+        step = (fp - last[0], tp - last[1])
+        if after is None or step[0] * (after[1] - tp) != step[1] * (after[0] - fp):
+            want.append((-t, fp, tp))
+        last = (fp, tp)
+    thin = roc_curve(df, thin=True, rows_per_range=rows_per_range)
+    assert sorted(r.threshold for r in thin.collect()) == sorted(t for t, _, _ in want)
+    assert len(want) < len(whole)
+
+    def area(points):
+        line = [(0, 0), *points]
+        return sum((b[0] - a[0]) * (a[1] + b[1]) for a, b in zip(line, line[1:], strict=False))
+
+    assert area([p[1:] for p in whole]) == area([p[1:] for p in want])
+
+
+def test_thinned_curve_of_few_points(spark):
+    from truant.operators.evaluate import roc_curve
+    one = spark.createDataFrame([(1, 0.5), (0, 0.5)], "label int, SCORE double")
+    assert roc_curve(one, thin=True).count() == 1
+    assert roc_curve(one.where("false"), thin=True).count() == 0

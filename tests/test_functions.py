@@ -50,3 +50,17 @@ def test_sized_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10 ** 12 // (256 << 20))
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)
+
+
+def test_distinct_count_in_one_scan(spark):
+    from truant.operators.profile import distinct_count
+    rows = [(i % 200 - 100, i % 2 == 0, float(i % 3) if i % 7 else None, f"t{i % 11}" if i % 5 else None, -0.0 if i % 2 else 0.0, float("nan"), None) for i in range(500)]
+    df = spark.createDataFrame(rows, "a int, b boolean, c double, d string, e double, f double, g int").withColumns({
+        "h": F.expr("timestamp_micros(a * 1000003L)"), "i": F.expr("date_add(date'1969-12-30', abs(a) % 9)"), "j": F.expr("a * 123456789012L"),
+        "k": F.expr("cast(a % 4 as decimal(9, 2))")})
+    want = df.agg(*[F.count_distinct(c).alias(f"n_distinct_{c}") for c in df.columns]).first().asDict()
+    got = distinct_count(df)
+    assert got.first().asDict() == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and "SortAggregate" not in plan and "ObjectHash" not in plan
+    assert distinct_count(df.where("false")).first().asDict() == dict.fromkeys(want, 0)

@@ -114,3 +114,42 @@ def test_draws_reach_rows_beyond_32_bits(spark):
     m = 10 << 32
     top = spark.range(2000).select(F.max(F.pmod(hash60(1, F.col("id")), F.lit(m)))).first()[0]
     assert m * 0.99 < top < m
+
+
+def _reads(spark, call, n=400):
+    """How often ``call`` reads the rows of its input."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(n).selectExpr("id AS APPOINTMENTID", "CAST(id % 4 = 0 AS INT) AS NO_SHOW").mapInArrow(count, "APPOINTMENTID long, NO_SHOW int")
+    call(df).write.format("noop").mode("overwrite").save()
+    return seen.value / n
+
+
+def test_reads_of_the_input(spark):
+    """A split or down-sampling counts, finds the border, and is then a projection; folds count and rank."""
+    assert _reads(spark, lambda df: sampling.stratified_split(df, "NO_SHOW")) <= 3
+    assert _reads(spark, lambda df: sampling.downsample(df, "NO_SHOW")) <= 3
+    assert _reads(spark, lambda df: sampling.stratified_kfold(df, 5)) <= 2
+    assert _reads(spark, lambda df: sampling.upsample(df, "NO_SHOW")) <= 3
+
+
+def test_border_in_a_crowded_range(spark, monkeypatch):
+    """All hash values in few counted ranges: the border is found among the rows of its range."""
+    monkeypatch.setattr(sampling, "HISTOGRAM_BITS", 1)
+    monkeypatch.setattr(sampling, "MIN_RANGE_BITS", 1)
+    df = spark.range(900).selectExpr("id AS APPOINTMENTID", "CAST(id % 3 = 0 AS INT) AS NO_SHOW")
+    few = sampling.stratified_split(df, "NO_SHOW", 0.3, 7).where("split = 'test'").select("APPOINTMENTID")
+    monkeypatch.undo()
+    many = sampling.stratified_split(df, "NO_SHOW", 0.3, 7).where("split = 'test'").select("APPOINTMENTID")
+    assert few.count() == 270 and few.exceptAll(many).count() == 0
+
+
+def test_whole_and_empty_quotas(spark):
+    df = spark.range(50).selectExpr("id AS APPOINTMENTID", "CAST(id % 5 = 0 AS INT) AS NO_SHOW")
+    s = sampling.select_by_quota(df, {"0": 40, "1": 0}, "NO_SHOW")
+    assert {(r[0], r[1]): r[2] for r in s.groupBy("NO_SHOW", "__in").count().collect()} == {(0, True): 40, (1, False): 10}

@@ -38,20 +38,31 @@ def _totals(groups: DataFrame) -> tuple[int, int, int]:
 
 
 def curve_points(df: DataFrame, label: str = "label", score: str = "SCORE",
-                 rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, int, int]:
-    """Per distinct score (descending): tp, fp at that threshold and before it."""
+                 rows_per_range: int = ROWS_PER_RANGE, corners: bool = False) -> tuple[DataFrame, int, int]:
+    """Per distinct score (descending): tp, fp at that threshold and before it.
+
+    ``corners``: only the points at which the curve turns, and its last one.  A
+    point lies on the line between its neighbours if the step to it and the one
+    after it have the same direction, in whole numbers; all such points go, so
+    that the line through the rest is the same."""
     g = score_groups(df, label, score)
     p, n, k = _totals(g)
-    c = running_totals(g, "threshold", ["pos", "neg"], k, descending=True, rows_per_range=rows_per_range)
+    c = running_totals(g, "threshold", ["pos", "neg"], k, descending=True, rows_per_range=rows_per_range, following=corners)
+    if corners:
+        step, after = (F.col(x).cast("decimal(19,0)") for x in ("pos", "neg")), (F.col(f"next_{x}").cast("decimal(19,0)") for x in ("pos", "neg"))
+        (up, right), (next_up, next_right) = step, after
+        c = c.where(F.col("next_pos").isNull() | (up * next_right != right * next_up))
     c = c.select("threshold", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                  (F.col("cum_pos") - F.col("pos")).alias("tp_prev"),
                  (F.col("cum_neg") - F.col("neg")).alias("fp_prev"))
     return c, p, n
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "SCORE", digits: int = 9) -> DataFrame:
-    """All (threshold, fpr, tpr) points, one per distinct score (not thinned)."""
-    c, p, n = curve_points(df, label, score)
+def roc_curve(df: DataFrame, label: str = "label", score: str = "SCORE", digits: int = 9, thin: bool = False,
+              rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """The (threshold, fpr, tpr) points, one per distinct score; with ``thin``
+    only those at which the curve turns and the last one."""
+    c, p, n = curve_points(df, label, score, rows_per_range, thin)
     return c.select("threshold",
                     F.round(F.col("fp") / F.lit(float(n or 1)), digits).alias("fpr"),
                     F.round(F.col("tp") / F.lit(float(p or 1)), digits).alias("tpr"))

@@ -7,10 +7,9 @@ from the already-aggregated frame, never from a second scan of the input.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from truant.functions.bands import case_band
 from truant.functions.dates import days_between_calendar
@@ -131,17 +130,41 @@ def join_distribution(df: DataFrame, target: str = TARGET) -> DataFrame:
 def distinct_count(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
     """``n_distinct_<col>`` per column.
 
-    Exact: each column is grouped on its own, so its values collapse in the
-    scanning tasks and only one row per value and task is shuffled.
-    ``exact=False`` counts all columns in one scan by HyperLogLog++ (relative
+    Exact: one scan of the rows, each giving its values in long form.  Whole
+    numbers, dates and times go 64 neighbours to a bitmap, so that dense ones
+    (keys, ages, flags) collapse 64-fold in the scanning tasks; other values are
+    grouped as they are.  ``exact=False`` counts by HyperLogLog++ (relative
     error 5 %, constant memory per column).
     """
     cols = cols or df.columns
     if not exact:
         return df.agg(*[F.approx_count_distinct(F.col(c)).cast("long").alias(f"n_distinct_{c}") for c in cols])
-    parts = [df.groupBy(c).agg(F.lit(1).alias("__one")).agg(F.lit(c).alias("__c"), F.count(c).alias("__n")) for c in cols]
-    long = reduce(DataFrame.union, parts)
-    return long.agg(*[F.max(F.when(F.col("__c") == c, F.col("__n"))).alias(f"n_distinct_{c}") for c in cols])
+    none = F.lit(None)
+    values = []
+    for i, c in enumerate(cols):
+        number = _whole_number(F.col(c), df.schema[c].dataType)
+        word = none.cast("long") if number is None else F.shiftright(number, 6)
+        bit = F.lit(1).cast("long") if number is None else F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit(63)).cast("int"))
+        other = none.cast("string") if number is not None else _as_text(F.col(c), df.schema[c].dataType)
+        values.append(F.struct(F.lit(i).alias("__c"), word.alias("__word"), other.alias("__other"), F.when(F.col(c).isNotNull(), bit).alias("__bit")))
+    words = df.select(F.inline(F.array(*values))).where("__bit is not null").groupBy("__c", "__word", "__other").agg(F.bit_or("__bit").alias("__bits"))
+    return words.agg(*[F.coalesce(F.sum(F.when(F.col("__c") == i, F.bit_count("__bits"))), F.lit(0)).cast("long").alias(f"n_distinct_{c}")
+                       for i, c in enumerate(cols)])
+
+
+def _whole_number(c: Column, kind: T.DataType) -> Column | None:
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        return c.cast("long")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    return None
+
+
+def _as_text(c: Column, kind: T.DataType) -> Column:
+    """A text that tells a type's values apart: -0.0 and 0.0 are one value, as they are in a group."""
+    return (c + F.lit(0.0)).cast("string") if isinstance(kind, (T.FloatType, T.DoubleType)) else c.cast("string")
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

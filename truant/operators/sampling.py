@@ -5,14 +5,15 @@ and are reproducible in SQL.
 
 A draw without replacement (split, down-sampling) takes the first ``quota``
 rows of each stratum in hash order.  It only needs one border per stratum, the
-pair (hash, key) of the last row taken: counts per range of hash values say in
-which range the border lies, that range alone is sorted, and the draw itself
+pair (hash, key) of the last row taken.  One read counts the rows per stratum
+and range of hash values, which gives the strata's sizes and the range in which
+each border lies; a second one sorts that range's rows alone; the draw itself
 is then a projection ``(hash, key) <= border`` of one scan, without a shuffle
 of the rows.
 
-Full ranks (folds, up-sampling) shuffle once: rows are grouped by ranges of
-hash values, the counts per range give each range's offset, and only a range's
-own rows are sorted together.
+Full ranks (folds, up-sampling) need the first of these reads, and shuffle
+once: the counts give each range's offset, and only a range's own rows are
+sorted together.
 
 A null key is replaced by a hash of the whole row, so such rows are drawn like
 others; rows that repeat a key share their place and stay on one side.
@@ -23,15 +24,17 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from truant.functions.hashing import HASH_BITS, hash60
 from truant.plans.joins import broadcast_if_small
 from truant.schema import KEY, TARGET
+from truant.session import materialize
 
 ROWS_PER_RANGE = 250_000  # rows sorted together, on average
 MIN_RANGE_BITS = 8
+HISTOGRAM_BITS = 16       # ranges that rows are counted in
 #: One count per stratum is held on the driver (some 100 bytes each).
 MAX_STRATA = 1_000_000
 _NULL = "\u0000null"
@@ -41,32 +44,54 @@ def _stratum(target: str):
     return F.coalesce(F.col(target).cast("string"), F.lit(_NULL))
 
 
+class Counts(dict):
+    """Rows per stratum.  ``ranges`` is the written table they are summed from:
+    (__s, __f, __nb), the rows of each stratum in each of 2 ** ``bits`` ranges of hash values."""
+
+    ranges: DataFrame
+    bits: int
+    nulls: bool
+
+
+def _histogram(hashed: DataFrame, bits: int) -> Counts:
+    """One read of the rows; everything else that needs counts reads the small written table."""
+    ranges = materialize(hashed.groupBy("__s", F.shiftright("__h", HASH_BITS - bits).alias("__f")).agg(
+        F.count(F.lit(1)).alias("__nb"), F.count_if(F.col("__null")).alias("__nulls")), "hash-ranges")
+    rows = ranges.groupBy("__s").agg(F.sum("__nb").alias("n"), F.sum("__nulls").alias("nulls")).limit(MAX_STRATA + 1).collect()
+    if len(rows) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} strata")
+    out = Counts({r["__s"]: r["n"] for r in rows})
+    out.ranges, out.bits, out.nulls = ranges.drop("__nulls"), bits, any(r["nulls"] for r in rows)
+    return out
+
+
 def _counted(df: DataFrame, target: str, key: str, seed: int,
-             rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, dict[str, int], int]:
-    """(rows with stratum, key text and hash, rows per stratum, bits of a range).
+             rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, Counts, int]:
+    """(rows with stratum, key text, hash and range, counts, bits of a range).
 
-    One count decides how fine the ranges are, so a range holds about
-    ``rows_per_range`` rows at any size of the input.
+    One read counts the rows in 2 ** HISTOGRAM_BITS ranges; the rows' own ranges
+    are as much coarser as brings them to about ``rows_per_range`` rows.  Only
+    if keys are null, whose hash needs all columns, or if even the finest ranges
+    would hold more rows than that, are the rows counted once more.
     """
-    rows = (df.groupBy(_stratum(target).alias("s")).agg(F.count(F.lit(1)).alias("n"),
-                                                        F.count_if(F.col(key).isNull()).alias("nulls"))
-              .limit(MAX_STRATA + 1).collect())
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata in {target}")
+    def hashed(text: Column) -> DataFrame:
+        rows = df.withColumns({"__s": _stratum(target), "__k": text, "__null": F.col(key).isNull()})
+        return rows.withColumn("__h", hash60(seed, F.coalesce("__k", F.lit(""))))
+
     text = F.col(key).cast("string")
-    if any(r["nulls"] for r in rows):  # only then are all columns read
+    counts = _histogram(hashed(text), HISTOGRAM_BITS)
+    bits = min(HASH_BITS, max(MIN_RANGE_BITS, math.ceil(math.log2(max(1, sum(counts.values()) / rows_per_range)))))
+    if counts.nulls:
         text = F.coalesce(text, F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string")))
-    counts = {r["s"]: r["n"] for r in rows}
-    bits = math.ceil(math.log2(max(1, sum(counts.values()) / rows_per_range)))
-    bits = min(HASH_BITS, max(MIN_RANGE_BITS, bits))
-    hashed = df.withColumns({"__s": _stratum(target), "__k": text}).withColumn("__h", hash60(seed, "__k"))
-    return hashed.withColumn("__b", F.shiftright(F.col("__h"), HASH_BITS - bits)), counts, bits
+    if counts.nulls or bits > HISTOGRAM_BITS:
+        counts = _histogram(hashed(text), max(bits, HISTOGRAM_BITS))
+    return hashed(text).drop("__null").withColumn("__b", F.shiftright("__h", HASH_BITS - bits)), counts, bits
 
 
-def _ranges(h: DataFrame) -> DataFrame:
-    """(stratum, range) -> rows, start offset.  The running sum is over one
-    stratum's ranges, never over data rows."""
-    stats = h.groupBy("__s", "__b").agg(F.count(F.lit(1)).alias("__nb"))
+def _ranges(counts: Counts, bits: int) -> DataFrame:
+    """(stratum, range) -> rows, start offset, for ranges of ``bits``.  The
+    running sum is over one stratum's ranges, never over data rows."""
+    stats = counts.ranges.groupBy("__s", F.shiftright("__f", counts.bits - bits).alias("__b")).agg(F.sum("__nb").alias("__nb"))
     w = Window.partitionBy("__s").orderBy("__b")
     return stats.withColumn("__start", F.sum("__nb").over(w) - F.col("__nb"))
 
@@ -97,18 +122,22 @@ def allocate(counts: dict[str, int], size: float) -> dict[str, int]:
     return base
 
 
-def _borders(h: DataFrame, quotas: dict[str, int]) -> list[tuple[str, int, str]]:
-    """(stratum, hash, key text) of the last row taken in each stratum that is drawn from."""
+def _borders(h: DataFrame, counts: Counts, quotas: dict[str, int]) -> list[tuple[str, int, str]]:
+    """(stratum, hash, key text) of the last row taken in each stratum that is drawn from.
+
+    One read, of the columns that the hash needs: only the rows of the range
+    in which a stratum's border lies go on."""
     spark = h.sparkSession
-    wanted = [(s, int(q)) for s, q in quotas.items() if q > 0]
+    wanted = [(s, int(q)) for s, q in quotas.items() if 0 < q < counts[s]]
     if not wanted:
         return []
     q = broadcast_if_small(spark.createDataFrame(wanted, "__s string, __q long"), len(wanted))
-    at = _ranges(h).join(q, "__s").where("__start < __q and __q <= __start + __nb")
+    at = _ranges(counts, counts.bits).join(q, "__s").where("__start < __q and __q <= __start + __nb")
     at = at.select("__s", "__b", (F.col("__q") - F.col("__start")).alias("__nth")).collect()  # one a stratum
     at = broadcast_if_small(spark.createDataFrame(at, "__s string, __b long, __nth long"), len(at))
     w = Window.partitionBy("__s").orderBy("__h", "__k")
-    last = h.select("__s", "__b", "__h", "__k").join(at, ["__s", "__b"]).withColumn("__r", F.row_number().over(w))
+    fine = F.shiftright("__h", HASH_BITS - counts.bits).alias("__b")
+    last = h.select("__s", fine, "__h", "__k").join(at, ["__s", "__b"]).withColumn("__r", F.row_number().over(w))
     return [(r["__s"], r["__h"], r["__k"]) for r in last.where("__r = __nth").collect()]
 
 
@@ -119,7 +148,8 @@ def select_by_quota(df: DataFrame, quotas, target: str = TARGET, key: str = KEY,
     stratum counts.  Rows that repeat the key of the last row taken are taken too."""
     h, counts, _ = _counted(df, target, key, seed, rows_per_range)
     quotas = quotas(counts) if callable(quotas) else quotas
-    borders = _borders(h, {s: q for s, q in quotas.items() if s in counts})
+    borders = _borders(h, counts, {s: q for s, q in quotas.items() if s in counts})
+    borders += [(s, 1 << HASH_BITS, "") for s, q in quotas.items() if 0 < counts.get(s, 0) <= q]  # whole strata
     lut = broadcast_if_small(df.sparkSession.createDataFrame(borders, "__s string, __bh long, __bk string"), len(borders))
     taken = (F.col("__h") < F.col("__bh")) | ((F.col("__h") == F.col("__bh")) & (F.col("__k") <= F.col("__bk")))
     return h.join(lut, "__s", "left").select(*df.columns, F.coalesce(taken, F.lit(False)).alias(flag))
@@ -133,9 +163,12 @@ def class_rank(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int =
     and the window share; a stratum holding a third of all rows is spread over
     its ranges.
     """
-    h, _, _ = _counted(df, target, key, seed, rows_per_range)
+    return _ranked(df, *_counted(df, target, key, seed, rows_per_range), out)
+
+
+def _ranked(df: DataFrame, h: DataFrame, counts: Counts, bits: int, out: str) -> DataFrame:
     w = Window.partitionBy("__s", "__b").orderBy("__h", "__k")
-    ranked = h.join(_ranges(h).drop("__nb"), ["__s", "__b"])
+    ranked = h.join(_ranges(counts, bits).drop("__nb"), ["__s", "__b"])
     return ranked.select(*df.columns, (F.col("__start") + F.row_number().over(w)).alias(out))
 
 
@@ -204,7 +237,7 @@ def upsample(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 12
     (row number, copies) before the join, and copies are expanded after it.
     """
     mino = str(minority)
-    counts = stratum_counts(df, target)
+    h, counts, bits = _counted(df, target, key, seed)
     m = counts.get(mino, 0)
     n = sum(v for s, v in counts.items() if s != mino) if n is None else n
     if m == 0:
@@ -212,8 +245,7 @@ def upsample(df: DataFrame, target: str = TARGET, key: str = KEY, seed: int = 12
     draws = (df.sparkSession.range(0, n, 1, draw_partitions(n))
                .select(F.pmod(hash60(seed, F.col("id")), F.lit(m)).alias("__idx"))
                .groupBy("__idx").agg(F.count(F.lit(1)).alias("__copies")))
-    ranked = (class_rank(df.where(_stratum(target) == mino), target, key, seed, "__r")
-              .withColumn("__idx", F.col("__r") - 1))
+    ranked = _ranked(df, h.where(F.col("__s") == mino), counts, bits, "__r").withColumn("__idx", F.col("__r") - 1)
     picked = (ranked.join(draws, "__idx")
                     .withColumn("__rep", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int"))))
                     .drop("__idx", "__r", "__copies", "__rep"))

@@ -44,6 +44,15 @@ def q_roc_curve(spark, sf):
     return evaluate.roc_curve(scored(spark, sf), "label", "SCORE")
 
 
+@query("roc_curve_thinned", with_ctes(
+    f"SELECT threshold, ROUND(fp / n_all, {D}) AS fpr, ROUND(tp / p_all, {D}) AS tpr FROM (SELECT *, LEAD(tp) OVER w - tp AS up,"
+    " LEAD(fp) OVER w - fp AS across FROM cp WINDOW w AS (ORDER BY threshold DESC))"
+    " WHERE up IS NULL OR CAST(tp - tp_prev AS HUGEINT) * across <> CAST(fp - fp_prev AS HUGEINT) * up", **_CURVE))
+def q_roc_curve_thinned(spark, sf):
+    """The ROC curve without the points that lie on the line between their neighbours."""
+    return evaluate.roc_curve(scored(spark, sf), "label", "SCORE", thin=True)
+
+
 @query("pr_curve", with_ctes(
     f"SELECT threshold, ROUND(tp / (tp + fp), {D}) AS precision, ROUND(tp / p_all, {D}) AS recall FROM cp",
     **_CURVE))

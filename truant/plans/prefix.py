@@ -10,7 +10,6 @@ share a range.  Up to ``ROWS_PER_RANGE`` rows are one range and skip that step.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,28 +18,14 @@ from truant.session import materialize
 ROWS_PER_RANGE = 1_000_000
 
 
-def range_splits(df: DataFrame, col: str, buckets: int) -> list[float]:
-    """Bucketizer splits at approximate quantiles of ``col`` (open ends)."""
-    probs = [i / buckets for i in range(1, buckets)]
-    qs = df.approxQuantile(col, probs, 1.0 / (4 * buckets)) if buckets > 1 else []
-    bounds = sorted({float(q) for q in qs if q is not None})
-    return [float("-inf")] + bounds + [float("inf")]
-
-
-def bucketize(df: DataFrame, col, splits: list[float], out: str) -> DataFrame:
-    """Bucket id of ``col`` (a name or a column) for the given splits."""
-    if len(splits) < 3:  # one bucket: nothing to look up
-        return df.withColumn(out, F.lit(0))
-    tmp = df.withColumn("__rbx", (F.col(col) if isinstance(col, str) else col).cast("double"))
-    b = Bucketizer(splits=splits, inputCol="__rbx", outputCol="__rbd", handleInvalid="keep").transform(tmp)
-    return b.withColumn(out, F.col("__rbd").cast("int")).drop("__rbx", "__rbd")
-
-
 def running_totals(df: DataFrame, order_col: str, values: list[str], n_rows: int, keys: list[str] | None = None,
                    descending: bool = False, tiebreak: list[str] | None = None,
-                   rows_per_range: int = ROWS_PER_RANGE, prefix: str = "cum_") -> DataFrame:
+                   rows_per_range: int = ROWS_PER_RANGE, prefix: str = "cum_", following: bool = False) -> DataFrame:
     """Inclusive running sums of ``values`` in ``order_col`` order (within
-    ``keys``), as ``cum_<value>`` columns.
+    ``keys``), as ``cum_<value>`` columns.  With ``following`` also
+    ``next_<value>``, the value of the next row, null at the end; a range's last
+    row gets it from the first row of the next range.  That needs an
+    ``order_col`` without ties.
 
     ``tiebreak`` orders rows with equal ``order_col``; without it, tied rows
     get the running sum through all of the tie (a RANGE frame).  ``n_rows`` is
@@ -58,9 +43,15 @@ def running_totals(df: DataFrame, order_col: str, values: list[str], n_rows: int
         wb = Window.partitionBy(*keys).orderBy("__rb").rowsBetween(Window.unboundedPreceding, -1)
         offsets = totals.select(*keys, "__rb", *[F.coalesce(F.sum(f"__t_{v}").over(wb), F.lit(0))
                                                  .alias(f"__o_{v}") for v in values])
+        if following:
+            first = (F.max_by if descending else F.min_by)(F.struct(*values), order_col)
+            firsts = b.groupBy(*keys, "__rb").agg(first.alias("__first"))
+            border = firsts.select(*keys, "__rb", F.lead("__first").over(Window.partitionBy(*keys).orderBy("__rb")).alias("__border"))
+            offsets = offsets.join(border, [*keys, "__rb"])  # one row a range
         j = b.join(offsets, [*keys, "__rb"])  # on what the window below is partitioned by
         offset = {v: F.col(f"__o_{v}") for v in values}
     w = Window.partitionBy(*keys, "__rb").orderBy(o, *(tiebreak or []))
+    after = [(F.coalesce(F.lead(v).over(w), F.col("__border")[v]) if n > 1 else F.lead(v).over(w)).alias(f"next_{v}") for v in values] if following else []
     w = (w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if tiebreak
          else w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return j.select(*df.columns, *[(offset[v] + F.sum(v).over(w)).alias(f"{prefix}{v}") for v in values])
+    return j.select(*df.columns, *[(offset[v] + F.sum(v).over(w)).alias(f"{prefix}{v}") for v in values], *after)
