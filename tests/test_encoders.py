@@ -54,3 +54,33 @@ def test_fit_categories_refuses_high_cardinality(spark):
     df = spark.range(50).selectExpr("CAST(id AS STRING) AS c")
     with pytest.raises(ValueError):
         encode.fit_categories(df, "c", max_categories=10)
+
+
+def test_one_hot_long_is_the_wide_form(spark):
+    from truant.operators import encode
+    rows = [(i, v) for i, v in enumerate(["b", "a", None, "c", "b", "zz"])]
+    df = spark.createDataFrame(rows, "k long, v string")
+    index = encode.category_index(df.where("v <> 'zz' or v is null"), "v")  # zz is unknown to the frozen index
+    for drop in (True, False):
+        cats = ["a", "b", "c"]
+        wide = encode.one_hot(df, "v", cats, drop).collect()
+        want = {(r.k, i) for r in wide for i, c in enumerate(cats[drop:]) if r[f"v_{c}"] == 1}
+        assert {tuple(r) for r in encode.one_hot_long(df, "k", "v", index, drop).collect()} == want
+    many = spark.range(12_000).selectExpr("id as k", "cast(id as string) as v")
+    assert encode.one_hot_long(many, "k", "v", encode.category_index(many, "v")).select("index").distinct().count() == 11_999
+
+
+def test_align_report(spark):
+    from truant.operators import clean
+    a = spark.createDataFrame([(1, 2.5, "x")], "i int, d double, only_a string")
+    b = spark.createDataFrame([("1", "1e3", True), ("one", None, None), ("3000000000", "z", None)], "i string, d string, only_b boolean")
+    got = {r["column"]: (r.left_type, r.right_type, r.left_place, r.right_place, r.right_rows, r.not_castable) for r in clean.align_report(a, b).collect()}
+    assert got == {"i": ("int", "string", 1, 1, 3, 2), "d": ("double", "string", 2, 2, 3, 1),
+                   "only_a": ("string", None, 3, None, 3, None), "only_b": (None, "boolean", None, 3, 3, None)}
+
+
+def test_tree_learns_from_a_bounded_number_of_rows(spark):
+    from truant.operators import models
+    df = spark.range(3000).selectExpr("double(id % 7) as a", "int(id % 7 > 3) as NO_SHOW")
+    mf = models.model_frame(df, ["a"])
+    assert models.fit_tree(mf, weighted=False, max_rows=300).numNodes == 3

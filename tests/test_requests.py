@@ -79,3 +79,20 @@ def test_quoted_line_break_in_a_file(spark, tmp_path):
     (tmp_path / "a.csv").write_text('APPOINTMENTID,NEIGHBOURHOOD\n1,"x\ny"\n2,z\n')
     rows = tables.scan_csv(spark, str(tmp_path), multi_line=True).orderBy("APPOINTMENTID").collect()
     assert [r.NEIGHBOURHOOD for r in rows] == ["x\ny", "z"]
+
+
+def test_any_number_of_columns_and_quoted_fields(spark):
+    """A body with 300 columns, the key last; quotes, commas and line breaks in fields; a short line is an error row."""
+    import json
+
+    from truant.sources import requests
+    names = [f"X{i}" for i in range(299)] + ["APPOINTMENTID"]
+    line = ",".join(['"a,""b""\nc"', *["x"] * 298, "7"])
+    wide = json.dumps({"data": ",".join(names) + "\n" + line + "\n" + "1,2,3"})
+    some = json.dumps({"data": 'NEIGHBOURHOOD,"AGE",APPOINTMENTID,GENDER\n"Sant"" Ana, ""S""",41,8,\n"",,9,"F"'})
+    req = spark.createDataFrame([(1, wide), (2, some)], "request_id long, body string")
+    good = {r.APPOINTMENTID: r for r in requests.decode_requests(req, keep_id=True).collect()}
+    assert sorted(good) == [7, 8, 9]
+    assert (good[8].NEIGHBOURHOOD, good[8].AGE, good[8].GENDER) == ('Sant" Ana, "S"', 41, None)
+    assert (good[9].NEIGHBOURHOOD, good[9].AGE, good[9].GENDER) == (None, None, "F")
+    assert [(r.request_id, r.error) for r in requests.decode_errors(req).collect()] == [(1, "not as many fields as the header")]

@@ -144,3 +144,18 @@ def align_schema(a: DataFrame, b: DataFrame) -> dict:
         "only_left": sorted(set(a.columns) - set(b.columns)),
         "only_right": sorted(set(b.columns) - set(a.columns)),
     }
+
+
+def align_report(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(column, left_type, right_type, left_place, right_place, right_rows, not_castable): one row for every column of either frame.
+
+    ``not_castable`` counts the values of ``b`` that are lost if its column is
+    cast to the type it has in ``a``; one scan of ``b`` counts them all."""
+    left, right = dict(a.dtypes), dict(b.dtypes)
+    both = [c for c in a.columns if c in right]
+    lost = b.agg(F.count(F.lit(1)).alias("__rows"), *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(left[c]).isNull()).alias(c) for c in both])
+    text, place = (lambda d, c: F.lit(d.get(c)).cast("string")), (lambda df, c: F.lit(df.columns.index(c) + 1 if c in df.columns else None).cast("int"))
+    rows = [F.struct(F.lit(c).alias("column"), text(left, c).alias("left_type"), text(right, c).alias("right_type"), place(a, c).alias("left_place"),
+                     place(b, c).alias("right_place"), F.col("__rows").alias("right_rows"), (F.col(c) if c in both else F.lit(None).cast("long")).alias("not_castable"))
+            for c in dict.fromkeys([*a.columns, *b.columns])]
+    return lost.select(F.inline(F.array(*rows)))

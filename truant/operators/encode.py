@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from truant.plans.joins import broadcast_if_small
+from truant.plans.prefix import running_totals
 from truant.schema import TARGET
 from truant.session import materialize
 
@@ -23,7 +24,7 @@ def fit_categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES
     """Sorted distinct non-null values (one small aggregate).
 
     Refuses columns with more than ``max_categories`` values: each category
-    becomes a column, so a high-cardinality column is an error, not a plan.
+    becomes a column.  :func:`one_hot_long` is the form for more values.
     """
     vals = (df.select(col).where(F.col(col).isNotNull()).distinct()
               .limit(max_categories + 1).collect())
@@ -47,6 +48,22 @@ def one_hot(df: DataFrame, col: str, categories: list[str], drop_first: bool = T
     return df.select(*others, *dummies)
 
 
+def category_index(df: DataFrame, col: str) -> DataFrame:
+    """(value, index): the distinct non-null values as text, numbered from 0 in their order; any number of them."""
+    values = materialize(df.select(F.col(col).cast("string").alias("value")).where("value is not null").distinct().withColumn("one", F.lit(1)), "categories")
+    return running_totals(values, "value", ["one"], values.count()).select("value", (F.col("cum_one") - 1).cast("long").alias("index"))
+
+
+def one_hot_long(df: DataFrame, key: str, col: str, index: DataFrame, drop_first: bool = True) -> DataFrame:
+    """(key, index): where the one-hot row of ``key`` has its 1, for columns of any number of values.
+
+    ``index`` is the frozen table of :func:`category_index`.  A null, unknown
+    or dropped value has no row, as it has no 1 in the wide form."""
+    rows = df.select(key, F.col(col).cast("string").alias("value"))
+    kept = index.where("index > 0") if drop_first else index
+    return rows.join(broadcast_if_small(kept), "value").select(key, (F.col("index") - int(drop_first)).alias("index"))
+
+
 # ---------------------------------------------------------- target encoding
 @dataclass
 class TargetEncoding:

@@ -103,7 +103,12 @@ def tree_estimator(weighted: bool = True, max_depth: int = 30, max_bins: int = 1
     return dt.setWeightCol(WEIGHT) if weighted else dt
 
 
-def fit_tree(mf: DataFrame, weighted: bool = True, max_depth: int = 30, max_bins: int = 128, min_rows: int = 1, seed: int = 42):
+def fit_tree(mf: DataFrame, weighted: bool = True, max_depth: int = 30, max_bins: int = 128, min_rows: int = 1, seed: int = 42,
+             max_rows: int = MAX_TREE_ROWS):
+    """A single tree, which is held on the driver: it learns from about ``max_rows`` rows at most, a sample of larger frames."""
+    n = mf.count()
+    if n > max_rows:
+        mf = mf.sample(max_rows / n, seed=seed)
     return tree_estimator(weighted, max_depth, max_bins, min_rows, seed).fit(mf)
 
 

@@ -10,6 +10,7 @@ from truant.functions.dates import date_part_columns, days_till_appointment, run
 from truant.operators import clean, encode, profile, sampling
 from truant.plans import featurize
 from truant.plans.catalog import query
+from truant.schema import KEY
 from truant.plans.oracle_sql import (AGE_BUCKET_SQL, DAYS_TILL_SQL, FLAGS, GENDER_AGE_CATEGORIES,
                                      GENDER_AGE_SQL, PREPROCESSED_SQL, features_select, split_ctes,
                                      target_encoding_ctes)
@@ -185,3 +186,29 @@ def q_select_features(spark, sf):
     """Fixed feature list; a feature absent from the frame is filled with 0."""
     _, test, state = _state(spark, sf)
     return _rounded(clean.select_features(featurize.apply_features(test, state), _SELECTED))
+
+
+@query("one_hot_long", with_ctes(
+    "SELECT APPOINTMENTID, index - 1 AS index FROM appointments JOIN"
+    " (SELECT PATIENTID, CAST(dense_rank() OVER (ORDER BY CAST(CAST(PATIENTID AS BIGINT) AS VARCHAR)) - 1 AS BIGINT) AS index"
+    "  FROM (SELECT DISTINCT PATIENTID FROM appointments)) USING (PATIENTID) WHERE index > 0"))
+def q_one_hot_long(spark, sf):
+    """One-hot positions of a column with as many values as there are patients."""
+    a = appointments(spark, sf).select("APPOINTMENTID", F.col("PATIENTID").cast("long").alias("PATIENTID"))
+    return encode.one_hot_long(a, "APPOINTMENTID", "PATIENTID", encode.category_index(a, "PATIENTID")).toDF("APPOINTMENTID", "index")
+
+
+_ALIGNED = {"APPOINTMENTID": "bigint", "GENDER": "string", "SCHEDULEDDAY": "timestamp", "AGE": "int", "SMS_RECEIVED": "int"}
+
+
+@query("align_report", with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{t}' AS left_type, {'NULL' if c == 'GENDER' else chr(39) + 'string' + chr(39)} AS right_type, {i} AS left_place,"
+    f" {'NULL' if c == 'GENDER' else i - (i > 2)} AS right_place, COUNT(*) AS right_rows,"
+    f" {'NULL' if c == 'GENDER' else f'CAST(COUNT(*) FILTER (WHERE APPOINTMENTID % 9 = 4) AS BIGINT)' if c == 'AGE' else 'CAST(0 AS BIGINT)'} AS not_castable FROM appointments"
+    for i, (c, t) in enumerate(_ALIGNED.items(), 1))
+    + " UNION ALL SELECT 'EXTRA', NULL, 'int', NULL, 5, COUNT(*), NULL FROM appointments"))
+def q_align_report(spark, sf):
+    """A typed frame against its text form, one column missing, one too many, a ninth of the ages unreadable."""
+    a = appointments(spark, sf).select(*_ALIGNED)
+    text = a.select(*[F.when((F.col(KEY) % 9 == 4) & F.lit(c == "AGE"), F.lit("forty")).otherwise(F.col(c).cast("string")).alias(c) for c in _ALIGNED if c != "GENDER"])
+    return clean.align_report(a, text.withColumn("EXTRA", F.lit(1)))

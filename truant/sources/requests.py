@@ -19,8 +19,6 @@ from truant.schema import APPOINTMENT_SCHEMA, COLUMN_ALIASES, KEY
 from truant.sources.tables import CSV_TIMESTAMP_FORMAT, typed, unreadable
 
 CSV_OPTIONS = {"timestampFormat": CSV_TIMESTAMP_FORMAT, "quote": '"', "escape": '"'}
-#: A header with more columns is an error of its request.
-MAX_COLUMNS = 64
 _BREAK = "\u001e\u001f"
 
 
@@ -58,15 +56,17 @@ def _once(df: DataFrame, **values: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[v.alias(k) for k, v in values.items()]))))
 
 
-def _with_fields(df: DataFrame, record: str, out: str) -> DataFrame:
-    """``df`` with the array ``out`` of the first MAX_COLUMNS fields of a record, as text."""
-    names = [f"__c{i}" for i in range(MAX_COLUMNS)]
-    parsed = F.from_csv(F.coalesce(F.col(record), F.lit("")), ", ".join(f"{c} string" for c in names), {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    return _once(df.select("*", F.inline(F.array(parsed))), **{out: F.array(*names)}).drop(*names)
+def _fields(record: Column) -> Column:
+    """The fields of a CSV record, any number of them: cut at the commas outside
+    quotes; of a quoted field the quotes go, and double ones in it become single."""
+    cut = F.split(_outside_quotes(F.coalesce(record, F.lit("")), lambda x: F.replace(x, F.lit(","), F.lit(_BREAK))), _BREAK, -1)
+    return F.transform(cut, _unquoted)
 
 
-def _width(record: Column) -> Column:
-    return F.size(F.split(_outside_quotes(record, lambda x: F.replace(x, F.lit(","), F.lit(_BREAK))), _BREAK, -1))
+def _unquoted(field: Column) -> Column:
+    quoted = F.startswith(field, F.lit('"')) & F.endswith(field, F.lit('"')) & (F.length(field) >= 2)
+    inner = F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
+    return F.when(quoted, inner).otherwise(field)
 
 
 def _canonical(c: Column) -> Column:
@@ -82,10 +82,9 @@ def request_lines(requests: DataFrame, id_col: str = "request_id") -> DataFrame:
     """(request id, names, width, line number, line) for every data line; a
     body without usable data, or with a header only, gives one row without a line."""
     rows = _once(requests.select(id_col, "body"), __records=_records(F.get_json_object("body", "$.data")))
-    rows = _with_fields(_once(rows, __header=F.get("__records", F.lit(0))), "__header", "__f")
-    names = F.transform(F.slice("__f", F.lit(1), F.least(F.col("width"), F.lit(MAX_COLUMNS))), _canonical)
-    rows = _once(rows, width=_width(F.col("__header")))
-    rows = _once(rows, names=F.when(F.col("__header").isNotNull(), names))
+    rows = _once(rows, __header=F.get("__records", F.lit(0)))
+    rows = _once(rows, __f=_fields(F.col("__header")))
+    rows = _once(rows, names=F.when(F.col("__header").isNotNull(), F.transform("__f", _canonical)), width=F.size("__f"))
     numbered = F.transform("__records", lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
     lines = F.filter(numbered, lambda x: (x.line_no > 0) & (F.length(F.trim(x.line)) > 0))
     return rows.select(id_col, "names", "width", F.explode_outer(lines).alias("__l")).select(
@@ -98,17 +97,16 @@ def parse_requests(requests: DataFrame, schema=APPOINTMENT_SCHEMA, id_col: str =
     ``error`` is null for a good row; a request that gives no line at all has
     one row with its reason.
     """
-    lines = _with_fields(request_lines(requests, id_col), "line", "__f")
+    lines = _once(request_lines(requests, id_col), __f=_fields(F.col("line")))
     text = {f"__t{i}": F.when(F.array_contains("names", f.name), F.get("__f", F.array_position("names", f.name).cast("int") - 1))
             for i, f in enumerate(schema.fields)}
-    lines = _once(lines, **text, __w=_width(F.col("line")))
+    lines = _once(lines, **text)
     fields = {f.name: F.col(f"__t{i}") for i, f in enumerate(schema.fields)}
     error = F.coalesce(
         F.when(F.col("names").isNull(), F.lit("the body has no text under data")),
-        F.when(F.col("width") > MAX_COLUMNS, F.lit(f"more than {MAX_COLUMNS} columns")),
         F.when(~F.coalesce(F.array_contains("names", key), F.lit(False)), F.lit(f"the header has no {key}")),
         F.when(F.col("line").isNull(), F.lit("no lines")),
-        F.when(F.col("__w") != F.col("width"), F.lit("not as many fields as the header")),
+        F.when(F.size("__f") != F.col("width"), F.lit("not as many fields as the header")),
         unreadable(fields, schema, key))
     return lines.select(id_col, "line_no", "line", error.alias("error"), *[typed(fields[f.name], f.dataType).alias(f.name) for f in schema.fields])
 
