@@ -81,7 +81,7 @@ def test_templates_generalise_and_reject(llm_spark):
     assert len(rows) == 123
     assert rows[0].template == "/news/*.html" and rows[60].template == "/ads/*/buy"
     assert {rows[i].verdict for i in range(60)} == {"allow"} and {rows[i].verdict for i in range(60, 120)} == {"block"}
-    assert rows[120].template.count("/") == url_filter.MAX_DEPTH and (rows[121].host, rows[121].template) == ("", "")
+    assert rows[120].template == "/*" * url_filter.DEPTH + "/**" and (rows[121].host, rows[121].template) == ("", "")
     assert url_filter.verdicts(pages(llm_spark, []), RULES).count() == 0
 
 
@@ -93,6 +93,34 @@ def test_sections_of_a_large_host_stay_apart(llm_spark):
     assert {r.verdict for r in rows if "/section7/" not in r.path} == {"allow"}
 
 
+def test_sections_with_all_shares_are_not_one_branch(llm_spark):
+    """60 sections, 200 labels each, with 0 to 200 bad ones: the clean ones stay allowed, the bad ones are blocked, like ones are merged."""
+    rows = [(i, f"http://h.com/section{s}?{j}", int(j < 200 * s / 59)) for s in range(60) for j in range(200) for i in [200 * s + j]]
+    df = llm_spark.createDataFrame(rows, "page_id long, url string, bad int")
+    got = url_filter.verdicts(df, [], bad_col="bad").groupBy("template").agg({"purity": "max", "verdict": "max"}).collect()
+    purity = {int(r.template.split("/")[1].removeprefix("section")): r["max(purity)"] for r in got}
+    verdict = {int(r.template.split("/")[1].removeprefix("section")): r["max(verdict)"] for r in got}
+    assert all(abs(purity[s] - s / 59) < 0.12 for s in range(60))
+    assert all(verdict[s] == "allow" for s in range(26)) and all(verdict[s] == "block" for s in range(34, 60))
+    assert len({round(p, 9) for p in purity.values()}) < 40
+
+
+def test_like_siblings_share_their_labels(llm_spark):
+    rows = [(20 * s + j, f"http://h.com/s{s}?{j}", int(j < 2)) for s in range(30) for j in range(20)]
+    df = llm_spark.createDataFrame(rows, "page_id long, url string, bad int")
+    assert url_filter.verdicts(df, [], bad_col="bad").select("purity").distinct().count() == 1
+
+
+def test_deep_paths_differ_below_any_depth(llm_spark):
+    deep = "/".join("abcdefghij")
+    urls = [f"http://h.com/{deep}/{kind}/{i}" for kind in ("good", "bad") for i in range(60)] + ["http://h.com/" + "x/" * 3000]
+    labelled = pages(llm_spark, urls).drop("bad").selectExpr("*", "case when page_id % 3 <> 0 and page_id < 120 then int(url like '%/bad/%') end as bad")
+    rows = url_filter.verdicts(labelled, [], bad_col="bad").collect()
+    assert {r.verdict for r in rows if "/good/" in r.path} == {"allow"} and {r.verdict for r in rows if "/bad/" in r.path} == {"block"}
+    assert {r.template for r in rows if "/good/" in r.path} == {f"/{deep}/good/*"}
+    assert [r.template for r in rows if "/x/" in r.path] == ["/*" * url_filter.DEPTH + "/**"]
+
+
 @pytest.mark.parametrize("name", ["op2_url_filter", "op5_warc_archive", "op9_exact_top_k", "op1_benchmark_decontamination", "op7_line_dedup"])
 def test_query_equals_its_sql(llm_spark, name):
     con = duckdb.connect()

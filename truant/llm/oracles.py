@@ -44,42 +44,46 @@ labelled AS (
   SELECT *, CASE WHEN ruled IS NOT NULL THEN (ruled = 'block')::INT END AS bad, list_filter(string_split(path, '/'), lambda x: x <> '') AS parts FROM ruled),
 level0 AS (
   SELECT page_id, host, path, rule, ruled, bad, '' AS template, '' AS parent,
-         CASE WHEN len(parts) > {u.MAX_DEPTH} THEN list_append(parts[1:{u.MAX_DEPTH - 1}], '**') ELSE parts END AS segments FROM labelled),"""
-    for d in range(u.MAX_DEPTH):
+         parts AS segments FROM labelled),"""
+    for d in range(u.DEPTH):  # the tables' paths have no more segments
         out += f"""
 counts{d} AS (
   SELECT host, template, segments[{d + 1}] AS segment, count(*) AS n FROM level{d} WHERE len(segments) > {d} GROUP BY ALL),
 literal{d} AS (
-  SELECT host, template, segment FROM (SELECT *, sum(n) OVER (PARTITION BY host, template) AS total FROM counts{d})
-  WHERE n >= {u.MIN_ROWS} AND n >= {u.MIN_SHARE} * total),
+  SELECT host, template, segment FROM counts{d} WHERE n >= {u.MIN_ROWS}),
 level{d + 1} AS (
   SELECT page_id, l.host, path, rule, ruled, bad, segments,
          CASE WHEN len(segments) > {d} THEN l.template ELSE parent END AS parent,
          CASE WHEN len(segments) > {d} THEN l.template || '/' || CASE WHEN t.segment IS NOT NULL THEN segments[{d + 1}]
               ELSE '*' || regexp_extract(segments[{d + 1}], '\\.({u.ENDINGS})$') END ELSE l.template END AS template
   FROM level{d} l LEFT JOIN literal{d} t ON l.host = t.host AND l.template = t.template AND l.segments[{d + 1}] = t.segment),"""
+    rounds = ""
+    for r in range(u.ROUNDS + 1):
+        side = "CASE WHEN share < others THEN 'p' ELSE 'w' END" if r < u.ROUNDS else "'/' || template"
+        rounds += f"""
+pool{r} AS (
+  SELECT *, sum(labels) OVER b AS all_labels, sum(bads) OVER b AS all_bads, count(*) OVER b AS members FROM round{r} WINDOW b AS (PARTITION BY host, parent, branch)),
+share{r} AS (
+  SELECT *, (bads + 1) / (labels + 2) AS share, (all_bads - bads + 1) / (all_labels - labels + 2) AS others, (all_bads + 1) / (all_labels + 2) AS pool FROM pool{r}),
+round{r + 1} AS (
+  SELECT host, parent, template, n, labels, bads, shape_purity,
+         CASE WHEN members > 1 AND all_labels > labels THEN branch || CASE
+           WHEN power(share - others, 2) / (pool * (1 - pool) * (1 / labels + 1 / (all_labels - labels))) > {u.DIFFERS} THEN {side} ELSE 's' END
+         ELSE branch END AS branch
+  FROM share{r}),"""
     return out + f"""
 own AS (
-  SELECT host, parent, template, count(*) AS n, count(bad) AS labels, coalesce(sum(bad), 0) AS bads FROM level{u.MAX_DEPTH} GROUP BY ALL),
+  SELECT host, parent, template, count(*) AS n, count(bad) AS labels, coalesce(sum(bad), 0) AS bads FROM level{u.DEPTH} GROUP BY ALL),
 prior AS (SELECT (coalesce(sum(bads), 0) + 1) / (coalesce(sum(labels), 0) + 2) AS p FROM own),
 shapes AS (SELECT template, (sum(bads) + {u.WEIGHT} * any_value(p)) / (sum(labels) + {u.WEIGHT}) AS shape_purity FROM own, prior GROUP BY template),
-shares AS (SELECT *, (bads + 1) / (labels + 2) AS share, labels >= {u.MIN_LABELS} AS enough FROM own JOIN shapes USING (template)),
-lags AS (
-  SELECT *, lag(labels) OVER w AS l0, lag(bads) OVER w AS b0, lag(share) OVER w AS s0 FROM shares
-  WINDOW w AS (PARTITION BY host, parent, enough ORDER BY share, template)),
-pools AS (SELECT *, (bads + b0 + 1) / (labels + l0 + 2) AS pool FROM lags),
-starts AS (
-  SELECT *, CASE WHEN NOT enough THEN 1
-    ELSE coalesce((power(share - s0, 2) / (pool * (1 - pool) * (1 / labels + 1 / l0)) > {u.DIFFERS})::INT, 0) END AS starts FROM pools),
-branches AS (
-  SELECT *, sum(starts) OVER (PARTITION BY host, parent, enough ORDER BY share, template ROWS UNBOUNDED PRECEDING) AS branch FROM starts),
+round0 AS (SELECT *, CASE WHEN labels >= {u.MIN_LABELS} THEN '' ELSE '/' || template END AS branch FROM own JOIN shapes USING (template)),{rounds}
 judged AS (
   SELECT host, parent, template,
          (sum(bads) OVER b + {u.WEIGHT} * (sum(shape_purity * n) OVER b / sum(n) OVER b)) / (sum(labels) OVER b + {u.WEIGHT}) AS purity
-  FROM branches WINDOW b AS (PARTITION BY host, parent, enough, branch))
+  FROM round{u.ROUNDS + 1} WINDOW b AS (PARTITION BY host, parent, branch))
 SELECT page_id, l.host, path, rule, coalesce(ruled, CASE WHEN purity >= {u.THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict,
        l.template, round(purity, 6) AS purity
-FROM level{u.MAX_DEPTH} l JOIN judged j ON l.host = j.host AND l.parent = j.parent AND l.template = j.template
+FROM level{u.DEPTH} l JOIN judged j ON l.host = j.host AND l.parent = j.parent AND l.template = j.template
 """
 
 

@@ -2,24 +2,30 @@
 
 The tree grows level by level.  Below a node, a path segment stays literal if
 it has at least MIN_ROWS rows, however many the node has; all others become the
-wildcard ``*`` (with a usual file ending kept).  Sibling templates whose labelled purities
-don't differ significantly are merged.  The share of bad labels of a merged
-template is smoothed towards that of the same templates on all hosts, and that
-towards the share in all labels; templates above the threshold are rejected.
+wildcard ``*`` (with a usual file ending kept).  Every path is followed for
+DEPTH segments, and on as long as its node has MIN_ROWS rows; the rest of it is
+``**``.
+
+Sibling templates with enough labels begin as one branch.  Each is held against
+the pooled labels of the others in its branch, and those that differ
+significantly leave it, the purer and the worse ones as branches of their own;
+this is done ROUNDS times over, and whoever still differs then stays alone.  The
+share of bad labels of a branch is smoothed towards that of the same templates
+on all hosts, and that towards the share in all labels; templates above the
+threshold are rejected.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from truant.llm._common import HOT_SHARE, ascii_lower, written
 
 MIN_ROWS = 20
-#: The share of its node's rows that a literal segment needs: none (the SQL names it).
-MIN_SHARE = 0.0
-MAX_DEPTH = 6
+DEPTH = 6
 MIN_LABELS = 5
+ROUNDS = 4
 #: 95 % point of chi-square with one degree of freedom.
 DIFFERS = 3.84
 WEIGHT = 5.0
@@ -29,7 +35,7 @@ ENDINGS = "html|htm|php|asp|aspx|jsp|pdf|xml|json|txt"
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Both empty for a null url or one without ``://``."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr("''") if url is None else F.substr(url, F.instr(url, "://") + F.lit(3))).otherwise(F.lit(""))
+    rest = F.when(F.instr(url, "://") > 0, F.substr(url, F.instr(url, "://") + F.lit(3))).otherwise(F.lit(""))
     raw = F.regexp_extract(rest, "^[^/?#]*", 0)
     return ascii_lower(raw), F.regexp_extract(F.substr(rest, F.length(raw) + F.lit(1)), "^[^?#]*", 0)
 
@@ -65,20 +71,30 @@ def _grow(rows: DataFrame, depth: int) -> DataFrame:
 
 
 def templates(urls: DataFrame) -> DataFrame:
-    """``urls`` (row_id, host, path, bad: 1, 0 or null for an unlabelled row) with template and parent.
-
-    Segments from the MAX_DEPTH-th on are one, ``**``.
-    """
-    parts = F.array_remove(F.split("path", "/"), "")
-    deep = F.size(parts) > MAX_DEPTH
-    segments = F.when(deep, F.array_append(F.slice(parts, 1, MAX_DEPTH - 1), F.lit("**"))).otherwise(parts)
+    """``urls`` (row_id, host, path, bad: 1, 0 or null for an unlabelled row) with template and parent."""
+    segments = F.array_remove(F.split("path", "/"), "")
     rows = written(urls.withColumns({"segments": segments, "template": F.lit(""), "parent": F.lit("")}), "url-rows")
-    deepest = rows.agg(F.max(F.size("segments"))).first()[0] or 0
-    for depth in range(deepest):  # MAX_DEPTH at most
+    depth = 0
+    while (rows.agg(F.max(F.size("segments"))).first()[0] or 0) > depth:  # ends, as a node below DEPTH goes on with MIN_ROWS rows only
+        if depth >= DEPTH:
+            rows = _close(rows, depth)
         rows = _grow(rows, depth)
+        depth += 1
     return rows.drop("segments")
 
 
+def _close(rows: DataFrame, depth: int) -> DataFrame:
+    """Paths that go on below a node with less than MIN_ROWS such rows end there, with ``**`` as their last segment."""
+    goes_on = F.size("segments") > depth
+    nodes = written(rows.filter(goes_on).groupBy("host", "template").agg(F.count("*").alias("n")), "url-nodes")
+    joined = _keyed_left_join(rows, nodes, ["host", "template"], "n")
+    few = goes_on & (F.col("n") < MIN_ROWS)
+    return written(joined.withColumns({
+        "parent": F.when(few, F.col("template")).otherwise(F.col("parent")),
+        "template": F.when(few, F.concat("template", F.lit("/**"))).otherwise(F.col("template")),
+        "segments": F.when(few, F.slice("segments", 1, depth)).otherwise(F.col("segments"))}).drop("n"), "url-open")
+
+
 def purities(rows: DataFrame) -> DataFrame:
     """(host, template, n, branch, purity) of all templates, ``purity`` the smoothed share of bad labels of the merged branch."""
     own = written(rows.groupBy("host", "parent", "template").agg(
@@ -89,18 +105,33 @@ def purities(rows: DataFrame) -> DataFrame:
     shape = written(shape.withColumn("shape_purity", (F.col("shape_bads") + WEIGHT * prior) / (F.col("shape_labels") + WEIGHT)), "url-shapes")
     own = _keyed_left_join(own, shape.select("template", "shape_purity", "hosts"), ["template"], "hosts")
 
-    share = (F.col("bads") + 1) / (F.col("labels") + 2)
-    siblings = Window.partitionBy("host", "parent", "enough").orderBy("share", "template")
-    before = {c: F.lag(c).over(siblings) for c in ("labels", "bads", "share")}
-    pooled = (F.col("bads") + before["bads"] + 1) / (F.col("labels") + before["labels"] + 2)
-    apart = F.pow(F.col("share") - before["share"], F.lit(2)) / (pooled * (1 - pooled) * (1 / F.col("labels") + 1 / before["labels"]))
-    own = own.withColumns({"share": share, "enough": F.col("labels") >= MIN_LABELS})
-    own = own.withColumn("starts", F.when(F.col("enough"), F.coalesce((apart > DIFFERS).cast("int"), F.lit(0))).otherwise(F.lit(1)))
-    own = own.withColumn("branch", F.sum("starts").over(siblings.rowsBetween(Window.unboundedPreceding, 0)))
-    branch = Window.partitionBy("host", "parent", "enough", "branch")
-    prior_of = F.sum(F.col("shape_purity") * F.col("n")).over(branch) / F.sum("n").over(branch)
-    purity = (F.sum("bads").over(branch) + WEIGHT * prior_of) / (F.sum("labels").over(branch) + WEIGHT)
-    return own.select("host", "parent", "template", "n", "branch", purity.alias("purity"))
+    own = branches(own)
+    of = ["host", "parent", "branch"]
+    pooled = written(own.groupBy(*of).agg(F.sum("labels").alias("all_labels"), F.sum("bads").alias("all_bads"), F.count("*").alias("members"),
+                                          (F.sum(F.col("shape_purity") * F.col("n")) / F.sum("n")).alias("prior")), "url-branches")
+    purity = (F.col("all_bads") + WEIGHT * F.col("prior")) / (F.col("all_labels") + WEIGHT)
+    return _keyed_left_join(own, pooled, of, "members").select("host", "parent", "template", "n", "branch", purity.alias("purity"))
+
+
+def branches(own: DataFrame) -> DataFrame:
+    """``own`` (host, parent, template, labels, bads, ...) with ``branch``: siblings that share it are merged.
+
+    A branch is one row to its members' join, however many they are; no window
+    goes over the children of a node."""
+    alone = F.concat(F.lit("/"), F.col("template"))
+    own = written(own.withColumn("branch", F.when(F.col("labels") >= MIN_LABELS, F.lit("")).otherwise(alone)), "url-round")
+    of = ["host", "parent", "branch"]
+    for r in range(ROUNDS + 1):
+        pooled = written(own.groupBy(*of).agg(F.sum("labels").alias("all_labels"), F.sum("bads").alias("all_bads"), F.count("*").alias("members")), "url-pooled")
+        rest, rest_bads = F.col("all_labels") - F.col("labels"), F.col("all_bads") - F.col("bads")
+        share, others, pool = (F.col("bads") + 1) / (F.col("labels") + 2), (rest_bads + 1) / (rest + 2), (F.col("all_bads") + 1) / (F.col("all_labels") + 2)
+        apart = F.pow(share - others, F.lit(2)) / (pool * (1 - pool) * (1 / F.col("labels") + 1 / rest)) > DIFFERS
+        side = F.when(share < others, F.lit("p")).otherwise(F.lit("w")) if r < ROUNDS else alone
+        moved = F.concat("branch", F.when(apart, side).otherwise(F.lit("s")))
+        joined = _keyed_left_join(own, pooled, of, "members")
+        own = written(joined.withColumn("branch", F.when((F.col("members") > 1) & (rest > 0), moved).otherwise(F.col("branch")))
+                      .drop("all_labels", "all_bads", "members"), "url-round")
+    return own
 
 
 def verdicts(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
