@@ -35,13 +35,15 @@ from __future__ import annotations
 import hashlib
 import pickle
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truant.llm._common import written
@@ -62,6 +64,10 @@ MIN_BUCKETS = 8
 HOT = 200_000
 #: in so many parts.
 SPREAD = np.uint64(1024)
+#: Questions are asked of so many parts of the buckets, one after the other, and answers told to so many parts of
+#: the chunks: a part's shuffle files go before the next part's are written.
+ASKED_IN = 2
+TOLD_IN = 4
 #: The symbol after a text's last word; no word's hash is 0.
 END = np.uint64(0)
 
@@ -307,8 +313,8 @@ def _often(s: dict[str, np.ndarray], limits: Limits) -> np.ndarray:
     return (s["c"] >= limits.word) | (s["words"] == END)
 
 
-def _questions(depth: int, limits: Limits):
-    """States to (bucket, chunk, question)."""
+def _questions(depth: int, limits: Limits, part: int, parts: int):
+    """States to (bucket, chunk, question), of one part of the buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -321,13 +327,14 @@ def _questions(depth: int, limits: Limits):
                     rows |= {"often": _often(s, limits)[s["x"][q.at[q.first]]], "low": s["p"][q.first]}
                     begins, hot = q.runs, s["hot"][q.first]
                 cuts, blobs = q.cuts, []
-                for i, j in zip(cuts, np.append(cuts, len(q.bucket))[1:], strict=True):
-                    part = {k: v[i:j] for k, v in rows.items()}
+                mine = q.bucket[cuts] % parts == part
+                for i, j in zip(cuts[mine], np.append(cuts, len(q.bucket))[1:][mine], strict=True):
+                    asked = {k: v[i:j] for k, v in rows.items()}
                     if depth:
                         r = np.flatnonzero(begins[i:j])
-                        part |= {"context": q.contexts[i:j][r], "hot": hot[i:j][r], "run": np.diff(r, append=j - i).astype(np.int32)}
-                    blobs.append(_pack(**part))
-                yield pa.RecordBatch.from_arrays([pa.array(q.bucket[cuts].astype(np.int32)), pa.array([chunk] * len(cuts), pa.int64()), pa.array(blobs, pa.binary())],
+                        asked |= {"context": q.contexts[i:j][r], "hot": hot[i:j][r], "run": np.diff(r, append=j - i).astype(np.int32)}
+                    blobs.append(_pack(**asked))
+                yield pa.RecordBatch.from_arrays([pa.array(q.bucket[cuts[mine]].astype(np.int32)), pa.array([chunk] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())],
                                                  ["bucket", "chunk", "question"])
 
     return run
@@ -415,6 +422,18 @@ def _told(depth: int, last: bool, limits: Limits, v: int, hot):
     return run
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """Within, a query's shuffle files go as soon as it has ended; every frame made within must be run once only."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _discard(df: DataFrame) -> None:
     """Delete the files of a written table that nothing reads any more."""
     spark = df.sparkSession
@@ -425,14 +444,24 @@ def _discard(df: DataFrame) -> None:
 
 def levels(docs: DataFrame, held_out, id_col: str, text_col: str, depth: int, p_word: float, p_context: float, p_entry: float) -> tuple[DataFrame, int]:
     """(chunk, state) after the last level, and the training tokens."""
+    with _shuffles_removed(docs.sparkSession):
+        return _levels(docs, held_out, id_col, text_col, depth, p_word, p_context, p_entry)
+
+
+def _levels(docs: DataFrame, held_out, id_col: str, text_col: str, depth: int, p_word: float, p_context: float, p_entry: float) -> tuple[DataFrame, int]:
     spark = docs.sparkSession
-    states = written(encode(docs, held_out, id_col, text_col), "lm-encoded")
-    n = states.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    part = F.pmod(F.xxhash64("chunk"), F.lit(TOLD_IN)).cast("int").alias("part")
+    tables = [written(encode(docs, held_out, id_col, text_col).select("*", part), "lm-encoded", "part")]
+    n = tables[0].agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    states = [tables[0].where(F.col("part") == p).select("chunk", "state") for p in range(TOLD_IN)]
     limits = Limits(n, max(MIN_BUCKETS, -(-n // BUCKET)), p_word * n, max(MIN_CONTEXT, p_context * n), max(MIN_ENTRY, p_entry * n), HOT)
     v, hot = 0, None
     for d in range(depth + 1):
-        questions = states.select("chunk", "state").mapInArrow(_questions(d, limits), "bucket int, chunk long, question binary")
-        answers = written(questions.groupBy("bucket").applyInPandas(_answers(d, limits), ANSWER), f"lm-answers-{d}")
+        replies = []
+        for a in range(ASKED_IN):
+            questions = reduce(DataFrame.union, states).mapInArrow(_questions(d, limits, a, ASKED_IN), "bucket int, chunk long, question binary")
+            replies.append(written(questions.groupBy("bucket").applyInPandas(_answers(d, limits), ANSWER).select("*", part), f"lm-answers-{d}", "part"))
+        answers = reduce(DataFrame.union, replies)
         sums = answers.filter("chunk is null").groupBy("context").agg(*[F.sum(c).alias(c) for c in ("own", "kept", "left", "gain", "entries")])
         sums = sums.orderBy("context").toPandas()  # n / HOT at most
         if d == 0:
@@ -441,13 +470,16 @@ def levels(docs: DataFrame, held_out, id_col: str, text_col: str, depth: int, p_
             a = {k: sums[k].to_numpy() for k in sums}
             retained = _judge(a["own"], a["kept"], a["left"], a["gain"], a["entries"], n)
             hot = spark.sparkContext.broadcast((a["context"], a["own"].astype(np.int64), a["kept"].astype(np.int64), retained))
-        own = answers.filter("chunk is not null").select("chunk", "bucket", "answer")
-        told = states.select("chunk", "state").groupBy("chunk").cogroup(own.groupBy("chunk")).applyInPandas(
-            _told(d, d == depth, limits, v, hot), "chunk long, state binary")
-        before, states = states, written(told, f"lm-states-{d}")
-        _discard(before)
-        _discard(answers)
-    return states, n
+        before, tables = tables, []
+        for p, mine in enumerate(states):
+            own = answers.where(F.col("part") == p).filter("chunk is not null").select("chunk", "bucket", "answer")
+            told = mine.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInPandas(
+                _told(d, d == depth, limits, v, hot), "chunk long, state binary")
+            tables.append(written(told, f"lm-states-{d}"))
+        states = tables
+        for table in before + replies:
+            _discard(table)
+    return reduce(DataFrame.union, states), n
 
 
 def score(states: DataFrame, n: int) -> DataFrame:
