@@ -53,3 +53,12 @@ def test_cross_validation_scores_as_mllibs_without_a_fit_that_nobody_asks_for(sp
     assert got.avgMetrics == pytest.approx(theirs.avgMetrics, abs=0.005)
     assert got.bestModel.getMaxDepth() == maps[int(np.argmax(got.avgMetrics))][est.maxDepth] and counted.fits == 7
     mf.unpersist()
+
+
+def test_boosting_keeps_node_ids_only_for_deep_trees_and_grows_the_same_trees(spark, rows):
+    mf = models.learning_frame(rows, ["a", "b", "c"], "NO_SHOW", {0.0: 1.0, 1.0: 2.0})
+    shallow, deep = models.gbt_estimator({"n_estimators": 3, "max_depth": 4}), models.gbt_estimator(models.REPORTED_GBT_PARAMS)
+    assert not shallow.getCacheNodeIds() and deep.getCacheNodeIds()
+    maps = models.gbt_param_maps([{"max_depth": 3}, {"max_depth": 14}], models.gbt_estimator())
+    assert [v for m in maps for p, v in m.items() if p.name == "cacheNodeIds"] == [False, True]
+    assert shallow.fit(mf).toDebugString.split("\n")[1:] == shallow.copy().setCacheNodeIds(True).fit(mf).toDebugString.split("\n")[1:]
