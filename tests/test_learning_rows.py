@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -62,3 +64,24 @@ def test_boosting_keeps_node_ids_only_for_deep_trees_and_grows_the_same_trees(sp
     maps = models.gbt_param_maps([{"max_depth": 3}, {"max_depth": 14}], models.gbt_estimator())
     assert [v for m in maps for p, v in m.items() if p.name == "cacheNodeIds"] == [False, True]
     assert shallow.fit(mf).toDebugString.split("\n")[1:] == shallow.copy().setCacheNodeIds(True).fit(mf).toDebugString.split("\n")[1:]
+
+
+def test_selection_fits_both_learners_at_the_same_time_and_keeps_what_each_finds(spark, rows, monkeypatch):
+    features, together = ["a", "b", "c"], threading.Barrier(2, timeout=60)
+    w = {float(k): v for k, v in models.class_weights(rows)["class_weight"].items()}
+    mf = models.learning_frame(rows, features, weights=w)
+    coef = dict(models.coefficients(models.fit_logistic(mf), features))
+    imp = dict(models.importances(models.fit_tree(mf, max_depth=3), features))
+
+    def meeting(fit):
+        def run(*args, **kw):
+            together.wait()
+            return fit(*args, **kw)
+        return run
+
+    for name in ("fit_logistic", "fit_tree"):
+        monkeypatch.setattr(models, name, meeting(getattr(models, name)))
+    keyed = rows.withColumnRenamed("id", models.KEY)
+    got = models.select_important(keyed, keyed, features, tree_depth=3)
+    assert dict(got.logistic) == pytest.approx(coef, abs=1e-3) and dict(got.tree) == pytest.approx(imp, abs=0.01)
+    assert got.features == sorted(f for f in features if abs(coef[f]) >= 0.01 or imp[f] >= 0.01)
