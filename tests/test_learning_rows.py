@@ -85,3 +85,23 @@ def test_selection_fits_both_learners_at_the_same_time_and_keeps_what_each_finds
     got = models.select_important(keyed, keyed, features, tree_depth=3)
     assert dict(got.logistic) == pytest.approx(coef, abs=1e-3) and dict(got.tree) == pytest.approx(imp, abs=0.01)
     assert got.features == sorted(f for f in features if abs(coef[f]) >= 0.01 or imp[f] >= 0.01)
+
+
+def counting(df, counter):
+    """``df``, whose rows are counted whenever they are made."""
+    def run(batches):
+        for b in batches:
+            counter.add(b.num_rows)
+            yield b
+    return df.mapInArrow(run, df.schema)
+
+
+def test_boosting_makes_its_rows_once_and_leaves_a_kept_frame_kept(spark, rows):
+    made = spark.sparkContext.accumulator(0)
+    mf = models.model_frame(counting(rows.drop("id", "fold"), made), ["a", "b", "c"])
+    models.fit_gbt(mf, {"n_estimators": 2, "max_depth": 2}, weighted=False)
+    assert made.value == 24_000 and not mf.is_cached
+    kept = mf.persist()
+    models.fit_gbt(kept, {"n_estimators": 2, "max_depth": 2}, weighted=False)
+    assert kept.storageLevel.useMemory
+    kept.unpersist()

@@ -67,3 +67,21 @@ def test_request_stream_scores_good_lines_and_diverts_bad_ones(spark):
     # every row is scored, with its request, or explained
     assert scored.where("request_id IS NULL").count() == 0
     assert scored.count() + len(errors) - 1 == sim.count()
+
+
+def test_preparation_reads_the_raw_rows_once(spark):
+    raw, read = appointments(spark, SF_SMALL), spark.sparkContext.accumulator(0)
+    n = raw.count()
+
+    def run(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+    p = training.prepare(raw.mapInArrow(run, raw.schema))
+    assert read.value == n
+    plain = training.prepare(raw)
+    assert p.features == plain.features and p.train.columns == plain.train.columns and p.train.columns[-1] == "NO_SHOW"
+    assert p.train.exceptAll(plain.train).count() == 0 and p.test.exceptAll(plain.test).count() == 0
+    split = sampling.stratified_split(clean.preprocess(raw)).where("split = 'test'")
+    assert {r[0] for r in p.test.select("APPOINTMENTID").collect()} == {r[0] for r in split.select("APPOINTMENTID").collect()}
+    assert 0 < p.hashed.count() == p.train.count()

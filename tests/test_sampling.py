@@ -153,3 +153,14 @@ def test_whole_and_empty_quotas(spark):
     df = spark.range(50).selectExpr("id AS APPOINTMENTID", "CAST(id % 5 = 0 AS INT) AS NO_SHOW")
     s = sampling.select_by_quota(df, {"0": 40, "1": 0}, "NO_SHOW")
     assert {(r[0], r[1]): r[2] for r in s.groupBy("NO_SHOW", "__in").count().collect()} == {(0, True): 40, (1, False): 10}
+
+
+@pytest.mark.parametrize("strata", [2, 40])
+def test_written_hashes_draw_the_same_rows(spark, strata):
+    df = spark.range(4000).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("APPOINTMENTID"), (F.col("id") % strata).cast("int").alias("NO_SHOW"), F.col("id").alias("n"))
+    hashed = sampling.with_hash(df, seed=7)
+
+    def drawn(frame, **kw):
+        return {r["n"] for r in sampling.stratified_split(frame, seed=7, **kw).where("split = 'test'").collect()}
+    got = drawn(hashed, hashed=sampling.KEY_HASH)
+    assert len(got) == 800 and got == drawn(df)
