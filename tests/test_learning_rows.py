@@ -87,6 +87,14 @@ def test_selection_fits_both_learners_at_the_same_time_and_keeps_what_each_finds
     assert got.features == sorted(f for f in features if abs(coef[f]) >= 0.01 or imp[f] >= 0.01)
 
 
+def test_trees_and_forests_keep_node_ids_only_for_deep_trees_and_grow_the_same_trees(spark, rows):
+    mf = models.learning_frame(rows, ["a", "b", "c"], "NO_SHOW", {0.0: 1.0, 1.0: 2.0})
+    assert models.tree_estimator().getCacheNodeIds() and models.forest_estimator().getCacheNodeIds()
+    for shallow in (models.tree_estimator(max_depth=5), models.forest_estimator(num_trees=3, max_depth=5)):
+        assert not shallow.getCacheNodeIds()
+        assert shallow.fit(mf).toDebugString.split("\n")[1:] == shallow.copy().setCacheNodeIds(True).fit(mf).toDebugString.split("\n")[1:]
+
+
 def counting(df, counter):
     """``df``, whose rows are counted whenever they are made."""
     def run(batches):

@@ -67,7 +67,7 @@ GAMMA_TO_INFO_GAIN = 0.01
 MAX_TREE_ROWS = 1_000_000
 #: Rows of the fits that cross-validation runs at the same time.
 MAX_ROWS_AT_ONCE = 10_000_000
-#: In boosting, rows walk down trees of this depth at most from their root in every pass.  Deeper ones, which a task
+#: Rows walk down trees of this depth at most from their root in every pass.  Deeper ones, which a task
 #: would get whole, keep a node id a row instead, a new array for each row in each pass.
 MAX_DEPTH_WALKED = 10
 TREE_SEED = 42
@@ -117,7 +117,7 @@ def fit_logistic(mf: DataFrame, weighted: bool = True, n: int | None = None):
 
 def tree_estimator(weighted: bool = True, max_depth: int = 30, max_bins: int = 128, min_rows: int = 1, seed: int = 42):
     dt = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=LABEL, maxDepth=max_depth, maxBins=max_bins,
-                                minInstancesPerNode=min_rows, seed=seed, checkpointInterval=10, cacheNodeIds=True)  # else each task gets the whole tree
+                                minInstancesPerNode=min_rows, seed=seed, checkpointInterval=10, cacheNodeIds=max_depth > MAX_DEPTH_WALKED)
     return dt.setWeightCol(WEIGHT) if weighted else dt
 
 
@@ -132,7 +132,7 @@ def fit_tree(mf: DataFrame, weighted: bool = True, max_depth: int = 30, max_bins
 
 def forest_estimator(weighted: bool = True, num_trees: int = 100, max_depth: int = 30, min_rows: int = 1, seed: int = 42):
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, numTrees=num_trees, maxDepth=max_depth,
-                                minInstancesPerNode=min_rows, seed=seed, maxBins=64, checkpointInterval=10, cacheNodeIds=True)
+                                minInstancesPerNode=min_rows, seed=seed, maxBins=64, checkpointInterval=10, cacheNodeIds=max_depth > MAX_DEPTH_WALKED)
     return rf.setWeightCol(WEIGHT) if weighted else rf
 
 
