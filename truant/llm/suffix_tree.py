@@ -19,7 +19,8 @@ The limits are counts, not shares, so the tree grows with the corpus and is
 never in one place.  Texts lie in chunks of about CHUNK tokens; the counts of a
 level in buckets by context, each for about BUCKET tokens.  Per level, a chunk
 asks each bucket for its distinct pairs (context, next symbol) with the number
-of times they occur in its training texts and P(next symbol | suffix).  The
+of times they occur in its training texts and P(next symbol | suffix).  Symbols
+that the suffix does not keep cannot be entries: a context's are one pair.  The
 bucket adds them up, judges its contexts and answers with the pair's count and
 the context's sums, from which the chunk has P(next symbol | context) and knows
 which of its contexts are long enough for the next level.  Pairs of contexts
@@ -65,11 +66,13 @@ HOT = 200_000
 #: in so many parts.
 SPREAD = np.uint64(1024)
 #: Questions are asked of so many parts of the buckets, one after the other, and answers told to so many parts of
-#: the chunks: a part's shuffle files go before the next part's are written.
-ASKED_IN = 2
+#: the chunks: a part's shuffle files go before the next part's are written, and a part's old states after its new ones.
+ASKED_IN = 4
 TOLD_IN = 4
 #: The symbol after a text's last word; no word's hash is 0.
 END = np.uint64(0)
+#: What all symbols are that cannot be entries of a context; as good as no word's hash is this.
+REST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -191,7 +194,8 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _pack(**arrays: np.ndarray) -> bytes:
     """Arrays, compressed; integers by their bytes' places, as most are small."""
     def raw(a: np.ndarray) -> bytes:
-        return (a.view(np.uint8).reshape(len(a), -1).T if a.dtype.kind == "i" else a).tobytes()
+        # copied by numpy first: tobytes of a transposed array goes byte by byte
+        return (np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T) if a.dtype.kind == "i" and len(a) else a).tobytes()
 
     data = pickle.dumps({k: (a.dtype.str, raw(a)) for k, a in arrays.items()}, 5)
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
@@ -203,7 +207,7 @@ def _unpack(blob: bytes) -> dict[str, np.ndarray]:
     for k, (kind, raw) in data.items():
         kind = np.dtype(kind)
         if kind.kind == "i":
-            raw = np.frombuffer(raw, np.uint8).reshape(kind.itemsize, -1).T.tobytes()
+            raw = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, -1).T)
         out[k] = np.frombuffer(raw, kind)
     return out
 
@@ -262,14 +266,14 @@ def encode(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
 
 @dataclass
 class _Asked:
-    """What a chunk asks on a level, in the buckets' order: of each pair its first position, bucket and context.
+    """What a chunk asks a part of the buckets on a level, in their order: of each pair its first place, bucket and context.
 
-    ``which``: the pair at each position ``at``; ``cuts``, ``runs``: where a
-    bucket, and a context in a bucket, begins.
+    A place is a live position's number, on level 0 a word's.  ``places``: those
+    that ask; ``which``: the pair of each.  ``cuts``, ``runs``: where a bucket,
+    and a context in a bucket, begins.
     """
 
-    at: np.ndarray
-    x: np.ndarray
+    places: np.ndarray
     contexts: np.ndarray
     first: np.ndarray
     bucket: np.ndarray
@@ -277,24 +281,36 @@ class _Asked:
     pair: np.ndarray
 
     @classmethod
-    def of(cls, s: dict[str, np.ndarray], depth: int, limits: Limits) -> _Asked:
+    def each(cls, s: dict[str, np.ndarray], depth: int, limits: Limits, these, parts: int) -> Iterator[tuple[int, _Asked]]:
+        """Of ``these`` of ``parts`` parts, each with its number."""
+        words, x = s["words"], s["x"]
+
+        def pairs(places: np.ndarray) -> np.ndarray:
+            return _longer(contexts[places], np.where(s["can"][places], words[x[at[places]]], REST))
+
         if depth == 0:
-            at, x, pair, first, which = np.arange(len(s["x"])), s["x"], s["words"], np.arange(len(s["words"])), s["x"]
-            by, contexts = pair, pair
+            contexts = by = words
         else:
-            at, x, h = np.flatnonzero(s["live"]), s["words"][s["x"]], None
-            for _ in range(depth):
-                h = np.concatenate(([END], (_mix(x) if h is None else _longer(h, x))[:-1]))
-            contexts = h[at]
-            pair, first, which = _distinct(_longer(contexts, x[at]))
-            by = np.where(s["hot"][first], _longer(contexts[first], pair % SPREAD), contexts[first])
-            contexts = contexts[first]
+            at = np.flatnonzero(s["live"])
+            contexts = _mix(words)[x[at - depth]]
+            for d in range(depth - 1, 0, -1):
+                contexts = _longer(contexts, words[x[at - d]])
+            by, hot = contexts, np.flatnonzero(s["hot"])
+            if len(hot):
+                by = by.copy()
+                by[hot] = _longer(by[hot], pairs(hot) % SPREAD)
         by = _mix(by)
-        order = np.argsort(by)
         bucket = ((by >> np.uint64(32)) * np.uint64(limits.buckets) >> np.uint64(32)).astype(np.int64)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        return cls(at, x, contexts[order], first[order], bucket[order], place[which], pair[order])
+        turn = bucket % parts
+        for part in these:
+            places = np.flatnonzero(turn == part)
+            pair, first, which = _distinct(pairs(places) if depth else words[places])
+            first = places[first]
+            order = np.argsort(by[first])
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            first = first[order]
+            yield part, cls(places, contexts[first], first, bucket[first], place[which], pair[order])
 
     @property
     def cuts(self) -> np.ndarray:
@@ -313,28 +329,42 @@ def _often(s: dict[str, np.ndarray], limits: Limits) -> np.ndarray:
     return (s["c"] >= limits.word) | (s["words"] == END)
 
 
-def _questions(depth: int, limits: Limits, part: int, parts: int):
+def _root(s: dict[str, np.ndarray], limits: Limits, v: int) -> np.ndarray:
+    """The unigram probability of each of a chunk's words; ``v``: words met in training."""
+    return (s["c"] + ADD) / (limits.n + ADD * (v + 1))
+
+
+def _low(s: dict[str, np.ndarray], depth: int, limits: Limits, v: int, places) -> np.ndarray:
+    """P(symbol | suffix) at these live positions."""
+    return s["p"][places] if depth > 1 else _root(s, limits, v)[s["x"][s["live"]][places]]
+
+
+def _questions(depth: int, limits: Limits, part: int, parts: int, v: int):
     """States to (bucket, chunk, question), of one part of the buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for chunk, state in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 s = _unpack(state.as_py())
-                q = _Asked.of(s, depth, limits)
-                learned = np.repeat(~s["held"], s["size"])[q.at]
-                rows = {"n": np.bincount(q.which[learned], minlength=len(q.first)).astype(np.int32), "pair": q.pair}
+                _, q = next(_Asked.each(s, depth, limits, [part], parts))
+                learned = np.repeat(~s["held"], s["size"])
+                if depth == 0:
+                    n = np.bincount(s["x"][learned], minlength=len(s["words"]))[q.first]
+                else:
+                    n = np.bincount(q.which[learned[s["live"]][q.places]], minlength=len(q.first))
+                rows = {"n": n.astype(np.int32), "pair": q.pair}
                 if depth:
-                    rows |= {"often": _often(s, limits)[s["x"][q.at[q.first]]], "low": s["p"][q.first]}
+                    can = s["can"][q.first]
+                    rows |= {"can": can, "low": np.where(can, _low(s, depth, limits, v, q.first), 1.0)}
                     begins, hot = q.runs, s["hot"][q.first]
                 cuts, blobs = q.cuts, []
-                mine = q.bucket[cuts] % parts == part
-                for i, j in zip(cuts[mine], np.append(cuts, len(q.bucket))[1:][mine], strict=True):
-                    asked = {k: v[i:j] for k, v in rows.items()}
+                for i, j in zip(cuts, np.append(cuts, len(q.bucket))[1:], strict=True):
+                    asked = {k: a[i:j] for k, a in rows.items()}
                     if depth:
                         r = np.flatnonzero(begins[i:j])
                         asked |= {"context": q.contexts[i:j][r], "hot": hot[i:j][r], "run": np.diff(r, append=j - i).astype(np.int32)}
                     blobs.append(_pack(**asked))
-                yield pa.RecordBatch.from_arrays([pa.array(q.bucket[cuts[mine]].astype(np.int32)), pa.array([chunk] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())],
+                yield pa.RecordBatch.from_arrays([pa.array(q.bucket[cuts].astype(np.int32)), pa.array([chunk] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())],
                                                  ["bucket", "chunk", "question"])
 
     return run
@@ -359,7 +389,7 @@ def _answers(depth: int, limits: Limits):
         if depth:
             contexts, _, of = _distinct(q["context"])
             state, low, size = np.repeat(of, q["run"])[first], q["low"][first], len(contexts)
-            entry = q["often"][first] & (c >= limits.entry)
+            entry = q["can"][first] & (c >= limits.entry)
             own, entries = np.bincount(state, c, size), np.bincount(state, entry, size)
             kept, left = np.bincount(state, c * entry, size), np.bincount(state, low * entry, size)
             gain = np.bincount(state, np.where(entry, c * np.log(np.where(entry, c / low, 1.0)), 0.0), size)
@@ -376,52 +406,77 @@ def _answers(depth: int, limits: Limits):
     return run
 
 
-def _told(depth: int, last: bool, limits: Limits, v: int, hot):
+def _told(depth: int, last: bool, limits: Limits, v: int, hot, parts: int):
     """A state and its answers, to the state of the next level.
 
-    It has the documents' sums of log10 P over the positions that are done, and
-    p of those whose longer context is ``live``.
+    It has the documents' sums of log10 P over the positions that are done.  Of
+    those whose longer context is ``live`` it has p (on level 0 it follows from
+    the words' counts), whether the pair ``can`` be an entry with the longer
+    context, which it was with this one, and the words up to there.
     """
 
     def run(key: tuple, states: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         s = _unpack(states["state"].iloc[0])
-        q = _Asked.of(s, depth, limits)
-        told = [_unpack(a) for a in answers.sort_values("bucket")["answer"]]
-        told = {k: np.concatenate([a[k] for a in told]) for k in told[0]} if told else {k: np.zeros(0, np.int64) for k in ("c", "own", "kept", "retained")}
-        at, starts, size = q.at, np.cumsum(s["size"]) - s["size"], len(s["x"])
-        c = told["c"][q.which]
+        answers = answers.sort_values("bucket")
+        starts, size = np.cumsum(s["size"]) - s["size"], len(s["x"])
+        names = ("c", "own", "kept", "retained") if depth else ("c",)
+        at = np.flatnonzero(s["live"]) if depth else np.arange(size)
+        known = {k: np.zeros(len(at) if depth else len(s["words"]), np.int64) for k in names}
+        for part, q in _Asked.each(s, depth, limits, range(parts), parts):
+            if not len(q.places):
+                continue
+            told = [_unpack(a) for a in answers["answer"][answers["bucket"] % parts == part]]
+            told = {k: np.concatenate([a[k] for a in told]) for k in names}
+            known["c"][q.places] = told["c"][q.which]
+            if depth:
+                of = (np.cumsum(q.runs) - 1)[q.which]
+                sums, shared = [told[k][of] for k in names[1:]], s["hot"][q.places]
+                if shared.any():
+                    contexts, *whole = hot.value
+                    h = _find(contexts, q.contexts[q.which][shared].view(np.int64))
+                    for mine, a in zip(sums, whole, strict=True):
+                        mine[shared] = a[h]
+                for k, a in zip(names[1:], sums, strict=True):
+                    known[k][q.places] = a
         if depth == 0:
-            s["c"] = np.empty(len(s["words"]), np.int64)
-            s["c"][q.first] = told["c"]
-            root = (s["c"] + ADD) / (limits.n + ADD * (v + 1))
-            p = root[s["x"]]
+            s["c"] = known["c"]
+            c, p = s["c"][s["x"]], _root(s, limits, v)[s["x"]]
             s["base"], s["known"] = np.add.reduceat(np.log10(p), starts), np.add.reduceat((c > 0).astype(np.int64), starts)
-            s["total"], many = np.zeros(len(starts)), c >= limits.context
+            s["total"], entry, many = np.zeros(len(starts)), _often(s, limits)[s["x"]] & (c >= limits.entry), c >= limits.context
         else:
-            of, low = (np.cumsum(q.runs) - 1)[q.which], s["p"]
-            own, kept, retained = (told[k][of] for k in ("own", "kept", "retained"))
-            if s["hot"].any():
-                contexts, *whole = hot.value
-                h = _find(contexts, q.contexts[q.which][s["hot"]].view(np.int64))
-                own[s["hot"]], kept[s["hot"]], retained[s["hot"]] = (a[h] for a in whole)
-            entry = _often(s, limits)[s["x"][at]] & (c >= limits.entry)
-            p = np.where(retained, (np.where(entry, c, 0) + (own - kept + MU) * low) / (own + MU), low)
-            many = c >= max(limits.context, limits.entry)
+            low, c, own, kept = _low(s, depth, limits, v, slice(None)), *(known[k] for k in names[:3])
+            entry = s["can"] & (c >= limits.entry)
+            p = np.where(known["retained"] > 0, (np.where(entry, c, 0) + (own - kept + MU) * low) / (own + MU), low)
+            many = s["can"] & (c >= max(limits.context, limits.entry))
         goes_on = many & (s["x"][at] != 0) & _often(s, limits)[s["x"][at]] & (not last)
-        live, whole, counts = np.zeros(size, bool), np.ones(size), np.zeros(size, np.int64)
+        live, can, whole, counts = np.zeros(size, bool), np.zeros(size, bool), np.ones(size), np.zeros(size, np.int64)
         live[at[goes_on] + 1] = True
         counts[at[goes_on] + 1] = c[goes_on]
-        whole[at] = p
+        whole[at], can[at] = p, entry
         s["total"] = s["total"] + np.add.reduceat(np.where(live, 0.0, np.log10(whole)), starts)
         if last:
             s = {k: s[k] for k in ("doc_id", "null", "held", "size", "base", "known", "total")}
         else:
-            s |= {"live": live, "p": whole[live], "hot": counts[live] > limits.hot}
+            s |= {"live": live, "can": can[live], "hot": counts[live] > limits.hot}
+            if depth:
+                s["p"] = whole[live]
+                _forget(s, depth + 1)
         return pd.DataFrame({"chunk": [key[0]], "state": [_pack(**s)]})
 
     return run
 
 
+def _forget(s: dict[str, np.ndarray], depth: int) -> None:
+    """Blank the words that neither are at a live position nor in its context."""
+    asked = s["live"].copy()
+    for d in range(1, depth + 1):
+        asked[:-d] |= s["live"][d:]
+    s["x"] = np.where(asked, s["x"], 0).astype(np.int32)
+    used = np.zeros(len(s["words"]), bool)
+    used[s["x"]] = True
+    s["words"], s["c"] = np.where(used, s["words"], END), np.where(used, s["c"], 0)
+
+
 @contextmanager
 def _shuffles_removed(spark: SparkSession):
     """Within, a query's shuffle files go as soon as it has ended; every frame made within must be run once only."""
@@ -434,10 +489,12 @@ def _shuffles_removed(spark: SparkSession):
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def _discard(df: DataFrame) -> None:
-    """Delete the files of a written table that nothing reads any more."""
+def _discard(df: DataFrame, part: int | None = None) -> None:
+    """Delete the files of a written table, or of a part of one, that nothing reads any more."""
     spark = df.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if part is not None and not folder.endswith(f"/part={part}"):
+            continue
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -459,7 +516,7 @@ def _levels(docs: DataFrame, held_out, id_col: str, text_col: str, depth: int, p
     for d in range(depth + 1):
         replies = []
         for a in range(ASKED_IN):
-            questions = reduce(DataFrame.union, states).mapInArrow(_questions(d, limits, a, ASKED_IN), "bucket int, chunk long, question binary")
+            questions = reduce(DataFrame.union, states).mapInArrow(_questions(d, limits, a, ASKED_IN, v), "bucket int, chunk long, question binary")
             replies.append(written(questions.groupBy("bucket").applyInPandas(_answers(d, limits), ANSWER).select("*", part), f"lm-answers-{d}", "part"))
         answers = reduce(DataFrame.union, replies)
         sums = answers.filter("chunk is null").groupBy("context").agg(*[F.sum(c).alias(c) for c in ("own", "kept", "left", "gain", "entries")])
@@ -474,11 +531,13 @@ def _levels(docs: DataFrame, held_out, id_col: str, text_col: str, depth: int, p
         for p, mine in enumerate(states):
             own = answers.where(F.col("part") == p).filter("chunk is not null").select("chunk", "bucket", "answer")
             told = mine.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInPandas(
-                _told(d, d == depth, limits, v, hot), "chunk long, state binary")
+                _told(d, d == depth, limits, v, hot, ASKED_IN), "chunk long, state binary")
             tables.append(written(told, f"lm-states-{d}"))
+            for table in [*replies, *([before[0]] if d == 0 else [])]:
+                _discard(table, p)
+            if d:
+                _discard(before[p])
         states = tables
-        for table in before + replies:
-            _discard(table)
     return reduce(DataFrame.union, states), n
 
 
