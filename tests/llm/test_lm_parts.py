@@ -31,10 +31,10 @@ def test_old_states_go_part_by_part(spark, monkeypatch):
     monkeypatch.setattr(suffix_tree, "CHUNK", 200)
     write, folders, left = suffix_tree.written, [], []
 
-    def spy(df, name, by=None):
+    def spy(df, name, by=None, compression="zstd"):
         if name == "lm-states-1":
             left.append(sum(os.path.isdir(f) for f in folders))
-        out = write(df, name, by)
+        out = write(df, name, by, compression)
         if name == "lm-states-0":
             folders.append(os.path.dirname(out.inputFiles()[0]).removeprefix("file:").replace("//", "/"))
         return out
@@ -61,3 +61,12 @@ def test_packed_arrays_come_back():
     arrays = {"a": np.array([1, -2, 300], np.int64), "b": np.zeros(0, np.int32), "c": np.array([True, False]), "d": np.array([0.5]), "e": np.array([7], np.uint64)}
     got = suffix_tree._unpack(suffix_tree._pack(**arrays))
     assert all(got[k].dtype == a.dtype and (got[k] == a).all() and got[k].shape == a.shape for k, a in arrays.items())
+
+
+def test_words_too_rare_for_an_entry_are_one_for_each_count():
+    words = np.array([0, 11, 12, 13, 14, 15], np.uint64)
+    s = {"words": words, "c": np.array([9, 20, 1, 1, 0, 5]), "x": np.array([1, 2, 1, 3, 1, 4, 1, 5, 0], np.int32),
+         "live": np.array([False, True, False, True, False, True, False, False, False])}
+    suffix_tree._forget(s, 1, suffix_tree.Limits(10, 8, 0, 1, 2, 1000))
+    assert s["x"].tolist() == [1, 2, 1, 2, 1, 4, 0, 0, 0]
+    assert s["words"].tolist() == [0, 11, 0, 0, 0, 0] and s["c"][s["x"]].tolist() == [20, 1, 20, 1, 20, 0, 9, 9, 9]

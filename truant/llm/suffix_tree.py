@@ -28,7 +28,8 @@ that occur more than HOT times are dealt to the buckets in SPREAD parts, which
 the buckets add up; these contexts, n / HOT at most, are judged by the sums.
 
 Words and contexts go by 64-bit hashes: among 1e9 pairs two share one with a
-probability of 3 %.
+probability of 3 %.  A context's symbols go to the buckets by 48 bits: two of a
+million share them with a probability of 0.2 %.
 """
 
 from __future__ import annotations
@@ -224,6 +225,17 @@ class Limits:
     hot: int
 
 
+class _Places(dict):
+    """Words to their numbers, in the order in which they are asked for; 0 is the end's."""
+
+    def __init__(self):
+        super().__init__({b"\n": 0})
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 def encode(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(chunk, tokens, state) of all rows, ``tokens`` the number of those to learn from.
 
@@ -236,7 +248,7 @@ def encode(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
-        ids, held, texts, size, places = [], [], [], 0, {b"\n": 0}
+        ids, held, texts, size, places = [], [], [], 0, _Places()
 
         def out() -> pa.RecordBatch:
             sizes = np.array([len(t) for t in texts], np.int64)
@@ -249,15 +261,16 @@ def encode(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
 
         for b in batches:
             for i, text, h in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                x = [places.setdefault(w, len(places)) for w in tokens(text.as_py() or b"")]
-                x.append(0)
+                words = tokens(text.as_py() or b"")
+                x = np.zeros(len(words) + 1, np.int32)
+                x[:-1] = list(map(places.__getitem__, words))
                 ids.append(i)
                 held.append(h)
-                texts.append(np.array(x, np.int32))
+                texts.append(x)
                 size += len(x)
                 if size >= limit:
                     yield out()
-                    chunk, ids, held, texts, size, places = chunk + 1, [], [], [], 0, {b"\n": 0}
+                    chunk, ids, held, texts, size, places = chunk + 1, [], [], [], 0, _Places()
         if texts:
             yield out()
 
@@ -326,17 +339,19 @@ class _Asked:
 
 def _often(s: dict[str, np.ndarray], limits: Limits) -> np.ndarray:
     """Which of a chunk's words can be entries."""
-    return (s["c"] >= limits.word) | (s["words"] == END)
+    often = s["c"] >= limits.word
+    often[0] = True  # the end
+    return often
 
 
-def _root(s: dict[str, np.ndarray], limits: Limits, v: int) -> np.ndarray:
-    """The unigram probability of each of a chunk's words; ``v``: words met in training."""
-    return (s["c"] + ADD) / (limits.n + ADD * (v + 1))
+def _root(c: np.ndarray, limits: Limits, v: int) -> np.ndarray:
+    """The unigram probability of words met ``c`` times; ``v``: words met in training."""
+    return (c + ADD) / (limits.n + ADD * (v + 1))
 
 
-def _low(s: dict[str, np.ndarray], depth: int, limits: Limits, v: int, places) -> np.ndarray:
-    """P(symbol | suffix) at these live positions."""
-    return s["p"][places] if depth > 1 else _root(s, limits, v)[s["x"][s["live"]][places]]
+def _low(s: dict[str, np.ndarray], depth: int, limits: Limits, v: int) -> np.ndarray:
+    """P(symbol | suffix) at each live position."""
+    return s["p"] if depth > 1 else _root(s["c"], limits, v)[s["x"][s["live"]]]
 
 
 def _questions(depth: int, limits: Limits, part: int, parts: int, v: int):
@@ -355,7 +370,11 @@ def _questions(depth: int, limits: Limits, part: int, parts: int, v: int):
                 rows = {"n": n.astype(np.int32), "pair": q.pair}
                 if depth:
                     can = s["can"][q.first]
-                    rows |= {"can": can, "low": np.where(can, _low(s, depth, limits, v, q.first), 1.0)}
+                    rows |= {"can": can, "pair": (q.pair >> np.uint64(16)).view(np.int64)}  # its two highest bytes are packed to nothing
+                    if depth == 1:  # P(symbol) follows from the word's count
+                        rows["count"] = np.where(can, s["c"][s["x"][s["live"]][q.first]], 0)
+                    else:
+                        rows["low"] = np.where(can, s["p"][q.first], 1.0)
                     begins, hot = q.runs, s["hot"][q.first]
                 cuts, blobs = q.cuts, []
                 for i, j in zip(cuts, np.append(cuts, len(q.bucket))[1:], strict=True):
@@ -373,7 +392,7 @@ def _questions(depth: int, limits: Limits, part: int, parts: int, v: int):
 ANSWER = "chunk long, bucket int, answer binary, context long, own double, kept double, left double, gain double, entries double"
 
 
-def _answers(depth: int, limits: Limits):
+def _answers(depth: int, limits: Limits, v: int):
     """All questions to a bucket, to its answers and, with a null chunk, the sums of hot contexts (on level 0 ``own``: words met)."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -382,13 +401,15 @@ def _answers(depth: int, limits: Limits):
         q = {k: np.concatenate([a[k] for a in asked]) for k in asked[0]}
         context_cuts = np.cumsum([len(a["run"]) for a in asked])[:-1] if depth else None
         asked.clear()
-        _, first, which = _distinct(q["pair"])
+        pair = _longer(np.repeat(q["context"], q["run"]), q["pair"].view(np.uint64)) if depth else q["pair"]
+        _, first, which = _distinct(pair)
         c = np.bincount(which, q["n"], len(first))
         answer = {"c": (c.astype(np.int64)[which], cuts)}
         sums = pd.DataFrame({"context": [0], "own": [float((c > 0).sum())]})
         if depth:
             contexts, _, of = _distinct(q["context"])
-            state, low, size = np.repeat(of, q["run"])[first], q["low"][first], len(contexts)
+            low = _root(q["count"][first], limits, v) if depth == 1 else q["low"][first]
+            state, size = np.repeat(of, q["run"])[first], len(contexts)
             entry = q["can"][first] & (c >= limits.entry)
             own, entries = np.bincount(state, c, size), np.bincount(state, entry, size)
             kept, left = np.bincount(state, c * entry, size), np.bincount(state, low * entry, size)
@@ -440,11 +461,11 @@ def _told(depth: int, last: bool, limits: Limits, v: int, hot, parts: int):
                     known[k][q.places] = a
         if depth == 0:
             s["c"] = known["c"]
-            c, p = s["c"][s["x"]], _root(s, limits, v)[s["x"]]
+            c, p = s["c"][s["x"]], _root(s["c"], limits, v)[s["x"]]
             s["base"], s["known"] = np.add.reduceat(np.log10(p), starts), np.add.reduceat((c > 0).astype(np.int64), starts)
             s["total"], entry, many = np.zeros(len(starts)), _often(s, limits)[s["x"]] & (c >= limits.entry), c >= limits.context
         else:
-            low, c, own, kept = _low(s, depth, limits, v, slice(None)), *(known[k] for k in names[:3])
+            low, c, own, kept = _low(s, depth, limits, v), *(known[k] for k in names[:3])
             entry = s["can"] & (c >= limits.entry)
             p = np.where(known["retained"] > 0, (np.where(entry, c, 0) + (own - kept + MU) * low) / (own + MU), low)
             many = s["can"] & (c >= max(limits.context, limits.entry))
@@ -460,21 +481,26 @@ def _told(depth: int, last: bool, limits: Limits, v: int, hot, parts: int):
             s |= {"live": live, "can": can[live], "hot": counts[live] > limits.hot}
             if depth:
                 s["p"] = whole[live]
-                _forget(s, depth + 1)
+            _forget(s, depth + 1, limits)
         return pd.DataFrame({"chunk": [key[0]], "state": [_pack(**s)]})
 
     return run
 
 
-def _forget(s: dict[str, np.ndarray], depth: int) -> None:
-    """Blank the words that neither are at a live position nor in its context."""
+def _forget(s: dict[str, np.ndarray], depth: int, limits: Limits) -> None:
+    """Blank the words that neither are at a live position nor in its context; those too rare for an entry are one for each count."""
+    rare = s["c"] < limits.entry
+    rare[0] = False
+    instead = np.arange(len(rare), dtype=np.int32)
+    _, first, which = np.unique(s["c"][rare], return_index=True, return_inverse=True)
+    instead[rare] = np.flatnonzero(rare)[first][which]
     asked = s["live"].copy()
     for d in range(1, depth + 1):
         asked[:-d] |= s["live"][d:]
-    s["x"] = np.where(asked, s["x"], 0).astype(np.int32)
+    s["x"] = np.where(asked, instead[s["x"]], np.int32(0))
     used = np.zeros(len(s["words"]), bool)
     used[s["x"]] = True
-    s["words"], s["c"] = np.where(used, s["words"], END), np.where(used, s["c"], 0)
+    s["words"], s["c"] = np.where(used & ~rare, s["words"], END), np.where(used, s["c"], 0)
 
 
 @contextmanager
@@ -508,7 +534,7 @@ def levels(docs: DataFrame, held_out, id_col: str, text_col: str, depth: int, p_
 def _levels(docs: DataFrame, held_out, id_col: str, text_col: str, depth: int, p_word: float, p_context: float, p_entry: float) -> tuple[DataFrame, int]:
     spark = docs.sparkSession
     part = F.pmod(F.xxhash64("chunk"), F.lit(TOLD_IN)).cast("int").alias("part")
-    tables = [written(encode(docs, held_out, id_col, text_col).select("*", part), "lm-encoded", "part")]
+    tables = [written(encode(docs, held_out, id_col, text_col).select("*", part), "lm-encoded", "part", "none")]
     n = tables[0].agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     states = [tables[0].where(F.col("part") == p).select("chunk", "state") for p in range(TOLD_IN)]
     limits = Limits(n, max(MIN_BUCKETS, -(-n // BUCKET)), p_word * n, max(MIN_CONTEXT, p_context * n), max(MIN_ENTRY, p_entry * n), HOT)
@@ -517,7 +543,7 @@ def _levels(docs: DataFrame, held_out, id_col: str, text_col: str, depth: int, p
         replies = []
         for a in range(ASKED_IN):
             questions = reduce(DataFrame.union, states).mapInArrow(_questions(d, limits, a, ASKED_IN, v), "bucket int, chunk long, question binary")
-            replies.append(written(questions.groupBy("bucket").applyInPandas(_answers(d, limits), ANSWER).select("*", part), f"lm-answers-{d}", "part"))
+            replies.append(written(questions.groupBy("bucket").applyInPandas(_answers(d, limits, v), ANSWER).select("*", part), f"lm-answers-{d}", "part", "none"))
         answers = reduce(DataFrame.union, replies)
         sums = answers.filter("chunk is null").groupBy("context").agg(*[F.sum(c).alias(c) for c in ("own", "kept", "left", "gain", "entries")])
         sums = sums.orderBy("context").toPandas()  # n / HOT at most
@@ -532,7 +558,7 @@ def _levels(docs: DataFrame, held_out, id_col: str, text_col: str, depth: int, p
             own = answers.where(F.col("part") == p).filter("chunk is not null").select("chunk", "bucket", "answer")
             told = mine.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInPandas(
                 _told(d, d == depth, limits, v, hot, ASKED_IN), "chunk long, state binary")
-            tables.append(written(told, f"lm-states-{d}"))
+            tables.append(written(told, f"lm-states-{d}", compression="none"))
             for table in [*replies, *([before[0]] if d == 0 else [])]:
                 _discard(table, p)
             if d:
