@@ -14,6 +14,7 @@ from truant.plans.catalog_models import SCORED_SQL, _checked, _quick, _unlabelle
 from truant.plans.oracle_sql import PREPROCESSED_SQL
 from truant.schema import COLUMNS, KEY
 from truant.session import scratch_path as _scratch
+from truant.session import spread
 from truant.sources import requests, tables
 from truant.streaming import history as stream_history
 from truant.streaming import score as stream
@@ -198,7 +199,7 @@ def q_score_stream(spark, sf):
     (availableNow trigger) with the frozen state; the sink is read back."""
     t = _quick(spark, sf)
     src, out, ck = _scratch(spark, "in"), _scratch(spark, "out"), _scratch(spark, "ck")
-    tables.write_csv(_unlabelled(spark, sf).repartition(4), src)
+    tables.write_csv(spread(_unlabelled(spark, sf), t.predictions.count(), least=1), src)  # about as many rows as were tested
     stream.score_stream(spark, src, t.prepared.state, t.model, out, ck)
     return _checked(spark.read.parquet(out))
 
