@@ -8,8 +8,9 @@ Mapping of the original learners:
 * balanced decision tree (unlimited depth) -> ``DecisionTreeClassifier``
   with ``maxDepth`` 30 (MLlib's limit) and more bins than the default 32.  A
   tree whose leaves hold single rows grows with the data and lives on the
-  driver, so ``select_important`` fits it on at most MAX_TREE_ROWS rows of a
-  stratified sample, and ``min_rows`` per leaf is a parameter.
+  driver, so ``select_important``, which asks for its importances alone, has
+  MLlib fit its top on all rows and the rest grown in the tasks
+  (:mod:`truant.operators.subtrees`); ``min_rows`` per leaf is a parameter.
 * random forest (100 trees, unlimited depth) -> ``RandomForestClassifier``,
   ``maxDepth`` 30.
 * gradient boosting with ``scale_pos_weight`` -> ``GBTClassifier`` with a
@@ -41,7 +42,7 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from truant.operators import encode, evaluate, sampling
+from truant.operators import encode, evaluate, sampling, subtrees
 from truant.operators.smote import smote
 from truant.plans.prefix import running_totals
 from truant.schema import KEY, TARGET
@@ -70,6 +71,8 @@ MAX_ROWS_AT_ONCE = 10_000_000
 #: Rows walk down trees of this depth at most from their root in every pass.  Deeper ones, which a task
 #: would get whole, keep a node id a row instead, a new array for each row in each pass.
 MAX_DEPTH_WALKED = 10
+#: Levels of a deep tree that MLlib fits, see tree_importances.
+TOP_DEPTH = 10
 TREE_SEED = 42
 
 
@@ -122,10 +125,10 @@ def tree_estimator(weighted: bool = True, max_depth: int = 30, max_bins: int = 1
 
 
 def fit_tree(mf: DataFrame, weighted: bool = True, max_depth: int = 30, max_bins: int = 128, min_rows: int = 1, seed: int = 42,
-             max_rows: int = MAX_TREE_ROWS):
-    """A single tree, which is held on the driver: it learns from about ``max_rows`` rows at most, a sample of larger frames."""
-    n = mf.count()
-    if n > max_rows:
+             max_rows: int | None = MAX_TREE_ROWS):
+    """A single tree, which is held on the driver: it learns from about ``max_rows`` rows at most, a sample of larger frames (None: from all)."""
+    n = 0 if max_rows is None else mf.count()
+    if max_rows is not None and n > max_rows:
         mf = mf.sample(max_rows / n, seed=seed)
     return tree_estimator(weighted, max_depth, max_bins, min_rows, seed).fit(mf)
 
@@ -214,20 +217,35 @@ class Selection:
     tree: list[tuple[str, float]]
 
 
-def bounded_rows(df: DataFrame, rows: int, target: str = TARGET, key: str = KEY, seed: int = TREE_SEED, hashed: str | None = None) -> DataFrame:
-    """``df``, or of a larger one a stratified sample of ``rows`` rows."""
-    def quotas(counts):
-        return counts if sum(counts.values()) <= rows else sampling.allocate(counts, rows)
-    return sampling.select_by_quota(df, quotas, target, key, seed, "__in", hashed=hashed).where("__in").drop("__in")
+def tree_importances(mf: DataFrame, features: list[str], weights: dict, max_depth: int = 30, max_bins: int = 128, min_rows: int = 1,
+                     local_rows: int = subtrees.LOCAL_ROWS) -> list[tuple[str, float]]:
+    """Importances of one tree on all rows of ``mf``, of any number: its first TOP_DEPTH levels are
+    :func:`fit_tree`'s, and what grows below their leaves is never held as a whole.
+
+    Importances are sums over a tree's nodes.  Those of the top lower the impurity from
+    that of all rows to that of the leaves, which MLlib's shares are multiplied with."""
+    top = fit_tree(mf, True, min(max_depth, TOP_DEPTH), max_bins, min_rows, max_rows=None)
+    if max_depth <= TOP_DEPTH:
+        return importances(top, features)
+    w = [weights.get(float(c), 0.0) for c in range(top.numClasses)]
+    depths = subtrees.leaf_depths(top.toDebugString)
+    rows = top.setLeafCol("leaf").transform(mf).select("leaf", vector_to_array(FEATURES).alias("x"), LABEL)
+    counts = [[0] * len(w) for _ in depths]
+    for r in rows.groupBy("leaf", LABEL).count().collect():
+        counts[int(r["leaf"])][int(r[LABEL])] = r["count"]
+    gained = subtrees.impurity_of([[sum(c) for c in zip(*counts, strict=True)]], w) - subtrees.impurity_of(counts, w)
+    below = subtrees.importances(rows, len(features), {i: (max_depth - d, counts[i]) for i, d in enumerate(depths)}, w, max_bins, min_rows, local_rows)
+    imp = top.featureImportances.toArray() * gained + below
+    imp = imp / imp.sum() if imp.sum() > 0 else imp
+    return sorted(zip(features, [float(x) for x in imp], strict=True), key=lambda t: -t[1])
 
 
 def select_important(train_scaled: DataFrame | Callable[[], DataFrame], train_raw: DataFrame, features: list[str],
-                     target: str = TARGET, threshold: float = 0.01, tree_rows: int = MAX_TREE_ROWS,
-                     tree_depth: int = 30, tree_min_rows: int = 1, hashed: DataFrame | None = None) -> Selection:
+                     target: str = TARGET, threshold: float = 0.01,
+                     tree_depth: int = 30, tree_min_rows: int = 1) -> Selection:
     """Union of |logistic coefficient| >= t (scaled frame, or what makes it) and
-    tree importance >= t (unscaled frame), both with balanced class weights.
-    The tree learns from ``tree_rows`` rows at most.  Both are fitted at the same
-    time.  ``hashed``: the unscaled frame with sampling.KEY_HASH by TREE_SEED."""
+    tree importance >= t (unscaled frame), both with balanced class weights and
+    on all rows.  Both are fitted at the same time."""
     spark = train_raw.sparkSession
     w = class_weights(train_raw, target)["class_weight"]
     w = {float(k): v for k, v in w.items()}
@@ -242,11 +260,9 @@ def select_important(train_scaled: DataFrame | Callable[[], DataFrame], train_ra
             mf.unpersist()
 
     def tree() -> list[tuple[str, float]]:
-        drawn = bounded_rows(train_raw if hashed is None else hashed, tree_rows, target, hashed=None if hashed is None else sampling.KEY_HASH)
-        rows = materialize(drawn.select(*features, target), "tree-rows")
-        mf = learning_frame(rows, features, target, w).persist()
+        mf = learning_frame(train_raw, features, target, w).persist(StorageLevel.DISK_ONLY)
         try:
-            return importances(fit_tree(mf, True, tree_depth, min_rows=tree_min_rows), features)
+            return tree_importances(mf, features, w, tree_depth, min_rows=tree_min_rows)
         finally:
             mf.unpersist()
 

@@ -52,8 +52,8 @@ def scaled(p: Prepared) -> tuple[encode.Scaling, DataFrame, DataFrame]:
 
 
 def select_features(p: Prepared, threshold: float = 0.01, **tree) -> models.Selection:
-    """``tree``: tree_rows, tree_depth, tree_min_rows of models.select_important."""
-    sel = models.select_important(lambda: scaled(p)[1], p.train, p.features, TARGET, threshold, hashed=p.hashed, **tree)
+    """``tree``: tree_depth, tree_min_rows of models.select_important."""
+    sel = models.select_important(lambda: scaled(p)[1], p.train, p.features, TARGET, threshold, **tree)
     p.state.selected = sel.features
     return sel
 
